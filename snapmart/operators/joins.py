@@ -1,31 +1,27 @@
 """Left lookups into dimensions, including one dimension in many roles.
 
 Broadcast policy. A side is broadcast only after a bounded row count proves
-it small (:func:`is_bounded`, which reads at most ``max_rows + 1`` rows).
-Past the bound the join is a sort-merge join, where two things can put too
-much on one task:
-
-* NULL fact keys never match, but they all hash to one partition. They are
-  spread by a salt that is part of the join key on the fact side only (the
-  dimension side carries salt 0, so NULL rows still find nothing).
-* A hot non-NULL key is split at run time by adaptive skew-join handling,
-  which can split the streamed (left) side of a left outer join; the
-  dimension holds one row per key, so only that row is repeated.
-
-When no bound is given, Catalyst chooses from its size estimate
-(``spark.sql.autoBroadcastJoinThreshold``) and adaptive execution may still
-turn the join into a broadcast once the real size is known.
+it small (:func:`is_bounded`, which reads at most ``max_rows + 1`` rows per
+task and returns one number). Past the bound, or when no bound is asked
+for, the join is left to Catalyst: it broadcasts only below
+``spark.sql.autoBroadcastJoinThreshold`` by its size estimate, and adaptive
+execution may still turn a sort-merge join into a broadcast once the real
+shuffle size is known.
+
+Skew in the sort-merge case. NULL fact keys never match but all hash to one
+partition, and a hot key does the same. Adaptive skew-join handling splits
+such an oversized partition of the streamed (left) side of a left outer join
+into several tasks and repeats the matching dimension partition, which holds
+one row per key. :mod:`snapmart.session` turns it on and forces it even when
+the split costs an extra shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
-NULL_SALT_BUCKETS = 64
 
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
@@ -43,13 +39,6 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return df, False
 
 
-def _null_salt(key: Column, salt_cols: list[str]) -> Column:
-    """0 for a present key; a deterministic bucket for a NULL key."""
-    return F.when(
-        key.isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(NULL_SALT_BUCKETS))
-    ).otherwise(F.lit(0)).cast("int")
-
-
 def left_lookup(
     fact: DataFrame,
     dim: DataFrame,
@@ -57,27 +46,17 @@ def left_lookup(
     dim_key: str,
     values: dict[str, str],
     max_broadcast_rows: int | None = None,
-    salt_cols: Iterable[str] | None = None,
 ) -> DataFrame:
     """``fact left join dim on fact_key = dim_key``, adding ``values``.
 
-    ``values`` maps dimension column -> output name. The dimension must hold
-    at most one row per key for the fact row count to stay the same (as in
-    the reference, a duplicated key multiplies rows; that is kept).
+    ``values`` maps dimension column -> output name. A dimension key held by
+    several rows multiplies the fact row, as SQL does. ``max_broadcast_rows``
+    asks for the bounded check and an explicit broadcast below it.
     """
     d = dim.select(F.col(dim_key).alias("__dk"), *[F.col(c).alias(o) for c, o in values.items()])
     if max_broadcast_rows is not None:
-        d, small = broadcast_if_bounded(d, max_broadcast_rows)
-    else:
-        small = False
-    if small:
-        out = fact.join(d, fact[fact_key] == d["__dk"], "left")
-        return out.drop("__dk")
-    cols = list(salt_cols) if salt_cols else fact.columns
-    f = fact.withColumn("__salt", _null_salt(F.col(fact_key), cols))
-    d = d.withColumn("__dsalt", F.lit(0))
-    out = f.join(d, (f[fact_key] == d["__dk"]) & (f["__salt"] == d["__dsalt"]), "left")
-    return out.drop("__dk", "__salt", "__dsalt")
+        d, _ = broadcast_if_bounded(d, max_broadcast_rows)
+    return fact.join(d, fact[fact_key] == d["__dk"], "left").drop("__dk")
 
 
 def role_join(
@@ -87,30 +66,21 @@ def role_join(
     dim_value: str,
     roles: list[tuple[str, str]],
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    salt_cols: Iterable[str] | None = None,
 ) -> DataFrame:
     """One dimension joined in many roles: ``[(fact_id_col, out_name), ...]``.
 
     Each role is a left join; a NULL or unknown id gives a NULL name and the
-    row stays. The dimension is projected to ``(key, value)`` once, so every
-    role has the same build side: when it is bounded Spark broadcasts it
-    once and reuses that broadcast for all roles.
+    row stays. The dimension is projected to ``(key, value)`` and checked
+    once, so every role has the same build side: below the bound Spark
+    broadcasts it and reuses the broadcast for all roles.
     """
     pair = dim.select(F.col(dim_key).alias("__k"), F.col(dim_value).alias("__v"))
-    pair, small = broadcast_if_bounded(pair, max_broadcast_rows)
+    pair, _ = broadcast_if_bounded(pair, max_broadcast_rows)
     out = fact
-    cols = list(salt_cols) if salt_cols else list(fact.columns)
     for i, (fact_col, out_name) in enumerate(roles):
         k = f"__k{i}"
         side = pair.select(F.col("__k").alias(k), F.col("__v").alias(out_name))
-        if small:
-            out = out.join(side, out[fact_col] == side[k], "left").drop(k)
-        else:
-            salted = out.withColumn("__salt", _null_salt(F.col(fact_col), cols))
-            side = side.withColumn("__dsalt", F.lit(0))
-            out = salted.join(
-                side, (salted[fact_col] == side[k]) & (salted["__salt"] == side["__dsalt"]), "left"
-            ).drop(k, "__salt", "__dsalt")
+        out = out.join(side, out[fact_col] == side[k], "left").drop(k)
     return out
 
 

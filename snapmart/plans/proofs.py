@@ -29,7 +29,7 @@ from ..operators.checks import (
     relationships_failures,
     unique_failures,
 )
-from ..operators.joins import left_lookup, not_yet_present, role_join
+from ..operators.joins import DEFAULT_BROADCAST_ROWS, left_lookup, not_yet_present, role_join
 from ..operators.latest import latest_overall, latest_per_key
 from ..operators.ordering import order_by, top_k
 from ..operators.unnest import unnest, unnest_tagged
@@ -46,7 +46,10 @@ def q_fact_star(spark: SparkSession, sf: str) -> DataFrame:
     left joins whose second condition reads only the middle table), and the
     nation roles are resolved on the customer and supplier sides. So the
     biggest table is shuffled only for the joins on its own keys, and the
-    customer shuffle moves orders, not line items.
+    customer shuffle moves orders, not line items. Customer and supplier are
+    dimensions: broadcast after a bounded count, else sort-merge joined. The
+    orders join is left to Catalyst and adaptive execution (a sort-merge join
+    at scale, where both sides are large).
     """
     nation = load(spark, sf, "nation").select("n_nationkey", "n_name")
     cust = role_join(
@@ -61,6 +64,7 @@ def q_fact_star(spark: SparkSession, sf: str) -> DataFrame:
         load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
         cust, "o_custkey", "c_custkey",
         {"c_name": "customer_name", "customer_nation": "customer_nation"},
+        max_broadcast_rows=DEFAULT_BROADCAST_ROWS,
     )
     line = load(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"
@@ -73,6 +77,7 @@ def q_fact_star(spark: SparkSession, sf: str) -> DataFrame:
     f = left_lookup(
         f, supp, "l_suppkey", "s_suppkey",
         {"s_name": "supplier_name", "supplier_nation": "supplier_nation"},
+        max_broadcast_rows=DEFAULT_BROADCAST_ROWS,
     )
     return f.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",

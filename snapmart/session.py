@@ -30,6 +30,8 @@ TUNING_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even when that adds a shuffle above it.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A partition counts as skewed at 4x the median and 128 MB.
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128m",

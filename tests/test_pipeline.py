@@ -1,0 +1,212 @@
+"""Staging, marts, data tests and reports on the JSON fixture store."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from snapmart.plans import build as B
+from snapmart.plans import marts, reports, staging
+from snapmart.plans.quality import SUITE, run_suite
+from snapmart.sources.documents import read_kind
+
+from .docs_fixture import write_bad_date_store, write_bad_id_store, write_store
+
+AS_OF = dt.date(2026, 6, 30)
+
+
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    raw = write_store(str(tmp_path_factory.mktemp("raw")))
+    wh = str(tmp_path_factory.mktemp("wh"))
+    models, results = B.build_and_test(spark, raw, wh, as_of=AS_OF)
+    return raw, wh, models, results
+
+
+def rows(df, *cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def test_history_row_counts(built):
+    _, _, m, _ = built
+    assert m["stg_standings_history"].count() == 5
+    assert m["stg_players_history"].count() == 12
+    assert m["stg_games"].count() == 3
+    assert m["stg_plays"].count() == 10
+
+
+def test_columns_match_reference_shapes(built):
+    _, _, m, _ = built
+    assert m["stg_games"].columns == staging.GAMES_COLUMNS and len(staging.GAMES_COLUMNS) == 26
+    assert m["stg_plays"].columns == staging.PLAYS_COLUMNS
+    assert len(m["stg_standings_history"].columns) == 39
+    assert len(m["stg_players_history"].columns) == 16
+    assert len(m["dim_players"].columns) == 18
+    assert m["fct_plays"].columns == marts.FCT_PLAYS_COLUMNS and len(marts.FCT_PLAYS_COLUMNS) == 54
+
+
+def test_latest_players_ties_and_absent(built):
+    _, _, m, _ = built
+    got = rows(m["stg_players"], "player_id", "team_abbrev", "snapshot_date")
+    d1, d2 = dt.date(2024, 10, 1), dt.date(2024, 10, 2)
+    assert got == sorted([
+        (1, "AAA", d1),          # E3 absent from the newest roster
+        (2, "AAA", d2),
+        (3, "AAA", d2),
+        (4, "AAA", d1),          # E3 goalie gone later
+        (5, "BBB", d2),          # E1 later team only
+        (6, "BBB", d2), (6, "CCC", d2),   # E2 both kept
+        (7, "ZZZ", d2),
+        (8, "AAA", d2),
+    ])
+
+
+def test_current_standings(built):
+    _, _, m, _ = built
+    got = rows(m["stg_standings"], "team_abbrev", "points", "snapshot_date")
+    assert [r[:2] for r in got] == [("AAA", 12), ("BBB", 9), ("CCC", 11)]
+    assert rows(m["dim_teams"], "team_abbrev") == [("AAA",), ("BBB",), ("CCC",)]
+
+
+def test_games_derived_columns(built):
+    _, _, m, _ = built
+    got = {r.game_id: r for r in m["stg_games"].collect()}
+    g1, g2, g3 = got[2024020001], got[2024020002], got[2024029999]
+    assert (g1.away_win, g1.home_win, g1.goal_diff) == (False, True, 1)
+    assert (g2.away_win, g2.home_win, g2.goal_diff) == (False, False, 0)       # E10
+    assert (g3.away_win, g3.home_win, g3.goal_diff) == (None, None, None)      # E10
+    assert g2.shootout_in_use is True and g1.shootout_in_use is None           # E16
+    assert g1.start_time_utc == dt.datetime(2024, 10, 8, 23, 0)
+    assert g1.venue == "Arena" and g1.home_team_name == "Alphas"
+
+
+def test_plays_game_id_from_path(built):
+    _, _, m, _ = built
+    ids = rows(m["stg_plays"].groupBy("game_id").count(), "game_id", "count")
+    assert ids == [(2024020001, 9), (2024020003, 1)]                           # E5 no rows
+
+
+def test_dim_players_derivations(built):
+    _, _, m, _ = built
+    got = {(r.player_id, r.team_abbrev): r for r in m["dim_players"].collect()}
+    disp = {k[0]: r.height_display for k, r in got.items()}
+    assert disp == {1: "6'11\"", 2: "6'0\"", 3: "5'5\"", 4: "6'5\"", 5: "6'6\"",
+                    6: "6'6\"", 7: None, 8: "6'10\""}                          # E11
+    grp = {k[0]: r.position_group for k, r in got.items()}
+    assert grp == {1: "Forward", 2: "Forward", 3: "Defenseman", 4: "Goalie",
+                   5: "Forward", 6: "Unknown", 7: "Unknown", 8: "Forward"}     # E13
+    assert got[(8, "AAA")].full_name is None                                   # E14
+    assert got[(1, "AAA")].age == 26
+
+
+def test_age_counts_new_years(spark, built):
+    _, _, m, _ = built
+    d = marts.dim_players(m["stg_players"], as_of="2001-01-01")
+    assert d.where("player_id = 1").first().age == 1                          # E12
+
+
+def test_fact_rows_roles_and_nulls(built):
+    _, _, m, _ = built
+    f = m["fct_plays"]
+    assert f.count() == 12                     # 10 plays; two name P6, who is listed twice (E2)
+    goal = f.where("event_id = 2 and game_id = 2024020001").first()
+    assert goal.scoring_player_name == "Bob Two"
+    assert goal.assist1_player_name == "Cid Three"
+    assert goal.assist2_player_id == 999 and goal.assist2_player_name is None   # E7
+    assert goal.goalie_player_name == "Dan Four"
+    assert (goal.x_coord, goal.shot_type, goal.highlight_url) == (-70, "wrist", "https://clip/1")
+    assert goal.final_home_score == 3 and goal.game_date == dt.date(2024, 10, 8)
+    hit = f.where("event_id = 4 and game_id = 2024020001").first()
+    assert hit.hitting_player_id is None and hit.hittee_player_name == "Eve Five"  # E8
+    end = f.where("event_type = 'period-end'").first()
+    detail_cols = [n for _, n, _ in marts.DETAIL_FIELDS]
+    assert all(end[c] is None for c in detail_cols)                            # E6
+    pen = f.where("event_type = 'penalty'").first()
+    assert pen.penalty_committed_by_player_name is None                        # E14
+    assert pen.penalty_drawn_by_player_name == "Ann One"
+    assert (pen.penalty_desc, pen.penalty_duration_minutes) == ("tripping", 2)
+    g3 = f.where("game_id = 2024020003").first()
+    assert g3.game_date is None and g3.home_team_abbrev is None                # E9
+    assert g3.scoring_player_name == "Eve Five"
+    give = f.where("event_type = 'giveaway'").first()
+    assert give.player_name == "Gus Seven"
+    shots = f.where("event_id = 3 and game_id = 2024020001")
+    assert rows(shots, "shooting_player_name") == [("Fay Six",), ("Fay Six",)]  # E2 doubled
+
+
+EXPECTED_FAILURES = {
+    "not_null_stg_plays_event_type": 1,
+    "accepted_values_stg_plays_event_type": 1,
+    "unique_stg_players_player_id": 1,
+    "not_null_stg_players_full_name": 1,
+    "not_null_stg_players_position_code": 1,
+    "accepted_values_stg_players_position_code": 1,
+    "unique_dim_players_player_id": 1,
+    "not_null_dim_players_full_name": 1,
+    "accepted_values_dim_players_position_group": 1,
+    "relationships_dim_players_team_abbrev": 1,
+    "not_null_fct_plays_event_type": 1,
+    "not_null_fct_plays_game_date": 1,
+}
+
+
+def test_data_test_suite(built):
+    _, _, _, results = built
+    assert len(SUITE) == 37
+    kinds = [t.kind for t in SUITE]
+    assert (kinds.count("not_null"), kinds.count("unique"), kinds.count("accepted_values"),
+            kinds.count("relationships")) == (25, 5, 6, 1)
+    got = {r.test_id: r.failures for r in results.collect()}
+    assert len(got) == 37
+    nonzero = {k: v for k, v in got.items() if v}
+    assert nonzero == EXPECTED_FAILURES
+
+
+def test_reports(built):
+    _, _, m, _ = built
+    out = {name: reports.run_report(name, m) for name in reports.REPORTS}
+    assert rows(out["unknown_event_types"], "event_type") == [("weird-event",)]   # E18
+    s = out["game_summary"].first()
+    assert (s.total_games, s.reg, s.ot, s.so) == (3, 1, 1, 1)
+    assert s.earliest_game == dt.date(2024, 10, 8)
+    b3 = out["event_type_breakdown"].collect()
+    assert b3[0].event_type == "goal" and b3[0].total_events == 2
+    assert [r.team_abbrev for r in out["current_standings"].collect()] == ["AAA", "CCC", "BBB"]
+    pct = {r.team_abbrev: r.point_pct for r in out["current_standings"].collect()}
+    assert pct["BBB"] == 4.0            # binary rounding of 4.0005, as the reference
+    assert pct["AAA"] == 0.546 or pct["AAA"] == 0.545
+    assert [r.teams for r in out["teams_per_snapshot"].collect()] == [3, 2]
+    goals = out["first_goals"].collect()
+    assert [g.scoring_player_name for g in goals] == ["Bob Two", "Eve Five"]
+    assert out["newest_games"].first().game_id == 2024029999
+    assert out["snapshot_summary"].count() == 5
+    assert out["current_players_sample"].count() == 9
+    assert out["player_history_sample"].count() == 12
+    fb = {r.event_type: r.total for r in out["fact_breakdown"].collect()}
+    assert fb["goal"] == 2 and fb["shot-on-goal"] == 2
+
+
+def test_bad_date_fails(spark, tmp_path):
+    raw = write_bad_date_store(str(tmp_path / "raw"))
+    with pytest.raises(Exception):
+        staging.stg_games(read_kind(spark, raw, "play_by_play")).collect()     # E15
+
+
+@pytest.mark.parametrize("bad", [84.5, "84", 3000000000])
+def test_bad_roster_id_fails(spark, tmp_path, bad):
+    raw = write_bad_id_store(str(tmp_path / "raw"), bad)
+    with pytest.raises(Exception):
+        staging.stg_players_history(read_kind(spark, raw, "rosters")).collect()  # E22
+
+
+def test_history_is_partitioned_by_date(built):
+    import os
+
+    _, wh, _, _ = built
+    parts = sorted(os.listdir(os.path.join(wh, "stg_players_history")))
+    assert "snapshot_date=2024-10-02" in parts
+
+
+def test_views_registered(spark, built):
+    assert spark.table("stg_players").count() == 9
+    assert spark.table("stg_standings").where(F.col("team_abbrev") == "CCC").count() == 1
