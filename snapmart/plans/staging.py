@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import json as J
 from ..functions.scalar import as_date, concat_strict
 from ..operators.latest import latest_per_key
 from ..operators.unnest import unnest_tagged
