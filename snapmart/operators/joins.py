@@ -1,8 +1,7 @@
 """Left lookups into dimensions, including one dimension in many roles.
 
-Broadcast policy. A side is broadcast only after a bounded row count proves
-it small (:func:`is_bounded`, which reads at most ``max_rows + 1`` rows per
-task and returns one number). Past the bound, or when no bound is asked
+Broadcast policy. A side is broadcast only after an exact row count proves
+it small (:func:`is_bounded`: a partial aggregate that returns one number). Past the bound, or when no bound is asked
 for, the join is left to Catalyst: it broadcasts only below
 ``spark.sql.autoBroadcastJoinThreshold`` by its size estimate, and adaptive
 execution may still turn a sort-merge join into a broadcast once the real
@@ -25,12 +24,30 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+    """True when ``df`` has at most ``max_rows`` rows (an exact count).
 
-    Reads at most ``max_rows + 1`` rows per task; returns a number, never
-    data, to the driver.
+    ``count`` is a partial aggregate: every task sends one number, so no
+    rows move and no task gathers more than its own split; on a plain
+    Parquet scan only the footers are read. (A ``limit(n + 1).count()``
+    would funnel up to n rows per task into one partition.)
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return bounded_flags([df], max_rows)[0]
+
+
+def bounded_flags(dfs: list[DataFrame], max_rows: int) -> list[bool]:
+    """:func:`is_bounded` for several frames in one Spark job: the one-row
+    counts are unioned and fetched together (one number per frame)."""
+    if not dfs:
+        return []
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
+        for i, df in enumerate(dfs)
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    counts = {r["i"]: r["n"] for r in out.collect()}
+    return [counts[i] <= max_rows for i in range(len(dfs))]
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
@@ -46,15 +63,20 @@ def left_lookup(
     dim_key: str,
     values: dict[str, str],
     max_broadcast_rows: int | None = None,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """``fact left join dim on fact_key = dim_key``, adding ``values``.
 
     ``values`` maps dimension column -> output name. A dimension key held by
     several rows multiplies the fact row, as SQL does. ``max_broadcast_rows``
     asks for the bounded check and an explicit broadcast below it.
+    ``broadcast=True`` / ``False`` is the answer of a check the caller has
+    already made (see :func:`bounded_flags`): hint, or leave it to Catalyst.
     """
     d = dim.select(F.col(dim_key).alias("__dk"), *[F.col(c).alias(o) for c, o in values.items()])
-    if max_broadcast_rows is not None:
+    if broadcast:
+        d = F.broadcast(d)
+    elif broadcast is None and max_broadcast_rows is not None:
         d, _ = broadcast_if_bounded(d, max_broadcast_rows)
     return fact.join(d, fact[fact_key] == d["__dk"], "left").drop("__dk")
 
@@ -66,16 +88,21 @@ def role_join(
     dim_value: str,
     roles: list[tuple[str, str]],
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """One dimension joined in many roles: ``[(fact_id_col, out_name), ...]``.
 
     Each role is a left join; a NULL or unknown id gives a NULL name and the
     row stays. The dimension is projected to ``(key, value)`` and checked
     once, so every role has the same build side: below the bound Spark
-    broadcasts it and reuses the broadcast for all roles.
+    broadcasts it and reuses the broadcast for all roles. ``broadcast``
+    True / False is the answer of a check the caller has already made.
     """
     pair = dim.select(F.col(dim_key).alias("__k"), F.col(dim_value).alias("__v"))
-    pair, _ = broadcast_if_bounded(pair, max_broadcast_rows)
+    if broadcast:
+        pair = F.broadcast(pair)
+    elif broadcast is None:
+        pair, _ = broadcast_if_bounded(pair, max_broadcast_rows)
     out = fact
     for i, (fact_col, out_name) in enumerate(roles):
         k = f"__k{i}"

@@ -29,7 +29,13 @@ from ..operators.checks import (
     relationships_failures,
     unique_failures,
 )
-from ..operators.joins import DEFAULT_BROADCAST_ROWS, left_lookup, not_yet_present, role_join
+from ..operators.joins import (
+    DEFAULT_BROADCAST_ROWS,
+    bounded_flags,
+    left_lookup,
+    not_yet_present,
+    role_join,
+)
 from ..operators.latest import latest_overall, latest_per_key
 from ..operators.ordering import order_by, top_k
 from ..operators.unnest import unnest, unnest_tagged
@@ -46,25 +52,34 @@ def q_fact_star(spark: SparkSession, sf: str) -> DataFrame:
     left joins whose second condition reads only the middle table), and the
     nation roles are resolved on the customer and supplier sides. So the
     biggest table is shuffled only for the joins on its own keys, and the
-    customer shuffle moves orders, not line items. Customer and supplier are
-    dimensions: broadcast after a bounded count, else sort-merge joined. The
-    orders join is left to Catalyst and adaptive execution (a sort-merge join
-    at scale, where both sides are large).
+    customer shuffle moves orders, not line items.
+
+    Nation, customer and supplier are dimensions: one Spark job counts each
+    up to the bound, and those within it are broadcast; the others are
+    sort-merge joined. The orders join is left to Catalyst and adaptive
+    execution (a sort-merge join at scale, where both sides are large).
     """
     nation = load(spark, sf, "nation").select("n_nationkey", "n_name")
-    cust = role_join(
-        load(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey"),
-        nation, "n_nationkey", "n_name", [("c_nationkey", "customer_nation")],
-    )
-    supp = role_join(
-        load(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey"),
-        nation, "n_nationkey", "n_name", [("s_nationkey", "supplier_nation")],
+    customer = load(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    supplier = load(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    # Count the actual build sides (with their nation names) in one job.
+    roles_c = [("c_nationkey", "customer_nation")]
+    roles_s = [("s_nationkey", "supplier_nation")]
+    n_small, c_small, s_small = bounded_flags(
+        [
+            nation,
+            role_join(customer, nation, "n_nationkey", "n_name", roles_c, broadcast=False),
+            role_join(supplier, nation, "n_nationkey", "n_name", roles_s, broadcast=False),
+        ],
+        DEFAULT_BROADCAST_ROWS,
     )
+    cust = role_join(customer, nation, "n_nationkey", "n_name", roles_c, broadcast=n_small)
+    supp = role_join(supplier, nation, "n_nationkey", "n_name", roles_s, broadcast=n_small)
     orders = left_lookup(
         load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
         cust, "o_custkey", "c_custkey",
         {"c_name": "customer_name", "customer_nation": "customer_nation"},
-        max_broadcast_rows=DEFAULT_BROADCAST_ROWS,
+        broadcast=c_small,
     )
     line = load(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"
@@ -77,7 +92,7 @@ def q_fact_star(spark: SparkSession, sf: str) -> DataFrame:
     f = left_lookup(
         f, supp, "l_suppkey", "s_suppkey",
         {"s_name": "supplier_name", "supplier_nation": "supplier_nation"},
-        max_broadcast_rows=DEFAULT_BROADCAST_ROWS,
+        broadcast=s_small,
     )
     return f.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
@@ -99,6 +114,36 @@ def q_role_joins_nullable(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Fixed values for the five-role query: event type -> role column.
+EVENT_ROLES = [
+    ("view", "viewer"),
+    ("click", "clicker"),
+    ("purchase", "buyer"),
+    ("signup", "signer"),
+    ("error", "reporter"),
+]
+
+
+def q_role_joins_many(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact's real shape: one dimension in five roles, and on any row
+    all role ids but one are NULL (as most player roles of a play are).
+    One bounded check, one broadcast of ``(c_custkey, c_name)``, reused by
+    all five joins; at scale the NULL keys would otherwise pile into one
+    sort-merge task."""
+    dim = load(spark, sf, "customer").where(F.col("c_mktsegment") != "BUILDING")
+    ev = load(spark, sf, "events")
+    e = ev.select(
+        "event_id",
+        *[
+            F.when(F.col("event_type") == t, F.col("user_id")).alias(f"{r}_id")
+            for t, r in EVENT_ROLES
+        ],
+    )
+    return role_join(
+        e, dim, "c_custkey", "c_name", [(f"{r}_id", f"{r}_name") for _, r in EVENT_ROLES]
+    )
+
+
 def q_join_widening(spark: SparkSession, sf: str) -> DataFrame:
     n = (
         load(spark, sf, "nation")
@@ -371,6 +416,7 @@ def q_past_items(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "q_fact_star": q_fact_star,
     "q_role_joins_nullable": q_role_joins_nullable,
+    "q_role_joins_many": q_role_joins_many,
     "q_join_widening": q_join_widening,
     "q_latest_per_key": q_latest_per_key,
     "q_latest_snapshot_global": q_latest_snapshot_global,
@@ -407,6 +453,7 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "q_fact_star": "select l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, cast(o.o_orderdate as date) as order_date, c.c_name as customer_name, s.s_name as supplier_name, cn.n_name as customer_nation, sn.n_name as supplier_nation from lineitem l left join orders o on l.l_orderkey = o.o_orderkey left join customer c on o.o_custkey = c.c_custkey left join supplier s on l.l_suppkey = s.s_suppkey left join nation cn on c.c_nationkey = cn.n_nationkey left join nation sn on s.s_nationkey = sn.n_nationkey",
     "q_role_joins_nullable": "with dim as (select c_custkey, c_name from customer where c_custkey % 3 = 0), e as (select event_id, event_type, case when event_type = 'click' then user_id end as clicker_id, case when event_type = 'purchase' then user_id end as buyer_id from events) select e.event_id, e.event_type, e.clicker_id, e.buyer_id, a.c_name as clicker_name, b.c_name as buyer_name from e left join dim a on e.clicker_id = a.c_custkey left join dim b on e.buyer_id = b.c_custkey",
+    "q_role_joins_many": "with dim as (select c_custkey, c_name from customer where c_mktsegment <> 'BUILDING'), e as (select event_id, case when event_type = 'view' then user_id end as viewer_id, case when event_type = 'click' then user_id end as clicker_id, case when event_type = 'purchase' then user_id end as buyer_id, case when event_type = 'signup' then user_id end as signer_id, case when event_type = 'error' then user_id end as reporter_id from events) select e.*, d1.c_name as viewer_name, d2.c_name as clicker_name, d3.c_name as buyer_name, d4.c_name as signer_name, d5.c_name as reporter_name from e left join dim d1 on e.viewer_id = d1.c_custkey left join dim d2 on e.clicker_id = d2.c_custkey left join dim d3 on e.buyer_id = d3.c_custkey left join dim d4 on e.signer_id = d4.c_custkey left join dim d5 on e.reporter_id = d5.c_custkey",
     "q_join_widening": "select c.c_custkey, n.n_name from customer c left join (select cast(n_nationkey as bigint) as k, n_name from nation where n_regionkey <> 0) n on c.c_nationkey = n.k",
     "q_latest_per_key": "with h as (select user_id, cast(ts as date) as snapshot_date, event_id, event_type from events), s as (select user_id, max(snapshot_date) as latest_date from h group by user_id) select h.* from h inner join s on h.user_id = s.user_id and h.snapshot_date = s.latest_date",
     "q_latest_snapshot_global": "select event_id, user_id, cast(ts as date) as snapshot_date from events where cast(ts as date) = (select max(cast(ts as date)) from events)",
