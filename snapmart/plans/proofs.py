@@ -40,6 +40,7 @@ from ..operators.latest import latest_overall, latest_per_key
 from ..operators.ordering import order_by, top_k
 from ..operators.unnest import unnest, unnest_tagged
 from ..tables import load
+from .quality import DataTest, run_suite
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,6 +103,10 @@ def q_fact_star(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_role_joins_nullable(spark: SparkSession, sf: str) -> DataFrame:
+    """Two roles; NULL role ids and ids with no dimension row keep the row
+    with a NULL name. The driver's keys have no gaps, so the dimension is
+    thinned (every third customer) to make unmatched ids; all events are
+    read."""
     dim = load(spark, sf, "customer").where(F.col("c_custkey") % 3 == 0)
     e = load(spark, sf, "events").select(
         "event_id", "event_type",
@@ -386,6 +391,31 @@ def q_dq_relationships(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# A declared test suite over the driver's tables, run by the same runner as
+# the models' 37 tests.
+DRIVER_SUITE = [
+    DataTest("orders", "o_orderkey", "unique"),
+    DataTest("orders", "o_orderkey", "not_null"),
+    DataTest("orders", "o_custkey", "not_null"),
+    DataTest("orders", "o_orderdate", "not_null"),
+    DataTest("orders", "o_orderstatus", "accepted_values", ("F", "O")),
+    DataTest("orders", "o_orderpriority", "accepted_values", ("1-URGENT", "2-HIGH", "3-MEDIUM")),
+    DataTest("orders", "o_custkey", "relationships", to="customer", field_name="c_custkey"),
+    DataTest("lineitem", "l_orderkey", "unique"),
+    DataTest("lineitem", "l_orderkey", "not_null"),
+    DataTest("lineitem", "l_returnflag", "not_null"),
+    DataTest("lineitem", "l_orderkey", "relationships", to="orders", field_name="o_orderkey"),
+    DataTest("customer", "c_mktsegment", "accepted_values", ("AUTOMOBILE", "BUILDING", "MACHINERY")),
+]
+
+
+def q_dq_suite(spark: SparkSession, sf: str) -> DataFrame:
+    """Q1-Q4 as a suite: one row per declared test with its failure count;
+    the NOT NULL tests of a table share one scan."""
+    tables = {t: load(spark, sf, t) for t in ("orders", "lineitem", "customer")}
+    return run_suite(tables, DRIVER_SUITE)
+
+
 def q_completed_ids(spark: SparkSession, sf: str) -> DataFrame:
     ids = (
         load(spark, sf, "events")
@@ -444,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "q_dq_not_null": q_dq_not_null,
     "q_dq_accepted_values": q_dq_accepted_values,
     "q_dq_relationships": q_dq_relationships,
+    "q_dq_suite": q_dq_suite,
     "q_completed_ids": q_completed_ids,
     "q_pending_ids": q_pending_ids,
     "q_past_items": q_past_items,
@@ -481,6 +512,7 @@ ORACLE_SQL: dict[str, str] = {
     "q_dq_not_null": "select event_id, v from (select event_id, nullif(event_type, 'error') as v from events) where v is null",
     "q_dq_accepted_values": "select o_orderpriority as value_field, count(*) as n_records from orders group by o_orderpriority having o_orderpriority not in ('1-URGENT', '2-HIGH', '3-MEDIUM')",
     "q_dq_relationships": "select o.o_orderkey, o.o_custkey as from_field from orders o left join (select c_custkey from customer where c_mktsegment <> 'MACHINERY') c on o.o_custkey = c.c_custkey where o.o_custkey is not null and c.c_custkey is null",
+    "q_dq_suite": "select 'unique_orders_o_orderkey' as test_id, 'orders' as model, 'o_orderkey' as column_name, 'unique' as test, count(*) as failures from (select o_orderkey from orders where o_orderkey is not null group by o_orderkey having count(*) > 1) union all select 'not_null_orders_o_orderkey' as test_id, 'orders' as model, 'o_orderkey' as column_name, 'not_null' as test, count(*) as failures from orders where o_orderkey is null union all select 'not_null_orders_o_custkey' as test_id, 'orders' as model, 'o_custkey' as column_name, 'not_null' as test, count(*) as failures from orders where o_custkey is null union all select 'not_null_orders_o_orderdate' as test_id, 'orders' as model, 'o_orderdate' as column_name, 'not_null' as test, count(*) as failures from orders where o_orderdate is null union all select 'accepted_values_orders_o_orderstatus' as test_id, 'orders' as model, 'o_orderstatus' as column_name, 'accepted_values' as test, count(*) as failures from (select o_orderstatus as value_field, count(*) as n_records from orders group by o_orderstatus) where value_field not in ('F', 'O') union all select 'accepted_values_orders_o_orderpriority' as test_id, 'orders' as model, 'o_orderpriority' as column_name, 'accepted_values' as test, count(*) as failures from (select o_orderpriority as value_field, count(*) as n_records from orders group by o_orderpriority) where value_field not in ('1-URGENT', '2-HIGH', '3-MEDIUM') union all select 'relationships_orders_o_custkey' as test_id, 'orders' as model, 'o_custkey' as column_name, 'relationships' as test, count(*) as failures from (select c.o_custkey as from_field from orders c left join customer p on c.o_custkey = p.c_custkey where c.o_custkey is not null and p.c_custkey is null) union all select 'unique_lineitem_l_orderkey' as test_id, 'lineitem' as model, 'l_orderkey' as column_name, 'unique' as test, count(*) as failures from (select l_orderkey from lineitem where l_orderkey is not null group by l_orderkey having count(*) > 1) union all select 'not_null_lineitem_l_orderkey' as test_id, 'lineitem' as model, 'l_orderkey' as column_name, 'not_null' as test, count(*) as failures from lineitem where l_orderkey is null union all select 'not_null_lineitem_l_returnflag' as test_id, 'lineitem' as model, 'l_returnflag' as column_name, 'not_null' as test, count(*) as failures from lineitem where l_returnflag is null union all select 'relationships_lineitem_l_orderkey' as test_id, 'lineitem' as model, 'l_orderkey' as column_name, 'relationships' as test, count(*) as failures from (select c.l_orderkey as from_field from lineitem c left join orders p on c.l_orderkey = p.o_orderkey where c.l_orderkey is not null and p.o_orderkey is null) union all select 'accepted_values_customer_c_mktsegment' as test_id, 'customer' as model, 'c_mktsegment' as column_name, 'accepted_values' as test, count(*) as failures from (select c_mktsegment as value_field, count(*) as n_records from customer group by c_mktsegment) where value_field not in ('AUTOMOBILE', 'BUILDING', 'MACHINERY')",
     "q_completed_ids": "select distinct user_id from events where event_type in ('purchase', 'signup') order by user_id",
     "q_pending_ids": "select o.o_orderkey from orders o where o.o_orderstatus = 'F' and not exists (select 1 from lineitem l where l.l_orderkey = o.o_orderkey and l.l_returnflag = 'R')",
     "q_past_items": "select o_orderkey, o_orderdate from orders where o_orderdate < timestamp '1996-01-01' and o_orderstatus in ('F', 'P') order by o_orderdate, o_orderkey",

@@ -48,7 +48,11 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the semantic settings and fill in a checkpoint dir if unset."""
     for k, v in SEMANTIC_CONF.items():
         spark.conf.set(k, v)
-    ensure_checkpoint_dir(spark)
+    try:
+        ensure_checkpoint_dir(spark)
+    except Exception as exc:  # a remote (Connect) session has no SparkContext
+        if "checkpoint" in str(exc):
+            raise
     return spark
 
 
