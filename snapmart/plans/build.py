@@ -76,10 +76,20 @@ def build(
     warehouse: str,
     as_of: dt.date | str | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    pbp_store: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Build every model from the raw store at ``raw_root`` into ``warehouse``."""
-    compact(read_kind(spark, raw_root, "play_by_play"), table_path(warehouse, RAW_PBP))
-    pbp = spark.read.parquet(table_path(warehouse, RAW_PBP))
+    """Build every model from the raw store at ``raw_root`` into ``warehouse``.
+
+    ``pbp_store`` is the Parquet copy of the play-by-play documents kept by
+    :func:`snapmart.streaming.incremental.ingest_new_games`; with it, the
+    JSON tree is not read again (only new files were taken in). Without it,
+    the documents are read once and compacted here.
+    """
+    if pbp_store is None:
+        compact(read_kind(spark, raw_root, "play_by_play"), table_path(warehouse, RAW_PBP))
+        pbp = spark.read.parquet(table_path(warehouse, RAW_PBP))
+    else:
+        pbp = spark.read.parquet(pbp_store)
     write_table(staging.stg_games(pbp), warehouse, "stg_games")
     write_table(staging.stg_plays(pbp), warehouse, "stg_plays")
     write_table(
@@ -102,10 +112,10 @@ def build(
 
 
 def build_and_test(
-    spark: SparkSession, raw_root: str, warehouse: str, as_of=None
+    spark: SparkSession, raw_root: str, warehouse: str, as_of=None, pbp_store: str | None = None
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Build, then run the declared data tests; returns (models, results)."""
-    models = build(spark, raw_root, warehouse, as_of)
+    models = build(spark, raw_root, warehouse, as_of, pbp_store=pbp_store)
     results = run_suite(models)
     write_table(results, warehouse, "_test_results")
     return models, read_table(spark, warehouse, "_test_results")
