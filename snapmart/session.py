@@ -78,6 +78,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES,
+                           minimum: int = 8) -> int:
+    """Initial shuffle partitions for an expected shuffle volume.
+
+    Adaptive execution can merge small partitions but never split a large
+    one (except a skewed join side), so the initial count is sized for the
+    largest shuffle: about 128 MB per partition keeps each reducer's sort
+    and hash tables in executor memory without spilling. 30 TB of shuffle
+    gives about 245,000 partitions; adaptive coalescing merges them back
+    down wherever a stage is smaller.
+    """
+    return max(minimum, -(-int(shuffle_bytes) // int(target_bytes)))
+
+
+def scale_conf(shuffle_bytes: int) -> dict[str, str]:
+    """Settings for a cluster run sized by its largest expected shuffle."""
+    n = shuffle_partitions_for(shuffle_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "snapmart",

@@ -144,3 +144,16 @@ def test_unbounded_dimension_is_not_broadcast_and_skew_is_split(spark):
         assert out.count() == n
         assert out.where("k is null").where("name is not null").count() == 0
         assert out.where("k = 7").where("name = '7'").count() == fact.where("k = 7").count()
+
+
+def test_partition_sizing_and_store_conf():
+    from snapmart.session import scale_conf, shuffle_partitions_for
+    from snapmart.sources.documents import object_store_conf
+
+    assert shuffle_partitions_for(0) == 8
+    assert shuffle_partitions_for(30 * 1024**4) == 30 * 1024**4 // (128 * 1024**2)
+    assert scale_conf(1024**4)["spark.sql.shuffle.partitions"] == "8192"
+    c = object_store_conf("http://store:9000", "k", "s")
+    assert c["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    assert c["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+    assert c["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from snapmart.plans import build as B
 from snapmart.plans import marts, reports, staging
-from snapmart.plans.quality import SUITE, run_suite
+from snapmart.plans.quality import SUITE
 from snapmart.sources.documents import read_kind
 
 from .docs_fixture import write_bad_date_store, write_bad_id_store, write_store
