@@ -29,6 +29,21 @@ def unique_failures(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def unique_combination_failures(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Key combinations seen more than once (rows with a NULL part are
+    ignored): the key columns plus ``n_records``."""
+    columns = list(columns)
+    present = F.lit(True)
+    for c in columns:
+        present = present & F.col(c).isNotNull()
+    return (
+        df.where(present)
+        .groupBy(*columns)
+        .agg(F.count(F.lit(1)).alias("n_records"))
+        .where(F.col("n_records") > 1)
+    )
+
+
 def not_null_failures(df: DataFrame, column: str, keep: Iterable[str] = ()) -> DataFrame:
     """Rows where ``column`` is NULL, with ``keep`` columns for context."""
     keep = [k for k in keep if k != column]

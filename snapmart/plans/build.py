@@ -20,7 +20,7 @@ from ..operators.joins import DEFAULT_BROADCAST_ROWS
 from ..sources.documents import compact, read_kind
 from ..sources.materialize import read_table, register_view, table_path, write_table
 from . import marts, staging
-from .quality import run_suite
+from .quality import invariants, run_suite
 
 RAW_PBP = "_raw_play_by_play"
 
@@ -114,8 +114,13 @@ def build(
 def build_and_test(
     spark: SparkSession, raw_root: str, warehouse: str, as_of=None, pbp_store: str | None = None
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Build, then run the declared data tests; returns (models, results)."""
+    """Build, then run the declared data tests; returns (models, results).
+
+    The fact invariants (unique play keys, fact rows = plays) are written
+    beside the results as ``_invariants``.
+    """
     models = build(spark, raw_root, warehouse, as_of, pbp_store=pbp_store)
     results = run_suite(models)
     write_table(results, warehouse, "_test_results")
+    write_table(invariants(models), warehouse, "_invariants")
     return models, read_table(spark, warehouse, "_test_results")

@@ -17,6 +17,7 @@ from ..operators.checks import (
     accepted_values_failures,
     null_counts,
     relationships_failures,
+    unique_combination_failures,
     unique_failures,
 )
 
@@ -128,3 +129,33 @@ def run_suite(tables: dict[str, DataFrame], suite: list[DataTest] = SUITE) -> Da
             )
         )
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def invariants(tables: dict[str, DataFrame]) -> DataFrame:
+    """Checks the declared tests leave out: one row per check with
+    ``check_name, failures`` (0 = holds).
+
+    * ``(game_id, event_id)`` is unique in ``stg_plays`` and in ``fct_plays``;
+    * ``fct_plays`` has exactly as many rows as ``stg_plays`` (a player
+      listed twice on the latest date multiplies plays; the difference is
+      reported as failures).
+    """
+    key = ["game_id", "event_id"]
+    parts = [
+        unique_combination_failures(tables["stg_plays"], key)
+        .agg(F.count(F.lit(1)).alias("failures"))
+        .select(F.lit("unique_stg_plays_game_event").alias("check_name"), "failures"),
+        unique_combination_failures(tables["fct_plays"], key)
+        .agg(F.count(F.lit(1)).alias("failures"))
+        .select(F.lit("unique_fct_plays_game_event").alias("check_name"), "failures"),
+    ]
+    # +1 per play, -1 per fact row: one partial-aggregated pass over both.
+    signed = tables["stg_plays"].select(F.lit(1).alias("side")).unionByName(
+        tables["fct_plays"].select(F.lit(-1).alias("side"))
+    )
+    parts.append(
+        signed.agg(F.abs(F.sum("side")).cast("bigint").alias("failures")).select(
+            F.lit("fct_rows_equal_plays").alias("check_name"), "failures"
+        )
+    )
+    return reduce(lambda a, b: a.unionByName(b), parts)

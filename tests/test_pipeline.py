@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from snapmart.plans import build as B
 from snapmart.plans import marts, reports, staging
-from snapmart.plans.quality import SUITE
+from snapmart.plans.quality import SUITE, invariants
 from snapmart.sources.documents import read_kind
 
 from .docs_fixture import write_bad_date_store, write_bad_id_store, write_store
@@ -210,3 +210,12 @@ def test_history_is_partitioned_by_date(built):
 def test_views_registered(spark, built):
     assert spark.table("stg_players").count() == 9
     assert spark.table("stg_standings").where(F.col("team_abbrev") == "CCC").count() == 1
+
+
+def test_invariants_show_tied_snapshot(built):
+    _, _, m, _ = built
+    got = {r.check_name: r.failures for r in invariants(m).collect()}
+    # P6 is on two rosters on the latest date (E2): two plays name him, so
+    # two (game, event) keys repeat in the fact and it has 2 extra rows.
+    assert got == {"unique_stg_plays_game_event": 0, "unique_fct_plays_game_event": 2,
+                   "fct_rows_equal_plays": 2}
