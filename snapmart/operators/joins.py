@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
@@ -89,20 +90,32 @@ def role_join(
     roles: list[tuple[str, str]],
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     broadcast: bool | None = None,
+    row_key: list[str] | None = None,
 ) -> DataFrame:
     """One dimension joined in many roles: ``[(fact_id_col, out_name), ...]``.
 
     Each role is a left join; a NULL or unknown id gives a NULL name and the
-    row stays. The dimension is projected to ``(key, value)`` and checked
-    once, so every role has the same build side: below the bound Spark
-    broadcasts it and reuses the broadcast for all roles. ``broadcast``
-    True / False is the answer of a check the caller has already made.
+    row stays; a dimension key held by several rows multiplies the row, as
+    chained SQL left joins do. The dimension is projected to
+    ``(key, value)`` and checked once:
+
+    * within the bound it is broadcast, and that one broadcast is reused by
+      every role (no shuffle of the fact at all);
+    * past it, with a unique ``row_key`` for the fact, the roles are
+      resolved by :func:`role_join_by_pairs` (the fact is shuffled once, not
+      once per role);
+    * past it without a row key, one sort-merge join per role.
+
+    ``broadcast`` True / False is the answer of a check the caller has
+    already made.
     """
     pair = dim.select(F.col(dim_key).alias("__k"), F.col(dim_value).alias("__v"))
-    if broadcast:
+    if broadcast is None:
+        pair, broadcast = broadcast_if_bounded(pair, max_broadcast_rows)
+    elif broadcast:
         pair = F.broadcast(pair)
-    elif broadcast is None:
-        pair, _ = broadcast_if_bounded(pair, max_broadcast_rows)
+    if not broadcast and row_key:
+        return role_join_by_pairs(fact, dim, dim_key, dim_value, roles, row_key)
     out = fact
     for i, (fact_col, out_name) in enumerate(roles):
         k = f"__k{i}"
@@ -111,6 +124,62 @@ def role_join(
     return out
 
 
+def role_join_by_pairs(
+    fact: DataFrame,
+    dim: DataFrame,
+    dim_key: str,
+    dim_value: str,
+    roles: list[tuple[str, str]],
+    row_key: list[str],
+) -> DataFrame:
+    """Many roles against a dimension too big to broadcast, in three joins
+    whatever the number of roles.
+
+    1. The fact's non-NULL role ids become narrow rows
+       ``(row_key, role, id)``; NULL ids never enter a shuffle.
+    2. One join to the dimension on ``id`` (a hot id is split by adaptive
+       skew handling), then the names are gathered per fact row and role:
+       a group holds one fact row's matches, bounded by the number of roles
+       times the copies of a key in the dimension.
+    3. One left join back to the fact on ``row_key``, then one
+       ``explode_outer`` per role: no match gives one row with a NULL name,
+       k copies of a key give k rows, the same rows chained left joins give.
+
+    ``row_key`` must be unique per fact row.
+    """
+    n = len(roles)
+    key_type = dim.schema[dim_key].dataType
+    id_type = "long" if isinstance(key_type, IntegralType) else key_type.simpleString()
+    ids = F.array(*[
+        F.struct(F.lit(i).alias("role"), F.col(c).cast(id_type).alias("id"))
+        for i, (c, _) in enumerate(roles)
+    ])
+    pairs = (
+        fact.select(*row_key, F.explode(ids).alias("p"))
+        .select(*row_key, F.col("p.role").alias("role"), F.col("p.id").alias("id"))
+        .where(F.col("id").isNotNull())
+    )
+    names = dim.select(F.col(dim_key).cast(id_type).alias("id"), F.col(dim_value).alias("name"))
+    matched = pairs.join(names, "id")
+    gathered = (
+        matched.groupBy(*row_key)
+        .pivot("role", list(range(n)))
+        .agg(F.collect_list("name"))
+    )
+    gathered = gathered.select(
+        *[F.col(k).alias(f"__rk{j}") for j, k in enumerate(row_key)],
+        *[F.col(str(i)).alias(f"__names{i}") for i in range(n)],
+    )
+    cond = None
+    for j, k in enumerate(row_key):
+        c = fact[k] == gathered[f"__rk{j}"]
+        cond = c if cond is None else cond & c
+    out = fact.join(gathered, cond, "left")
+    for i, (_, out_name) in enumerate(roles):
+        out = out.withColumn(out_name, F.explode_outer(f"__names{i}"))
+    return out.drop(*[f"__rk{j}" for j in range(len(row_key))], *[f"__names{i}" for i in range(n)])
+
+
 def missing_parents(
     child: DataFrame, child_col: str, parent: DataFrame, parent_col: str
 ) -> DataFrame:

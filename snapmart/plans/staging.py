@@ -180,18 +180,22 @@ def stg_games(pbp_docs: DataFrame) -> DataFrame:
 
 PLAYS_COLUMNS = [
     "game_id", "event_id", "period", "period_type", "time_in_period", "time_remaining",
-    "event_type", "sort_order", "situation_code", "details",
+    "event_type", "sort_order", "situation_code", "details", "play_index",
 ]
 
 
 def stg_plays(pbp_docs: DataFrame) -> DataFrame:
     """One row per play; ``game_id`` from the path, ``details`` as VARIANT.
 
-    A game with an empty or missing ``plays`` list gives no row.
+    A game with an empty or missing ``plays`` list gives no row. Beyond the
+    reference's ten columns, ``play_index`` is the play's position in its
+    document: one document per game id, so ``(game_id, play_index)`` is a
+    unique row key (the fact's role joins use it when the player dimension
+    is too big to broadcast).
     """
     raw = pbp_docs.select(
         path_key(2).cast("int").alias("game_id"),
-        F.explode("plays").alias("play"),
+        F.posexplode("plays").alias("play_index", "play"),
     )
     return raw.select(
         "game_id",
@@ -204,6 +208,7 @@ def stg_plays(pbp_docs: DataFrame) -> DataFrame:
         F.col("play.sortOrder").cast("int").alias("sort_order"),
         F.col("play.situationCode").alias("situation_code"),
         F.col("play.details").alias("details"),
+        "play_index",
     )
 
 

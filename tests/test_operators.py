@@ -157,3 +157,48 @@ def test_partition_sizing_and_store_conf():
     assert c["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert c["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
     assert c["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
+
+
+def _canon(rows):
+    return sorted(tuple(rows), key=lambda t: tuple("" if x is None else str(x) for x in t))
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_role_join_by_pairs_equals_chained_left_joins(spark, seed):
+    from snapmart.operators.joins import role_join_by_pairs
+
+    rng = random.Random(seed)
+    dim_rows = [(k, f"n{k}") for k in range(1, 30)] + [(3, "n3b"), (7, "n7b"), (7, "n7c")]
+    fact_rows = [
+        (i, rng.choice([None, None, 1, 3, 7, 50]), rng.choice([None, 2, 3, 7]), rng.choice([None, 7, 99]))
+        for i in range(300)
+    ]
+    dim = spark.createDataFrame(dim_rows, "pid int, name string")
+    fact = spark.createDataFrame(fact_rows, "rk int, a int, b int, c int")
+    roles = [("a", "a_name"), ("b", "b_name"), ("c", "c_name")]
+    out = role_join_by_pairs(fact, dim, "pid", "name", roles, ["rk"])
+    got = [tuple(r) for r in out.select("rk", "a", "b", "c", "a_name", "b_name", "c_name").collect()]
+    names = {}
+    for k, v in dim_rows:
+        names.setdefault(k, []).append(v)
+
+    def matches(x):
+        return names.get(x, [None]) if x is not None else [None]
+
+    want = [
+        (rk, a, b, c, an, bn, cn)
+        for rk, a, b, c in fact_rows
+        for an in matches(a) for bn in matches(b) for cn in matches(c)
+    ]
+    assert _canon(got) == _canon(want)
+
+
+def test_role_join_picks_pairs_past_the_bound(spark):
+    dim = spark.createDataFrame([(1, "x"), (2, "y")], "pid int, name string")
+    fact = spark.createDataFrame([(10, 1, None), (11, None, 2)], "rk int, a int, b int")
+    out = role_join(fact, dim, "pid", "name", [("a", "a_name"), ("b", "b_name")],
+                    max_broadcast_rows=1, row_key=["rk"])
+    plan = final_plan(out)
+    assert "collect_list" in plan
+    got = [tuple(r) for r in out.select("rk", "a_name", "b_name").collect()]
+    assert _canon(got) == _canon([(10, "x", None), (11, None, "y")])
