@@ -90,7 +90,6 @@ def role_join(
     roles: list[tuple[str, str]],
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     broadcast: bool | None = None,
-    row_key: list[str] | None = None,
 ) -> DataFrame:
     """One dimension joined in many roles: ``[(fact_id_col, out_name), ...]``.
 
@@ -101,10 +100,9 @@ def role_join(
 
     * within the bound it is broadcast, and that one broadcast is reused by
       every role (no shuffle of the fact at all);
-    * past it, with a unique ``row_key`` for the fact, the roles are
-      resolved by :func:`role_join_by_pairs` (the fact is shuffled once, not
-      once per role);
-    * past it without a row key, one sort-merge join per role.
+    * past it, several roles are resolved together by
+      :func:`role_join_by_id_sets`, which shuffles the fact once instead of
+      once per role; a single role is one sort-merge join.
 
     ``broadcast`` True / False is the answer of a check the caller has
     already made.
@@ -114,8 +112,8 @@ def role_join(
         pair, broadcast = broadcast_if_bounded(pair, max_broadcast_rows)
     elif broadcast:
         pair = F.broadcast(pair)
-    if not broadcast and row_key:
-        return role_join_by_pairs(fact, dim, dim_key, dim_value, roles, row_key)
+    if not broadcast and len(roles) > 1:
+        return role_join_by_id_sets(fact, dim, dim_key, dim_value, roles)
     out = fact
     for i, (fact_col, out_name) in enumerate(roles):
         k = f"__k{i}"
@@ -124,60 +122,64 @@ def role_join(
     return out
 
 
-def role_join_by_pairs(
+def role_join_by_id_sets(
     fact: DataFrame,
     dim: DataFrame,
     dim_key: str,
     dim_value: str,
     roles: list[tuple[str, str]],
-    row_key: list[str],
 ) -> DataFrame:
-    """Many roles against a dimension too big to broadcast, in three joins
-    whatever the number of roles.
-
-    1. The fact's non-NULL role ids become narrow rows
-       ``(row_key, role, id)``; NULL ids never enter a shuffle.
-    2. One join to the dimension on ``id`` (a hot id is split by adaptive
-       skew handling), then the names are gathered per fact row and role:
-       a group holds one fact row's matches, bounded by the number of roles
-       times the copies of a key in the dimension.
-    3. One left join back to the fact on ``row_key``, then one
-       ``explode_outer`` per role: no match gives one row with a NULL name,
-       k copies of a key give k rows, the same rows chained left joins give.
-
-    ``row_key`` must be unique per fact row.
+    """Many roles against a dimension too big to broadcast, with one shuffle
+    of the fact whatever the number of roles.
+
+    The names of a fact row depend only on its tuple of role ids, so the
+    work is done once per distinct tuple:
+
+    1. Distinct id tuples of the fact: a partial aggregate, so the common
+       tuples (most ids NULL) are collapsed inside each map task.
+    2. The non-NULL ids of each tuple, one narrow row per (tuple, role),
+       joined once to the dimension; NULL ids never reach that join. The
+       names are gathered per tuple and role: a group holds one tuple's
+       matches, at most one per copy of a key in the dimension.
+    3. The fact joins the gathered names back on its tuple (NULL-safe
+       equality), then one ``explode_outer`` per role: no match gives one
+       row with a NULL name and k copies of a key give k rows, the rows
+       chained left joins give. The all-NULL tuple is a hot join key;
+       adaptive skew handling splits it over many tasks.
+
+    No row key is needed: fact rows with the same tuple get the same names.
     """
     n = len(roles)
     key_type = dim.schema[dim_key].dataType
     id_type = "long" if isinstance(key_type, IntegralType) else key_type.simpleString()
+    tcols = [f"__id{i}" for i in range(n)]
+    tuples = fact.select(
+        *[F.col(c).cast(id_type).alias(t) for (c, _), t in zip(roles, tcols)]
+    ).distinct()
     ids = F.array(*[
-        F.struct(F.lit(i).alias("role"), F.col(c).cast(id_type).alias("id"))
-        for i, (c, _) in enumerate(roles)
+        F.struct(F.lit(i).alias("role"), F.col(t).alias("id")) for i, t in enumerate(tcols)
     ])
     pairs = (
-        fact.select(*row_key, F.explode(ids).alias("p"))
-        .select(*row_key, F.col("p.role").alias("role"), F.col("p.id").alias("id"))
+        tuples.select(*tcols, F.explode(ids).alias("p"))
+        .select(*tcols, F.col("p.role").alias("role"), F.col("p.id").alias("id"))
         .where(F.col("id").isNotNull())
     )
     names = dim.select(F.col(dim_key).cast(id_type).alias("id"), F.col(dim_value).alias("name"))
-    matched = pairs.join(names, "id")
     gathered = (
-        matched.groupBy(*row_key)
+        pairs.join(names, "id")
+        .groupBy(*tcols)
         .pivot("role", list(range(n)))
         .agg(F.collect_list("name"))
     )
-    gathered = gathered.select(
-        *[F.col(k).alias(f"__rk{j}") for j, k in enumerate(row_key)],
-        *[F.col(str(i)).alias(f"__names{i}") for i in range(n)],
-    )
+    gathered = gathered.select(*tcols, *[F.col(str(i)).alias(f"__names{i}") for i in range(n)])
     cond = None
-    for j, k in enumerate(row_key):
-        c = fact[k] == gathered[f"__rk{j}"]
-        cond = c if cond is None else cond & c
+    for (c, _), t in zip(roles, tcols):
+        e = fact[c].cast(id_type).eqNullSafe(gathered[t])
+        cond = e if cond is None else cond & e
     out = fact.join(gathered, cond, "left")
     for i, (_, out_name) in enumerate(roles):
         out = out.withColumn(out_name, F.explode_outer(f"__names{i}"))
-    return out.drop(*[f"__rk{j}" for j in range(len(row_key))], *[f"__names{i}" for i in range(n)])
+    return out.drop(*tcols, *[f"__names{i}" for i in range(n)])
 
 
 def missing_parents(

@@ -139,21 +139,19 @@ def fct_plays(
       NULL.
     * names: :func:`role_join`, one ``(player_id, full_name)`` build side for
       all 12 roles when the dimension is within the bound; past it, the
-      roles are resolved as pairs keyed by ``(game_id, play_index)`` so the
-      fact is shuffled once, not twelve times. A player listed twice on the
+      roles are resolved once per distinct tuple of role ids, so the fact
+      is shuffled once, not twelve times. A player listed twice on the
       latest date multiplies the play rows, exactly as the reference's
       joins do; the ``unique`` test on ``stg_players`` reports it.
     """
     plays = stg_plays.select(
-        "game_id", "play_index", "event_id", "event_type", "sort_order",
+        "game_id", "event_id", "event_type", "sort_order",
         "period", "period_type", "time_in_period", "time_remaining", "situation_code",
         *[J.get_typed(F.col("details"), t, key).alias(name) for key, name, t in DETAIL_FIELDS],
     )
-    # Roles first, on the plays, where (game_id, play_index) is unique; the
-    # game lookup after it may repeat a play if a game id repeats.
     named = role_join(
         plays, dim_players, "player_id", "full_name", PLAYER_ROLES,
-        max_broadcast_rows=max_broadcast_rows, row_key=["game_id", "play_index"],
+        max_broadcast_rows=max_broadcast_rows,
     )
     named = left_lookup(
         named, stg_games, "game_id", "game_id", GAME_CONTEXT,

@@ -135,7 +135,6 @@ def invariants(tables: dict[str, DataFrame]) -> DataFrame:
     """Checks the declared tests leave out: one row per check with
     ``check_name, failures`` (0 = holds).
 
-    * ``(game_id, play_index)``, the row key of the role joins, is unique;
     * ``(game_id, event_id)`` is unique in ``stg_plays`` and in ``fct_plays``;
     * ``fct_plays`` has exactly as many rows as ``stg_plays`` (a player
       listed twice on the latest date multiplies plays; the difference is
@@ -143,9 +142,6 @@ def invariants(tables: dict[str, DataFrame]) -> DataFrame:
     """
     key = ["game_id", "event_id"]
     parts = [
-        unique_combination_failures(tables["stg_plays"], ["game_id", "play_index"])
-        .agg(F.count(F.lit(1)).alias("failures"))
-        .select(F.lit("unique_stg_plays_row_key").alias("check_name"), "failures"),
         unique_combination_failures(tables["stg_plays"], key)
         .agg(F.count(F.lit(1)).alias("failures"))
         .select(F.lit("unique_stg_plays_game_event").alias("check_name"), "failures"),

@@ -164,8 +164,8 @@ def _canon(rows):
 
 
 @pytest.mark.parametrize("seed", [5, 6])
-def test_role_join_by_pairs_equals_chained_left_joins(spark, seed):
-    from snapmart.operators.joins import role_join_by_pairs
+def test_role_join_by_id_sets_equals_chained_left_joins(spark, seed):
+    from snapmart.operators.joins import role_join_by_id_sets
 
     rng = random.Random(seed)
     dim_rows = [(k, f"n{k}") for k in range(1, 30)] + [(3, "n3b"), (7, "n7b"), (7, "n7c")]
@@ -176,7 +176,7 @@ def test_role_join_by_pairs_equals_chained_left_joins(spark, seed):
     dim = spark.createDataFrame(dim_rows, "pid int, name string")
     fact = spark.createDataFrame(fact_rows, "rk int, a int, b int, c int")
     roles = [("a", "a_name"), ("b", "b_name"), ("c", "c_name")]
-    out = role_join_by_pairs(fact, dim, "pid", "name", roles, ["rk"])
+    out = role_join_by_id_sets(fact, dim, "pid", "name", roles)
     got = [tuple(r) for r in out.select("rk", "a", "b", "c", "a_name", "b_name", "c_name").collect()]
     names = {}
     for k, v in dim_rows:
@@ -193,12 +193,13 @@ def test_role_join_by_pairs_equals_chained_left_joins(spark, seed):
     assert _canon(got) == _canon(want)
 
 
-def test_role_join_picks_pairs_past_the_bound(spark):
+def test_role_join_picks_id_sets_past_the_bound(spark):
     dim = spark.createDataFrame([(1, "x"), (2, "y")], "pid int, name string")
-    fact = spark.createDataFrame([(10, 1, None), (11, None, 2)], "rk int, a int, b int")
+    fact = spark.createDataFrame([(10, 1, None), (11, None, 2), (12, None, None), (13, 1, None)],
+                                 "rk int, a int, b int")
     out = role_join(fact, dim, "pid", "name", [("a", "a_name"), ("b", "b_name")],
-                    max_broadcast_rows=1, row_key=["rk"])
+                    max_broadcast_rows=1)
     plan = final_plan(out)
     assert "collect_list" in plan
     got = [tuple(r) for r in out.select("rk", "a_name", "b_name").collect()]
-    assert _canon(got) == _canon([(10, "x", None), (11, None, "y")])
+    assert _canon(got) == _canon([(10, "x", None), (11, None, "y"), (12, None, None), (13, "x", None)])
