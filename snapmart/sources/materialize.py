@@ -26,10 +26,16 @@ def write_table(
 ) -> str:
     """``materialized='table'``: overwrite the table with ``df``.
 
+    A partitioned table is written after a ``rebalance`` on its partition
+    columns: each task then writes few partition folders, so the table is
+    not cut into tasks x partitions small files, and adaptive execution
+    splits a partition value holding much of the data over several tasks.
     ``sort_within`` sorts rows inside each file (no global sort), which
     tightens Parquet min/max statistics for filters on those columns.
     """
     path = table_path(warehouse, name)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     w = df.write.mode("overwrite")
