@@ -17,6 +17,7 @@ from ..functions import json as J
 from ..functions.scalar import height_display, position_group, year_crossings
 from ..operators.joins import DEFAULT_BROADCAST_ROWS, left_lookup, role_join
 
+# Output columns of the team dimension, in order.
 DIM_TEAMS_COLUMNS = [
     "team_abbrev", "team_name", "team_common_name", "conference_name",
     "conference_abbrev", "division_name", "division_abbrev", "team_logo_url",
@@ -27,6 +28,7 @@ def dim_teams(stg_standings: DataFrame) -> DataFrame:
     return stg_standings.select(*DIM_TEAMS_COLUMNS)
 
 
+# Player dimension columns taken over from the current view.
 DIM_PLAYERS_BASE = [
     "player_id", "team_abbrev", "full_name", "first_name", "last_name", "position_code",
     "player_group", "sweater_number", "shoots_catches", "height_inches", "weight_pounds",
@@ -105,6 +107,7 @@ PLAYER_ROLES = [
     ("player_id", "player_name"),
 ]
 
+# Game column -> fact column.
 GAME_CONTEXT = {
     "game_date": "game_date",
     "season": "season",

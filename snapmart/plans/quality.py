@@ -53,6 +53,7 @@ def _nn(model, *cols):
     return [DataTest(model, c, "not_null") for c in cols]
 
 
+# The declared tests, model by model.
 SUITE: list[DataTest] = [
     DataTest("stg_games", "game_id", "unique"),
     *_nn("stg_games", "game_id", "game_date", "game_state"),

@@ -21,6 +21,7 @@ from ..operators.latest import latest_per_key
 from ..operators.unnest import unnest_tagged
 from ..sources.documents import path_key
 
+# Output column, source field in the standings entry, cast.
 STANDINGS_COLUMNS = [
     ("team_abbrev", "teamAbbrev.default", None),
     ("season_id", "seasonId", "int"),
@@ -83,6 +84,7 @@ STANDINGS_HISTORY_COLUMNS = ["team_abbrev", "snapshot_date"] + [n for n, _, _ in
 # Position list -> player group tag.
 PLAYER_GROUPS = [("forward", "forwards"), ("defenseman", "defensemen"), ("goalie", "goalies")]
 
+# Output columns of the player history, in order.
 PLAYERS_HISTORY_COLUMNS = [
     "player_id", "team_abbrev", "snapshot_date", "player_group", "first_name", "last_name",
     "full_name", "sweater_number", "position_code", "shoots_catches", "height_inches",
@@ -130,6 +132,7 @@ def stg_players_history(roster_docs: DataFrame) -> DataFrame:
     )
 
 
+# Output columns of the games table, in order.
 GAMES_COLUMNS = [
     "game_id", "season", "game_type", "game_date", "start_time_utc", "game_state",
     "game_schedule_state", "venue", "venue_location", "away_team_id", "away_team_abbrev",
@@ -178,6 +181,7 @@ def stg_games(pbp_docs: DataFrame) -> DataFrame:
     )
 
 
+# Output columns of the plays table, in order.
 PLAYS_COLUMNS = [
     "game_id", "event_id", "period", "period_type", "time_in_period", "time_remaining",
     "event_type", "sort_order", "situation_code", "details",
