@@ -55,40 +55,48 @@ def q_fact_star(spark: SparkSession, sf: str) -> DataFrame:
     biggest table is shuffled only for the joins on its own keys, and the
     customer shuffle moves orders, not line items.
 
-    Nation, customer and supplier are dimensions: one Spark job counts each
-    up to the bound, and those within it are broadcast; the others are
-    sort-merge joined. The orders join is left to Catalyst and adaptive
-    execution (a sort-merge join at scale, where both sides are large).
+    One Spark job counts every build side exactly (nation; customer and
+    supplier with their nation names; orders with its customer). Those
+    within the bound are broadcast and the others are sort-merge joined.
+    At sf0.1 nothing but line items is scanned for the big join; at scale,
+    orders and customers are past the bound, and the plan is two
+    sort-merge joins of line items, the second on its own supplier key.
     """
     nation = load(spark, sf, "nation").select("n_nationkey", "n_name")
     customer = load(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     supplier = load(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    # Count the actual build sides (with their nation names) in one job.
+    # Count the actual build sides in one job: nation, customer and
+    # supplier with their nation names, and orders with its customer.
     roles_c = [("c_nationkey", "customer_nation")]
     roles_s = [("s_nationkey", "supplier_nation")]
-    n_small, c_small, s_small = bounded_flags(
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    cust_values = {"c_name": "customer_name", "customer_nation": "customer_nation"}
+
+    def customers(small_nation):
+        return role_join(customer, nation, "n_nationkey", "n_name", roles_c, broadcast=small_nation)
+
+    def orders_side(small_nation, small_cust):
+        return left_lookup(orders, customers(small_nation), "o_custkey", "c_custkey",
+                           cust_values, broadcast=small_cust)
+
+    n_small, c_small, s_small, o_small = bounded_flags(
         [
             nation,
-            role_join(customer, nation, "n_nationkey", "n_name", roles_c, broadcast=False),
+            customers(False),
             role_join(supplier, nation, "n_nationkey", "n_name", roles_s, broadcast=False),
+            orders_side(False, False),
         ],
         DEFAULT_BROADCAST_ROWS,
     )
-    cust = role_join(customer, nation, "n_nationkey", "n_name", roles_c, broadcast=n_small)
     supp = role_join(supplier, nation, "n_nationkey", "n_name", roles_s, broadcast=n_small)
-    orders = left_lookup(
-        load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
-        cust, "o_custkey", "c_custkey",
-        {"c_name": "customer_name", "customer_nation": "customer_nation"},
-        broadcast=c_small,
-    )
     line = load(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"
     )
     f = left_lookup(
-        line, orders, "l_orderkey", "o_orderkey",
+        line, orders_side(n_small, c_small), "l_orderkey", "o_orderkey",
         {"o_orderdate": "__orderdate", "customer_name": "customer_name",
          "customer_nation": "customer_nation"},
+        broadcast=o_small,
     )
     f = left_lookup(
         f, supp, "l_suppkey", "s_suppkey",
