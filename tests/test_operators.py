@@ -203,3 +203,35 @@ def test_role_join_picks_id_sets_past_the_bound(spark):
     assert "collect_list" in plan
     got = [tuple(r) for r in out.select("rk", "a_name", "b_name").collect()]
     assert _canon(got) == _canon([(10, "x", None), (11, None, "y"), (12, None, None), (13, "x", None)])
+
+
+def test_latest_per_key_splits_a_hot_key(spark):
+    n = 60000
+    # A third of all rows belong to key 0, all on its latest date (ties).
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 4000).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(50)).otherwise(F.col("id") % 50).alias("d"),
+        F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+    )
+    with conf(
+        spark,
+        **{
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16",
+        },
+    ):
+        out = latest_per_key(df, "k", "d")
+        plan = final_plan(out)
+        assert "SortMergeJoin(skew=true)" in plan and "LeftSemi" in plan
+        assert "Window" not in plan
+        rows = [(r.k, r.d) for r in df.select("k", "d").collect()]
+        best = {}
+        for k, d in rows:
+            best[k] = max(best.get(k, d), d)
+        assert out.count() == sum(1 for k, d in rows if best[k] == d)
+        assert out.where("k = 0").count() == n // 3
