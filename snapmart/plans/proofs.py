@@ -40,6 +40,7 @@ from ..operators.latest import latest_overall, latest_per_key
 from ..operators.ordering import order_by, top_k
 from ..operators.unnest import unnest, unnest_tagged
 from ..tables import load
+from . import reports
 from .quality import DataTest, run_suite
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -470,6 +471,59 @@ def q_past_items(spark: SparkSession, sf: str) -> DataFrame:
     return order_by(o.select("o_orderkey", "o_orderdate"), "o_orderdate", "o_orderkey")
 
 
+# The reports (B1-B11) run unchanged on stand-ins with the models' column
+# names: orders as games, events as plays and as roster history.
+
+def _games_from_orders(spark: SparkSession, sf: str) -> DataFrame:
+    status = F.col("o_orderstatus")
+    return load(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("game_id"),
+        X.as_date("o_orderdate").alias("game_date"),
+        F.col("o_orderpriority").alias("away_team_abbrev"),
+        X.int_half_even(F.col("o_totalprice") / F.lit(100000)).alias("away_score"),
+        F.dayofweek("o_orderdate").alias("home_score"),
+        F.col("o_orderstatus").alias("home_team_abbrev"),
+        F.when(status == "F", "REG").when(status == "O", "OT").when(status == "P", "SO")
+        .alias("last_period_type"),
+        F.col("o_orderstatus").alias("game_state"),
+    )
+
+
+def _plays_from_events(spark: SparkSession, sf: str) -> DataFrame:
+    u = F.col("user_id") % 3
+    return load(spark, sf, "events").select(
+        "event_type",
+        F.when(u == 1, 1).when(u == 2, 2).otherwise(3).alias("period"),
+    )
+
+
+def q_report_newest_games(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.newest_games(_games_from_orders(spark, sf))
+
+
+def q_report_game_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.game_summary(_games_from_orders(spark, sf))
+
+
+def q_report_event_types(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.event_type_breakdown(_plays_from_events(spark, sf))
+
+
+def q_report_snapshot_summary(spark: SparkSession, sf: str) -> DataFrame:
+    history = load(spark, sf, "events").select(
+        X.as_date("ts").alias("snapshot_date"), F.col("event_type").alias("team_abbrev")
+    )
+    return reports.snapshot_summary(history)
+
+
+def q_report_fact_breakdown(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.fact_breakdown(_plays_from_events(spark, sf))
+
+
+def q_report_unknown_types(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.unknown_event_types(_plays_from_events(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "q_fact_star": q_fact_star,
     "q_role_joins_nullable": q_role_joins_nullable,
@@ -506,6 +560,12 @@ QUERIES: dict[str, Query] = {
     "q_completed_ids": q_completed_ids,
     "q_pending_ids": q_pending_ids,
     "q_past_items": q_past_items,
+    "q_report_newest_games": q_report_newest_games,
+    "q_report_game_summary": q_report_game_summary,
+    "q_report_event_types": q_report_event_types,
+    "q_report_snapshot_summary": q_report_snapshot_summary,
+    "q_report_fact_breakdown": q_report_fact_breakdown,
+    "q_report_unknown_types": q_report_unknown_types,
 }
 
 
@@ -546,3 +606,11 @@ ORACLE_SQL: dict[str, str] = {
     "q_past_items": "select o_orderkey, o_orderdate from orders where o_orderdate < timestamp '1996-01-01' and o_orderstatus in ('F', 'P') order by o_orderdate, o_orderkey",
 }
 ORACLE_SQL["q_role_joins_past_bound"] = ORACLE_SQL["q_role_joins_many"]
+ORACLE_SQL.update({
+    "q_report_newest_games": "select o_orderkey as game_id, cast(o_orderdate as date) as game_date, o_orderpriority as away_team_abbrev, cast(o_totalprice / 100000 as integer) as away_score, cast(dayofweek(o_orderdate) + 1 as integer) as home_score, o_orderstatus as home_team_abbrev, case o_orderstatus when 'F' then 'REG' when 'O' then 'OT' when 'P' then 'SO' end as last_period_type, o_orderstatus as game_state from orders order by game_date desc, game_id limit 10",
+    "q_report_game_summary": "select count(*) as total_games, min(cast(o_orderdate as date)) as earliest_game, max(cast(o_orderdate as date)) as latest_game, count(*) filter (where o_orderstatus = 'F') as reg, count(*) filter (where o_orderstatus = 'O') as ot, count(*) filter (where o_orderstatus = 'P') as so from orders",
+    "q_report_event_types": "select event_type, count(*) as total_events, count(*) filter (where user_id % 3 = 1) as p1, count(*) filter (where user_id % 3 = 2) as p2, count(*) filter (where user_id % 3 = 0) as p3 from events group by event_type order by total_events desc, event_type",
+    "q_report_snapshot_summary": "select cast(ts as date) as snapshot_date, event_type as team_abbrev, count(*) as player_count from events group by 1, 2 order by snapshot_date desc, team_abbrev limit 20",
+    "q_report_fact_breakdown": "select event_type, count(*) as total from events group by event_type order by total desc, event_type",
+    "q_report_unknown_types": "select distinct event_type from events where event_type not in ('goal', 'shot-on-goal', 'missed-shot', 'blocked-shot', 'hit', 'faceoff', 'giveaway', 'takeaway', 'penalty', 'stoppage', 'period-start', 'period-end', 'game-end', 'delayed-penalty')",
+})
