@@ -138,8 +138,9 @@ def fct_plays(
     * games: left join on ``game_id`` (INTEGER from the path against the
       document's BIGINT id; Spark widens). Broadcast after a bounded count,
       else a sort-merge join.
-    * details: 26 typed reads of the VARIANT; absent keys and JSON nulls are
-      NULL.
+    * details: the 26 typed values are read from the VARIANT in one pass
+      (:func:`snapmart.functions.json.get_fields`); absent keys and JSON
+      nulls are NULL.
     * names: :func:`role_join`, one ``(player_id, full_name)`` build side for
       all 12 roles when the dimension is within the bound; past it, the
       roles are resolved once per distinct tuple of role ids, so the fact
@@ -150,7 +151,11 @@ def fct_plays(
     plays = stg_plays.select(
         "game_id", "event_id", "event_type", "sort_order",
         "period", "period_type", "time_in_period", "time_remaining", "situation_code",
-        *[J.get_typed(F.col("details"), t, key).alias(name) for key, name, t in DETAIL_FIELDS],
+        J.get_fields(F.col("details"), [(key, t) for key, _, t in DETAIL_FIELDS]).alias("__d"),
+    ).select(
+        "game_id", "event_id", "event_type", "sort_order",
+        "period", "period_type", "time_in_period", "time_remaining", "situation_code",
+        *[F.col("__d")[key].alias(name) for key, name, _ in DETAIL_FIELDS],
     )
     named = role_join(
         plays, dim_players, "player_id", "full_name", PLAYER_ROLES,

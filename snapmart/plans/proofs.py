@@ -40,7 +40,7 @@ from ..operators.latest import latest_overall, latest_per_key
 from ..operators.ordering import order_by, top_k
 from ..operators.unnest import unnest, unnest_tagged
 from ..tables import load
-from . import reports
+from . import marts, reports, staging
 from .quality import DataTest, run_suite
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -524,6 +524,122 @@ def q_report_unknown_types(spark: SparkSession, sf: str) -> DataFrame:
     return reports.unknown_event_types(_plays_from_events(spark, sf))
 
 
+# The mart models run unchanged on stand-ins with the staged columns.
+# Market segment -> position code of the stand-in players.
+SEGMENT_POSITION = [
+    ("AUTOMOBILE", "C"), ("BUILDING", "L"), ("FURNITURE", "R"),
+    ("HOUSEHOLD", "G"), ("MACHINERY", "D"),
+]
+
+
+def _player_history(spark: SparkSession, sf: str) -> DataFrame:
+    """stg_players_history-shaped: one row per order, the customer as the
+    player, the order priority as the team, the order date as snapshot.
+    A customer with two orders of different priority on its latest date is
+    a tie, kept by the current view as in the reference."""
+    seg = F.col("c_mktsegment")
+    pos = None
+    for segment, code in SEGMENT_POSITION:
+        pos = (F.when(seg == segment, code) if pos is None else pos.when(seg == segment, code))
+    pos = F.when(F.col("c_acctbal") >= 0, pos)          # negative balance: no position
+    group = (
+        F.when(pos == "G", "goalie").when(pos == "D", "defenseman").otherwise("forward")
+    )
+    o = load(spark, sf, "orders").select("o_custkey", "o_orderpriority", "o_orderdate")
+    c = load(spark, sf, "customer")
+    h = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
+    return h.select(
+        F.col("c_custkey").alias("player_id"),
+        F.col("o_orderpriority").alias("team_abbrev"),
+        X.as_date("o_orderdate").alias("snapshot_date"),
+        group.alias("player_group"),
+        F.col("c_name").alias("first_name"),
+        seg.alias("last_name"),
+        X.concat_strict("c_name", F.lit(" "), seg).alias("full_name"),
+        F.col("c_nationkey").alias("sweater_number"),
+        pos.alias("position_code"),
+        F.lit("L").alias("shoots_catches"),
+        (F.lit(60) + F.col("c_nationkey")).alias("height_inches"),
+        (F.lit(150) + F.col("c_nationkey")).alias("weight_pounds"),
+        F.date_add(F.lit("1985-12-31").cast("date"), F.col("c_nationkey")).alias("birth_date"),
+        seg.alias("birth_city"),
+        X.text(F.col("c_nationkey")).alias("birth_country"),
+        F.concat(F.lit("https://img/"), X.text(F.col("c_custkey"))).alias("headshot_url"),
+    )
+
+
+def q_model_dim_players(spark: SparkSession, sf: str) -> DataFrame:
+    """M2 + M7: the current view (latest per player, ties kept) and the
+    player dimension with age, position group and height display."""
+    return marts.dim_players(staging.stg_players(_player_history(spark, sf)), AS_OF)
+
+
+def _plays_from_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    """stg_plays-shaped: one play per line item; ``details`` is a VARIANT
+    object built from the row (keys of roles the event does not have hold
+    JSON null, which reads as NULL like an absent key)."""
+    li = load(spark, sf, "lineitem")
+    rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
+    goal, hit = rf == "R", rf == "A"
+    faceoff = (rf == "N") & (ls == "O")
+    penalty = (rf == "N") & (ls != "O")
+    event = F.when(goal, "goal").when(hit, "hit").when(faceoff, "faceoff").otherwise("penalty")
+    sk, pk, ln = F.col("l_suppkey"), F.col("l_partkey"), F.col("l_linenumber")
+    details = F.to_variant_object(F.struct(
+        F.when(ls == "O", 1).otherwise(2).alias("eventOwnerTeamId"),
+        X.int_half_even("l_quantity").alias("xCoord"),
+        ln.alias("yCoord"),
+        F.when(ls == "O", "O").otherwise("D").alias("zoneCode"),
+        F.when(goal, "wrist").alias("shotType"),
+        F.when(goal, sk).alias("scoringPlayerId"),
+        F.when(goal, pk).alias("assist1PlayerId"),
+        F.when(goal, ln).alias("assist2PlayerId"),
+        F.when(goal, F.lit(0)).alias("awayScore"),
+        F.when(goal, ln).alias("homeScore"),
+        F.when(goal, ln).alias("goalieInNetId"),
+        F.when(goal, F.concat(F.lit("https://clip/"), X.text(F.col("l_orderkey")))).alias("highlightClipSharingUrl"),
+        F.when(goal, sk).alias("shootingPlayerId"),
+        F.when(penalty, ln).alias("blockingPlayerId"),
+        F.when(faceoff, sk).alias("winningPlayerId"),
+        F.when(faceoff, pk).alias("losingPlayerId"),
+        F.when(hit, sk).alias("hittingPlayerId"),
+        F.when(hit, ln).alias("hitteePlayerId"),
+        F.when(penalty, sk).alias("committedByPlayerId"),
+        F.when(penalty, pk).alias("drawnByPlayerId"),
+        F.when(penalty, "tripping").alias("descKey"),
+        F.when(penalty, F.lit(2)).alias("duration"),
+        F.when(hit, pk).alias("playerId"),
+    ))
+    d = F.col("l_discount")
+    return li.select(
+        F.col("l_orderkey").alias("game_id"),
+        ln.alias("event_id"),
+        F.when(d < 0.03, 1).when(d < 0.07, 2).otherwise(3).alias("period"),
+        F.lit("REG").alias("period_type"),
+        F.lit("10:00").alias("time_in_period"),
+        F.lit("10:00").alias("time_remaining"),
+        event.alias("event_type"),
+        (ln * F.lit(10)).alias("sort_order"),
+        F.lit("1551").alias("situation_code"),
+        details.alias("details"),
+    )
+
+
+def q_model_fct_plays(spark: SparkSession, sf: str) -> DataFrame:
+    """M8: the 54-column fact. Line items as plays, orders as games, and
+    suppliers as the player dimension in all 12 roles (part keys mostly
+    find no supplier: the id stays, the name is NULL)."""
+    games = _games_from_orders(spark, sf).select(
+        "game_id", "game_date",
+        F.year("game_date").cast("bigint").alias("season"),
+        "home_team_abbrev", "away_team_abbrev", "home_score", "away_score", "last_period_type",
+    )
+    players = load(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("int").alias("player_id"), F.col("s_name").alias("full_name")
+    )
+    return marts.fct_plays(_plays_from_lineitem(spark, sf), games, players)
+
+
 QUERIES: dict[str, Query] = {
     "q_fact_star": q_fact_star,
     "q_role_joins_nullable": q_role_joins_nullable,
@@ -566,6 +682,8 @@ QUERIES: dict[str, Query] = {
     "q_report_snapshot_summary": q_report_snapshot_summary,
     "q_report_fact_breakdown": q_report_fact_breakdown,
     "q_report_unknown_types": q_report_unknown_types,
+    "q_model_dim_players": q_model_dim_players,
+    "q_model_fct_plays": q_model_fct_plays,
 }
 
 
@@ -614,3 +732,8 @@ ORACLE_SQL.update({
     "q_report_fact_breakdown": "select event_type, count(*) as total from events group by event_type order by total desc, event_type",
     "q_report_unknown_types": "select distinct event_type from events where event_type not in ('goal', 'shot-on-goal', 'missed-shot', 'blocked-shot', 'hit', 'faceoff', 'giveaway', 'takeaway', 'penalty', 'stoppage', 'period-start', 'period-end', 'game-end', 'delayed-penalty')",
 })
+
+ORACLE_SQL.update({
+    "q_model_dim_players": "with h as (select c.c_custkey as player_id, o.o_orderpriority as team_abbrev, cast(o.o_orderdate as date) as snapshot_date, case when c.c_acctbal >= 0 then case c.c_mktsegment when 'AUTOMOBILE' then 'C' when 'BUILDING' then 'L' when 'FURNITURE' then 'R' when 'HOUSEHOLD' then 'G' when 'MACHINERY' then 'D' end end as position_code, c.c_name as first_name, c.c_mktsegment as last_name, c.c_name || ' ' || c.c_mktsegment as full_name, c.c_nationkey as sweater_number, 'L' as shoots_catches, 60 + c.c_nationkey as height_inches, 150 + c.c_nationkey as weight_pounds, cast(date '1985-12-31' + c.c_nationkey as date) as birth_date, c.c_mktsegment as birth_city, cast(c.c_nationkey as varchar) as birth_country, 'https://img/' || cast(c.c_custkey as varchar) as headshot_url from orders o join customer c on o.o_custkey = c.c_custkey), g as (select *, case when position_code = 'G' then 'goalie' when position_code = 'D' then 'defenseman' else 'forward' end as player_group from h), s as (select player_id, max(snapshot_date) as latest_date from g group by player_id), cur as (select g.* from g join s on g.player_id = s.player_id and g.snapshot_date = s.latest_date) select player_id, team_abbrev, full_name, first_name, last_name, position_code, player_group, sweater_number, shoots_catches, height_inches, weight_pounds, birth_date, birth_city, birth_country, headshot_url, date_diff('year', birth_date, date '2026-06-30') as age, case when position_code = 'G' then 'Goalie' when position_code in ('L', 'R', 'C') then 'Forward' when position_code = 'D' then 'Defenseman' else 'Unknown' end as position_group, case when height_inches is not null then cast(height_inches / 12 as integer) || '''' || cast(height_inches % 12 as integer) || '\"' end as height_display from cur",
+    "q_model_fct_plays": "with p as (select l_orderkey as game_id, l_linenumber as event_id, case when l_returnflag = 'R' then 'goal' when l_returnflag = 'A' then 'hit' when l_returnflag = 'N' and l_linestatus = 'O' then 'faceoff' else 'penalty' end as event_type, l_linenumber * 10 as sort_order, case when l_discount < 0.03 then 1 when l_discount < 0.07 then 2 else 3 end as period, 'REG' as period_type, '10:00' as time_in_period, '10:00' as time_remaining, '1551' as situation_code, case when l_linestatus = 'O' then 1 else 2 end as event_team_id, cast(l_quantity as integer) as x_coord, l_linenumber as y_coord, case when l_linestatus = 'O' then 'O' else 'D' end as zone_code, case when l_returnflag = 'R' then 'wrist' end as shot_type, case when l_returnflag = 'R' then cast(l_suppkey as integer) end as scoring_player_id, case when l_returnflag = 'R' then cast(l_partkey as integer) end as assist1_player_id, case when l_returnflag = 'R' then l_linenumber end as assist2_player_id, cast(null as integer) as scoring_player_total, cast(null as integer) as assist1_player_total, cast(null as integer) as assist2_player_total, case when l_returnflag = 'R' then 0 end as away_score_at_goal, case when l_returnflag = 'R' then l_linenumber end as home_score_at_goal, case when l_returnflag = 'R' then l_linenumber end as goalie_player_id, case when l_returnflag = 'R' then 'https://clip/' || cast(l_orderkey as varchar) end as highlight_url, case when l_returnflag = 'R' then cast(l_suppkey as integer) end as shooting_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then l_linenumber end as blocking_player_id, case when l_returnflag = 'N' and l_linestatus = 'O' then cast(l_suppkey as integer) end as faceoff_winning_player_id, case when l_returnflag = 'N' and l_linestatus = 'O' then cast(l_partkey as integer) end as faceoff_losing_player_id, case when l_returnflag = 'A' then cast(l_suppkey as integer) end as hitting_player_id, case when l_returnflag = 'A' then l_linenumber end as hittee_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then cast(l_suppkey as integer) end as penalty_committed_by_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then cast(l_partkey as integer) end as penalty_drawn_by_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then 'tripping' end as penalty_desc, case when l_returnflag = 'N' and l_linestatus <> 'O' then 2 end as penalty_duration_minutes, case when l_returnflag = 'A' then cast(l_partkey as integer) end as player_id from lineitem), d as (select cast(s_suppkey as integer) as pid, s_name as full_name from supplier), g as (select o_orderkey as gid, cast(o_orderdate as date) as game_date, year(o_orderdate) as season, o_orderstatus as home_team_abbrev, o_orderpriority as away_team_abbrev, cast(dayofweek(o_orderdate) + 1 as integer) as final_home_score, cast(o_totalprice / 100000 as integer) as final_away_score, case o_orderstatus when 'F' then 'REG' when 'O' then 'OT' when 'P' then 'SO' end as last_period_type from orders) select p.*, g.game_date, g.season, g.home_team_abbrev, g.away_team_abbrev, g.final_home_score, g.final_away_score, g.last_period_type, r0.full_name as scoring_player_name, r1.full_name as assist1_player_name, r2.full_name as assist2_player_name, r3.full_name as goalie_player_name, r4.full_name as shooting_player_name, r5.full_name as faceoff_winning_player_name, r6.full_name as faceoff_losing_player_name, r7.full_name as hitting_player_name, r8.full_name as hittee_player_name, r9.full_name as penalty_committed_by_player_name, r10.full_name as penalty_drawn_by_player_name, r11.full_name as player_name from p left join g on p.game_id = g.gid left join d r0 on p.scoring_player_id = r0.pid left join d r1 on p.assist1_player_id = r1.pid left join d r2 on p.assist2_player_id = r2.pid left join d r3 on p.goalie_player_id = r3.pid left join d r4 on p.shooting_player_id = r4.pid left join d r5 on p.faceoff_winning_player_id = r5.pid left join d r6 on p.faceoff_losing_player_id = r6.pid left join d r7 on p.hitting_player_id = r7.pid left join d r8 on p.hittee_player_id = r8.pid left join d r9 on p.penalty_committed_by_player_id = r9.pid left join d r10 on p.penalty_drawn_by_player_id = r10.pid left join d r11 on p.player_id = r11.pid",
+})
