@@ -682,6 +682,51 @@ def q_model_games(spark: SparkSession, sf: str) -> DataFrame:
     return g.withColumn("start_time_utc", F.date_format("start_time_utc", "yyyy-MM-dd HH:mm:ss"))
 
 
+def _roster_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Roster-shaped documents, one per line item: the supplier as the only
+    player, the return flag as the team and the ship date as the snapshot,
+    both only in the path. A goalie list is absent (not empty) unless the
+    player is a goalie."""
+    li = load(spark, sf, "lineitem").select("l_suppkey", "l_returnflag", "l_shipdate", "l_linenumber")
+    su = load(spark, sf, "supplier")
+    d = li.join(su, li["l_suppkey"] == su["s_suppkey"], "inner")
+    nk = F.col("s_nationkey")
+    pos = (F.when(nk < 5, "G").when(nk < 10, "D").when(nk < 15, "C").when(nk < 20, "L")
+           .otherwise("R"))
+    player = F.struct(
+        F.col("s_suppkey").cast("int").alias("id"),
+        F.struct(F.col("s_name").alias("default")).alias("firstName"),
+        F.struct(F.concat(F.lit("N"), X.text(nk)).alias("default")).alias("lastName"),
+        nk.alias("sweaterNumber"),
+        pos.alias("positionCode"),
+        F.when(F.col("s_acctbal") >= 0, "L").otherwise("R").alias("shootsCatches"),
+        (F.lit(60) + nk).alias("heightInInches"),
+        (F.lit(150) + F.col("l_linenumber")).alias("weightInPounds"),
+        F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), nk), "yyyy-MM-dd").alias("birthDate"),
+        F.struct(F.concat(F.lit("C"), X.text(nk)).alias("default")).alias("birthCity"),
+        F.lit("CAN").alias("birthCountry"),
+        F.concat(F.lit("https://img/"), X.text(F.col("s_suppkey"))).alias("headshot"),
+    )
+    one = F.array(player)
+    none = F.filter(one, lambda _: F.lit(False))      # [] of the same type
+    return d.select(
+        F.when(pos.isin("C", "L", "R"), one).otherwise(none).alias("forwards"),
+        F.when(pos == "D", one).otherwise(none).alias("defensemen"),
+        F.when(pos == "G", one).alias("goalies"),
+        F.concat(
+            F.lit("rosters/"), F.col("l_returnflag"), F.lit("/"),
+            F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("/roster.json"),
+        ).alias("source_path"),
+    )
+
+
+def q_model_player_history(spark: SparkSession, sf: str) -> DataFrame:
+    """M3 with S2/S3: team and snapshot date cut from the end of each
+    document's path, the three position lists tagged and unnested in one
+    scan (an absent or empty list gives no row), the player typed."""
+    return staging.stg_players_history(_roster_documents(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "q_fact_star": q_fact_star,
     "q_role_joins_nullable": q_role_joins_nullable,
@@ -725,6 +770,7 @@ QUERIES: dict[str, Query] = {
     "q_report_fact_breakdown": q_report_fact_breakdown,
     "q_report_unknown_types": q_report_unknown_types,
     "q_model_games": q_model_games,
+    "q_model_player_history": q_model_player_history,
     "q_model_dim_players": q_model_dim_players,
     "q_model_fct_plays": q_model_fct_plays,
 }
@@ -781,3 +827,4 @@ ORACLE_SQL.update({
     "q_model_fct_plays": "with p as (select l_orderkey as game_id, l_linenumber as event_id, case when l_returnflag = 'R' then 'goal' when l_returnflag = 'A' then 'hit' when l_returnflag = 'N' and l_linestatus = 'O' then 'faceoff' else 'penalty' end as event_type, l_linenumber * 10 as sort_order, case when l_discount < 0.03 then 1 when l_discount < 0.07 then 2 else 3 end as period, 'REG' as period_type, '10:00' as time_in_period, '10:00' as time_remaining, '1551' as situation_code, case when l_linestatus = 'O' then 1 else 2 end as event_team_id, cast(l_quantity as integer) as x_coord, l_linenumber as y_coord, case when l_linestatus = 'O' then 'O' else 'D' end as zone_code, case when l_returnflag = 'R' then 'wrist' end as shot_type, case when l_returnflag = 'R' then cast(l_suppkey as integer) end as scoring_player_id, case when l_returnflag = 'R' then cast(l_partkey as integer) end as assist1_player_id, case when l_returnflag = 'R' then l_linenumber end as assist2_player_id, cast(null as integer) as scoring_player_total, cast(null as integer) as assist1_player_total, cast(null as integer) as assist2_player_total, case when l_returnflag = 'R' then 0 end as away_score_at_goal, case when l_returnflag = 'R' then l_linenumber end as home_score_at_goal, case when l_returnflag = 'R' then l_linenumber end as goalie_player_id, case when l_returnflag = 'R' then 'https://clip/' || cast(l_orderkey as varchar) end as highlight_url, case when l_returnflag = 'R' then cast(l_suppkey as integer) end as shooting_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then l_linenumber end as blocking_player_id, case when l_returnflag = 'N' and l_linestatus = 'O' then cast(l_suppkey as integer) end as faceoff_winning_player_id, case when l_returnflag = 'N' and l_linestatus = 'O' then cast(l_partkey as integer) end as faceoff_losing_player_id, case when l_returnflag = 'A' then cast(l_suppkey as integer) end as hitting_player_id, case when l_returnflag = 'A' then l_linenumber end as hittee_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then cast(l_suppkey as integer) end as penalty_committed_by_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then cast(l_partkey as integer) end as penalty_drawn_by_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then 'tripping' end as penalty_desc, case when l_returnflag = 'N' and l_linestatus <> 'O' then 2 end as penalty_duration_minutes, case when l_returnflag = 'A' then cast(l_partkey as integer) end as player_id from lineitem), d as (select cast(s_suppkey as integer) as pid, s_name as full_name from supplier), g as (select o_orderkey as gid, cast(o_orderdate as date) as game_date, year(o_orderdate) as season, o_orderstatus as home_team_abbrev, o_orderpriority as away_team_abbrev, cast(dayofweek(o_orderdate) + 1 as integer) as final_home_score, cast(o_totalprice / 100000 as integer) as final_away_score, case o_orderstatus when 'F' then 'REG' when 'O' then 'OT' when 'P' then 'SO' end as last_period_type from orders) select p.*, g.game_date, g.season, g.home_team_abbrev, g.away_team_abbrev, g.final_home_score, g.final_away_score, g.last_period_type, r0.full_name as scoring_player_name, r1.full_name as assist1_player_name, r2.full_name as assist2_player_name, r3.full_name as goalie_player_name, r4.full_name as shooting_player_name, r5.full_name as faceoff_winning_player_name, r6.full_name as faceoff_losing_player_name, r7.full_name as hitting_player_name, r8.full_name as hittee_player_name, r9.full_name as penalty_committed_by_player_name, r10.full_name as penalty_drawn_by_player_name, r11.full_name as player_name from p left join g on p.game_id = g.gid left join d r0 on p.scoring_player_id = r0.pid left join d r1 on p.assist1_player_id = r1.pid left join d r2 on p.assist2_player_id = r2.pid left join d r3 on p.goalie_player_id = r3.pid left join d r4 on p.shooting_player_id = r4.pid left join d r5 on p.faceoff_winning_player_id = r5.pid left join d r6 on p.faceoff_losing_player_id = r6.pid left join d r7 on p.hitting_player_id = r7.pid left join d r8 on p.hittee_player_id = r8.pid left join d r9 on p.penalty_committed_by_player_id = r9.pid left join d r10 on p.penalty_drawn_by_player_id = r10.pid left join d r11 on p.player_id = r11.pid",
 })
 ORACLE_SQL["q_model_games"] = "with g as (select o_orderkey as game_id, year(o_orderdate) as season, case when o_orderstatus = 'F' then 2 when o_orderstatus = 'O' then 3 else 1 end::bigint as game_type, cast(o_orderdate as date) as game_date, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as start_time_utc, case when o_orderstatus = 'F' then 'OFF' when o_orderstatus = 'O' then 'LIVE' else 'PRE' end as game_state, 'OK' as game_schedule_state, o_orderpriority as venue, cast(null as varchar) as venue_location, cast(dayofweek(o_orderdate) + 1 as integer) as away_team_id, o_orderstatus as away_team_abbrev, o_orderpriority as away_team_name, cast(o_totalprice / 100000 as integer) as away_score, cast(dayofmonth(o_orderdate) as integer) as away_sog, cast(month(o_orderdate) as integer) as home_team_id, o_orderpriority as home_team_abbrev, o_orderstatus as home_team_name, cast(dayofweek(o_orderdate) + 1 as integer) as home_score, 30 as home_sog, case o_orderstatus when 'F' then 'REG' when 'O' then 'OT' when 'P' then 'SO' end as last_period_type, cast(3 as bigint) as reg_periods, o_orderstatus <> 'P' as ot_in_use, cast(null as boolean) as shootout_in_use from orders) select *, away_score > home_score as away_win, home_score > away_score as home_win, abs(home_score - away_score) as goal_diff from g"
+ORACLE_SQL["q_model_player_history"] = "with d as (select l.l_returnflag as team_abbrev, cast(l.l_shipdate as date) as snapshot_date, s.s_suppkey, s.s_name, s.s_nationkey as nk, s.s_acctbal, l.l_linenumber, case when s.s_nationkey < 5 then 'G' when s.s_nationkey < 10 then 'D' when s.s_nationkey < 15 then 'C' when s.s_nationkey < 20 then 'L' else 'R' end as pos from lineitem l join supplier s on l.l_suppkey = s.s_suppkey) select cast(s_suppkey as integer) as player_id, team_abbrev, snapshot_date, case when pos in ('C', 'L', 'R') then 'forward' when pos = 'D' then 'defenseman' else 'goalie' end as player_group, s_name as first_name, 'N' || cast(nk as varchar) as last_name, s_name || ' ' || 'N' || cast(nk as varchar) as full_name, nk as sweater_number, pos as position_code, case when s_acctbal >= 0 then 'L' else 'R' end as shoots_catches, 60 + nk as height_inches, 150 + l_linenumber as weight_pounds, cast(date '1990-01-01' + nk as date) as birth_date, 'C' || cast(nk as varchar) as birth_city, 'CAN' as birth_country, 'https://img/' || cast(s_suppkey as varchar) as headshot_url from d"
