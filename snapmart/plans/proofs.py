@@ -727,6 +727,45 @@ def q_model_player_history(spark: SparkSession, sf: str) -> DataFrame:
     return staging.stg_players_history(_roster_documents(spark, sf))
 
 
+def _standings_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Standings-shaped documents, one per order with one team entry: the
+    order priority as the team, the order date only in the path. The
+    counting fields take day-of-month based values."""
+    o = load(spark, sf, "orders")
+    day = F.dayofmonth("o_orderdate")
+    fields = []
+    int_fields = [
+        src for _, src, cast in staging.STANDINGS_COLUMNS if cast == "int" and src != "seasonId"
+    ]
+    for i, src in enumerate(int_fields):
+        fields.append((day + F.lit(i)).alias(src))
+    entry = F.struct(
+        F.struct(F.col("o_orderpriority").alias("default")).alias("teamAbbrev"),
+        F.year("o_orderdate").cast("bigint").alias("seasonId"),
+        F.struct(F.concat(F.lit("Team "), F.col("o_orderpriority")).alias("default")).alias("teamName"),
+        F.struct(F.col("o_orderstatus").alias("default")).alias("teamCommonName"),
+        F.when(F.col("o_orderstatus") == "F", "Eastern").otherwise("Western").alias("conferenceName"),
+        F.col("o_orderstatus").alias("conferenceAbbrev"),
+        F.lit("Atlantic").alias("divisionName"),
+        F.lit("A").alias("divisionAbbrev"),
+        (F.col("o_totalprice") / F.lit(1000000)).alias("pointPctg"),
+        F.col("o_orderstatus").alias("streakCode"),
+        F.concat(F.lit("https://logo/"), F.col("o_orderpriority")).alias("teamLogo"),
+        *fields,
+    )
+    return o.select(
+        F.array(entry).alias("standings"),
+        F.concat(F.lit("standings/"), F.date_format("o_orderdate", "yyyy-MM-dd"),
+                 F.lit("/standings.json")).alias("source_path"),
+    )
+
+
+def q_model_standings_history(spark: SparkSession, sf: str) -> DataFrame:
+    """M1: the snapshot date from the path, one row per listed team, 39
+    typed columns."""
+    return staging.stg_standings_history(_standings_documents(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "q_fact_star": q_fact_star,
     "q_role_joins_nullable": q_role_joins_nullable,
@@ -771,6 +810,7 @@ QUERIES: dict[str, Query] = {
     "q_report_unknown_types": q_report_unknown_types,
     "q_model_games": q_model_games,
     "q_model_player_history": q_model_player_history,
+    "q_model_standings_history": q_model_standings_history,
     "q_model_dim_players": q_model_dim_players,
     "q_model_fct_plays": q_model_fct_plays,
 }
@@ -828,3 +868,4 @@ ORACLE_SQL.update({
 })
 ORACLE_SQL["q_model_games"] = "with g as (select o_orderkey as game_id, year(o_orderdate) as season, case when o_orderstatus = 'F' then 2 when o_orderstatus = 'O' then 3 else 1 end::bigint as game_type, cast(o_orderdate as date) as game_date, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as start_time_utc, case when o_orderstatus = 'F' then 'OFF' when o_orderstatus = 'O' then 'LIVE' else 'PRE' end as game_state, 'OK' as game_schedule_state, o_orderpriority as venue, cast(null as varchar) as venue_location, cast(dayofweek(o_orderdate) + 1 as integer) as away_team_id, o_orderstatus as away_team_abbrev, o_orderpriority as away_team_name, cast(o_totalprice / 100000 as integer) as away_score, cast(dayofmonth(o_orderdate) as integer) as away_sog, cast(month(o_orderdate) as integer) as home_team_id, o_orderpriority as home_team_abbrev, o_orderstatus as home_team_name, cast(dayofweek(o_orderdate) + 1 as integer) as home_score, 30 as home_sog, case o_orderstatus when 'F' then 'REG' when 'O' then 'OT' when 'P' then 'SO' end as last_period_type, cast(3 as bigint) as reg_periods, o_orderstatus <> 'P' as ot_in_use, cast(null as boolean) as shootout_in_use from orders) select *, away_score > home_score as away_win, home_score > away_score as home_win, abs(home_score - away_score) as goal_diff from g"
 ORACLE_SQL["q_model_player_history"] = "with d as (select l.l_returnflag as team_abbrev, cast(l.l_shipdate as date) as snapshot_date, s.s_suppkey, s.s_name, s.s_nationkey as nk, s.s_acctbal, l.l_linenumber, case when s.s_nationkey < 5 then 'G' when s.s_nationkey < 10 then 'D' when s.s_nationkey < 15 then 'C' when s.s_nationkey < 20 then 'L' else 'R' end as pos from lineitem l join supplier s on l.l_suppkey = s.s_suppkey) select cast(s_suppkey as integer) as player_id, team_abbrev, snapshot_date, case when pos in ('C', 'L', 'R') then 'forward' when pos = 'D' then 'defenseman' else 'goalie' end as player_group, s_name as first_name, 'N' || cast(nk as varchar) as last_name, s_name || ' ' || 'N' || cast(nk as varchar) as full_name, nk as sweater_number, pos as position_code, case when s_acctbal >= 0 then 'L' else 'R' end as shoots_catches, 60 + nk as height_inches, 150 + l_linenumber as weight_pounds, cast(date '1990-01-01' + nk as date) as birth_date, 'C' || cast(nk as varchar) as birth_city, 'CAN' as birth_country, 'https://img/' || cast(s_suppkey as varchar) as headshot_url from d"
+ORACLE_SQL["q_model_standings_history"] = "select o_orderpriority as team_abbrev, cast(o_orderdate as date) as snapshot_date, cast(year(o_orderdate) as integer) as season_id, 'Team ' || o_orderpriority as team_name, o_orderstatus as team_common_name, case when o_orderstatus = 'F' then 'Eastern' else 'Western' end as conference_name, o_orderstatus as conference_abbrev, 'Atlantic' as division_name, 'A' as division_abbrev, cast(dayofmonth(o_orderdate) + 0 as integer) as league_rank, cast(dayofmonth(o_orderdate) + 1 as integer) as conference_rank, cast(dayofmonth(o_orderdate) + 2 as integer) as division_rank, cast(dayofmonth(o_orderdate) + 3 as integer) as games_played, cast(dayofmonth(o_orderdate) + 4 as integer) as wins, cast(dayofmonth(o_orderdate) + 5 as integer) as losses, cast(dayofmonth(o_orderdate) + 6 as integer) as ot_losses, cast(dayofmonth(o_orderdate) + 7 as integer) as points, o_totalprice / 1000000 as point_pct, cast(dayofmonth(o_orderdate) + 8 as integer) as regulation_wins, cast(dayofmonth(o_orderdate) + 9 as integer) as regulation_ot_wins, cast(dayofmonth(o_orderdate) + 10 as integer) as goals_for, cast(dayofmonth(o_orderdate) + 11 as integer) as goals_against, cast(dayofmonth(o_orderdate) + 12 as integer) as goal_differential, cast(dayofmonth(o_orderdate) + 13 as integer) as home_wins, cast(dayofmonth(o_orderdate) + 14 as integer) as home_losses, cast(dayofmonth(o_orderdate) + 15 as integer) as home_ot_losses, cast(dayofmonth(o_orderdate) + 16 as integer) as home_points, cast(dayofmonth(o_orderdate) + 17 as integer) as road_wins, cast(dayofmonth(o_orderdate) + 18 as integer) as road_losses, cast(dayofmonth(o_orderdate) + 19 as integer) as road_ot_losses, cast(dayofmonth(o_orderdate) + 20 as integer) as road_points, cast(dayofmonth(o_orderdate) + 21 as integer) as l10_wins, cast(dayofmonth(o_orderdate) + 22 as integer) as l10_losses, cast(dayofmonth(o_orderdate) + 23 as integer) as l10_ot_losses, cast(dayofmonth(o_orderdate) + 24 as integer) as l10_points, o_orderstatus as streak_code, cast(dayofmonth(o_orderdate) + 25 as integer) as streak_count, cast(dayofmonth(o_orderdate) + 26 as integer) as wildcard_sequence, 'https://logo/' || o_orderpriority as team_logo_url from orders"
