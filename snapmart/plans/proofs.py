@@ -709,7 +709,7 @@ def _roster_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("https://img/"), X.text(F.col("s_suppkey"))).alias("headshot"),
     )
     one = F.array(player)
-    none = F.filter(one, lambda _: F.lit(False))      # [] of the same type
+    none = F.array()                                   # [], widened to the list type
     return d.select(
         F.when(pos.isin("C", "L", "R"), one).otherwise(none).alias("forwards"),
         F.when(pos == "D", one).otherwise(none).alias("defensemen"),
