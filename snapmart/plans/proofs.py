@@ -585,7 +585,10 @@ def _plays_from_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     faceoff = (rf == "N") & (ls == "O")
     penalty = (rf == "N") & (ls != "O")
     event = F.when(goal, "goal").when(hit, "hit").when(faceoff, "faceoff").otherwise("penalty")
-    sk, pk, ln = F.col("l_suppkey"), F.col("l_partkey"), F.col("l_linenumber")
+    # Role ids stay in INTEGER range at any scale: supplier keys, supplier
+    # key + 1 (the last one finds nobody) and negated keys (never found).
+    sk, ln = F.col("l_suppkey"), F.col("l_linenumber")
+    nxt, gone = sk + F.lit(1), -sk
     details = F.to_variant_object(F.struct(
         F.when(ls == "O", 1).otherwise(2).alias("eventOwnerTeamId"),
         X.int_half_even("l_quantity").alias("xCoord"),
@@ -593,7 +596,7 @@ def _plays_from_lineitem(spark: SparkSession, sf: str) -> DataFrame:
         F.when(ls == "O", "O").otherwise("D").alias("zoneCode"),
         F.when(goal, "wrist").alias("shotType"),
         F.when(goal, sk).alias("scoringPlayerId"),
-        F.when(goal, pk).alias("assist1PlayerId"),
+        F.when(goal, nxt).alias("assist1PlayerId"),
         F.when(goal, ln).alias("assist2PlayerId"),
         F.when(goal, F.lit(0)).alias("awayScore"),
         F.when(goal, ln).alias("homeScore"),
@@ -602,14 +605,14 @@ def _plays_from_lineitem(spark: SparkSession, sf: str) -> DataFrame:
         F.when(goal, sk).alias("shootingPlayerId"),
         F.when(penalty, ln).alias("blockingPlayerId"),
         F.when(faceoff, sk).alias("winningPlayerId"),
-        F.when(faceoff, pk).alias("losingPlayerId"),
+        F.when(faceoff, gone).alias("losingPlayerId"),
         F.when(hit, sk).alias("hittingPlayerId"),
         F.when(hit, ln).alias("hitteePlayerId"),
         F.when(penalty, sk).alias("committedByPlayerId"),
-        F.when(penalty, pk).alias("drawnByPlayerId"),
+        F.when(penalty, nxt).alias("drawnByPlayerId"),
         F.when(penalty, "tripping").alias("descKey"),
         F.when(penalty, F.lit(2)).alias("duration"),
-        F.when(hit, pk).alias("playerId"),
+        F.when(hit, -ln).alias("playerId"),
     ))
     d = F.col("l_discount")
     return li.select(
@@ -628,8 +631,8 @@ def _plays_from_lineitem(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_model_fct_plays(spark: SparkSession, sf: str) -> DataFrame:
     """M8: the 54-column fact. Line items as plays, orders as games, and
-    suppliers as the player dimension in all 12 roles (part keys mostly
-    find no supplier: the id stays, the name is NULL)."""
+    suppliers as the player dimension in all 12 roles (ids that find no
+    supplier keep the id with a NULL name)."""
     games = _games_from_orders(spark, sf).select(
         "game_id", "game_date",
         F.year("game_date").cast("bigint").alias("season"),
@@ -896,7 +899,7 @@ ORACLE_SQL.update({
 
 ORACLE_SQL.update({
     "q_model_dim_players": "with h as (select c.c_custkey as player_id, o.o_orderpriority as team_abbrev, cast(o.o_orderdate as date) as snapshot_date, case when c.c_acctbal >= 0 then case c.c_mktsegment when 'AUTOMOBILE' then 'C' when 'BUILDING' then 'L' when 'FURNITURE' then 'R' when 'HOUSEHOLD' then 'G' when 'MACHINERY' then 'D' end end as position_code, c.c_name as first_name, c.c_mktsegment as last_name, c.c_name || ' ' || c.c_mktsegment as full_name, c.c_nationkey as sweater_number, 'L' as shoots_catches, 60 + c.c_nationkey as height_inches, 150 + c.c_nationkey as weight_pounds, cast(date '1985-12-31' + c.c_nationkey as date) as birth_date, c.c_mktsegment as birth_city, cast(c.c_nationkey as varchar) as birth_country, 'https://img/' || cast(c.c_custkey as varchar) as headshot_url from orders o join customer c on o.o_custkey = c.c_custkey), g as (select *, case when position_code = 'G' then 'goalie' when position_code = 'D' then 'defenseman' else 'forward' end as player_group from h), s as (select player_id, max(snapshot_date) as latest_date from g group by player_id), cur as (select g.* from g join s on g.player_id = s.player_id and g.snapshot_date = s.latest_date) select player_id, team_abbrev, full_name, first_name, last_name, position_code, player_group, sweater_number, shoots_catches, height_inches, weight_pounds, birth_date, birth_city, birth_country, headshot_url, date_diff('year', birth_date, date '2026-06-30') as age, case when position_code = 'G' then 'Goalie' when position_code in ('L', 'R', 'C') then 'Forward' when position_code = 'D' then 'Defenseman' else 'Unknown' end as position_group, case when height_inches is not null then cast(height_inches / 12 as integer) || '''' || cast(height_inches % 12 as integer) || '\"' end as height_display from cur",
-    "q_model_fct_plays": "with p as (select l_orderkey as game_id, l_linenumber as event_id, case when l_returnflag = 'R' then 'goal' when l_returnflag = 'A' then 'hit' when l_returnflag = 'N' and l_linestatus = 'O' then 'faceoff' else 'penalty' end as event_type, l_linenumber * 10 as sort_order, case when l_discount < 0.03 then 1 when l_discount < 0.07 then 2 else 3 end as period, 'REG' as period_type, '10:00' as time_in_period, '10:00' as time_remaining, '1551' as situation_code, case when l_linestatus = 'O' then 1 else 2 end as event_team_id, cast(l_quantity as integer) as x_coord, l_linenumber as y_coord, case when l_linestatus = 'O' then 'O' else 'D' end as zone_code, case when l_returnflag = 'R' then 'wrist' end as shot_type, case when l_returnflag = 'R' then cast(l_suppkey as integer) end as scoring_player_id, case when l_returnflag = 'R' then cast(l_partkey as integer) end as assist1_player_id, case when l_returnflag = 'R' then l_linenumber end as assist2_player_id, cast(null as integer) as scoring_player_total, cast(null as integer) as assist1_player_total, cast(null as integer) as assist2_player_total, case when l_returnflag = 'R' then 0 end as away_score_at_goal, case when l_returnflag = 'R' then l_linenumber end as home_score_at_goal, case when l_returnflag = 'R' then l_linenumber end as goalie_player_id, case when l_returnflag = 'R' then 'https://clip/' || cast(l_orderkey as varchar) end as highlight_url, case when l_returnflag = 'R' then cast(l_suppkey as integer) end as shooting_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then l_linenumber end as blocking_player_id, case when l_returnflag = 'N' and l_linestatus = 'O' then cast(l_suppkey as integer) end as faceoff_winning_player_id, case when l_returnflag = 'N' and l_linestatus = 'O' then cast(l_partkey as integer) end as faceoff_losing_player_id, case when l_returnflag = 'A' then cast(l_suppkey as integer) end as hitting_player_id, case when l_returnflag = 'A' then l_linenumber end as hittee_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then cast(l_suppkey as integer) end as penalty_committed_by_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then cast(l_partkey as integer) end as penalty_drawn_by_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then 'tripping' end as penalty_desc, case when l_returnflag = 'N' and l_linestatus <> 'O' then 2 end as penalty_duration_minutes, case when l_returnflag = 'A' then cast(l_partkey as integer) end as player_id from lineitem), d as (select cast(s_suppkey as integer) as pid, s_name as full_name from supplier), g as (select o_orderkey as gid, cast(o_orderdate as date) as game_date, year(o_orderdate) as season, o_orderstatus as home_team_abbrev, o_orderpriority as away_team_abbrev, cast(dayofweek(o_orderdate) + 1 as integer) as final_home_score, cast(o_totalprice / 100000 as integer) as final_away_score, case o_orderstatus when 'F' then 'REG' when 'O' then 'OT' when 'P' then 'SO' end as last_period_type from orders) select p.*, g.game_date, g.season, g.home_team_abbrev, g.away_team_abbrev, g.final_home_score, g.final_away_score, g.last_period_type, r0.full_name as scoring_player_name, r1.full_name as assist1_player_name, r2.full_name as assist2_player_name, r3.full_name as goalie_player_name, r4.full_name as shooting_player_name, r5.full_name as faceoff_winning_player_name, r6.full_name as faceoff_losing_player_name, r7.full_name as hitting_player_name, r8.full_name as hittee_player_name, r9.full_name as penalty_committed_by_player_name, r10.full_name as penalty_drawn_by_player_name, r11.full_name as player_name from p left join g on p.game_id = g.gid left join d r0 on p.scoring_player_id = r0.pid left join d r1 on p.assist1_player_id = r1.pid left join d r2 on p.assist2_player_id = r2.pid left join d r3 on p.goalie_player_id = r3.pid left join d r4 on p.shooting_player_id = r4.pid left join d r5 on p.faceoff_winning_player_id = r5.pid left join d r6 on p.faceoff_losing_player_id = r6.pid left join d r7 on p.hitting_player_id = r7.pid left join d r8 on p.hittee_player_id = r8.pid left join d r9 on p.penalty_committed_by_player_id = r9.pid left join d r10 on p.penalty_drawn_by_player_id = r10.pid left join d r11 on p.player_id = r11.pid",
+    "q_model_fct_plays": "with p as (select l_orderkey as game_id, l_linenumber as event_id, case when l_returnflag = 'R' then 'goal' when l_returnflag = 'A' then 'hit' when l_returnflag = 'N' and l_linestatus = 'O' then 'faceoff' else 'penalty' end as event_type, l_linenumber * 10 as sort_order, case when l_discount < 0.03 then 1 when l_discount < 0.07 then 2 else 3 end as period, 'REG' as period_type, '10:00' as time_in_period, '10:00' as time_remaining, '1551' as situation_code, case when l_linestatus = 'O' then 1 else 2 end as event_team_id, cast(l_quantity as integer) as x_coord, l_linenumber as y_coord, case when l_linestatus = 'O' then 'O' else 'D' end as zone_code, case when l_returnflag = 'R' then 'wrist' end as shot_type, case when l_returnflag = 'R' then cast(l_suppkey as integer) end as scoring_player_id, case when l_returnflag = 'R' then cast(l_suppkey + 1 as integer) end as assist1_player_id, case when l_returnflag = 'R' then l_linenumber end as assist2_player_id, cast(null as integer) as scoring_player_total, cast(null as integer) as assist1_player_total, cast(null as integer) as assist2_player_total, case when l_returnflag = 'R' then 0 end as away_score_at_goal, case when l_returnflag = 'R' then l_linenumber end as home_score_at_goal, case when l_returnflag = 'R' then l_linenumber end as goalie_player_id, case when l_returnflag = 'R' then 'https://clip/' || cast(l_orderkey as varchar) end as highlight_url, case when l_returnflag = 'R' then cast(l_suppkey as integer) end as shooting_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then l_linenumber end as blocking_player_id, case when l_returnflag = 'N' and l_linestatus = 'O' then cast(l_suppkey as integer) end as faceoff_winning_player_id, case when l_returnflag = 'N' and l_linestatus = 'O' then cast(-l_suppkey as integer) end as faceoff_losing_player_id, case when l_returnflag = 'A' then cast(l_suppkey as integer) end as hitting_player_id, case when l_returnflag = 'A' then l_linenumber end as hittee_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then cast(l_suppkey as integer) end as penalty_committed_by_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then cast(l_suppkey + 1 as integer) end as penalty_drawn_by_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then 'tripping' end as penalty_desc, case when l_returnflag = 'N' and l_linestatus <> 'O' then 2 end as penalty_duration_minutes, case when l_returnflag = 'A' then cast(-l_linenumber as integer) end as player_id from lineitem), d as (select cast(s_suppkey as integer) as pid, s_name as full_name from supplier), g as (select o_orderkey as gid, cast(o_orderdate as date) as game_date, year(o_orderdate) as season, o_orderstatus as home_team_abbrev, o_orderpriority as away_team_abbrev, cast(dayofweek(o_orderdate) + 1 as integer) as final_home_score, cast(o_totalprice / 100000 as integer) as final_away_score, case o_orderstatus when 'F' then 'REG' when 'O' then 'OT' when 'P' then 'SO' end as last_period_type from orders) select p.*, g.game_date, g.season, g.home_team_abbrev, g.away_team_abbrev, g.final_home_score, g.final_away_score, g.last_period_type, r0.full_name as scoring_player_name, r1.full_name as assist1_player_name, r2.full_name as assist2_player_name, r3.full_name as goalie_player_name, r4.full_name as shooting_player_name, r5.full_name as faceoff_winning_player_name, r6.full_name as faceoff_losing_player_name, r7.full_name as hitting_player_name, r8.full_name as hittee_player_name, r9.full_name as penalty_committed_by_player_name, r10.full_name as penalty_drawn_by_player_name, r11.full_name as player_name from p left join g on p.game_id = g.gid left join d r0 on p.scoring_player_id = r0.pid left join d r1 on p.assist1_player_id = r1.pid left join d r2 on p.assist2_player_id = r2.pid left join d r3 on p.goalie_player_id = r3.pid left join d r4 on p.shooting_player_id = r4.pid left join d r5 on p.faceoff_winning_player_id = r5.pid left join d r6 on p.faceoff_losing_player_id = r6.pid left join d r7 on p.hitting_player_id = r7.pid left join d r8 on p.hittee_player_id = r8.pid left join d r9 on p.penalty_committed_by_player_id = r9.pid left join d r10 on p.penalty_drawn_by_player_id = r10.pid left join d r11 on p.player_id = r11.pid",
 })
 ORACLE_SQL["q_model_games"] = "with g as (select o_orderkey as game_id, year(o_orderdate) as season, case when o_orderstatus = 'F' then 2 when o_orderstatus = 'O' then 3 else 1 end::bigint as game_type, cast(o_orderdate as date) as game_date, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as start_time_utc, case when o_orderstatus = 'F' then 'OFF' when o_orderstatus = 'O' then 'LIVE' else 'PRE' end as game_state, 'OK' as game_schedule_state, o_orderpriority as venue, cast(null as varchar) as venue_location, cast(dayofweek(o_orderdate) + 1 as integer) as away_team_id, o_orderstatus as away_team_abbrev, o_orderpriority as away_team_name, cast(o_totalprice / 100000 as integer) as away_score, cast(dayofmonth(o_orderdate) as integer) as away_sog, cast(month(o_orderdate) as integer) as home_team_id, o_orderpriority as home_team_abbrev, o_orderstatus as home_team_name, cast(dayofweek(o_orderdate) + 1 as integer) as home_score, 30 as home_sog, case o_orderstatus when 'F' then 'REG' when 'O' then 'OT' when 'P' then 'SO' end as last_period_type, cast(3 as bigint) as reg_periods, o_orderstatus <> 'P' as ot_in_use, cast(null as boolean) as shootout_in_use from orders) select *, away_score > home_score as away_win, home_score > away_score as home_win, abs(home_score - away_score) as goal_diff from g"
 ORACLE_SQL["q_model_player_history"] = "with d as (select l.l_returnflag as team_abbrev, cast(l.l_shipdate as date) as snapshot_date, s.s_suppkey, s.s_name, s.s_nationkey as nk, s.s_acctbal, l.l_linenumber, case when s.s_nationkey < 5 then 'G' when s.s_nationkey < 10 then 'D' when s.s_nationkey < 15 then 'C' when s.s_nationkey < 20 then 'L' else 'R' end as pos from lineitem l join supplier s on l.l_suppkey = s.s_suppkey) select cast(s_suppkey as integer) as player_id, team_abbrev, snapshot_date, case when pos in ('C', 'L', 'R') then 'forward' when pos = 'D' then 'defenseman' else 'goalie' end as player_group, s_name as first_name, 'N' || cast(nk as varchar) as last_name, s_name || ' ' || 'N' || cast(nk as varchar) as full_name, nk as sweater_number, pos as position_code, case when s_acctbal >= 0 then 'L' else 'R' end as shoots_catches, 60 + nk as height_inches, 150 + l_linenumber as weight_pounds, cast(date '1990-01-01' + nk as date) as birth_date, 'C' || cast(nk as varchar) as birth_city, 'CAN' as birth_country, 'https://img/' || cast(s_suppkey as varchar) as headshot_url from d"
