@@ -43,9 +43,10 @@ def latest_per_key(df: DataFrame, key, order_col: str) -> DataFrame:
 def latest_overall(df: DataFrame, order_col: str) -> DataFrame:
     """Rows at the greatest ``order_col`` over the whole frame.
 
-    The global max is one row, a proven size, so it is broadcast and the
-    filter is an equi semi join; on a table partitioned by ``order_col`` it
-    prunes partitions at run time.
+    ``order_col = (select max(order_col) ...)`` as a scalar subquery: the max
+    is a partial aggregate evaluated first, and on a table partitioned by
+    ``order_col`` the comparison becomes a partition filter, so only the
+    newest partition is read. No join and no broadcast of the input.
     """
-    top = df.agg(F.max(order_col).alias(order_col))
-    return df.join(F.broadcast(top), on=[order_col], how="left_semi")
+    top = df.select(F.max(order_col)).scalar()
+    return df.where(F.col(order_col) == top)

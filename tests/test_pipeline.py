@@ -228,3 +228,28 @@ def test_fact_by_id_sets_equals_broadcast_fact(built):
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
     assert b.count() == 12
+
+
+def _plan(df):
+    import contextlib
+    import io
+
+    df.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_newest_snapshot_prunes_partitions_and_goal_filter_reaches_scan(built):
+    import re
+
+    from snapmart.operators.latest import latest_overall
+
+    _, _, m, _ = built
+    newest = latest_overall(m["stg_players_history"], "snapshot_date")
+    parts = re.findall(r"PartitionFilters: \[[^\]]*\]", _plan(newest))
+    assert any("snapshot_date" in p and "Subquery" in p for p in parts)
+    assert {str(r.snapshot_date) for r in newest.collect()} == {"2024-10-02"}
+    pushed = re.findall(r"PushedFilters: \[[^\]]*\]", _plan(reports.first_goals(m["fct_plays"])))
+    assert any("EqualTo(event_type,goal)" in p for p in pushed)
