@@ -1,8 +1,9 @@
 """Left lookups into dimensions, including one dimension in many roles.
 
 Broadcast policy. A side is broadcast only after an exact row count proves
-it small (:func:`is_bounded`: a partial aggregate that returns one number). Past the bound, or when no bound is asked
-for, the join is left to Catalyst: it broadcasts only below
+it small (:func:`is_bounded`: a partial aggregate that returns one number).
+Past the bound, or when no bound is asked for, the join is left to
+Catalyst: it broadcasts only below
 ``spark.sql.autoBroadcastJoinThreshold`` by its size estimate, and adaptive
 execution may still turn a sort-merge join into a broadcast once the real
 shuffle size is known.
