@@ -348,7 +348,50 @@ def q_landing_newest_teams(spark: SparkSession, sf: str) -> DataFrame:
     return landing.teams_from_standings(landing.newest_snapshot(_standings_documents(spark, sf)))
 
 
+def _play_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Play-by-play-shaped documents, one per line item, with the supplier
+    key as the game id in the path (INTEGER range at any scale) and one
+    play; items returned and still open carry an empty play list."""
+    li = load(spark, sf, "lineitem")
+    rf, ls, ln = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
+    play = F.struct(
+        ln.alias("eventId"),
+        F.struct(
+            F.when(F.col("l_discount") < 0.05, 1).otherwise(2).alias("number"),
+            F.lit("REG").alias("periodType"),
+        ).alias("periodDescriptor"),
+        F.lit("05:00").alias("timeInPeriod"),
+        F.lit("15:00").alias("timeRemaining"),
+        F.when(ls == "O", "1551").otherwise("1451").alias("situationCode"),
+        F.when(rf == "R", "goal").when(rf == "A", "hit").otherwise("faceoff").alias("typeDescKey"),
+        (ln * F.lit(10)).alias("sortOrder"),
+        F.to_variant_object(F.struct(
+            X.int_half_even("l_quantity").alias("xCoord"),
+            F.when(rf == "R", F.col("l_suppkey")).alias("scoringPlayerId"),
+        )).alias("details"),
+    )
+    empty = (rf == "A") & (ls == "O")
+    return li.select(
+        F.when(empty, F.array()).otherwise(F.array(play)).alias("plays"),
+        F.concat(F.lit("play-by-play/"), X.text(F.col("l_suppkey")),
+                 F.lit("/play-by-play.json")).alias("source_path"),
+    )
+
+
+def q_model_plays(spark: SparkSession, sf: str) -> DataFrame:
+    """M5: game id cut from the path, one row per play (an empty play list
+    gives none), the play typed; ``details`` stays VARIANT and is shown here
+    through two of its keys."""
+    p = staging.stg_plays(_play_documents(spark, sf))
+    return p.select(
+        *[c for c in p.columns if c != "details"],
+        F.variant_get("details", "$.xCoord", "int").alias("x_coord"),
+        F.variant_get("details", "$.scoringPlayerId", "int").alias("scoring_player_id"),
+    )
+
+
 STANDIN_QUERIES = {
+    "q_model_plays": q_model_plays,
     "q_report_newest_games": q_report_newest_games,
     "q_report_game_summary": q_report_game_summary,
     "q_report_event_types": q_report_event_types,
@@ -366,6 +409,7 @@ STANDIN_QUERIES = {
 }
 
 STANDIN_ORACLE_SQL = {
+    "q_model_plays": "select cast(l_suppkey as integer) as game_id, l_linenumber as event_id, case when l_discount < 0.05 then 1 else 2 end as period, 'REG' as period_type, '05:00' as time_in_period, '15:00' as time_remaining, case when l_returnflag = 'R' then 'goal' when l_returnflag = 'A' then 'hit' else 'faceoff' end as event_type, l_linenumber * 10 as sort_order, case when l_linestatus = 'O' then '1551' else '1451' end as situation_code, cast(l_quantity as integer) as x_coord, case when l_returnflag = 'R' then cast(l_suppkey as integer) end as scoring_player_id from lineitem where not (l_returnflag = 'A' and l_linestatus = 'O')",
     "q_report_newest_games": "select o_orderkey as game_id, cast(o_orderdate as date) as game_date, o_orderpriority as away_team_abbrev, cast(o_totalprice / 100000 as integer) as away_score, cast(dayofweek(o_orderdate) + 1 as integer) as home_score, o_orderstatus as home_team_abbrev, case o_orderstatus when 'F' then 'REG' when 'O' then 'OT' when 'P' then 'SO' end as last_period_type, o_orderstatus as game_state from orders order by game_date desc, game_id limit 10",
     "q_report_game_summary": "select count(*) as total_games, min(cast(o_orderdate as date)) as earliest_game, max(cast(o_orderdate as date)) as latest_game, count(*) filter (where o_orderstatus = 'F') as reg, count(*) filter (where o_orderstatus = 'O') as ot, count(*) filter (where o_orderstatus = 'P') as so from orders",
     "q_report_event_types": "select event_type, count(*) as total_events, count(*) filter (where user_id % 3 = 1) as p1, count(*) filter (where user_id % 3 = 2) as p2, count(*) filter (where user_id % 3 = 0) as p3 from events group by event_type order by total_events desc, event_type",
