@@ -390,7 +390,15 @@ def q_model_plays(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_model_dim_teams(spark: SparkSession, sf: str) -> DataFrame:
+    """M1 -> M2 -> M6: the standings history, its current view (latest
+    snapshot per team, ties kept) and the team dimension."""
+    history = staging.stg_standings_history(_standings_documents(spark, sf))
+    return marts.dim_teams(staging.stg_standings(history))
+
+
 STANDIN_QUERIES = {
+    "q_model_dim_teams": q_model_dim_teams,
     "q_model_plays": q_model_plays,
     "q_report_newest_games": q_report_newest_games,
     "q_report_game_summary": q_report_game_summary,
@@ -409,6 +417,7 @@ STANDIN_QUERIES = {
 }
 
 STANDIN_ORACLE_SQL = {
+    "q_model_dim_teams": "with h as (select o_orderpriority as team_abbrev, cast(o_orderdate as date) as snapshot_date, 'Team ' || o_orderpriority as team_name, o_orderstatus as team_common_name, case when o_orderstatus = 'F' then 'Eastern' else 'Western' end as conference_name, o_orderstatus as conference_abbrev, 'Atlantic' as division_name, 'A' as division_abbrev, 'https://logo/' || o_orderpriority as team_logo_url from orders), s as (select team_abbrev, max(snapshot_date) as latest_date from h group by team_abbrev) select h.team_abbrev, h.team_name, h.team_common_name, h.conference_name, h.conference_abbrev, h.division_name, h.division_abbrev, h.team_logo_url from h join s on h.team_abbrev = s.team_abbrev and h.snapshot_date = s.latest_date",
     "q_model_plays": "select cast(l_suppkey as integer) as game_id, l_linenumber as event_id, case when l_discount < 0.05 then 1 else 2 end as period, 'REG' as period_type, '05:00' as time_in_period, '15:00' as time_remaining, case when l_returnflag = 'R' then 'goal' when l_returnflag = 'A' then 'hit' else 'faceoff' end as event_type, l_linenumber * 10 as sort_order, case when l_linestatus = 'O' then '1551' else '1451' end as situation_code, cast(l_quantity as integer) as x_coord, case when l_returnflag = 'R' then cast(l_suppkey as integer) end as scoring_player_id from lineitem where not (l_returnflag = 'A' and l_linestatus = 'O')",
     "q_report_newest_games": "select o_orderkey as game_id, cast(o_orderdate as date) as game_date, o_orderpriority as away_team_abbrev, cast(o_totalprice / 100000 as integer) as away_score, cast(dayofweek(o_orderdate) + 1 as integer) as home_score, o_orderstatus as home_team_abbrev, case o_orderstatus when 'F' then 'REG' when 'O' then 'OT' when 'P' then 'SO' end as last_period_type, o_orderstatus as game_state from orders order by game_date desc, game_id limit 10",
     "q_report_game_summary": "select count(*) as total_games, min(cast(o_orderdate as date)) as earliest_game, max(cast(o_orderdate as date)) as latest_game, count(*) filter (where o_orderstatus = 'F') as reg, count(*) filter (where o_orderstatus = 'O') as ot, count(*) filter (where o_orderstatus = 'P') as so from orders",
