@@ -58,9 +58,10 @@ def q_fact_star(spark: SparkSession, sf: str) -> DataFrame:
     One Spark job counts every build side exactly (nation; customer and
     supplier with their nation names; orders with its customer). Those
     within the bound are broadcast and the others are sort-merge joined.
-    At sf0.1 nothing but line items is scanned for the big join; at scale,
-    orders and customers are past the bound, and the plan is two
-    sort-merge joins of line items, the second on its own supplier key.
+    At sf0.1 every build side is within the bound, so line items are never
+    shuffled. At scale, orders and customers are past it, and line items
+    are shuffled twice: on the order key, then on the supplier key (unless
+    suppliers stay within the bound).
     """
     nation = load(spark, sf, "nation").select("n_nationkey", "n_name")
     customer = load(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
