@@ -235,3 +235,36 @@ def test_latest_per_key_splits_a_hot_key(spark):
             best[k] = max(best.get(k, d), d)
         assert out.count() == sum(1 for k, d in rows if best[k] == d)
         assert out.where("k = 0").count() == n // 3
+
+
+def test_role_join_by_id_sets_splits_the_all_null_tuple(spark):
+    from snapmart.operators.joins import role_join_by_id_sets
+
+    n = 60000
+    # Most rows have no role id at all: the all-NULL tuple is a hot join key.
+    fact = spark.range(n).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 1, F.col("id") % 500).alias("a"),
+        F.when(F.col("id") % 3 == 2, F.col("id") % 700).alias("b"),
+        F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+    )
+    dim = spark.range(600).select(F.col("id").alias("pid"), F.col("id").cast("string").alias("name"))
+    with conf(
+        spark,
+        **{
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16",
+        },
+    ):
+        out = role_join_by_id_sets(fact, dim, "pid", "name", [("a", "a_name"), ("b", "b_name")])
+        plan = final_plan(out)
+        assert "SortMergeJoin(skew=true)" in plan
+        assert out.count() == n
+        assert out.where("a is null and b is null and (a_name is not null or b_name is not null)").count() == 0
+        assert out.where("a is not null and a < 600").where("a_name is null").count() == 0
+        assert out.where("b >= 600").where("b_name is not null").count() == 0
