@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json as J
 from ..functions.scalar import height_display, position_group, year_crossings
-from ..operators.joins import DEFAULT_BROADCAST_ROWS, left_lookup, role_join
+from ..operators.joins import DEFAULT_BROADCAST_ROWS, bounded_flags, left_lookup, role_join
 
 # Output columns of the team dimension, in order.
 DIM_TEAMS_COLUMNS = [
@@ -157,12 +157,18 @@ def fct_plays(
         "period", "period_type", "time_in_period", "time_remaining", "situation_code",
         *[F.col("__d")[key].alias(name) for key, name, _ in DETAIL_FIELDS],
     )
+    # Both build sides are counted in one job.
+    players_small, games_small = bounded_flags(
+        [
+            dim_players.select("player_id", "full_name"),
+            stg_games.select("game_id", *GAME_CONTEXT),
+        ],
+        max_broadcast_rows,
+    )
     named = role_join(
-        plays, dim_players, "player_id", "full_name", PLAYER_ROLES,
-        max_broadcast_rows=max_broadcast_rows,
+        plays, dim_players, "player_id", "full_name", PLAYER_ROLES, broadcast=players_small,
     )
     named = left_lookup(
-        named, stg_games, "game_id", "game_id", GAME_CONTEXT,
-        max_broadcast_rows=max_broadcast_rows,
+        named, stg_games, "game_id", "game_id", GAME_CONTEXT, broadcast=games_small,
     )
     return named.select(*FCT_PLAYS_COLUMNS)
