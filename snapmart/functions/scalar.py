@@ -35,11 +35,15 @@ def path_part(path: ColumnOrName, from_end: int) -> Column:
 
     Counting from the end works for any root depth (``s3a://bucket/...``,
     ``file:/...``), where a fixed index from the start would depend on the
-    bucket name.
+    bucket name. A path with fewer segments gives ``''``, as ``split_part``
+    does past the end, so a typed cast of it (``::date``) still fails; a
+    NULL path gives NULL.
     """
     if from_end < 1:
         raise ValueError("from_end starts at 1")
-    return F.element_at(F.split(_col(path), "/"), -from_end)
+    p = _col(path)
+    part = F.try_element_at(F.split(p, "/"), F.lit(-from_end))
+    return F.when(p.isNotNull(), F.coalesce(part, F.lit("")))
 
 
 def split_literal(c: ColumnOrName, delimiter: str) -> Column:
