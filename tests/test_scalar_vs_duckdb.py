@@ -102,3 +102,48 @@ def test_split_part_and_path_part_match_duckdb(spark):
     for r in ends:
         parts = rows[r.i][1].split("/")
         assert r.second_last == (parts[-2] if len(parts) >= 2 else "")
+
+
+def test_json_text_and_int_match_duckdb(spark):
+    import json
+
+    from snapmart.functions import json as J
+
+    rng = random.Random(9)
+    keys = ["a", "b", "c", "d"]
+    rows = []
+    for i in range(1500):
+        doc = {}
+        for k in keys:
+            kind = rng.random()
+            if kind < 0.25:
+                continue                                  # absent
+            elif kind < 0.35:
+                doc[k] = None                             # JSON null
+            elif kind < 0.7:
+                doc[k] = rng.randint(-10**9, 10**9)
+            elif kind < 0.9:
+                doc[k] = rng.choice(["x", "", "two words", "ünï", "1"])
+            else:
+                doc[k] = rng.choice([True, False])
+        rows.append((i, json.dumps(doc)))
+    df = spark.createDataFrame(rows, "i int, s string").select("i", J.parse(F.col("s")).alias("j"))
+    got = {r[0]: tuple(r[1:]) for r in df.select(
+        "i", *[J.get_text(F.col("j"), k).alias(k) for k in keys]).collect()}
+    con = duckdb.connect()
+    con.execute("create table t (i integer, s varchar)")
+    con.executemany("insert into t values (?, ?)", rows)
+    want = {r[0]: tuple(r[1:]) for r in con.execute(
+        "select i, " + ", ".join(f"s->>'{k}'" for k in keys) + " from t").fetchall()}
+    assert got == want
+    # Typed reads of the integer-valued keys agree too.
+    ints = [(i, s) for i, s in rows if all(
+        not isinstance(v, (str, bool)) for v in json.loads(s).values())]
+    idf = spark.createDataFrame(ints, "i int, s string").select("i", J.parse(F.col("s")).alias("j"))
+    got_i = {r[0]: tuple(r[1:]) for r in idf.select(
+        "i", *[J.get_typed(F.col("j"), "bigint", k).alias(k) for k in keys]).collect()}
+    con.execute("create table u (i integer, s varchar)")
+    con.executemany("insert into u values (?, ?)", ints)
+    want_i = {r[0]: tuple(r[1:]) for r in con.execute(
+        "select i, " + ", ".join(f"cast(s->>'{k}' as bigint)" for k in keys) + " from u").fetchall()}
+    assert got_i == want_i
