@@ -2,7 +2,7 @@
 
 37 tests: 25 ``not_null``, 5 ``unique``, 6 ``accepted_values`` and 1
 ``relationships``. :func:`run_suite` returns one DataFrame with a failure
-count per test; all NULL checks of one model share a single scan.
+count per test; all tests of one model but relationships share one scan.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..operators.checks import (
     accepted_values_failures,
-    null_counts,
     relationships_failures,
     unique_combination_failures,
     unique_failures,
@@ -101,34 +100,70 @@ def _count_row(test: DataTest, n) -> list:
     ]
 
 
+def _model_pass(df: DataFrame, model: str, tests: list[DataTest]) -> DataFrame:
+    """All unique, accepted_values and not_null tests of one model from one
+    scan: a ``groupingSets`` aggregate with one set per tested column (the
+    values and their counts) and the empty set (the table's NULL counts),
+    partially aggregated map-side. A second aggregate over its groups (a
+    few per distinct tested value) reads off each test's failures."""
+    set_cols = list(dict.fromkeys(t.column for t in tests if t.kind != "not_null"))
+    nn_cols = list(dict.fromkeys(t.column for t in tests if t.kind == "not_null"))
+    sets = [[F.col(c)] for c in set_cols] + [[]]
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    aggs += [F.count_if(F.col(c).isNull()).alias(f"__null{i}") for i, c in enumerate(nn_cols)]
+    aggs += [F.grouping(c).alias(f"__g{j}") for j, c in enumerate(set_cols)]
+    if set_cols:
+        groups = df.groupingSets(sets, *set_cols).agg(*aggs)
+        in_set = {c: F.col(f"__g{j}") == 0 for j, c in enumerate(set_cols)}
+        total_row = F.lit(True)
+        for j in range(len(set_cols)):
+            total_row = total_row & (F.col(f"__g{j}") == 1)
+    else:
+        groups = df.agg(*aggs)
+        in_set, total_row = {}, F.lit(True)
+    counts = []
+    for t in tests:
+        c = F.col(t.column)
+        if t.kind == "unique":
+            n = F.count_if(in_set[t.column] & c.isNotNull() & (F.col("__n") > 1))
+        elif t.kind == "accepted_values":
+            n = F.count_if(in_set[t.column] & c.isNotNull() & ~c.isin(list(t.values)))
+        else:
+            i = nn_cols.index(t.column)
+            n = F.sum(F.when(total_row, F.col(f"__null{i}")).otherwise(F.lit(0)))
+        counts.append(F.coalesce(n.cast("bigint"), F.lit(0).cast("bigint")).alias(t.test_id))
+    wide = groups.agg(*counts)
+    info = F.create_map(*[
+        x for t in tests for x in (F.lit(t.test_id), F.array(F.lit(t.column), F.lit(t.kind)))
+    ])
+    long = wide.unpivot([], [t.test_id for t in tests], "test_id", "failures")
+    return long.select(
+        "test_id",
+        F.lit(model).alias("model"),
+        info[F.col("test_id")][0].alias("column_name"),
+        info[F.col("test_id")][1].alias("test"),
+        F.col("failures").cast("bigint").alias("failures"),
+    )
+
+
 def run_suite(tables: dict[str, DataFrame], suite: list[DataTest] = SUITE) -> DataFrame:
     """One row per test: ``test_id, model, column_name, test, failures``.
 
-    Grouped tests count their failing rows (for unique / accepted_values,
-    the failing *values*, as the published tests do); NULL tests of one
-    model run as one aggregate over that model.
+    Grouped tests count their failing values (unique, accepted_values) and
+    not_null counts failing rows, as the published tests do. Each model is
+    scanned once for all of those (:func:`_model_pass`), which matters most
+    for the current views, recomputed at every scan; a relationships test
+    is one anti join.
     """
     parts: list[DataFrame] = []
     by_model: dict[str, list[DataTest]] = {}
     for t in suite:
-        if t.kind == "not_null":
-            by_model.setdefault(t.model, []).append(t)
-        else:
+        if t.kind == "relationships":
             parts.append(failures(t, tables).agg(*_count_row(t, F.count(F.lit(1)))))
+        else:
+            by_model.setdefault(t.model, []).append(t)
     for model, tests in by_model.items():
-        cols = [t.column for t in tests]
-        counts = null_counts(tables[model], cols)
-        ids = {t.column: t for t in tests}
-        mapping = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(ids[c].test_id))])
-        parts.append(
-            counts.select(
-                mapping[F.col("column_name")].alias("test_id"),
-                F.lit(model).alias("model"),
-                F.col("column_name"),
-                F.lit("not_null").alias("test"),
-                F.col("n_null").cast("bigint").alias("failures"),
-            )
-        )
+        parts.append(_model_pass(tables[model], model, tests))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
