@@ -6,8 +6,8 @@
   and keys in the path are cut from its end, so any root works: a local
   folder, ``s3a://bucket/prefix`` or any Hadoop file system.
 * Files are unsplittable but small; Spark packs many into one task
-  (``spark.sql.files.openCostInBytes``). For repeated reads, :func:`compact`
-  writes them once as Parquet.
+  (``spark.sql.files.openCostInBytes``). A store that grows every day is
+  taken in once as Parquet by the landing jobs and the incremental stream.
 """
 
 from __future__ import annotations
@@ -48,14 +48,6 @@ def path_key(from_end: int):
     return path_part(F.col(SOURCE_PATH), from_end)
 
 
-def compact(df: DataFrame, out_path: str, partition_by: list[str] | None = None) -> None:
-    """Write documents once as Parquet (overwrite); later reads are columnar."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(out_path)
-
-
 def object_store_conf(
     endpoint: str,
     access_key: str | None = None,
