@@ -397,7 +397,32 @@ def q_model_dim_teams(spark: SparkSession, sf: str) -> DataFrame:
     return marts.dim_teams(staging.stg_standings(history))
 
 
+def q_report_player_history_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """B4 on the roster documents' history (ties are identical rows)."""
+    return reports.player_history_sample(staging.stg_players_history(_roster_documents(spark, sf)))
+
+
+def q_report_current_players(spark: SparkSession, sf: str) -> DataFrame:
+    """B6 on the current view of the customer-by-order history."""
+    return reports.current_players_sample(staging.stg_players(_player_history(spark, sf)))
+
+
+def q_report_current_standings(spark: SparkSession, sf: str) -> DataFrame:
+    """Current standings with the binary-rounded pct and the streak text."""
+    history = staging.stg_standings_history(_standings_documents(spark, sf))
+    return reports.current_standings(staging.stg_standings(history))
+
+
+def q_report_teams_per_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """Teams listed per standings snapshot, newest first."""
+    return reports.teams_per_snapshot(staging.stg_standings_history(_standings_documents(spark, sf)))
+
+
 STANDIN_QUERIES = {
+    "q_report_player_history_sample": q_report_player_history_sample,
+    "q_report_current_players": q_report_current_players,
+    "q_report_current_standings": q_report_current_standings,
+    "q_report_teams_per_snapshot": q_report_teams_per_snapshot,
     "q_model_dim_teams": q_model_dim_teams,
     "q_model_plays": q_model_plays,
     "q_report_newest_games": q_report_newest_games,
@@ -417,6 +442,10 @@ STANDIN_QUERIES = {
 }
 
 STANDIN_ORACLE_SQL = {
+    "q_report_player_history_sample": "select player_id, team_abbrev, snapshot_date, full_name, position_code, player_group, sweater_number from (with d as (select l.l_returnflag as team_abbrev, cast(l.l_shipdate as date) as snapshot_date, s.s_suppkey, s.s_name, s.s_nationkey as nk, s.s_acctbal, l.l_linenumber, case when s.s_nationkey < 5 then 'G' when s.s_nationkey < 10 then 'D' when s.s_nationkey < 15 then 'C' when s.s_nationkey < 20 then 'L' else 'R' end as pos from lineitem l join supplier s on l.l_suppkey = s.s_suppkey) select cast(s_suppkey as integer) as player_id, team_abbrev, snapshot_date, case when pos in ('C', 'L', 'R') then 'forward' when pos = 'D' then 'defenseman' else 'goalie' end as player_group, s_name as first_name, 'N' || cast(nk as varchar) as last_name, s_name || ' ' || 'N' || cast(nk as varchar) as full_name, nk as sweater_number, pos as position_code, case when s_acctbal >= 0 then 'L' else 'R' end as shoots_catches, 60 + nk as height_inches, 150 + l_linenumber as weight_pounds, cast(date '1990-01-01' + nk as date) as birth_date, 'C' || cast(nk as varchar) as birth_city, 'CAN' as birth_country, 'https://img/' || cast(s_suppkey as varchar) as headshot_url from d) order by snapshot_date desc, team_abbrev, full_name, player_id limit 20",
+    "q_report_current_players": "with h as (select c.c_custkey as player_id, o.o_orderpriority as team_abbrev, cast(o.o_orderdate as date) as snapshot_date, case when c.c_acctbal >= 0 then case c.c_mktsegment when 'AUTOMOBILE' then 'C' when 'BUILDING' then 'L' when 'FURNITURE' then 'R' when 'HOUSEHOLD' then 'G' when 'MACHINERY' then 'D' end end as position_code, c.c_name as first_name, c.c_mktsegment as last_name, c.c_name || ' ' || c.c_mktsegment as full_name, c.c_nationkey as sweater_number, 'L' as shoots_catches, 60 + c.c_nationkey as height_inches, 150 + c.c_nationkey as weight_pounds, cast(date '1985-12-31' + c.c_nationkey as date) as birth_date, c.c_mktsegment as birth_city, cast(c.c_nationkey as varchar) as birth_country, 'https://img/' || cast(c.c_custkey as varchar) as headshot_url from orders o join customer c on o.o_custkey = c.c_custkey), g as (select *, case when position_code = 'G' then 'goalie' when position_code = 'D' then 'defenseman' else 'forward' end as player_group from h), s as (select player_id, max(snapshot_date) as latest_date from g group by player_id), cur as (select g.* from g join s on g.player_id = s.player_id and g.snapshot_date = s.latest_date) select player_id, team_abbrev, full_name, position_code, sweater_number, birth_country from cur order by team_abbrev, full_name, player_id limit 20",
+    "q_report_current_standings": "with h as (select o_orderpriority as team_abbrev, cast(o_orderdate as date) as snapshot_date, 'Team ' || o_orderpriority as team_name, o_orderstatus as conference_abbrev, 'A' as division_abbrev, cast(dayofmonth(o_orderdate) + 0 as integer) as league_rank, cast(dayofmonth(o_orderdate) + 3 as integer) as games_played, cast(dayofmonth(o_orderdate) + 4 as integer) as wins, cast(dayofmonth(o_orderdate) + 5 as integer) as losses, cast(dayofmonth(o_orderdate) + 6 as integer) as ot_losses, cast(dayofmonth(o_orderdate) + 7 as integer) as points, o_totalprice / 1000000 as point_pct, cast(dayofmonth(o_orderdate) + 12 as integer) as goal_differential, o_orderstatus as streak_code, cast(dayofmonth(o_orderdate) + 25 as integer) as streak_count from orders), s as (select team_abbrev, max(snapshot_date) as latest_date from h group by team_abbrev) select h.league_rank, h.team_abbrev, h.team_name, h.conference_abbrev, h.division_abbrev, h.games_played, h.wins, h.losses, h.ot_losses, h.points, round(h.point_pct, 3) as point_pct, h.goal_differential, h.streak_code || cast(h.streak_count as varchar) as streak from h join s on h.team_abbrev = s.team_abbrev and h.snapshot_date = s.latest_date order by h.league_rank, h.team_abbrev",
+    "q_report_teams_per_snapshot": "select cast(o_orderdate as date) as snapshot_date, count(*) as teams from orders group by 1 order by snapshot_date desc",
     "q_model_dim_teams": "with h as (select o_orderpriority as team_abbrev, cast(o_orderdate as date) as snapshot_date, 'Team ' || o_orderpriority as team_name, o_orderstatus as team_common_name, case when o_orderstatus = 'F' then 'Eastern' else 'Western' end as conference_name, o_orderstatus as conference_abbrev, 'Atlantic' as division_name, 'A' as division_abbrev, 'https://logo/' || o_orderpriority as team_logo_url from orders), s as (select team_abbrev, max(snapshot_date) as latest_date from h group by team_abbrev) select h.team_abbrev, h.team_name, h.team_common_name, h.conference_name, h.conference_abbrev, h.division_name, h.division_abbrev, h.team_logo_url from h join s on h.team_abbrev = s.team_abbrev and h.snapshot_date = s.latest_date",
     "q_model_plays": "select cast(l_suppkey as integer) as game_id, l_linenumber as event_id, case when l_discount < 0.05 then 1 else 2 end as period, 'REG' as period_type, '05:00' as time_in_period, '15:00' as time_remaining, case when l_returnflag = 'R' then 'goal' when l_returnflag = 'A' then 'hit' else 'faceoff' end as event_type, l_linenumber * 10 as sort_order, case when l_linestatus = 'O' then '1551' else '1451' end as situation_code, cast(l_quantity as integer) as x_coord, case when l_returnflag = 'R' then cast(l_suppkey as integer) end as scoring_player_id from lineitem where not (l_returnflag = 'A' and l_linestatus = 'O')",
     "q_report_newest_games": "select o_orderkey as game_id, cast(o_orderdate as date) as game_date, o_orderpriority as away_team_abbrev, cast(o_totalprice / 100000 as integer) as away_score, cast(dayofweek(o_orderdate) + 1 as integer) as home_score, o_orderstatus as home_team_abbrev, case o_orderstatus when 'F' then 'REG' when 'O' then 'OT' when 'P' then 'SO' end as last_period_type, o_orderstatus as game_state from orders order by game_date desc, game_id limit 10",
