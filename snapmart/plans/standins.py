@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as X
+from ..operators.joins import role_join
 from ..sources import landing
 from ..tables import load
 from . import marts, reports, staging
@@ -418,7 +419,39 @@ def q_report_teams_per_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return reports.teams_per_snapshot(staging.stg_standings_history(_standings_documents(spark, sf)))
 
 
+def q_report_first_goals(spark: SparkSession, sf: str) -> DataFrame:
+    """B10 on a fact-shaped frame from events: each event its own game (so
+    the report's order is total), purchases as goals, the user and the next
+    user id as scorer and first assist, names by a role join to customers."""
+    ev = load(spark, sf, "events")
+    hour = F.hour("ts")
+    fact = ev.select(
+        F.col("event_id").alias("game_id"),
+        X.as_date("ts").alias("game_date"),
+        F.lit(10).alias("sort_order"),
+        F.when(F.col("event_type") == "purchase", "goal").otherwise(F.col("event_type")).alias("event_type"),
+        F.lit("H").alias("home_team_abbrev"),
+        F.lit("A").alias("away_team_abbrev"),
+        F.when(hour < 8, 1).when(hour < 16, 2).otherwise(3).alias("period"),
+        F.date_format("ts", "mm:ss").alias("time_in_period"),
+        F.col("user_id").alias("scoring_player_id"),
+        (F.col("user_id") + F.lit(1)).alias("assist1_player_id"),
+        F.lit(None).cast("bigint").alias("assist2_player_id"),
+        F.lit(None).cast("bigint").alias("goalie_player_id"),
+        F.lit("wrist").alias("shot_type"),
+        F.lit(1).alias("home_score_at_goal"),
+        F.lit(0).alias("away_score_at_goal"),
+    )
+    named = role_join(
+        fact, load(spark, sf, "customer"), "c_custkey", "c_name",
+        [("scoring_player_id", "scoring_player_name"), ("assist1_player_id", "assist1_player_name"),
+         ("assist2_player_id", "assist2_player_name"), ("goalie_player_id", "goalie_player_name")],
+    )
+    return reports.first_goals(named)
+
+
 STANDIN_QUERIES = {
+    "q_report_first_goals": q_report_first_goals,
     "q_report_player_history_sample": q_report_player_history_sample,
     "q_report_current_players": q_report_current_players,
     "q_report_current_standings": q_report_current_standings,
@@ -442,6 +475,7 @@ STANDIN_QUERIES = {
 }
 
 STANDIN_ORACLE_SQL = {
+    "q_report_first_goals": "select cast(e.ts as date) as game_date, 'H' as home_team_abbrev, 'A' as away_team_abbrev, case when hour(e.ts) < 8 then 1 when hour(e.ts) < 16 then 2 else 3 end as period, strftime(e.ts, '%M:%S') as time_in_period, c1.c_name as scoring_player_name, c2.c_name as assist1_player_name, cast(null as varchar) as assist2_player_name, cast(null as varchar) as goalie_player_name, 'wrist' as shot_type, 1 as home_score_at_goal, 0 as away_score_at_goal from events e left join customer c1 on e.user_id = c1.c_custkey left join customer c2 on e.user_id + 1 = c2.c_custkey where e.event_type = 'purchase' order by game_date, e.event_id limit 10",
     "q_report_player_history_sample": "select player_id, team_abbrev, snapshot_date, full_name, position_code, player_group, sweater_number from (with d as (select l.l_returnflag as team_abbrev, cast(l.l_shipdate as date) as snapshot_date, s.s_suppkey, s.s_name, s.s_nationkey as nk, s.s_acctbal, l.l_linenumber, case when s.s_nationkey < 5 then 'G' when s.s_nationkey < 10 then 'D' when s.s_nationkey < 15 then 'C' when s.s_nationkey < 20 then 'L' else 'R' end as pos from lineitem l join supplier s on l.l_suppkey = s.s_suppkey) select cast(s_suppkey as integer) as player_id, team_abbrev, snapshot_date, case when pos in ('C', 'L', 'R') then 'forward' when pos = 'D' then 'defenseman' else 'goalie' end as player_group, s_name as first_name, 'N' || cast(nk as varchar) as last_name, s_name || ' ' || 'N' || cast(nk as varchar) as full_name, nk as sweater_number, pos as position_code, case when s_acctbal >= 0 then 'L' else 'R' end as shoots_catches, 60 + nk as height_inches, 150 + l_linenumber as weight_pounds, cast(date '1990-01-01' + nk as date) as birth_date, 'C' || cast(nk as varchar) as birth_city, 'CAN' as birth_country, 'https://img/' || cast(s_suppkey as varchar) as headshot_url from d) order by snapshot_date desc, team_abbrev, full_name, player_id limit 20",
     "q_report_current_players": "with h as (select c.c_custkey as player_id, o.o_orderpriority as team_abbrev, cast(o.o_orderdate as date) as snapshot_date, case when c.c_acctbal >= 0 then case c.c_mktsegment when 'AUTOMOBILE' then 'C' when 'BUILDING' then 'L' when 'FURNITURE' then 'R' when 'HOUSEHOLD' then 'G' when 'MACHINERY' then 'D' end end as position_code, c.c_name as first_name, c.c_mktsegment as last_name, c.c_name || ' ' || c.c_mktsegment as full_name, c.c_nationkey as sweater_number, 'L' as shoots_catches, 60 + c.c_nationkey as height_inches, 150 + c.c_nationkey as weight_pounds, cast(date '1985-12-31' + c.c_nationkey as date) as birth_date, c.c_mktsegment as birth_city, cast(c.c_nationkey as varchar) as birth_country, 'https://img/' || cast(c.c_custkey as varchar) as headshot_url from orders o join customer c on o.o_custkey = c.c_custkey), g as (select *, case when position_code = 'G' then 'goalie' when position_code = 'D' then 'defenseman' else 'forward' end as player_group from h), s as (select player_id, max(snapshot_date) as latest_date from g group by player_id), cur as (select g.* from g join s on g.player_id = s.player_id and g.snapshot_date = s.latest_date) select player_id, team_abbrev, full_name, position_code, sweater_number, birth_country from cur order by team_abbrev, full_name, player_id limit 20",
     "q_report_current_standings": "with h as (select o_orderpriority as team_abbrev, cast(o_orderdate as date) as snapshot_date, 'Team ' || o_orderpriority as team_name, o_orderstatus as conference_abbrev, 'A' as division_abbrev, cast(dayofmonth(o_orderdate) + 0 as integer) as league_rank, cast(dayofmonth(o_orderdate) + 3 as integer) as games_played, cast(dayofmonth(o_orderdate) + 4 as integer) as wins, cast(dayofmonth(o_orderdate) + 5 as integer) as losses, cast(dayofmonth(o_orderdate) + 6 as integer) as ot_losses, cast(dayofmonth(o_orderdate) + 7 as integer) as points, o_totalprice / 1000000 as point_pct, cast(dayofmonth(o_orderdate) + 12 as integer) as goal_differential, o_orderstatus as streak_code, cast(dayofmonth(o_orderdate) + 25 as integer) as streak_count from orders), s as (select team_abbrev, max(snapshot_date) as latest_date from h group by team_abbrev) select h.league_rank, h.team_abbrev, h.team_name, h.conference_abbrev, h.division_abbrev, h.games_played, h.wins, h.losses, h.ot_losses, h.points, round(h.point_pct, 3) as point_pct, h.goal_differential, h.streak_code || cast(h.streak_count as varchar) as streak from h join s on h.team_abbrev = s.team_abbrev and h.snapshot_date = s.latest_date order by h.league_rank, h.team_abbrev",
