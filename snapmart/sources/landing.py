@@ -12,16 +12,18 @@ documents into an inbox folder); what is rebuilt here is its data logic:
 * R5 past regular-season and playoff games,
 * R6 idempotent append: only keys not yet in the store are written,
 * R7 replace by key: a key's rows are overwritten each run,
-* R9 run counts (new, skipped, failed) observed while the write runs.
+* R9 run counts (new, skipped, failed), exact even when executors are lost.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
+from pyspark.storagelevel import StorageLevel
 
 from ..functions.scalar import path_part
 from ..operators.joins import not_yet_present
@@ -131,42 +133,56 @@ def read_inbox(spark: SparkSession, inbox_root: str, kind: str) -> DataFrame:
     )
 
 
+RUN_ID = "_run_id"
+
+
 def append_new(
     incoming: DataFrame,
     store_path: str,
     keys: list[str],
     partition_by: list[str] | None = None,
+    run_id: str | None = None,
 ) -> dict[str, int]:
     """R6 + R9: append the incoming rows whose keys are not in the store.
 
     Running it twice with the same input writes nothing the second time.
-    Counts are observed on the same job that writes: ``incoming`` (parsed
-    rows), ``failed`` (rows that did not parse), ``new`` (written);
-    ``skipped`` = incoming - failed - new.
+    Counts: ``failed`` rows did not parse, ``new`` were written, ``skipped``
+    were already present.
+
+    The counts stay exact when executors are lost: ``incoming`` and
+    ``failed`` come from a one-row aggregate job over the parsed inbox
+    (whole results, not accumulator updates a re-run stage could apply
+    twice), and ``new`` is
+    counted in the store after the commit, by the run id every written row
+    carries; Parquet statistics prune that filter to this run's files. A
+    failed write commits nothing, so the run can simply be repeated.
     """
     spark = incoming.sparkSession
-    seen = Observation("incoming")
-    done = Observation("new")
+    run_id = run_id or uuid.uuid4().hex
     has_corrupt = "_corrupt_record" in incoming.columns
     failed_col = F.col("_corrupt_record").isNotNull() if has_corrupt else F.lit(False)
-    observed = incoming.observe(
-        seen, F.count(F.lit(1)).alias("incoming"), F.count_if(failed_col).alias("failed")
-    )
-    clean = observed.where(~failed_col)
-    if has_corrupt:
-        clean = clean.drop("_corrupt_record")
-    present = _read_if_exists(spark, store_path)
-    if present is not None:
-        fresh = clean.join(present.select(*keys), on=keys, how="left_anti")
-    else:
-        fresh = clean
-    fresh = fresh.observe(done, F.count(F.lit(1)).alias("new"))
-    w = fresh.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(store_path)
-    s, d = seen.get, done.get
-    n_in, n_failed, n_new = int(s["incoming"]), int(s["failed"]), int(d["new"])
+    # The inbox (one run's delta) is parsed once for the counts and the
+    # write; Spark also requires this before querying the corrupt-record
+    # column of raw JSON. A lost cached block is recomputed from the files.
+    parsed = incoming.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        totals = parsed.agg(
+            F.count(F.lit(1)).alias("incoming"), F.count_if(failed_col).alias("failed")
+        ).first()
+        clean = parsed.where(~failed_col)
+        if has_corrupt:
+            clean = clean.drop("_corrupt_record")
+        present = _read_if_exists(spark, store_path)
+        if present is not None:
+            clean = clean.join(present.select(*keys), on=keys, how="left_anti")
+        w = clean.withColumn(RUN_ID, F.lit(run_id)).write.mode("append")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(store_path)
+    finally:
+        parsed.unpersist()
+    n_new = spark.read.parquet(store_path).where(F.col(RUN_ID) == run_id).count()
+    n_in, n_failed = int(totals["incoming"]), int(totals["failed"])
     return {"new": n_new, "skipped": n_in - n_failed - n_new, "failed": n_failed}
 
 

@@ -115,3 +115,13 @@ def test_build_from_incremental_store(spark, tmp_path):
     for name in ("stg_games", "stg_plays", "fct_plays"):
         cols = [c for c in a[name].columns if c != "details"]
         assert sorted(a[name].select(cols).collect()) == sorted(b[name].select(cols).collect())
+
+
+def test_append_new_counts_come_from_the_store(spark, tmp_path):
+    store = str(tmp_path / "s")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "game_id bigint, v string")
+    assert L.append_new(df, store, ["game_id"], run_id="r1") == {"new": 2, "skipped": 0, "failed": 0}
+    more = spark.createDataFrame([(2, "b"), (3, "c")], "game_id bigint, v string")
+    assert L.append_new(more, store, ["game_id"], run_id="r2") == {"new": 1, "skipped": 1, "failed": 0}
+    got = sorted((r.game_id, r._run_id) for r in spark.read.parquet(store).collect())
+    assert got == [(1, "r1"), (2, "r1"), (3, "r2")]
