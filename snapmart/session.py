@@ -111,8 +111,13 @@ def build_session(
     shuffle_partitions: int | None = None,
     driver_memory: str | None = None,
     extra_conf: dict | None = None,
+    event_log_dir: str | None = None,
 ) -> SparkSession:
-    """Create (or fetch) a session; used by tests, bench and local runs."""
+    """Create (or fetch) a session; used by tests, bench and local runs.
+
+    ``event_log_dir`` writes Spark's event log there (stage and task times
+    for later reading, without the web UI).
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -123,6 +128,10 @@ def build_session(
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if driver_memory:
         conf["spark.driver.memory"] = driver_memory
+    if event_log_dir:
+        conf["spark.eventLog.enabled"] = "true"
+        conf["spark.eventLog.dir"] = event_log_dir
+        conf["spark.eventLog.compress"] = "false"
     if extra_conf:
         conf.update(extra_conf)
     for k, v in conf.items():
