@@ -54,20 +54,30 @@ def _history(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
 
 
 def load_models(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    """Stored tables plus the two views, by model name."""
+    """Stored tables plus the two current views, by model name.
+
+    Every model is also registered as a temp view under its name, so SQL
+    written against the models runs as it is through ``spark.sql`` (for
+    example ``select event_type, count(*) filter (where period = 1) ...
+    from stg_plays``). Two dialect differences: ``::varchar`` is written
+    ``::string``, and Spark sorts NULLs first when ascending unless the SQL
+    says ``NULLS LAST`` (the report functions always do).
+    """
     t = {
         "stg_games": read_table(spark, warehouse, "stg_games", TABLE_COLUMNS["stg_games"]),
         "stg_plays": read_table(spark, warehouse, "stg_plays", TABLE_COLUMNS["stg_plays"]),
         "stg_players_history": _history(spark, warehouse, "stg_players_history"),
         "stg_standings_history": _history(spark, warehouse, "stg_standings_history"),
     }
-    t["stg_players"] = register_view(staging.stg_players(t["stg_players_history"]), "stg_players")
-    t["stg_standings"] = register_view(staging.stg_standings(t["stg_standings_history"]), "stg_standings")
+    t["stg_players"] = staging.stg_players(t["stg_players_history"])
+    t["stg_standings"] = staging.stg_standings(t["stg_standings_history"])
     for name in ("dim_teams", "dim_players", "fct_plays"):
         try:
             t[name] = read_table(spark, warehouse, name, TABLE_COLUMNS[name])
         except Exception:  # not built yet
             pass
+    for name, df in t.items():
+        register_view(df, name)
     return t
 
 

@@ -253,3 +253,21 @@ def test_newest_snapshot_prunes_partitions_and_goal_filter_reaches_scan(built):
     assert {str(r.snapshot_date) for r in newest.collect()} == {"2024-10-02"}
     pushed = re.findall(r"PushedFilters: \[[^\]]*\]", _plan(reports.first_goals(m["fct_plays"])))
     assert any("EqualTo(event_type,goal)" in p for p in pushed)
+
+
+def test_models_answer_sql_by_name(spark, built):
+    """Report SQL written against the models runs through spark.sql."""
+    _, _, m, _ = built
+    got = spark.sql(
+        "select event_type, count(*) as total_events, "
+        "count(*) filter (where period = 1) as p1, count(*) filter (where period = 2) as p2, "
+        "count(*) filter (where period = 3) as p3 from stg_plays group by event_type"
+    )
+    want = reports.event_type_breakdown(m["stg_plays"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    s = spark.sql(
+        "select league_rank, streak_code || streak_count::string as streak from stg_standings "
+        "order by league_rank"
+    ).collect()
+    assert [r.streak for r in s] == ["W2", "W2", "W2"]
+    assert spark.sql("select count(*) as n from fct_plays where event_type = 'goal'").first().n == 2
