@@ -172,6 +172,8 @@ def invariants(tables: dict[str, DataFrame]) -> DataFrame:
     ``check_name, failures`` (0 = holds).
 
     * ``(game_id, event_id)`` is unique in ``stg_plays`` and in ``fct_plays``;
+    * the histories hold one row per ``(player_id, team_abbrev,
+      snapshot_date)`` and per ``(team_abbrev, snapshot_date)``;
     * ``fct_plays`` has exactly as many rows as ``stg_plays`` (a player
       listed twice on the latest date multiplies plays; the difference is
       reported as failures).
@@ -185,6 +187,15 @@ def invariants(tables: dict[str, DataFrame]) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("failures"))
         .select(F.lit("unique_fct_plays_game_event").alias("check_name"), "failures"),
     ]
+    for model, cols, name in (
+        ("stg_players_history", ["player_id", "team_abbrev", "snapshot_date"], "unique_players_history_key"),
+        ("stg_standings_history", ["team_abbrev", "snapshot_date"], "unique_standings_history_key"),
+    ):
+        parts.append(
+            unique_combination_failures(tables[model], cols)
+            .agg(F.count(F.lit(1)).alias("failures"))
+            .select(F.lit(name).alias("check_name"), "failures")
+        )
     # +1 per play, -1 per fact row: one partial-aggregated pass over both.
     signed = tables["stg_plays"].select(F.lit(1).alias("side")).unionByName(
         tables["fct_plays"].select(F.lit(-1).alias("side"))

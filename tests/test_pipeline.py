@@ -217,7 +217,8 @@ def test_invariants_show_tied_snapshot(built):
     got = {r.check_name: r.failures for r in invariants(m).collect()}
     # P6 is on two rosters on the latest date (E2): two plays name him, so
     # two (game, event) keys repeat in the fact and it has 2 extra rows.
-    assert got == {"unique_stg_plays_game_event": 0, "unique_fct_plays_game_event": 2,
+    assert got == {"unique_players_history_key": 0, "unique_standings_history_key": 0,
+                   "unique_stg_plays_game_event": 0, "unique_fct_plays_game_event": 2,
                    "fct_rows_equal_plays": 2}
 
 
