@@ -33,3 +33,24 @@ def test_entry_contract(spark):
     assert df.columns == ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                           "order_date", "customer_name", "supplier_name", "customer_nation",
                           "supplier_nation"]
+
+
+def test_command_line_build_test_report(tmp_path):
+    from .docs_fixture import write_store
+
+    raw = write_store(str(tmp_path / "raw"))
+    wh = str(tmp_path / "wh")
+
+    def run(*args, check=True):
+        return subprocess.run(
+            [sys.executable, "-m", "snapmart", "--master", "local[2]", *args], cwd=ROOT,
+            capture_output=True, text=True, timeout=600, check=check,
+        )
+
+    out = run("build", "--raw-root", raw, "--warehouse", wh, "--as-of", "2026-06-30").stdout
+    assert "fct_plays: 12 rows" in out
+    res = run("test", "--warehouse", wh, check=False)
+    assert res.returncode == 1                      # the fixture's edge rows fail some tests
+    assert "25 passed, 12 failed" in res.stdout
+    rep = run("report", "--warehouse", wh, "unknown_event_types").stdout
+    assert "weird-event" in rep
