@@ -13,6 +13,7 @@ when there is none).
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
 
@@ -42,11 +43,10 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("--checkpoint", required=True)
     args = p.parse_args(argv)
 
-    if args.master is None:
-        from pyspark import SparkConf
-
-        if not SparkConf().contains("spark.master"):   # not under spark-submit
-            args.master = "local[*]"
+    # Under spark-submit the driver starts with a gateway to the cluster's JVM
+    # (PYSPARK_GATEWAY_PORT) and keeps its master; a plain run gets local[*].
+    if args.master is None and "PYSPARK_GATEWAY_PORT" not in os.environ:
+        args.master = "local[*]"
     spark = _session(args)
     from .plans import build as B
     from .plans import reports
