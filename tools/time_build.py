@@ -1,7 +1,7 @@
 """Time the whole pipeline (JSON -> staging -> marts -> data tests) on a
 generated season-sized store in a fresh temporary folder.
 
-    python tools/bench_pipeline.py [games] [plays_per_game] [days]
+    python tools/time_build.py [games] [plays_per_game] [days]
 
 Prints one JSON line with the store size and the seconds per build step.
 The store is generated, so this is a timing aid, not a correctness check.
