@@ -34,6 +34,8 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--pbp-store", default=None)
     t = sub.add_parser("test", help="run the declared data tests on the built models")
     t.add_argument("--warehouse", required=True)
+    t.add_argument("--show-failures", action="store_true",
+                   help="print up to 20 failing rows of each failed test")
     r = sub.add_parser("report", help="print the reports")
     r.add_argument("--warehouse", required=True)
     r.add_argument("names", nargs="*")
@@ -50,7 +52,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session(args)
     from .plans import build as B
     from .plans import reports
-    from .plans.quality import run_suite
+    from .plans.quality import SUITE, failures, run_suite
 
     if args.command == "build":
         models = B.build(spark, args.raw_root, args.warehouse, args.as_of, pbp_store=args.pbp_store)
@@ -58,12 +60,16 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{name}: {models[name].count()} rows")
         return 0
     if args.command == "test":
-        results = run_suite(B.load_models(spark, args.warehouse)).orderBy("model", "test_id")
+        models = B.load_models(spark, args.warehouse)
+        results = run_suite(models).orderBy("model", "test_id")
         rows = results.collect()      # one row per declared test (37)
         failed = [r for r in rows if r.failures]
+        by_id = {t.test_id: t for t in SUITE}
         for r in rows:
             status = "FAIL" if r.failures else "PASS"
             print(f"{status} {r.test_id} ({r.failures})")
+            if r.failures and args.show_failures:
+                failures(by_id[r.test_id], models).show(20, truncate=False)
         print(f"{len(rows) - len(failed)} passed, {len(failed)} failed")
         return 1 if failed else 0
     if args.command == "report":

@@ -49,8 +49,19 @@ def test_command_line_build_test_report(tmp_path):
 
     out = run("build", "--raw-root", raw, "--warehouse", wh, "--as-of", "2026-06-30").stdout
     assert "fct_plays: 12 rows" in out
-    res = run("test", "--warehouse", wh, check=False)
+    res = run("test", "--warehouse", wh, "--show-failures", check=False)
     assert res.returncode == 1                      # the fixture's edge rows fail some tests
     assert "25 passed, 12 failed" in res.stdout
+    assert "weird-event" in res.stdout              # a failing accepted_values row
     rep = run("report", "--warehouse", wh, "unknown_event_types").stdout
     assert "weird-event" in rep
+
+
+def test_plans_doc_lists_every_registered_query():
+    import re
+
+    import __spark_entry__ as e
+
+    with open(os.path.join(ROOT, "PLANS.md"), encoding="utf-8") as f:
+        listed = set(re.findall(r"^(q_\w+):", f.read(), flags=re.M))
+    assert listed == set(e.queries())
