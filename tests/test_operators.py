@@ -268,3 +268,32 @@ def test_role_join_by_id_sets_splits_the_all_null_tuple(spark):
         assert out.where("a is null and b is null and (a_name is not null or b_name is not null)").count() == 0
         assert out.where("a is not null and a < 600").where("a_name is null").count() == 0
         assert out.where("b >= 600").where("b_name is not null").count() == 0
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_unnest_tagged_and_top_k_against_python(spark, seed):
+    rng = random.Random(seed)
+
+    def lst():
+        r = rng.random()
+        if r < 0.15:
+            return None
+        if r < 0.3:
+            return []
+        return [rng.choice(["a", "b", None, "c"]) for _ in range(rng.randint(1, 4))]
+
+    rows = [(i, lst(), lst(), lst()) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, x array<string>, y array<string>, z array<string>")
+    out = unnest_tagged(df, [("x", F.col("x")), ("y", F.col("y")), ("z", F.col("z"))],
+                        "item", "tag", keep=["id"])
+    want = [(i, v, t) for i, *ls in rows for t, l in zip("xyz", ls) for v in (l or [])]
+    assert _canon([tuple(r) for r in out.collect()]) == _canon(want)
+
+    vals = [(i, rng.choice([None, 1, 2, 2, 3, 5, 8])) for i in range(300)]
+    tdf = spark.createDataFrame(vals, "id int, v int")
+    asc = [(v, i) for i, v in sorted(vals, key=lambda p: (p[1] is None, p[1] if p[1] is not None else 0, p[0]))][:40]
+    got = [(r.v, r.id) for r in top_k(tdf, 40, "v", "id").collect()]
+    assert got == asc
+    desc = [(v, i) for i, v in sorted(vals, key=lambda p: (p[1] is None, -(p[1] or 0), p[0]))][:40]
+    got = [(r.v, r.id) for r in top_k(tdf, 40, ("v", "desc"), "id").collect()]
+    assert got == desc
