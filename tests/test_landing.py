@@ -125,3 +125,19 @@ def test_append_new_counts_come_from_the_store(spark, tmp_path):
     assert L.append_new(more, store, ["game_id"], run_id="r2") == {"new": 1, "skipped": 1, "failed": 0}
     got = sorted((r.game_id, r._run_id) for r in spark.read.parquet(store).collect())
     assert got == [(1, "r1"), (2, "r1"), (3, "r2")]
+
+
+def test_append_new_partitioned_by_snapshot(spark, tmp_path):
+    import datetime as dt
+
+    store = str(tmp_path / "snap")
+    d1, d2 = dt.date(2024, 10, 1), dt.date(2024, 10, 2)
+    day1 = spark.createDataFrame([("AAA", d1), ("BBB", d1)], "team string, snapshot_date date")
+    assert L.append_new(day1, store, ["team", "snapshot_date"], partition_by=["snapshot_date"]) == \
+        {"new": 2, "skipped": 0, "failed": 0}
+    day2 = spark.createDataFrame([("AAA", d1), ("AAA", d2)], "team string, snapshot_date date")
+    assert L.append_new(day2, store, ["team", "snapshot_date"], partition_by=["snapshot_date"]) == \
+        {"new": 1, "skipped": 1, "failed": 0}
+    parts = sorted(n for n in os.listdir(store) if n.startswith("snapshot_date="))
+    assert parts == ["snapshot_date=2024-10-01", "snapshot_date=2024-10-02"]
+    assert spark.read.parquet(store).count() == 3
