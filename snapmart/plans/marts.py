@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import json as J
-from ..functions.scalar import height_display, position_group, year_crossings
+from ..functions.scalar import height_display, height_display_floor, position_group, year_crossings
 from ..operators.joins import DEFAULT_BROADCAST_ROWS, bounded_flags, left_lookup, role_join
 
 # Output columns of the team dimension, in order.
@@ -34,7 +34,10 @@ DIM_PLAYERS_BASE = [
     "player_group", "sweater_number", "shoots_catches", "height_inches", "weight_pounds",
     "birth_date", "birth_city", "birth_country", "headshot_url",
 ]
-DIM_PLAYERS_COLUMNS = DIM_PLAYERS_BASE + ["age", "position_group", "height_display"]
+# The reference's 18 columns, plus height_display_floor (survey decision D1).
+DIM_PLAYERS_COLUMNS = DIM_PLAYERS_BASE + [
+    "age", "position_group", "height_display", "height_display_floor",
+]
 
 
 def _as_of(as_of: dt.date | str | Column | None) -> Column:
@@ -50,14 +53,15 @@ def dim_players(stg_players: DataFrame, as_of: dt.date | str | Column | None = N
     default today), ``position_group`` and ``height_display``.
 
     ``height_display`` keeps the reference's half-even feet (71 inches shows
-    ``6'11"``); :func:`snapmart.functions.scalar.height_display_floor` is the
-    arithmetically right one.
+    ``6'11"``); ``height_display_floor`` beside it is the arithmetically
+    right one (``5'11"``).
     """
     return stg_players.select(
         *DIM_PLAYERS_BASE,
         year_crossings("birth_date", _as_of(as_of)).alias("age"),
         position_group("position_code").alias("position_group"),
         height_display("height_inches").alias("height_display"),
+        height_display_floor("height_inches").alias("height_display_floor"),
     )
 
 

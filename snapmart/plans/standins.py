@@ -491,7 +491,7 @@ STANDIN_ORACLE_SQL = {
     "q_model_games": "with g as (select o_orderkey as game_id, year(o_orderdate) as season, case when o_orderstatus = 'F' then 2 when o_orderstatus = 'O' then 3 else 1 end::bigint as game_type, cast(o_orderdate as date) as game_date, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as start_time_utc, case when o_orderstatus = 'F' then 'OFF' when o_orderstatus = 'O' then 'LIVE' else 'PRE' end as game_state, 'OK' as game_schedule_state, o_orderpriority as venue, cast(null as varchar) as venue_location, cast(dayofweek(o_orderdate) + 1 as integer) as away_team_id, o_orderstatus as away_team_abbrev, o_orderpriority as away_team_name, cast(o_totalprice / 100000 as integer) as away_score, cast(dayofmonth(o_orderdate) as integer) as away_sog, cast(month(o_orderdate) as integer) as home_team_id, o_orderpriority as home_team_abbrev, o_orderstatus as home_team_name, cast(dayofweek(o_orderdate) + 1 as integer) as home_score, 30 as home_sog, case o_orderstatus when 'F' then 'REG' when 'O' then 'OT' when 'P' then 'SO' end as last_period_type, cast(3 as bigint) as reg_periods, o_orderstatus <> 'P' as ot_in_use, cast(null as boolean) as shootout_in_use from orders) select *, away_score > home_score as away_win, home_score > away_score as home_win, abs(home_score - away_score) as goal_diff from g",
     "q_model_player_history": "with d as (select l.l_returnflag as team_abbrev, cast(l.l_shipdate as date) as snapshot_date, s.s_suppkey, s.s_name, s.s_nationkey as nk, s.s_acctbal, l.l_linenumber, case when s.s_nationkey < 5 then 'G' when s.s_nationkey < 10 then 'D' when s.s_nationkey < 15 then 'C' when s.s_nationkey < 20 then 'L' else 'R' end as pos from lineitem l join supplier s on l.l_suppkey = s.s_suppkey) select cast(s_suppkey as integer) as player_id, team_abbrev, snapshot_date, case when pos in ('C', 'L', 'R') then 'forward' when pos = 'D' then 'defenseman' else 'goalie' end as player_group, s_name as first_name, 'N' || cast(nk as varchar) as last_name, s_name || ' ' || 'N' || cast(nk as varchar) as full_name, nk as sweater_number, pos as position_code, case when s_acctbal >= 0 then 'L' else 'R' end as shoots_catches, 60 + nk as height_inches, 150 + l_linenumber as weight_pounds, cast(date '1990-01-01' + nk as date) as birth_date, 'C' || cast(nk as varchar) as birth_city, 'CAN' as birth_country, 'https://img/' || cast(s_suppkey as varchar) as headshot_url from d",
     "q_model_standings_history": "select o_orderpriority as team_abbrev, cast(o_orderdate as date) as snapshot_date, cast(year(o_orderdate) as integer) as season_id, 'Team ' || o_orderpriority as team_name, o_orderstatus as team_common_name, case when o_orderstatus = 'F' then 'Eastern' else 'Western' end as conference_name, o_orderstatus as conference_abbrev, 'Atlantic' as division_name, 'A' as division_abbrev, cast(dayofmonth(o_orderdate) + 0 as integer) as league_rank, cast(dayofmonth(o_orderdate) + 1 as integer) as conference_rank, cast(dayofmonth(o_orderdate) + 2 as integer) as division_rank, cast(dayofmonth(o_orderdate) + 3 as integer) as games_played, cast(dayofmonth(o_orderdate) + 4 as integer) as wins, cast(dayofmonth(o_orderdate) + 5 as integer) as losses, cast(dayofmonth(o_orderdate) + 6 as integer) as ot_losses, cast(dayofmonth(o_orderdate) + 7 as integer) as points, o_totalprice / 1000000 as point_pct, cast(dayofmonth(o_orderdate) + 8 as integer) as regulation_wins, cast(dayofmonth(o_orderdate) + 9 as integer) as regulation_ot_wins, cast(dayofmonth(o_orderdate) + 10 as integer) as goals_for, cast(dayofmonth(o_orderdate) + 11 as integer) as goals_against, cast(dayofmonth(o_orderdate) + 12 as integer) as goal_differential, cast(dayofmonth(o_orderdate) + 13 as integer) as home_wins, cast(dayofmonth(o_orderdate) + 14 as integer) as home_losses, cast(dayofmonth(o_orderdate) + 15 as integer) as home_ot_losses, cast(dayofmonth(o_orderdate) + 16 as integer) as home_points, cast(dayofmonth(o_orderdate) + 17 as integer) as road_wins, cast(dayofmonth(o_orderdate) + 18 as integer) as road_losses, cast(dayofmonth(o_orderdate) + 19 as integer) as road_ot_losses, cast(dayofmonth(o_orderdate) + 20 as integer) as road_points, cast(dayofmonth(o_orderdate) + 21 as integer) as l10_wins, cast(dayofmonth(o_orderdate) + 22 as integer) as l10_losses, cast(dayofmonth(o_orderdate) + 23 as integer) as l10_ot_losses, cast(dayofmonth(o_orderdate) + 24 as integer) as l10_points, o_orderstatus as streak_code, cast(dayofmonth(o_orderdate) + 25 as integer) as streak_count, cast(dayofmonth(o_orderdate) + 26 as integer) as wildcard_sequence, 'https://logo/' || o_orderpriority as team_logo_url from orders",
-    "q_model_dim_players": "with h as (select c.c_custkey as player_id, o.o_orderpriority as team_abbrev, cast(o.o_orderdate as date) as snapshot_date, case when c.c_acctbal >= 0 then case c.c_mktsegment when 'AUTOMOBILE' then 'C' when 'BUILDING' then 'L' when 'FURNITURE' then 'R' when 'HOUSEHOLD' then 'G' when 'MACHINERY' then 'D' end end as position_code, c.c_name as first_name, c.c_mktsegment as last_name, c.c_name || ' ' || c.c_mktsegment as full_name, c.c_nationkey as sweater_number, 'L' as shoots_catches, 60 + c.c_nationkey as height_inches, 150 + c.c_nationkey as weight_pounds, cast(date '1985-12-31' + c.c_nationkey as date) as birth_date, c.c_mktsegment as birth_city, cast(c.c_nationkey as varchar) as birth_country, 'https://img/' || cast(c.c_custkey as varchar) as headshot_url from orders o join customer c on o.o_custkey = c.c_custkey), g as (select *, case when position_code = 'G' then 'goalie' when position_code = 'D' then 'defenseman' else 'forward' end as player_group from h), s as (select player_id, max(snapshot_date) as latest_date from g group by player_id), cur as (select g.* from g join s on g.player_id = s.player_id and g.snapshot_date = s.latest_date) select player_id, team_abbrev, full_name, first_name, last_name, position_code, player_group, sweater_number, shoots_catches, height_inches, weight_pounds, birth_date, birth_city, birth_country, headshot_url, date_diff('year', birth_date, date '2026-06-30') as age, case when position_code = 'G' then 'Goalie' when position_code in ('L', 'R', 'C') then 'Forward' when position_code = 'D' then 'Defenseman' else 'Unknown' end as position_group, case when height_inches is not null then cast(height_inches / 12 as integer) || '''' || cast(height_inches % 12 as integer) || '\"' end as height_display from cur",
+    "q_model_dim_players": "with h as (select c.c_custkey as player_id, o.o_orderpriority as team_abbrev, cast(o.o_orderdate as date) as snapshot_date, case when c.c_acctbal >= 0 then case c.c_mktsegment when 'AUTOMOBILE' then 'C' when 'BUILDING' then 'L' when 'FURNITURE' then 'R' when 'HOUSEHOLD' then 'G' when 'MACHINERY' then 'D' end end as position_code, c.c_name as first_name, c.c_mktsegment as last_name, c.c_name || ' ' || c.c_mktsegment as full_name, c.c_nationkey as sweater_number, 'L' as shoots_catches, 60 + c.c_nationkey as height_inches, 150 + c.c_nationkey as weight_pounds, cast(date '1985-12-31' + c.c_nationkey as date) as birth_date, c.c_mktsegment as birth_city, cast(c.c_nationkey as varchar) as birth_country, 'https://img/' || cast(c.c_custkey as varchar) as headshot_url from orders o join customer c on o.o_custkey = c.c_custkey), g as (select *, case when position_code = 'G' then 'goalie' when position_code = 'D' then 'defenseman' else 'forward' end as player_group from h), s as (select player_id, max(snapshot_date) as latest_date from g group by player_id), cur as (select g.* from g join s on g.player_id = s.player_id and g.snapshot_date = s.latest_date) select player_id, team_abbrev, full_name, first_name, last_name, position_code, player_group, sweater_number, shoots_catches, height_inches, weight_pounds, birth_date, birth_city, birth_country, headshot_url, date_diff('year', birth_date, date '2026-06-30') as age, case when position_code = 'G' then 'Goalie' when position_code in ('L', 'R', 'C') then 'Forward' when position_code = 'D' then 'Defenseman' else 'Unknown' end as position_group, case when height_inches is not null then cast(height_inches / 12 as integer) || '''' || cast(height_inches % 12 as integer) || '\"' end as height_display, case when height_inches is not null then cast(floor(height_inches / 12) as integer) || '''' || cast(height_inches % 12 as integer) || '\"' end as height_display_floor from cur",
     "q_landing_completed_ids": "select distinct o_orderkey as game_id from orders where o_orderstatus in ('F', 'P') order by game_id",
     "q_landing_past_games": "select o_orderkey as game_id, cast(o_orderdate as date) as game_date, case when o_orderstatus = 'F' then 2 when o_orderstatus = 'O' then 3 else 1 end::bigint as game_type from orders where cast(o_orderdate as date) < date '1996-01-01' and o_orderstatus in ('F', 'O') order by game_date, game_id",
     "q_landing_newest_teams": "select o_orderpriority as team_abbrev from orders where cast(o_orderdate as date) = (select max(cast(o_orderdate as date)) from orders)",

@@ -41,7 +41,7 @@ def test_columns_match_reference_shapes(built):
     assert m["stg_plays"].columns == staging.PLAYS_COLUMNS
     assert len(m["stg_standings_history"].columns) == 39
     assert len(m["stg_players_history"].columns) == 16
-    assert len(m["dim_players"].columns) == 18
+    assert len(m["dim_players"].columns) == 19      # 18 of the reference + height_display_floor
     assert m["fct_plays"].columns == marts.FCT_PLAYS_COLUMNS and len(marts.FCT_PLAYS_COLUMNS) == 54
 
 
@@ -95,6 +95,8 @@ def test_dim_players_derivations(built):
     grp = {k[0]: r.position_group for k, r in got.items()}
     assert grp == {1: "Forward", 2: "Forward", 3: "Defenseman", 4: "Goalie",
                    5: "Forward", 6: "Unknown", 7: "Unknown", 8: "Forward"}     # E13
+    floor = {k[0]: r.height_display_floor for k, r in got.items()}
+    assert (floor[1], floor[2], floor[5], floor[7]) == ("5'11\"", "6'0\"", "5'6\"", None)
     assert got[(8, "AAA")].full_name is None                                   # E14
     assert got[(1, "AAA")].age == 26
 
