@@ -152,10 +152,11 @@ def append_new(
     The counts stay exact when executors are lost: ``incoming`` and
     ``failed`` come from a one-row aggregate job over the parsed inbox
     (whole results, not accumulator updates a re-run stage could apply
-    twice), and ``new`` is
-    counted in the store after the commit, by the run id every written row
-    carries; Parquet statistics prune that filter to this run's files. A
-    failed write commits nothing, so the run can simply be repeated.
+    twice), and ``new`` is counted in the store after the commit, by the
+    run id every written row carries; Parquet statistics prune that filter
+    to this run's files. ``run_id`` must be new for each run (the default is
+    a fresh uuid). A failed write commits nothing, so the run can simply be
+    repeated.
     """
     spark = incoming.sparkSession
     run_id = run_id or uuid.uuid4().hex
