@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmart.llm import fingerprints, mixing, packing
+from snapmart.llm import fingerprints, mixing, ngram_join, packing
 from snapmart.llm.common import documents
 
 #: File of the packing vocabulary; a parameter, never part of the repository.
@@ -20,6 +20,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return ngram_join.jaccard_components(documents(spark, sf_dir))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     return mixing.mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -36,6 +41,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_ngram_join": op3_ngram_join,
     "op7_mixing": op7_mixing,
     "op8_fingerprints": op8_fingerprints,
     "op9_packing": op9_packing,
