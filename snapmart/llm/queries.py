@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmart.llm import fingerprints, mixing, ngram_join, packing
+from pyspark.sql import functions as F
+
+from snapmart.llm import fingerprints, mixing, ngram_join, packing, toxicity
 from snapmart.llm.common import documents
 
 #: File of the packing vocabulary; a parameter, never part of the repository.
@@ -20,6 +22,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned outside the held-out fold."""
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    held_out = F.coalesce(toxicity.fold() == 2, F.lit(False))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    scored = toxicity.score_documents(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"), F.size("passages").alias("n_passages"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return ngram_join.jaccard_components(documents(spark, sf_dir))
@@ -41,6 +53,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_ngram_join": op3_ngram_join,
     "op7_mixing": op7_mixing,
     "op8_fingerprints": op8_fingerprints,
