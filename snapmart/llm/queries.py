@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from snapmart.llm import fingerprints, mixing, ngram_join, packing, toxicity
+from snapmart.llm import fingerprints, mixing, ngram_join, packing, pii, toxicity
 from snapmart.llm.common import documents
 
 #: File of the packing vocabulary; a parameter, never part of the repository.
@@ -37,6 +37,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, sf_dir))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every document."""
+    return pii.find_spans(documents(spark, sf_dir))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     return mixing.mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -55,6 +60,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_ngram_join": op3_ngram_join,
+    "op5_pii": op5_pii,
     "op7_mixing": op7_mixing,
     "op8_fingerprints": op8_fingerprints,
     "op9_packing": op9_packing,
