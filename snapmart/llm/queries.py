@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from snapmart.llm import fingerprints, mixing, ngram_join, packing, pii, toxicity
+from snapmart.llm import fingerprints, mixing, ngram_join, packing, pii, toxicity, url_filter, warc
 from snapmart.llm.common import documents
 
 #: File of the packing vocabulary; a parameter, never part of the repository.
@@ -37,11 +37,21 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, sf_dir))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    return url_filter.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), "page_id")
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of every document."""
     return pii.find_spans(documents(spark, sf_dir))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page after a round trip through WARC archives."""
+    return warc.archive_round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet")).drop("status")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     return mixing.mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -60,10 +70,27 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_ngram_join": op3_ngram_join,
+    "op4_url_filter": op4_url_filter,
     "op5_pii": op5_pii,
+    "op6_warc": op6_warc,
     "op7_mixing": op7_mixing,
     "op8_fingerprints": op8_fingerprints,
     "op9_packing": op9_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Only what SQL can state and DuckDB runs on whole tables in little time.
+ORACLE_SQL: dict[str, str] = {
+    "op6_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), r AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS newest
+            FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN newest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN newest <> page_id THEN newest END AS refers_to
+        FROM r
+    """,
+}
