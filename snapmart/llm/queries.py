@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from snapmart.llm import fingerprints, mixing, ngram_join, packing, pii, toxicity, url_filter, warc
+from snapmart.llm import fingerprints, mixing, ngram_join, packing, pii, quality, tool_calls, toxicity, url_filter, warc
 from snapmart.llm.common import documents
 
 #: File of the packing vocabulary; a parameter, never part of the repository.
@@ -22,6 +22,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of ``conversations`` as a call, linked to the turn that answers it."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return tool_calls.link_tool_calls(tool_calls.turns_as_messages(turns), tool_calls.TURN_TOOLS)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned outside the held-out fold."""
     docs = documents(spark, sf_dir)
@@ -67,7 +73,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path())
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base values and verdict of every document."""
+    return quality.quality(documents(spark, sf_dir)).drop("lost")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_tool_calls": op1_tool_calls,
     "op2_toxicity": op2_toxicity,
     "op3_ngram_join": op3_ngram_join,
     "op4_url_filter": op4_url_filter,
@@ -76,10 +88,75 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": op7_mixing,
     "op8_fingerprints": op8_fingerprints,
     "op9_packing": op9_packing,
+    "op10_quality": op10_quality,
 }
 
 #: Only what SQL can state and DuckDB runs on whole tables in little time.
 ORACLE_SQL: dict[str, str] = {
+    "op1_tool_calls": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(text, '') AS text, text AS raw,
+                CASE role WHEN 'user' THEN 'ask' WHEN 'assistant' THEN 'answer' WHEN 'system' THEN 'configure' ELSE role END AS name,
+                CASE role WHEN 'user' THEN 60 WHEN 'assistant' THEN 150 WHEN 'system' THEN 15 END AS most,
+                'call-' || conv_id || '-' || turn AS call_id,
+                CASE WHEN turn > 0 THEN 'call-' || conv_id || '-' || (turn - 1) END AS before
+            FROM conversations
+        ), c AS (
+            SELECT t.*, len(list_filter(string_split_regex(t.text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
+                a.turn AS result_turn, a.raw AS output, p.call_id AS known
+            FROM t LEFT JOIN t a ON a.before = t.call_id LEFT JOIN t p ON t.before = p.call_id
+        )
+        SELECT conv_id, turn, 0 AS position, call_id, name, 0 AS level, CAST(before IS NOT NULL AS BIGINT) AS n_needs, result_turn,
+            concat_ws('; ',
+                CASE WHEN before IS NOT NULL AND known IS NULL THEN 'needs an unknown call' END,
+                CASE WHEN result_turn IS NULL THEN 'has no result' END,
+                CASE WHEN most IS NULL THEN 'unknown tool ' || coalesce(name, 'null') END,
+                CASE WHEN most IS NOT NULL AND words < 1 THEN 'words is below 1' END,
+                CASE WHEN words > most THEN 'words is above ' || most END) AS errors,
+            '{"arguments":{' || CASE WHEN before IS NULL THEN '' ELSE '"after":["' || before || '"],' END
+                || '"text":' || CAST(to_json(text) AS VARCHAR) || ',"words":' || words || '},"id":"' || call_id
+                || '","name":' || coalesce(CAST(to_json(name) AS VARCHAR), 'null')
+                || ',"output":' || coalesce(CAST(to_json(output) AS VARCHAR), 'null') || '}' AS canonical
+        FROM c
+    """,
+    "op10_quality": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents
+        ), e AS (
+            SELECT k, doc_id, text,
+                list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+                list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM d
+        ), g AS (
+            SELECT *, list_filter(lines, lambda x:
+                regexp_matches(x, '[.!?…:;"'')\]»”。][\x20\x09-\x0D]*$')
+                AND NOT regexp_matches(x, '[|>»›•·][^|>»›•·]*[|>»›•·]')
+                AND NOT regexp_matches(x, '(?i)(all rights reserved|cookie policy|privacy policy|terms of (use|service)|accept (all )?cookies|enable javascript|lorem ipsum|subscribe to our newsletter|sign up for|log ?in to|click here|share (this|on)|follow us on|skip to (main )?content|copyright ©)')
+            ) AS good
+            FROM e
+        ), w AS (
+            SELECT k, unnest(words) AS a, generate_subscripts(words, 1) AS i FROM e
+        ), w3 AS (
+            SELECT k, i, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY k ORDER BY i)
+        ), twice AS (
+            SELECT k, i, c IS NOT NULL AND count(*) OVER (PARTITION BY k, a, b, c) > 1 AS hit FROM w3
+        ), covered AS (
+            SELECT k, bool_or(hit) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS inside FROM twice
+        ), n AS (
+            SELECT k, count(*) FILTER (inside) AS n_repeat_words FROM covered GROUP BY k
+        ), v AS (
+            SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+                length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+                len(lines) - len(good) AS n_bad_lines,
+                length(array_to_string(lines, '')) AS size, length(array_to_string(good, '')) AS left_over
+            FROM g LEFT JOIN n USING (k)
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_bad_lines,
+            n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+            NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND (size = 0 OR 2 * left_over >= size) AS kept
+        FROM v
+    """,
     "op6_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
