@@ -499,3 +499,17 @@ def name_components(sets: DataFrame, first: DataFrame, joined: DataFrame) -> Dat
     out = sets.join(by_class, "cls", "left")
     ids = [F.nullif(c, F.lit(NO_ID)) for c in (F.col("doc_id"), F.coalesce("component_id", "doc_id"))]
     return out.select(ids[0].alias("doc_id"), "n_shingles", ids[1].alias("component_id"), F.col("cls").alias("class_id"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One document of each component, the one with the smallest id; columns unchanged.
+
+    Repeats of that row stay once. Rows without an id cannot be told apart by
+    it; where only such rows are in a component, each different text stays.
+    """
+    found = store(jaccard_components(docs), "components")
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
+    out = docs.join(kept.distinct(), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_kept")), "left_semi")
+    if kept.groupBy("_kept").count().filter("count > 1").isEmpty():
+        return out
+    return out.dropDuplicates(["doc_id", "text"])
