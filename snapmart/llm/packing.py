@@ -24,11 +24,14 @@ Extra columns are not read.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator, Mapping
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,50 +42,76 @@ MIN_PIECE = 256
 PART_TOKENS = 1 << 21
 #: Words whose ids a worker remembers at most.
 CACHE_WORDS = 400_000
+_RUNS = regex.compile(r"\p{L}+|\P{L}+")
+_NUMBER = regex.compile(r"\p{N}")
 
 
 class WordTokenizer:
     """Ids of whole texts, one lookup per word.
 
-    The vocabulary's own rules split at white space, so the ids of a text are
-    those of its words in order. Every new word is encoded by the tokenizer:
-    words of letters only in one joined call (each is one pre-token, so its
-    last id carries the end-of-word mark), all others one by one.
+    For vocabularies whose own rules split at white space and between letters
+    and signs, and mark the end of a word: the ids of a text are those of its
+    words in order, and the ids of a word without numbers and apostrophes are
+    those of its runs of letters and of signs. New runs of letters are encoded
+    together in one call with white space between them (lower-cased and
+    composed already, so the rules that do this are left out); the last id of
+    each carries the end-of-word mark. Everything else new is encoded one by
+    one by the whole tokenizer. What is known is kept in two generations, so
+    common words stay when memory is full.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.letters = Tokenizer(self.tokenizer.model)
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), level])
         self.end = np.array([end_id], "<u4").tobytes()
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
         self.closes[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known.clear()
-        stems = {w: w[:-1] for w in words if w[-1:] in (b".", b",") and w[:-1].decode().isalpha()}
-        whole = [w for w in words if w.decode().isalpha()]
-        rest = list({*words}.difference(stems, whole))
-        joined = list(dict.fromkeys([*whole, *(s for s in stems.values() if s not in self.known)]))
-        for at in range(0, len(joined), 512):
-            some = joined[at : at + 512]
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
+    def _one_by_one(self, words: list[str]) -> None:
+        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+            self.known[w.encode()] = np.array(e.ids, "<u4").tobytes()
+
+    def _joined(self, words: list[str]) -> None:
+        for at in range(0, len(words), 512):
+            some = words[at : at + 512]
+            ids = np.array(self.letters.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) != len(some):
-                rest.extend(some)
+                self._one_by_one(some)
                 continue
             raw, cut = ids.tobytes(), [0, *(4 * ends).tolist()]
-            self.known.update((w, raw[cut[i] : cut[i + 1]]) for i, w in enumerate(some))
-        for w, e in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
-        if stems:
-            marks = {m: np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in ".,"}
-            for w, s in stems.items():
-                self.known[w] = self.known[s] + marks[chr(w[-1])]
+            self.known.update((w.encode(), raw[cut[i] : cut[i + 1]]) for i, w in enumerate(some))
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Put all ``words`` into ``known``."""
+        if len(self.known) + len(words) > CACHE_WORDS // 2:
+            self.known, self.older = {}, self.known
+        whole, split, rest = set(), {}, []
+        for raw in words:
+            if raw in self.older:
+                self.known[raw] = self.older[raw]
+                continue
+            w = raw.decode()
+            if not w.isascii() and not unicodedata.is_normalized("NFC", w):
+                rest.append(w)
+            elif w.isalpha():
+                whole.add(w)
+            elif "'" in w or _NUMBER.search(w):
+                rest.append(w)
+            else:
+                split[raw] = _RUNS.findall(w)
+        parts = {p for runs in split.values() for p in runs if p.encode() not in self.known}
+        self._joined(list(whole.union(p for p in parts if p.isalpha())))
+        self._one_by_one([*rest, *(p for p in parts if not p.isalpha())])
+        self.known.update((raw, b"".join([self.known[p.encode()] for p in runs])) for raw, runs in split.items())
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids of ``text`` and the end id."""
@@ -92,18 +121,25 @@ class WordTokenizer:
         try:
             return b"".join(map(self.known.__getitem__, words)) + self.end
         except KeyError:
-            self._learn([w for w in set(words) if w not in self.known])
-            if any(w not in self.known for w in words):  # the memory was emptied
-                self._learn(list(set(words)))
+            distinct = set(words)
+            self._learn(distinct.difference(self.known))
+            if late := distinct.difference(self.known):  # a new generation has begun
+                self._learn(late)
             return b"".join(map(self.known.__getitem__, words)) + self.end
 
 
+@cache
+def word_tokenizer(path: str, end_id: int) -> WordTokenizer:
+    """One tokenizer per worker process, which keeps what it knows between tasks."""
+    return WordTokenizer(path, end_id)
+
+
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """``doc_id, source, n_tokens, ids`` (binary, little-endian unsigned 32 bit) of every whole text."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(tokenizer_path, end_id)
+        words = word_tokenizer(tokenizer_path, end_id)
         for b in batches:
             ids = [words.encode(t or "") for t in b.column(2).to_pylist()]
             n = pa.array([len(x) // 4 for x in ids], pa.int64())
