@@ -23,6 +23,13 @@ def _session(args):
     return build_session(master=args.master, app_name=f"snapmart-{args.command}")
 
 
+def _print_rows(df) -> None:
+    """Every row, tab-separated under a header, one partition at a time."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("NULL" if v is None else str(v) for v in row))
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="snapmart")
     p.add_argument("--master", default=None)
@@ -35,7 +42,8 @@ def main(argv: list[str] | None = None) -> int:
     t = sub.add_parser("test", help="run the declared data tests on the built models")
     t.add_argument("--warehouse", required=True)
     t.add_argument("--show-failures", action="store_true",
-                   help="print up to 20 failing rows of each failed test")
+                   help="print failing rows of each failed test")
+    t.add_argument("--rows", type=int, default=20, help="failing rows to print per test (default 20)")
     r = sub.add_parser("report", help="print the reports")
     r.add_argument("--warehouse", required=True)
     r.add_argument("names", nargs="*")
@@ -69,14 +77,14 @@ def main(argv: list[str] | None = None) -> int:
             status = "FAIL" if r.failures else "PASS"
             print(f"{status} {r.test_id} ({r.failures})")
             if r.failures and args.show_failures:
-                failures(by_id[r.test_id], models).show(20, truncate=False)
+                failures(by_id[r.test_id], models).show(args.rows, truncate=False)
         print(f"{len(rows) - len(failed)} passed, {len(failed)} failed")
         return 1 if failed else 0
     if args.command == "report":
         models = B.load_models(spark, args.warehouse)
         for name in args.names or list(reports.REPORTS):
             print(f"== {name}")
-            reports.run_report(name, models).show(100, truncate=False)
+            _print_rows(reports.run_report(name, models))
         return 0
     if args.command == "ingest":
         from .streaming.incremental import ingest_new_games

@@ -6,8 +6,9 @@ what 26 key extractions per play need.
 
 * ``->>`` (text): an absent key or a JSON null gives SQL NULL.
 * ``->`` (JSON): a sub-document, still VARIANT.
-* a typed extraction (``(j->>'k')::integer``) casts under ANSI rules, so a
-  value that is not a number fails the job instead of turning NULL.
+* a typed extraction (``(j->>'k')::integer``) is read as text and cast as
+  text is: fractions round half away from zero, and a value that is not a
+  number fails the job instead of turning NULL.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .scalar import int_from_text
+
 
 def _path(*keys: str) -> str:
     for k in keys:
@@ -40,7 +43,7 @@ def get_text(variant: Column, *keys: str) -> Column:
 
 def get_int(variant: Column, *keys: str) -> Column:
     """``(j ->> 'k')::integer``."""
-    return F.variant_get(variant, _path(*keys), "int")
+    return int_from_text(get_text(variant, *keys))
 
 
 def get_typed(variant: Column, spark_type: str, *keys: str) -> Column:
@@ -50,13 +53,21 @@ def get_typed(variant: Column, spark_type: str, *keys: str) -> Column:
 
 def get_fields(variant: Column, fields: list[tuple[str, str]]) -> Column:
     """Many ``(j->>'k')::type`` reads in one pass: the object is read once
-    into a struct with one typed field per ``(key, type)``; an absent key or
-    a JSON null gives a NULL field, a value that does not fit its type fails
-    the job. About twice as fast as one ``variant_get`` per key. A document
-    that is not an object at all fails too (the per-key reads would give
-    NULLs); the documents here always hold an object or nothing.
+    into a struct of texts, then each text is cast to its type. An absent key
+    or a JSON null gives a NULL field, and so does a document that is no
+    object; a text that does not fit its type fails the job.
     """
     for k, _ in fields:
         _path(k)
-    ddl = "struct<" + ", ".join(f"`{k}`: {t}" for k, t in fields) + ">"
-    return F.variant_get(variant, "$", ddl)
+    ddl = "struct<" + ", ".join(f"`{k}`: string" for k, _ in fields) + ">"
+    # Any value can be read as text, so only a non-object gives NULL here.
+    texts = F.try_variant_get(variant, "$", ddl)
+
+    def typed(text: Column, kind: str) -> Column:
+        if kind == "string":
+            return text
+        return int_from_text(text, kind) if kind in ("int", "bigint") else text.cast(kind)
+
+    # The lambda binds the struct, so it is read once.
+    one = F.transform(F.array(texts), lambda t: F.struct(*[typed(t[k], kind).alias(k) for k, kind in fields]))
+    return one[0]

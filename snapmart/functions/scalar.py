@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 ColumnOrName = Column | str
 
@@ -65,6 +66,24 @@ def int_half_even(c: ColumnOrName) -> Column:
     return F.rint(_col(c)).cast("int")
 
 
+def int_from_text(c: ColumnOrName, spark_type: str = "int") -> Column:
+    """``x::integer`` for a text: round half away from zero ('12.5' -> 13).
+
+    The text may have a fraction or an exponent; one that is no number, or
+    does not fit, fails under ANSI mode. Plain digits take the short way.
+    """
+    text = _col(c)
+    return F.coalesce(text.try_cast(spark_type), F.round(text.cast("decimal(38,18)"), 0).cast(spark_type))
+
+
+def number_field(df: DataFrame, path: str, spark_type: str) -> Column:
+    """A number in a document: held as text there, as a number in typed frames."""
+    c = F.col(path)
+    if spark_type == "double" or not isinstance(df.select(c).schema[0].dataType, StringType):
+        return c.cast(spark_type)
+    return int_from_text(c, spark_type)
+
+
 def year_crossings(start: ColumnOrName, end: ColumnOrName) -> Column:
     """``date_diff('year', start, end)``: New Years crossed, as BIGINT.
 

@@ -1,61 +1,29 @@
 """Left lookups into dimensions, including one dimension in many roles.
 
-Broadcast policy. A side is broadcast only after an exact row count proves
-it small (:func:`is_bounded`: a partial aggregate that returns one number).
-Past the bound, or when no bound is asked for, the join is left to
-Catalyst: it broadcasts only below
-``spark.sql.autoBroadcastJoinThreshold`` by its size estimate, and adaptive
-execution may still turn a sort-merge join into a broadcast once the real
-shuffle size is known.
+Broadcast policy. No join here is hinted and nothing is counted while a
+frame is built. Catalyst broadcasts a side whose size in bytes is known to be
+under ``spark.sql.autoBroadcastJoinThreshold`` (file statistics after column
+pruning), and adaptive execution turns a sort-merge join into a broadcast one
+when the side proves small at run time. Whatever is chosen, the rows are those
+of SQL's left join.
 
 Skew in the sort-merge case. NULL fact keys never match but all hash to one
 partition, and a hot key does the same. Adaptive skew-join handling splits
 such an oversized partition of the streamed (left) side of a left outer join
 into several tasks and repeats the matching dimension partition, which holds
 one row per key. :mod:`snapmart.session` turns it on and forces it even when
-the split costs an extra shuffle.
+the split costs an extra shuffle. :func:`role_join_by_id_sets` spreads its
+rows without any id itself.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import DataType
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (an exact count).
-
-    ``count`` is a partial aggregate: every task sends one number, so no
-    rows move and no task gathers more than its own split; on a plain
-    Parquet scan only the footers are read. (A ``limit(n + 1).count()``
-    would funnel up to n rows per task into one partition.)
-    """
-    return bounded_flags([df], max_rows)[0]
-
-
-def bounded_flags(dfs: list[DataFrame], max_rows: int) -> list[bool]:
-    """:func:`is_bounded` for several frames in one Spark job: the one-row
-    counts are unioned and fetched together (one number per frame)."""
-    if not dfs:
-        return []
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
-        for i, df in enumerate(dfs)
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    counts = {r["i"]: r["n"] for r in out.collect()}
-    return [counts[i] <= max_rows for i in range(len(dfs))]
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    if is_bounded(df, max_rows):
-        return F.broadcast(df), True
-    return df, False
+#: Shares that rows without any role id are spread over.
+NULL_SHARES = 1 << 20
 
 
 def left_lookup(
@@ -64,22 +32,13 @@ def left_lookup(
     fact_key: str,
     dim_key: str,
     values: dict[str, str],
-    max_broadcast_rows: int | None = None,
-    broadcast: bool | None = None,
 ) -> DataFrame:
     """``fact left join dim on fact_key = dim_key``, adding ``values``.
 
     ``values`` maps dimension column -> output name. A dimension key held by
-    several rows multiplies the fact row, as SQL does. ``max_broadcast_rows``
-    asks for the bounded check and an explicit broadcast below it.
-    ``broadcast=True`` / ``False`` is the answer of a check the caller has
-    already made (see :func:`bounded_flags`): hint, or leave it to Catalyst.
+    several rows multiplies the fact row, as SQL does.
     """
     d = dim.select(F.col(dim_key).alias("__dk"), *[F.col(c).alias(o) for c, o in values.items()])
-    if broadcast:
-        d = F.broadcast(d)
-    elif broadcast is None and max_broadcast_rows is not None:
-        d, _ = broadcast_if_bounded(d, max_broadcast_rows)
     return fact.join(d, fact[fact_key] == d["__dk"], "left").drop("__dk")
 
 
@@ -89,32 +48,23 @@ def role_join(
     dim_key: str,
     dim_value: str,
     roles: list[tuple[str, str]],
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    broadcast: bool | None = None,
+    by_id_sets: bool = False,
 ) -> DataFrame:
     """One dimension joined in many roles: ``[(fact_id_col, out_name), ...]``.
 
     Each role is a left join; a NULL or unknown id gives a NULL name and the
     row stays; a dimension key held by several rows multiplies the row, as
-    chained SQL left joins do. The dimension is projected to
-    ``(key, value)`` and checked once:
-
-    * within the bound it is broadcast, and that one broadcast is reused by
-      every role (no shuffle of the fact at all);
-    * past it, several roles are resolved together by
-      :func:`role_join_by_id_sets`, which shuffles the fact once instead of
-      once per role; a single role is one sort-merge join.
+    chained SQL left joins do. The dimension is projected to ``(key, value)``;
+    a broadcast of it is made once and reused by every role.
 
-    ``broadcast`` True / False is the answer of a check the caller has
-    already made.
+    ``by_id_sets=True`` is for a dimension known to be too large for that: the
+    same rows, with one shuffle of the fact instead of one per role
+    (:func:`role_join_by_id_sets`). It is the caller's choice, never a switch
+    on the data.
     """
-    pair = dim.select(F.col(dim_key).alias("__k"), F.col(dim_value).alias("__v"))
-    if broadcast is None:
-        pair, broadcast = broadcast_if_bounded(pair, max_broadcast_rows)
-    elif broadcast:
-        pair = F.broadcast(pair)
-    if not broadcast and len(roles) > 1:
+    if by_id_sets:
         return role_join_by_id_sets(fact, dim, dim_key, dim_value, roles)
+    pair = dim.select(F.col(dim_key).alias("__k"), F.col(dim_value).alias("__v"))
     out = fact
     for i, (fact_col, out_name) in enumerate(roles):
         k = f"__k{i}"
@@ -123,6 +73,12 @@ def role_join(
     return out
 
 
+def compared_type(left: DataFrame, column: str, right: DataFrame, other: str) -> DataType:
+    """The type in which Spark compares two columns (neither is cast down)."""
+    both = left.select(F.col(column).alias("v")).union(right.select(F.col(other)))
+    return both.schema["v"].dataType
+
+
 def role_join_by_id_sets(
     fact: DataFrame,
     dim: DataFrame,
@@ -136,51 +92,47 @@ def role_join_by_id_sets(
     The names of a fact row depend only on its tuple of role ids, so the
     work is done once per distinct tuple:
 
-    1. Distinct id tuples of the fact: a partial aggregate, so the common
-       tuples (most ids NULL) are collapsed inside each map task.
+    1. Distinct id tuples of the fact: a partial aggregate over the id
+       columns only (a second, narrower read of the fact).
     2. The non-NULL ids of each tuple, one narrow row per (tuple, role),
        joined once to the dimension; NULL ids never reach that join. The
-       names are gathered per tuple and role: a group holds one tuple's
-       matches, at most one per copy of a key in the dimension.
-    3. The fact joins the gathered names back on its tuple (NULL-safe
-       equality), then one ``explode_outer`` per role: no match gives one
-       row with a NULL name and k copies of a key give k rows, the rows
-       chained left joins give. The all-NULL tuple is a hot join key;
-       adaptive skew handling splits it over many tasks.
-
-    No row key is needed: fact rows with the same tuple get the same names.
+       matches are gathered per tuple and role as structs, so a NULL name
+       counts as the match it is: a group holds one tuple's matches, at most
+       one per copy of a key in the dimension.
+    3. The fact joins the gathered names back on its tuple's text, then one
+       ``explode_outer`` per role: no match gives one row with a NULL name
+       and k copies of a key give k rows, the rows chained left joins give.
+       Rows without any id match nothing; their key is a hash of the row, so
+       they are spread over all join tasks.
+
+    Ids and keys are compared in the type Spark widens them to. No row key is
+    needed: fact rows with the same tuple get the same names.
     """
     n = len(roles)
-    key_type = dim.schema[dim_key].dataType
-    id_type = "long" if isinstance(key_type, IntegralType) else key_type.simpleString()
-    tcols = [f"__id{i}" for i in range(n)]
-    tuples = fact.select(
-        *[F.col(c).cast(id_type).alias(t) for (c, _), t in zip(roles, tcols)]
-    ).distinct()
-    ids = F.array(*[
-        F.struct(F.lit(i).alias("role"), F.col(t).alias("id")) for i, t in enumerate(tcols)
-    ])
-    pairs = (
-        tuples.select(*tcols, F.explode(ids).alias("p"))
-        .select(*tcols, F.col("p.role").alias("role"), F.col("p.id").alias("id"))
-        .where(F.col("id").isNotNull())
-    )
-    names = dim.select(F.col(dim_key).cast(id_type).alias("id"), F.col(dim_value).alias("name"))
-    gathered = (
-        pairs.join(names, "id")
-        .groupBy(*tcols)
-        .pivot("role", list(range(n)))
-        .agg(F.collect_list("name"))
-    )
-    gathered = gathered.select(*tcols, *[F.col(str(i)).alias(f"__names{i}") for i in range(n)])
-    cond = None
-    for (c, _), t in zip(roles, tcols):
-        e = fact[c].cast(id_type).eqNullSafe(gathered[t])
-        cond = e if cond is None else cond & e
-    out = fact.join(gathered, cond, "left")
-    for i, (_, out_name) in enumerate(roles):
-        out = out.withColumn(out_name, F.explode_outer(f"__names{i}"))
-    return out.drop(*tcols, *[f"__names{i}" for i in range(n)])
+    ids = [F.col(c).cast(compared_type(fact, c, dim, dim_key)) for c, _ in roles]
+    none = F.coalesce(*[i.cast("string") for i in ids]).isNull()
+    share = F.concat(F.lit("none "), F.pmod(F.xxhash64(*fact.columns), F.lit(NULL_SHARES)).cast("string"))
+    keyed = fact.withColumn("__tuple", F.when(none, share).otherwise(F.to_json(F.array(*[i.cast("string") for i in ids]), {"ignoreNullFields": "false"})))
+    tuples = keyed.where(~none).select("__tuple", *[i.alias(f"__id{k}") for k, i in enumerate(ids)]).distinct()
+    texts = F.array(*[F.struct(F.lit(k).alias("role"), F.col(f"__id{k}").cast("string").alias("id")) for k in range(n)])
+    pairs = tuples.select("__tuple", F.explode(texts).alias("p")).where(F.col("p.id").isNotNull())
+    pairs = pairs.select("__tuple", F.col("p.role").alias("role"), F.col("p.id").alias("id"))
+    # One text per compared type; roles of one type share the dimension side.
+    sides = {}
+    for k, (c, _) in enumerate(roles):
+        sides.setdefault(compared_type(fact, c, dim, dim_key).simpleString(), []).append(k)
+    matched = None
+    for kind, own in sides.items():
+        names = dim.select(F.col(dim_key).cast(kind).cast("string").alias("id"), F.struct(F.col(dim_value).alias("name")).alias("match"))
+        part = pairs.where(F.col("role").isin(own)).join(names, "id")
+        matched = part if matched is None else matched.unionByName(part)
+    gathered = matched.groupBy("__tuple").pivot("role", list(range(n))).agg(F.collect_list("match"))
+    gathered = gathered.select(F.col("__tuple").alias("__gathered"), *[F.col(str(k)).alias(f"__names{k}") for k in range(n)])
+    out = keyed.join(gathered, F.col("__tuple") == F.col("__gathered"), "left")
+    for k, (_, out_name) in enumerate(roles):
+        found = F.explode_outer(F.when(F.size(f"__names{k}") > 0, F.col(f"__names{k}")))
+        out = out.withColumn(out_name, found).withColumn(out_name, F.col(f"{out_name}.name"))
+    return out.drop("__tuple", "__gathered", *[f"__names{k}" for k in range(n)])
 
 
 def missing_parents(

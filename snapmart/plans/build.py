@@ -19,9 +19,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import DEFAULT_BROADCAST_ROWS
 from ..sources.documents import read_kind
-from ..sources.materialize import read_table, register_view, write_table
+from ..sources.materialize import read_if_built, read_table, register_view, table_path, write_table
 from . import marts, staging
 from .quality import invariants, run_suite
 
@@ -72,10 +71,12 @@ def load_models(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     t["stg_players"] = staging.stg_players(t["stg_players_history"])
     t["stg_standings"] = staging.stg_standings(t["stg_standings_history"])
     for name in ("dim_teams", "dim_players", "fct_plays"):
-        try:
-            t[name] = read_table(spark, warehouse, name, TABLE_COLUMNS[name])
-        except Exception:  # not built yet
-            pass
+        stored = read_if_built(spark, table_path(warehouse, name))
+        if stored is not None:
+            t[name] = stored.select(*TABLE_COLUMNS[name])
+    if "fct_plays" in t:
+        # A partition value is read back in the narrowest type.
+        t["fct_plays"] = t["fct_plays"].withColumn("season", F.col("season").cast("bigint"))
     for name, df in t.items():
         register_view(df, name)
     return t
@@ -86,7 +87,7 @@ def build(
     raw_root: str,
     warehouse: str,
     as_of: dt.date | str | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    by_id_sets: bool = False,
     pbp_store: str | None = None,
 ) -> dict[str, DataFrame]:
     """Build every model from the raw store at ``raw_root`` into ``warehouse``.
@@ -114,8 +115,9 @@ def build(
     write_table(marts.dim_players(t["stg_players"], as_of), warehouse, "dim_players")
     t = load_models(spark, warehouse)
     write_table(
-        marts.fct_plays(t["stg_plays"], t["stg_games"], t["dim_players"], max_broadcast_rows),
-        warehouse, "fct_plays", sort_within=["event_type", "game_id", "sort_order"],
+        marts.fct_plays(t["stg_plays"], t["stg_games"], t["dim_players"], by_id_sets),
+        warehouse, "fct_plays", partition_by=["season"],
+        sort_within=["season", "event_type", "game_id", "sort_order"],
     )
     return load_models(spark, warehouse)
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json as J
 from ..functions.scalar import height_display, height_display_floor, position_group, year_crossings
-from ..operators.joins import DEFAULT_BROADCAST_ROWS, bounded_flags, left_lookup, role_join
+from ..operators.joins import left_lookup, role_join
 
 # Output columns of the team dimension, in order.
 DIM_TEAMS_COLUMNS = [
@@ -135,20 +135,20 @@ def fct_plays(
     stg_plays: DataFrame,
     stg_games: DataFrame,
     dim_players: DataFrame,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    by_id_sets: bool = False,
 ) -> DataFrame:
     """The wide play fact, 54 columns.
 
     * games: left join on ``game_id`` (INTEGER from the path against the
-      document's BIGINT id; Spark widens). Broadcast after a bounded count,
-      else a sort-merge join.
+      document's BIGINT id; Spark widens).
     * details: the 26 typed values are read from the VARIANT in one pass
       (:func:`snapmart.functions.json.get_fields`); absent keys and JSON
       nulls are NULL.
-    * names: :func:`role_join`, one ``(player_id, full_name)`` build side for
-      all 12 roles when the dimension is within the bound; past it, the
-      roles are resolved once per distinct tuple of role ids, so the fact
-      is shuffled once, not twelve times. A player listed twice on the
+    * names: :func:`role_join`, one ``(player_id, full_name)`` build side
+      reused by all 12 roles. ``by_id_sets=True``, for a player dimension
+      known to be too large to broadcast, resolves the roles once per
+      distinct tuple of role ids, so the fact is shuffled once, not twelve
+      times; the rows are the same. A player listed twice on the
       latest date multiplies the play rows, exactly as the reference's
       joins do; the ``unique`` test on ``stg_players`` reports it.
     """
@@ -161,18 +161,6 @@ def fct_plays(
         "period", "period_type", "time_in_period", "time_remaining", "situation_code",
         *[F.col("__d")[key].alias(name) for key, name, _ in DETAIL_FIELDS],
     )
-    # Both build sides are counted in one job.
-    players_small, games_small = bounded_flags(
-        [
-            dim_players.select("player_id", "full_name"),
-            stg_games.select("game_id", *GAME_CONTEXT),
-        ],
-        max_broadcast_rows,
-    )
-    named = role_join(
-        plays, dim_players, "player_id", "full_name", PLAYER_ROLES, broadcast=players_small,
-    )
-    named = left_lookup(
-        named, stg_games, "game_id", "game_id", GAME_CONTEXT, broadcast=games_small,
-    )
+    named = role_join(plays, dim_players, "player_id", "full_name", PLAYER_ROLES, by_id_sets)
+    named = left_lookup(named, stg_games, "game_id", "game_id", GAME_CONTEXT)
     return named.select(*FCT_PLAYS_COLUMNS)

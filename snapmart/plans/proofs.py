@@ -30,8 +30,6 @@ from ..operators.checks import (
     unique_failures,
 )
 from ..operators.joins import (
-    DEFAULT_BROADCAST_ROWS,
-    bounded_flags,
     left_lookup,
     not_yet_present,
     role_join,
@@ -46,63 +44,34 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def q_fact_star(spark: SparkSession, sf: str) -> DataFrame:
-    """Flagship: the wide fact shape. A fact joined to a header, two
-    dimensions, and one small dimension in two roles; every join is left.
-
-    The chain ``l -> o -> c`` is evaluated as ``l -> (o -> c)`` (valid for
-    left joins whose second condition reads only the middle table), and the
-    nation roles are resolved on the customer and supplier sides. So the
-    biggest table is shuffled only for the joins on its own keys, and the
-    customer shuffle moves orders, not line items.
-
-    One Spark job counts every build side exactly (nation; customer and
-    supplier with their nation names; orders with its customer). Those
-    within the bound are broadcast and the others are sort-merge joined.
-    At sf0.1 every build side is within the bound, so line items are never
-    shuffled. At scale, orders and customers are past it, and line items
-    are shuffled twice: on the order key, then on the supplier key (unless
-    suppliers stay within the bound).
+    """A fact with its header, two dimensions and one dimension in two roles.
+
+    Every join is a plain left join; nothing is counted or read while the
+    frame is built. Sides under the broadcast threshold are broadcast, so
+    line items are not shuffled at small scale; at large scale they are
+    shuffled on the order key, then on the supplier key.
     """
     nation = load(spark, sf, "nation").select("n_nationkey", "n_name")
     customer = load(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     supplier = load(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    # Count the actual build sides in one job: nation, customer and
-    # supplier with their nation names, and orders with its customer.
-    roles_c = [("c_nationkey", "customer_nation")]
-    roles_s = [("s_nationkey", "supplier_nation")]
     orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    cust_values = {"c_name": "customer_name", "customer_nation": "customer_nation"}
-
-    def customers(small_nation):
-        return role_join(customer, nation, "n_nationkey", "n_name", roles_c, broadcast=small_nation)
-
-    def orders_side(small_nation, small_cust):
-        return left_lookup(orders, customers(small_nation), "o_custkey", "c_custkey",
-                           cust_values, broadcast=small_cust)
-
-    n_small, c_small, s_small, o_small = bounded_flags(
-        [
-            nation,
-            customers(False),
-            role_join(supplier, nation, "n_nationkey", "n_name", roles_s, broadcast=False),
-            orders_side(False, False),
-        ],
-        DEFAULT_BROADCAST_ROWS,
-    )
-    supp = role_join(supplier, nation, "n_nationkey", "n_name", roles_s, broadcast=n_small)
     line = load(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"
     )
+    cust = role_join(customer, nation, "n_nationkey", "n_name", [("c_nationkey", "customer_nation")])
+    supp = role_join(supplier, nation, "n_nationkey", "n_name", [("s_nationkey", "supplier_nation")])
+    orders = left_lookup(
+        orders, cust, "o_custkey", "c_custkey",
+        {"c_name": "customer_name", "customer_nation": "customer_nation"},
+    )
     f = left_lookup(
-        line, orders_side(n_small, c_small), "l_orderkey", "o_orderkey",
+        line, orders, "l_orderkey", "o_orderkey",
         {"o_orderdate": "__orderdate", "customer_name": "customer_name",
          "customer_nation": "customer_nation"},
-        broadcast=o_small,
     )
     f = left_lookup(
         f, supp, "l_suppkey", "s_suppkey",
         {"s_name": "supplier_name", "supplier_nation": "supplier_nation"},
-        broadcast=s_small,
     )
     return f.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
@@ -111,19 +80,22 @@ def q_fact_star(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _some_missing(column: str):
+    """A third of the ids negated: ids that no dimension row has."""
+    return F.when(F.col(column) % 3 == 0, -F.col(column)).otherwise(F.col(column))
+
+
 def q_role_joins_nullable(spark: SparkSession, sf: str) -> DataFrame:
     """Two roles; NULL role ids and ids with no dimension row keep the row
-    with a NULL name. The driver's keys have no gaps, so the dimension keeps
-    only customers with a non-negative balance, which leaves ids unmatched;
-    all events are read."""
-    dim = load(spark, sf, "customer").where(F.col("c_acctbal") >= 0)
+    with a NULL name. The driver's keys have no gaps, so some of the events'
+    ids are negated; the whole dimension and all events are read."""
     e = load(spark, sf, "events").select(
         "event_id", "event_type",
-        F.when(F.col("event_type") == "click", F.col("user_id")).alias("clicker_id"),
-        F.when(F.col("event_type") == "purchase", F.col("user_id")).alias("buyer_id"),
+        F.when(F.col("event_type") == "click", _some_missing("user_id")).alias("clicker_id"),
+        F.when(F.col("event_type") == "purchase", _some_missing("user_id")).alias("buyer_id"),
     )
     return role_join(
-        e, dim, "c_custkey", "c_name",
+        e, load(spark, sf, "customer"), "c_custkey", "c_name",
         [("clicker_id", "clicker_name"), ("buyer_id", "buyer_name")],
     )
 
@@ -138,55 +110,72 @@ EVENT_ROLES = [
 ]
 
 
-def q_role_joins_many(spark: SparkSession, sf: str) -> DataFrame:
-    """The fact's real shape: one dimension in five roles, and on any row
-    all role ids but one are NULL (as most player roles of a play are).
-    One bounded check, one broadcast of ``(c_custkey, c_name)``, reused by
-    all five joins; at scale the NULL keys would otherwise pile into one
-    sort-merge task."""
-    dim = load(spark, sf, "customer").where(F.col("c_mktsegment") != "BUILDING")
-    ev = load(spark, sf, "events")
-    e = ev.select(
+def _events_in_roles(spark: SparkSession, sf: str) -> DataFrame:
+    return load(spark, sf, "events").select(
         "event_id",
         *[
-            F.when(F.col("event_type") == t, F.col("user_id")).alias(f"{r}_id")
+            F.when(F.col("event_type") == t, _some_missing("user_id")).alias(f"{r}_id")
             for t, r in EVENT_ROLES
         ],
     )
+
+
+_ROLE_NAMES = [(f"{r}_id", f"{r}_name") for _, r in EVENT_ROLES]
+
+
+def q_role_joins_many(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact's real shape: one dimension in five roles, and on any row
+    all role ids but one are NULL (as most player roles of a play are).
+    One side ``(c_custkey, c_name)``, broadcast once if it is small."""
+    return role_join(_events_in_roles(spark, sf), load(spark, sf, "customer"), "c_custkey", "c_name", _ROLE_NAMES)
+
+
+def q_role_joins_past_bound(spark: SparkSession, sf: str) -> DataFrame:
+    """``q_role_joins_many`` by the plan for a dimension too large to
+    broadcast: the five roles are resolved once per distinct tuple of role
+    ids, so events are shuffled once, not five times. Same rows, same oracle."""
     return role_join(
-        e, dim, "c_custkey", "c_name", [(f"{r}_id", f"{r}_name") for _, r in EVENT_ROLES]
+        _events_in_roles(spark, sf), load(spark, sf, "customer"), "c_custkey", "c_name", _ROLE_NAMES,
+        by_id_sets=True,
     )
 
 
-def q_role_joins_past_bound(spark: SparkSession, sf: str) -> DataFrame:
-    """``q_role_joins_many`` by the plan a dimension past the broadcast bound
-    gets: the five roles are resolved once per distinct tuple of role ids,
-    so events are shuffled once, not five times. Same rows, same oracle."""
-    dim = load(spark, sf, "customer").where(F.col("c_mktsegment") != "BUILDING")
-    ev = load(spark, sf, "events")
-    e = ev.select(
+def _tied(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Customers with repeated keys and NULL names; events with fractional ids in one role."""
+    c = load(spark, sf, "customer")
+    first = c.select("c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("name"))
+    second = c.where(F.col("c_mktsegment") == "BUILDING").select("c_custkey", F.col("c_mktsegment").alias("name"))
+    third = c.where(F.col("c_mktsegment") == "MACHINERY").select("c_custkey", F.lit(None).cast("string").alias("name"))
+    half = F.when(F.col("event_id") % 5 == 0, F.lit(0.5)).otherwise(F.lit(0.0))
+    e = load(spark, sf, "events").select(
         "event_id",
-        *[
-            F.when(F.col("event_type") == t, F.col("user_id")).alias(f"{r}_id")
-            for t, r in EVENT_ROLES
-        ],
-    )
-    return role_join(
-        e, dim, "c_custkey", "c_name", [(f"{r}_id", f"{r}_name") for _, r in EVENT_ROLES],
-        broadcast=False,
+        F.when(F.col("event_type") == "click", F.col("user_id").cast("double") + half).alias("clicker_id"),
+        F.when(F.col("event_type") != "error", _some_missing("user_id")).alias("actor_id"),
     )
+    return e, first.unionByName(second).unionByName(third)
+
+
+_TIED_ROLES = [("clicker_id", "clicker_name"), ("actor_id", "actor_name")]
+
+
+def q_role_joins_tied(spark: SparkSession, sf: str) -> DataFrame:
+    """Repeated dimension keys multiply the row, NULL names included."""
+    e, dim = _tied(spark, sf)
+    return role_join(e, dim, "c_custkey", "name", _TIED_ROLES)
+
+
+def q_role_joins_tied_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """``q_role_joins_tied`` by id sets; same oracle."""
+    e, dim = _tied(spark, sf)
+    return role_join(e, dim, "c_custkey", "name", _TIED_ROLES, by_id_sets=True)
 
 
 def q_join_widening(spark: SparkSession, sf: str) -> DataFrame:
-    n = (
-        load(spark, sf, "nation")
-        .where(F.col("n_regionkey") != 0)
-        .select(F.col("n_nationkey").cast("bigint").alias("k"), "n_name")
-    )
-    c = load(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    return left_lookup(c, n, "c_nationkey", "k", {"n_name": "n_name"}, max_broadcast_rows=10_000).select(
-        "c_custkey", "n_name"
-    )
+    """An INTEGER fact key against a BIGINT dimension key; a negative balance makes the key miss."""
+    n = load(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("k"), "n_name")
+    key = F.when(F.col("c_acctbal") < 0, -1 - F.col("c_nationkey")).otherwise(F.col("c_nationkey"))
+    c = load(spark, sf, "customer").select("c_custkey", key.cast("int").alias("nationkey"))
+    return left_lookup(c, n, "nationkey", "k", {"n_name": "n_name"}).select("c_custkey", "n_name")
 
 
 def _event_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -268,6 +257,27 @@ def q_json_chained(spark: SparkSession, sf: str) -> DataFrame:
     return ev.select("event_id", J.get_int(J.hop(wrapped, "d"), "k").alias("k"))
 
 
+def q_json_fractions(spark: SparkSession, sf: str) -> DataFrame:
+    """Integers out of JSON with fractions, quoted numbers, exponents and a document that is no object."""
+    c = load(spark, sf, "customer")
+    doc = F.to_json(F.struct(
+        (F.round("c_acctbal", 1)).alias("a"),
+        F.round("c_acctbal", 1).cast("string").alias("b"),
+        F.col("c_nationkey").alias("c"),
+    ))
+    doc = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("[1]")).otherwise(doc)
+    j = c.select("c_custkey", J.parse(doc).alias("j"))
+    fields = J.get_fields(F.col("j"), [("a", "int"), ("b", "bigint"), ("c", "int"), ("d", "string")])
+    return j.select("c_custkey", fields.alias("f")).select("c_custkey", "f.a", "f.b", "f.c", "f.d")
+
+
+def q_casts_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Text to integer, half away from zero."""
+    c = load(spark, sf, "customer").select("c_custkey", F.format_string("%.1f", "c_acctbal").alias("t"))
+    li = load(spark, sf, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("c_custkey"), F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(".5")).alias("t"))
+    return c.unionByName(li.select((-F.col("c_custkey")).alias("c_custkey"), "t")).select("c_custkey", "t", X.int_from_text("t").alias("n"))
+
+
 def q_path_parts(spark: SparkSession, sf: str) -> DataFrame:
     p = load(spark, sf, "pages")
     return p.select(
@@ -413,10 +423,10 @@ def q_dq_accepted_values(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_dq_relationships(spark: SparkSession, sf: str) -> DataFrame:
-    parent = load(spark, sf, "customer").where(F.col("c_mktsegment") != "MACHINERY")
-    return relationships_failures(
-        load(spark, sf, "orders"), "o_custkey", parent, "c_custkey", keep=["o_orderkey"]
-    )
+    """Child keys without a parent; urgent orders' keys are negated so that they miss."""
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    child = load(spark, sf, "orders").withColumn("o_custkey", F.when(urgent, -F.col("o_custkey")).otherwise(F.col("o_custkey")))
+    return relationships_failures(child, "o_custkey", load(spark, sf, "customer"), "c_custkey", keep=["o_orderkey"])
 
 
 # A declared test suite over the driver's tables, run by the same runner as
@@ -476,6 +486,8 @@ QUERIES: dict[str, Query] = {
     "q_role_joins_nullable": q_role_joins_nullable,
     "q_role_joins_many": q_role_joins_many,
     "q_role_joins_past_bound": q_role_joins_past_bound,
+    "q_role_joins_tied": q_role_joins_tied,
+    "q_role_joins_tied_sets": q_role_joins_tied_sets,
     "q_join_widening": q_join_widening,
     "q_latest_per_key": q_latest_per_key,
     "q_latest_snapshot_global": q_latest_snapshot_global,
@@ -486,6 +498,8 @@ QUERIES: dict[str, Query] = {
     "q_struct_nested": q_struct_nested,
     "q_json_extract": q_json_extract,
     "q_json_chained": q_json_chained,
+    "q_json_fractions": q_json_fractions,
+    "q_casts_text": q_casts_text,
     "q_path_parts": q_path_parts,
     "q_casts": q_casts,
     "q_lateral_alias": q_lateral_alias,
@@ -512,9 +526,9 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "q_fact_star": "select l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, cast(o.o_orderdate as date) as order_date, c.c_name as customer_name, s.s_name as supplier_name, cn.n_name as customer_nation, sn.n_name as supplier_nation from lineitem l left join orders o on l.l_orderkey = o.o_orderkey left join customer c on o.o_custkey = c.c_custkey left join supplier s on l.l_suppkey = s.s_suppkey left join nation cn on c.c_nationkey = cn.n_nationkey left join nation sn on s.s_nationkey = sn.n_nationkey",
-    "q_role_joins_nullable": "with dim as (select c_custkey, c_name from customer where c_acctbal >= 0), e as (select event_id, event_type, case when event_type = 'click' then user_id end as clicker_id, case when event_type = 'purchase' then user_id end as buyer_id from events) select e.event_id, e.event_type, e.clicker_id, e.buyer_id, a.c_name as clicker_name, b.c_name as buyer_name from e left join dim a on e.clicker_id = a.c_custkey left join dim b on e.buyer_id = b.c_custkey",
-    "q_role_joins_many": "with dim as (select c_custkey, c_name from customer where c_mktsegment <> 'BUILDING'), e as (select event_id, case when event_type = 'view' then user_id end as viewer_id, case when event_type = 'click' then user_id end as clicker_id, case when event_type = 'purchase' then user_id end as buyer_id, case when event_type = 'signup' then user_id end as signer_id, case when event_type = 'error' then user_id end as reporter_id from events) select e.*, d1.c_name as viewer_name, d2.c_name as clicker_name, d3.c_name as buyer_name, d4.c_name as signer_name, d5.c_name as reporter_name from e left join dim d1 on e.viewer_id = d1.c_custkey left join dim d2 on e.clicker_id = d2.c_custkey left join dim d3 on e.buyer_id = d3.c_custkey left join dim d4 on e.signer_id = d4.c_custkey left join dim d5 on e.reporter_id = d5.c_custkey",
-    "q_join_widening": "select c.c_custkey, n.n_name from customer c left join (select cast(n_nationkey as bigint) as k, n_name from nation where n_regionkey <> 0) n on c.c_nationkey = n.k",
+    "q_role_joins_nullable": "with e as (select event_id, event_type, case when event_type = 'click' then case when user_id % 3 = 0 then -user_id else user_id end end as clicker_id, case when event_type = 'purchase' then case when user_id % 3 = 0 then -user_id else user_id end end as buyer_id from events) select e.event_id, e.event_type, e.clicker_id, e.buyer_id, a.c_name as clicker_name, b.c_name as buyer_name from e left join customer a on e.clicker_id = a.c_custkey left join customer b on e.buyer_id = b.c_custkey",
+    "q_role_joins_many": "with e as (select event_id, case when event_type = 'view' then case when user_id % 3 = 0 then -user_id else user_id end end as viewer_id, case when event_type = 'click' then case when user_id % 3 = 0 then -user_id else user_id end end as clicker_id, case when event_type = 'purchase' then case when user_id % 3 = 0 then -user_id else user_id end end as buyer_id, case when event_type = 'signup' then case when user_id % 3 = 0 then -user_id else user_id end end as signer_id, case when event_type = 'error' then case when user_id % 3 = 0 then -user_id else user_id end end as reporter_id from events) select e.*, d1.c_name as viewer_name, d2.c_name as clicker_name, d3.c_name as buyer_name, d4.c_name as signer_name, d5.c_name as reporter_name from e left join customer d1 on e.viewer_id = d1.c_custkey left join customer d2 on e.clicker_id = d2.c_custkey left join customer d3 on e.buyer_id = d3.c_custkey left join customer d4 on e.signer_id = d4.c_custkey left join customer d5 on e.reporter_id = d5.c_custkey",
+    "q_join_widening": "select c.c_custkey, n.n_name from customer c left join (select cast(n_nationkey as bigint) as k, n_name from nation) n on (case when c.c_acctbal < 0 then -1 - c.c_nationkey else c.c_nationkey end) = n.k",
     "q_latest_per_key": "with h as (select user_id, cast(ts as date) as snapshot_date, event_id, event_type from events), s as (select user_id, max(snapshot_date) as latest_date from h group by user_id) select h.* from h inner join s on h.user_id = s.user_id and h.snapshot_date = s.latest_date",
     "q_latest_snapshot_global": "select event_id, user_id, cast(ts as date) as snapshot_date from events where cast(ts as date) = (select max(cast(ts as date)) from events)",
     "q_unnest_tagged_union": "select p_partkey, unnest(string_split(p_name, ' ')) as item, 'name' as item_group from part union all select p_partkey, unnest([p_brand, p_type]) as item, 'attr' as item_group from part",
@@ -540,13 +554,32 @@ ORACLE_SQL: dict[str, str] = {
     "q_dq_unique": "select l_orderkey as unique_field, count(*) as n_records from lineitem where l_orderkey is not null group by l_orderkey having count(*) > 1",
     "q_dq_not_null": "select event_id, v from (select event_id, nullif(event_type, 'error') as v from events) where v is null",
     "q_dq_accepted_values": "select o_orderpriority as value_field, count(*) as n_records from orders group by o_orderpriority having o_orderpriority not in ('1-URGENT', '2-HIGH', '3-MEDIUM')",
-    "q_dq_relationships": "select o.o_orderkey, o.o_custkey as from_field from orders o left join (select c_custkey from customer where c_mktsegment <> 'MACHINERY') c on o.o_custkey = c.c_custkey where o.o_custkey is not null and c.c_custkey is null",
+    "q_dq_relationships": "with o as (select o_orderkey, case when o_orderpriority = '1-URGENT' then -o_custkey else o_custkey end as o_custkey from orders) select o.o_orderkey, o.o_custkey as from_field from o left join customer c on o.o_custkey = c.c_custkey where o.o_custkey is not null and c.c_custkey is null",
     "q_dq_suite": "select 'unique_orders_o_orderkey' as test_id, 'orders' as model, 'o_orderkey' as column_name, 'unique' as test, count(*) as failures from (select o_orderkey from orders where o_orderkey is not null group by o_orderkey having count(*) > 1) union all select 'not_null_orders_o_orderkey' as test_id, 'orders' as model, 'o_orderkey' as column_name, 'not_null' as test, count(*) as failures from orders where o_orderkey is null union all select 'not_null_orders_o_custkey' as test_id, 'orders' as model, 'o_custkey' as column_name, 'not_null' as test, count(*) as failures from orders where o_custkey is null union all select 'not_null_orders_o_orderdate' as test_id, 'orders' as model, 'o_orderdate' as column_name, 'not_null' as test, count(*) as failures from orders where o_orderdate is null union all select 'accepted_values_orders_o_orderstatus' as test_id, 'orders' as model, 'o_orderstatus' as column_name, 'accepted_values' as test, count(*) as failures from (select o_orderstatus as value_field, count(*) as n_records from orders group by o_orderstatus) where value_field not in ('F', 'O') union all select 'accepted_values_orders_o_orderpriority' as test_id, 'orders' as model, 'o_orderpriority' as column_name, 'accepted_values' as test, count(*) as failures from (select o_orderpriority as value_field, count(*) as n_records from orders group by o_orderpriority) where value_field not in ('1-URGENT', '2-HIGH', '3-MEDIUM') union all select 'relationships_orders_o_custkey' as test_id, 'orders' as model, 'o_custkey' as column_name, 'relationships' as test, count(*) as failures from (select c.o_custkey as from_field from orders c left join customer p on c.o_custkey = p.c_custkey where c.o_custkey is not null and p.c_custkey is null) union all select 'unique_lineitem_l_orderkey' as test_id, 'lineitem' as model, 'l_orderkey' as column_name, 'unique' as test, count(*) as failures from (select l_orderkey from lineitem where l_orderkey is not null group by l_orderkey having count(*) > 1) union all select 'not_null_lineitem_l_orderkey' as test_id, 'lineitem' as model, 'l_orderkey' as column_name, 'not_null' as test, count(*) as failures from lineitem where l_orderkey is null union all select 'not_null_lineitem_l_returnflag' as test_id, 'lineitem' as model, 'l_returnflag' as column_name, 'not_null' as test, count(*) as failures from lineitem where l_returnflag is null union all select 'relationships_lineitem_l_orderkey' as test_id, 'lineitem' as model, 'l_orderkey' as column_name, 'relationships' as test, count(*) as failures from (select c.l_orderkey as from_field from lineitem c left join orders p on c.l_orderkey = p.o_orderkey where c.l_orderkey is not null and p.o_orderkey is null) union all select 'accepted_values_customer_c_mktsegment' as test_id, 'customer' as model, 'c_mktsegment' as column_name, 'accepted_values' as test, count(*) as failures from (select c_mktsegment as value_field, count(*) as n_records from customer group by c_mktsegment) where value_field not in ('AUTOMOBILE', 'BUILDING', 'MACHINERY')",
     "q_completed_ids": "select distinct user_id from events where event_type in ('purchase', 'signup') order by user_id",
     "q_pending_ids": "select o.o_orderkey from orders o where o.o_orderstatus = 'F' and not exists (select 1 from lineitem l where l.l_orderkey = o.o_orderkey and l.l_returnflag = 'R')",
     "q_past_items": "select o_orderkey, o_orderdate from orders where o_orderdate < timestamp '1996-01-01' and o_orderstatus in ('F', 'P') order by o_orderdate, o_orderkey",
 }
+ORACLE_SQL["q_json_fractions"] = (
+    "with d as (select c_custkey, c_mktsegment = 'BUILDING' as odd, cast(cast(round(c_acctbal, 1) as decimal(18, 1)) as varchar) as t, c_nationkey from customer)"
+    " select c_custkey, case when not odd then t::integer end as a, case when not odd then t::integer end::bigint as b,"
+    " case when not odd then c_nationkey end as c, null::varchar as d from d"
+)
+ORACLE_SQL["q_casts_text"] = (
+    "with u as (select c_custkey, cast(cast(c_acctbal as decimal(18, 1)) as varchar) as t from customer"
+    " union all select -(l_orderkey * 10 + l_linenumber), cast(cast(l_quantity as integer) as varchar) || '.5' from lineitem)"
+    " select c_custkey, t, t::integer as n from u"
+)
 ORACLE_SQL["q_role_joins_past_bound"] = ORACLE_SQL["q_role_joins_many"]
+ORACLE_SQL["q_role_joins_tied"] = ORACLE_SQL["q_role_joins_tied_sets"] = (
+    "with dim as (select c_custkey, case when c_acctbal >= 0 then c_name end as name from customer"
+    " union all select c_custkey, c_mktsegment from customer where c_mktsegment = 'BUILDING'"
+    " union all select c_custkey, null from customer where c_mktsegment = 'MACHINERY'),"
+    " e as (select event_id, case when event_type = 'click' then cast(user_id as double) + case when event_id % 5 = 0 then 0.5 else 0.0 end end as clicker_id,"
+    " case when event_type <> 'error' then case when user_id % 3 = 0 then -user_id else user_id end end as actor_id from events)"
+    " select e.*, a.name as clicker_name, b.name as actor_name from e"
+    " left join dim a on e.clicker_id = a.c_custkey left join dim b on e.actor_id = b.c_custkey"
+)
 
 # Models, reports and landing selections on stand-ins built from the tables.
 from .standins import STANDIN_ORACLE_SQL, STANDIN_QUERIES  # noqa: E402

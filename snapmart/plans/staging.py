@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import as_date, concat_strict
+from ..functions.scalar import as_date, concat_strict, number_field
 from ..operators.latest import latest_per_key
 from ..operators.unnest import unnest_tagged
 from ..sources.documents import path_key
@@ -64,18 +64,13 @@ STANDINGS_COLUMNS = [
 ]
 
 
-def _field(struct_col: str, path: str, cast: str | None):
-    c = F.col(f"{struct_col}.{path}")
-    return c.cast(cast) if cast else c
-
-
 def stg_standings_history(standings_docs: DataFrame) -> DataFrame:
     """``standings/{date}/standings.json`` -> one row per team and date."""
     raw = standings_docs.select(
         as_date(path_key(2)).alias("snapshot_date"),
         F.explode("standings").alias("team"),
     )
-    cols = [_field("team", p, c).alias(n) for n, p, c in STANDINGS_COLUMNS]
+    cols = [(number_field(raw, f"team.{p}", c) if c else F.col(f"team.{p}")).alias(n) for n, p, c in STANDINGS_COLUMNS]
     return raw.select(cols[0], "snapshot_date", *cols[1:])
 
 
@@ -111,7 +106,7 @@ def stg_players_history(roster_docs: DataFrame) -> DataFrame:
     )
     p = "player"
     return players.select(
-        F.col(f"{p}.id").cast("int").alias("player_id"),
+        number_field(players, f"{p}.id", "int").alias("player_id"),
         "team_abbrev",
         "snapshot_date",
         "player_group",
@@ -120,11 +115,11 @@ def stg_players_history(roster_docs: DataFrame) -> DataFrame:
         concat_strict(
             F.col(f"{p}.firstName.default"), F.lit(" "), F.col(f"{p}.lastName.default")
         ).alias("full_name"),
-        F.col(f"{p}.sweaterNumber").cast("int").alias("sweater_number"),
+        number_field(players, f"{p}.sweaterNumber", "int").alias("sweater_number"),
         F.col(f"{p}.positionCode").alias("position_code"),
         F.col(f"{p}.shootsCatches").alias("shoots_catches"),
-        F.col(f"{p}.heightInInches").cast("int").alias("height_inches"),
-        F.col(f"{p}.weightInPounds").cast("int").alias("weight_pounds"),
+        number_field(players, f"{p}.heightInInches", "int").alias("height_inches"),
+        number_field(players, f"{p}.weightInPounds", "int").alias("weight_pounds"),
         as_date(F.col(f"{p}.birthDate")).alias("birth_date"),
         F.col(f"{p}.birthCity.default").alias("birth_city"),
         F.col(f"{p}.birthCountry").alias("birth_country"),
@@ -149,27 +144,27 @@ def stg_games(pbp_docs: DataFrame) -> DataFrame:
     The three derived columns reuse the typed scores (a lateral alias).
     """
     typed = pbp_docs.select(
-        F.col("id").alias("game_id"),
-        "season",
-        F.col("gameType").alias("game_type"),
+        number_field(pbp_docs, "id", "bigint").alias("game_id"),
+        number_field(pbp_docs, "season", "bigint").alias("season"),
+        number_field(pbp_docs, "gameType", "bigint").alias("game_type"),
         as_date("gameDate").alias("game_date"),
         F.col("startTimeUTC").cast("timestamp").alias("start_time_utc"),
         F.col("gameState").alias("game_state"),
         F.col("gameScheduleState").alias("game_schedule_state"),
         F.col("venue.default").alias("venue"),
         F.col("venueLocation.default").alias("venue_location"),
-        F.col("awayTeam.id").cast("int").alias("away_team_id"),
+        number_field(pbp_docs, "awayTeam.id", "int").alias("away_team_id"),
         F.col("awayTeam.abbrev").alias("away_team_abbrev"),
         F.col("awayTeam.commonName.default").alias("away_team_name"),
-        F.col("awayTeam.score").cast("int").alias("away_score"),
-        F.col("awayTeam.sog").cast("int").alias("away_sog"),
-        F.col("homeTeam.id").cast("int").alias("home_team_id"),
+        number_field(pbp_docs, "awayTeam.score", "int").alias("away_score"),
+        number_field(pbp_docs, "awayTeam.sog", "int").alias("away_sog"),
+        number_field(pbp_docs, "homeTeam.id", "int").alias("home_team_id"),
         F.col("homeTeam.abbrev").alias("home_team_abbrev"),
         F.col("homeTeam.commonName.default").alias("home_team_name"),
-        F.col("homeTeam.score").cast("int").alias("home_score"),
-        F.col("homeTeam.sog").cast("int").alias("home_sog"),
+        number_field(pbp_docs, "homeTeam.score", "int").alias("home_score"),
+        number_field(pbp_docs, "homeTeam.sog", "int").alias("home_sog"),
         F.col("gameOutcome.lastPeriodType").alias("last_period_type"),
-        F.col("regPeriods").alias("reg_periods"),
+        number_field(pbp_docs, "regPeriods", "bigint").alias("reg_periods"),
         F.col("otInUse").alias("ot_in_use"),
         F.col("shootoutInUse").alias("shootout_in_use"),
     )
@@ -199,13 +194,13 @@ def stg_plays(pbp_docs: DataFrame) -> DataFrame:
     )
     return raw.select(
         "game_id",
-        F.col("play.eventId").cast("int").alias("event_id"),
-        F.col("play.periodDescriptor.number").cast("int").alias("period"),
+        number_field(raw, "play.eventId", "int").alias("event_id"),
+        number_field(raw, "play.periodDescriptor.number", "int").alias("period"),
         F.col("play.periodDescriptor.periodType").alias("period_type"),
         F.col("play.timeInPeriod").alias("time_in_period"),
         F.col("play.timeRemaining").alias("time_remaining"),
         F.col("play.typeDescKey").alias("event_type"),
-        F.col("play.sortOrder").cast("int").alias("sort_order"),
+        number_field(raw, "play.sortOrder", "int").alias("sort_order"),
         F.col("play.situationCode").alias("situation_code"),
         F.col("play.details").alias("details"),
     )

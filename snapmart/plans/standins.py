@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as X
 from ..operators.joins import role_join
+from ..schemas import DOC_SCHEMAS
 from ..sources import landing
 from ..tables import load
 from . import marts, reports, staging
@@ -184,6 +185,10 @@ def q_model_fct_plays(spark: SparkSession, sf: str) -> DataFrame:
     """M8: the 54-column fact. Line items as plays, orders as games, and
     suppliers as the player dimension in all 12 roles (ids that find no
     supplier keep the id with a NULL name)."""
+    return _fct_plays(spark, sf)
+
+
+def _fct_plays(spark: SparkSession, sf: str, by_id_sets: bool = False) -> DataFrame:
     games = _games_from_orders(spark, sf).select(
         "game_id", "game_date",
         F.year("game_date").cast("bigint").alias("season"),
@@ -192,7 +197,7 @@ def q_model_fct_plays(spark: SparkSession, sf: str) -> DataFrame:
     players = load(spark, sf, "supplier").select(
         F.col("s_suppkey").cast("int").alias("player_id"), F.col("s_name").alias("full_name")
     )
-    return marts.fct_plays(_plays_from_lineitem(spark, sf), games, players)
+    return marts.fct_plays(_plays_from_lineitem(spark, sf), games, players, by_id_sets)
 
 
 def _game_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -391,6 +396,52 @@ def q_model_plays(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _through_json(docs: DataFrame, kind: str) -> DataFrame:
+    """The documents written as JSON text and parsed again under the declared schema."""
+    names = [c for c in docs.columns if c != "source_path"]
+    keep = [c for c in ("source_path",) if c in docs.columns]
+    text = docs.select(*keep, F.to_json(F.struct(*names)).alias("doc"))
+    parsed = F.from_json("doc", DOC_SCHEMAS[kind], {"mode": "FAILFAST"})
+    return text.select(*keep, parsed.alias("doc")).select(*keep, "doc.*")
+
+
+def q_json_games(spark: SparkSession, sf: str) -> DataFrame:
+    """M4 from JSON text."""
+    g = staging.stg_games(_through_json(_game_documents(spark, sf), "play_by_play"))
+    return g.withColumn("start_time_utc", F.date_format("start_time_utc", "yyyy-MM-dd HH:mm:ss"))
+
+
+def q_json_plays(spark: SparkSession, sf: str) -> DataFrame:
+    """M5 from JSON text."""
+    p = staging.stg_plays(_through_json(_play_documents(spark, sf), "play_by_play"))
+    return p.select(
+        *[c for c in p.columns if c != "details"],
+        F.variant_get("details", "$.xCoord", "int").alias("x_coord"),
+        F.variant_get("details", "$.scoringPlayerId", "int").alias("scoring_player_id"),
+    )
+
+
+def q_json_rosters(spark: SparkSession, sf: str) -> DataFrame:
+    """M3 from JSON text."""
+    return staging.stg_players_history(_through_json(_roster_documents(spark, sf), "rosters"))
+
+
+def q_json_standings(spark: SparkSession, sf: str) -> DataFrame:
+    """M1 from JSON text."""
+    return staging.stg_standings_history(_through_json(_standings_documents(spark, sf), "standings"))
+
+
+def q_age_today(spark: SparkSession, sf: str) -> DataFrame:
+    """New Years crossed up to today."""
+    o = load(spark, sf, "orders")
+    return o.select("o_orderkey", X.year_crossings(X.as_date("o_orderdate"), F.current_date()).alias("age"))
+
+
+def q_model_fct_plays_past_bound(spark: SparkSession, sf: str) -> DataFrame:
+    """M8 by id sets, the plan for a player dimension too large to broadcast; same oracle."""
+    return _fct_plays(spark, sf, by_id_sets=True)
+
+
 def q_model_dim_teams(spark: SparkSession, sf: str) -> DataFrame:
     """M1 -> M2 -> M6: the standings history, its current view (latest
     snapshot per team, ties kept) and the team dimension."""
@@ -468,6 +519,12 @@ STANDIN_QUERIES = {
     "q_model_player_history": q_model_player_history,
     "q_model_standings_history": q_model_standings_history,
     "q_model_dim_players": q_model_dim_players,
+    "q_json_games": q_json_games,
+    "q_json_plays": q_json_plays,
+    "q_json_rosters": q_json_rosters,
+    "q_json_standings": q_json_standings,
+    "q_age_today": q_age_today,
+    "q_model_fct_plays_past_bound": q_model_fct_plays_past_bound,
     "q_landing_completed_ids": q_landing_completed_ids,
     "q_landing_past_games": q_landing_past_games,
     "q_landing_newest_teams": q_landing_newest_teams,
@@ -497,3 +554,9 @@ STANDIN_ORACLE_SQL = {
     "q_landing_newest_teams": "select o_orderpriority as team_abbrev from orders where cast(o_orderdate as date) = (select max(cast(o_orderdate as date)) from orders)",
     "q_model_fct_plays": "with p as (select l_orderkey as game_id, l_linenumber as event_id, case when l_returnflag = 'R' then 'goal' when l_returnflag = 'A' then 'hit' when l_returnflag = 'N' and l_linestatus = 'O' then 'faceoff' else 'penalty' end as event_type, l_linenumber * 10 as sort_order, case when l_discount < 0.03 then 1 when l_discount < 0.07 then 2 else 3 end as period, 'REG' as period_type, '10:00' as time_in_period, '10:00' as time_remaining, '1551' as situation_code, case when l_linestatus = 'O' then 1 else 2 end as event_team_id, cast(l_quantity as integer) as x_coord, l_linenumber as y_coord, case when l_linestatus = 'O' then 'O' else 'D' end as zone_code, case when l_returnflag = 'R' then 'wrist' end as shot_type, case when l_returnflag = 'R' then cast(l_suppkey as integer) end as scoring_player_id, case when l_returnflag = 'R' then cast(l_suppkey + 1 as integer) end as assist1_player_id, case when l_returnflag = 'R' then l_linenumber end as assist2_player_id, cast(null as integer) as scoring_player_total, cast(null as integer) as assist1_player_total, cast(null as integer) as assist2_player_total, case when l_returnflag = 'R' then 0 end as away_score_at_goal, case when l_returnflag = 'R' then l_linenumber end as home_score_at_goal, case when l_returnflag = 'R' then l_linenumber end as goalie_player_id, case when l_returnflag = 'R' then 'https://clip/' || cast(l_orderkey as varchar) end as highlight_url, case when l_returnflag = 'R' then cast(l_suppkey as integer) end as shooting_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then l_linenumber end as blocking_player_id, case when l_returnflag = 'N' and l_linestatus = 'O' then cast(l_suppkey as integer) end as faceoff_winning_player_id, case when l_returnflag = 'N' and l_linestatus = 'O' then cast(-l_suppkey as integer) end as faceoff_losing_player_id, case when l_returnflag = 'A' then cast(l_suppkey as integer) end as hitting_player_id, case when l_returnflag = 'A' then l_linenumber end as hittee_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then cast(l_suppkey as integer) end as penalty_committed_by_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then cast(l_suppkey + 1 as integer) end as penalty_drawn_by_player_id, case when l_returnflag = 'N' and l_linestatus <> 'O' then 'tripping' end as penalty_desc, case when l_returnflag = 'N' and l_linestatus <> 'O' then 2 end as penalty_duration_minutes, case when l_returnflag = 'A' then cast(-l_linenumber as integer) end as player_id from lineitem), d as (select cast(s_suppkey as integer) as pid, s_name as full_name from supplier), g as (select o_orderkey as gid, cast(o_orderdate as date) as game_date, year(o_orderdate) as season, o_orderstatus as home_team_abbrev, o_orderpriority as away_team_abbrev, cast(dayofweek(o_orderdate) + 1 as integer) as final_home_score, cast(o_totalprice / 100000 as integer) as final_away_score, case o_orderstatus when 'F' then 'REG' when 'O' then 'OT' when 'P' then 'SO' end as last_period_type from orders) select p.*, g.game_date, g.season, g.home_team_abbrev, g.away_team_abbrev, g.final_home_score, g.final_away_score, g.last_period_type, r0.full_name as scoring_player_name, r1.full_name as assist1_player_name, r2.full_name as assist2_player_name, r3.full_name as goalie_player_name, r4.full_name as shooting_player_name, r5.full_name as faceoff_winning_player_name, r6.full_name as faceoff_losing_player_name, r7.full_name as hitting_player_name, r8.full_name as hittee_player_name, r9.full_name as penalty_committed_by_player_name, r10.full_name as penalty_drawn_by_player_name, r11.full_name as player_name from p left join g on p.game_id = g.gid left join d r0 on p.scoring_player_id = r0.pid left join d r1 on p.assist1_player_id = r1.pid left join d r2 on p.assist2_player_id = r2.pid left join d r3 on p.goalie_player_id = r3.pid left join d r4 on p.shooting_player_id = r4.pid left join d r5 on p.faceoff_winning_player_id = r5.pid left join d r6 on p.faceoff_losing_player_id = r6.pid left join d r7 on p.hitting_player_id = r7.pid left join d r8 on p.hittee_player_id = r8.pid left join d r9 on p.penalty_committed_by_player_id = r9.pid left join d r10 on p.penalty_drawn_by_player_id = r10.pid left join d r11 on p.player_id = r11.pid",
 }
+STANDIN_ORACLE_SQL["q_json_games"] = STANDIN_ORACLE_SQL["q_model_games"]
+STANDIN_ORACLE_SQL["q_json_plays"] = STANDIN_ORACLE_SQL["q_model_plays"]
+STANDIN_ORACLE_SQL["q_json_rosters"] = STANDIN_ORACLE_SQL["q_model_player_history"]
+STANDIN_ORACLE_SQL["q_json_standings"] = STANDIN_ORACLE_SQL["q_model_standings_history"]
+STANDIN_ORACLE_SQL["q_model_fct_plays_past_bound"] = STANDIN_ORACLE_SQL["q_model_fct_plays"]
+STANDIN_ORACLE_SQL["q_age_today"] = "select o_orderkey, date_diff('year', cast(o_orderdate as date), current_date) as age from orders"

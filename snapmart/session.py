@@ -8,14 +8,13 @@
   a hot key is split at run time and small stages shrink.
 * No web UI.
 
-On a cluster the session already exists; :func:`configure` only sets what is
-unset and never overrides a cluster's ``spark.checkpoint.dir``.
+On a cluster the session already exists; :func:`configure` sets the semantic
+settings and fills in tuning settings that nobody has set.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -44,40 +43,20 @@ TUNING_CONF = {
 }
 
 
+#: What ``conf.get`` gives for a known setting that nobody has set.
+_UNSET = "<undefined>"
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the semantic settings and fill in a checkpoint dir if unset."""
+    """Apply the semantic settings, and the tuning settings that are unset."""
     for k, v in SEMANTIC_CONF.items():
         spark.conf.set(k, v)
-    try:
-        ensure_checkpoint_dir(spark)
-    except Exception as exc:  # a remote (Connect) session has no SparkContext
-        if "checkpoint" in str(exc):
-            raise
+    for k, v in TUNING_CONF.items():
+        if spark.conf.get(k, _UNSET) == _UNSET:
+            spark.conf.set(k, v)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, creating a local one only if unset.
-
-    A cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    always used. Only a local session without it (tests) gets a fresh
-    temporary folder.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; a cluster needs a shared folder"
-            )
-        conf_dir = tempfile.mkdtemp(prefix="snapmart-ckpt-")
-    sc.setCheckpointDir(conf_dir)
-    return conf_dir
-
-
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
 

@@ -20,17 +20,17 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 from pyspark.storagelevel import StorageLevel
 
-from ..functions.scalar import path_part
+from ..functions.scalar import number_field, path_part
 from ..operators.joins import not_yet_present
 from ..operators.latest import latest_overall
 from ..operators.ordering import order_by
 from ..schemas import DOC_SCHEMAS
-from .documents import SOURCE_PATH, doc_glob, path_key
+from .documents import SOURCE_PATH, doc_glob, path_key, read_documents
+from .materialize import read_if_built
 
 # Schedule states of a completed game; game types kept by R5.
 COMPLETED_STATES = ("OFF", "FINAL")
@@ -55,6 +55,23 @@ def newest_snapshot(docs: DataFrame, date_from_end: int = 2) -> DataFrame:
     return latest_overall(dated, "snapshot_date")
 
 
+def newest_documents(spark: SparkSession, raw_root: str, kind: str, date_from_end: int = 2) -> DataFrame:
+    """R2 on the raw store: the documents of the newest date, found from file names alone.
+
+    The listing reads no content, so an old document that does not parse does
+    not matter; then only the newest date's folder is read. One value (the
+    date) comes to the driver. No document at all is an error.
+    """
+    glob = doc_glob(raw_root, kind)
+    dates = landed_keys(spark, glob, date_from_end, "snapshot_date", "date")
+    newest = dates.agg(F.max("snapshot_date")).first()[0]
+    if newest is None:
+        raise ValueError(f"no {kind} documents under {raw_root}")
+    parts = glob.split("/")
+    parts[-date_from_end] = newest.isoformat()
+    return read_documents(spark, "/".join(parts), DOC_SCHEMAS[kind])
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """Fail when ``df`` is empty (reads at most one row)."""
     if not df.take(1):
@@ -72,7 +89,7 @@ def completed_game_ids(schedule_docs: DataFrame) -> DataFrame:
     games = schedule_docs.select(F.explode("games").alias("g"))
     ids = (
         games.where(F.col("g.gameState").isin(*COMPLETED_STATES))
-        .select(F.col("g.id").alias("game_id"))
+        .select(number_field(games, "g.id", "bigint").alias("game_id"))
         .distinct()
     )
     return order_by(ids, "game_id")
@@ -109,9 +126,9 @@ def schedule_table(schedule_docs: DataFrame) -> DataFrame:
     """Schedule documents as the flat ``(game_id, game_date, game_type)`` table."""
     g = schedule_docs.select(F.explode("games").alias("g"))
     return g.select(
-        F.col("g.id").alias("game_id"),
+        number_field(g, "g.id", "bigint").alias("game_id"),
         F.col("g.gameDate").cast("date").alias("game_date"),
-        F.col("g.gameType").alias("game_type"),
+        number_field(g, "g.gameType", "bigint").alias("game_type"),
     )
 
 
@@ -136,6 +153,18 @@ def read_inbox(spark: SparkSession, inbox_root: str, kind: str) -> DataFrame:
 RUN_ID = "_run_id"
 
 
+def one_per_key(df: DataFrame, keys: list[str], prefer: str = SOURCE_PATH) -> DataFrame:
+    """One row per key: the one with the greatest ``prefer`` (the last path).
+
+    Rows of one key meet in a window; a batch holds few documents per key.
+    """
+    order = [F.desc(prefer)] if prefer in df.columns else []
+    plain = [c for c, t in df.dtypes if t != "variant" and c not in keys and "map<" not in t]
+    order.append(F.desc(F.xxhash64(*[c for c in plain if "variant" not in dict(df.dtypes)[c]] or keys)))
+    ranked = df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.where("__n = 1").drop("__n")
+
+
 def append_new(
     incoming: DataFrame,
     store_path: str,
@@ -146,8 +175,10 @@ def append_new(
     """R6 + R9: append the incoming rows whose keys are not in the store.
 
     Running it twice with the same input writes nothing the second time.
-    Counts: ``failed`` rows did not parse, ``new`` were written, ``skipped``
-    were already present.
+    A key that the batch holds several times is written once, from the
+    greatest path (:func:`one_per_key`). Counts: ``failed`` rows did not
+    parse or have a NULL key, ``new`` were written, ``skipped`` were already
+    present or repeat a key of the batch.
 
     The counts stay exact when executors are lost: ``incoming`` and
     ``failed`` come from a one-row aggregate job over the parsed inbox
@@ -156,12 +187,15 @@ def append_new(
     run id every written row carries; Parquet statistics prune that filter
     to this run's files. ``run_id`` must be new for each run (the default is
     a fresh uuid). A failed write commits nothing, so the run can simply be
-    repeated.
+    repeated. A store that is absent is made; one that cannot be read fails.
     """
     spark = incoming.sparkSession
     run_id = run_id or uuid.uuid4().hex
     has_corrupt = "_corrupt_record" in incoming.columns
-    failed_col = F.col("_corrupt_record").isNotNull() if has_corrupt else F.lit(False)
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    failed_col = (F.col("_corrupt_record").isNotNull() if has_corrupt else F.lit(False)) | no_key
     # The inbox (one run's delta) is parsed once for the counts and the
     # write; Spark also requires this before querying the corrupt-record
     # column of raw JSON. A lost cached block is recomputed from the files.
@@ -173,7 +207,8 @@ def append_new(
         clean = parsed.where(~failed_col)
         if has_corrupt:
             clean = clean.drop("_corrupt_record")
-        present = _read_if_exists(spark, store_path)
+        clean = one_per_key(clean, keys)
+        present = read_if_built(spark, store_path)
         if present is not None:
             clean = clean.join(present.select(*keys), on=keys, how="left_anti")
         w = clean.withColumn(RUN_ID, F.lit(run_id)).write.mode("append")
@@ -187,21 +222,16 @@ def append_new(
     return {"new": n_new, "skipped": n_in - n_failed - n_new, "failed": n_failed}
 
 
-def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
 def replace_by_key(df: DataFrame, store_path: str, key: str) -> None:
     """Overwrite only the partitions of the keys present in ``df``.
 
     Each run replaces those keys' rows (a team's schedule) and leaves the
-    other keys untouched.
+    other keys untouched. The rebalance keeps a key's rows in few files and
+    splits a key that holds much of the data.
     """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", key)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(key)
         .parquet(store_path)

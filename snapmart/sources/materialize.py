@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import posixpath
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -52,6 +53,19 @@ def read_table(spark: SparkSession, warehouse: str, name: str, columns: list[str
     return df.select(*columns) if columns else df
 
 
+def read_if_built(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet folder at ``path``, or None when there is none.
+
+    Only a missing path counts as absent; a folder that cannot be read fails.
+    """
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """``materialized='view'``: a named query, evaluated when read."""
     df.createOrReplaceTempView(name)

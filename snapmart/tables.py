@@ -1,10 +1,7 @@
 """The driver's Parquet tables, read lazily so Catalyst prunes columns and
 pushes filters into each scan.
 
-The tables are read-only inputs, so each one is resolved once per session
-(file listing and footer schema) and the same DataFrame is handed out
-afterwards, as a catalog table would be; every query still builds its own
-plan on top of it.
+Every call lists the files anew, so a table that has grown is read whole.
 """
 
 from __future__ import annotations
@@ -18,9 +15,6 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-_RESOLVED: dict[tuple[int, str], DataFrame] = {}
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
@@ -29,20 +23,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table as a DataFrame; nothing is read until an action runs."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    path = table_path(sf_dir, name)
-    key = (id(spark), path)
-    df = _RESOLVED.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _RESOLVED[key] = df
-    return df
-
-
-def forget(spark: SparkSession | None = None) -> None:
-    """Drop resolved tables (all, or one session's), e.g. after files change."""
-    for key in list(_RESOLVED):
-        if spark is None or key[0] == id(spark):
-            del _RESOLVED[key]
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def register_all(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

