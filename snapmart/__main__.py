@@ -5,6 +5,7 @@ take in new game documents.
     python -m snapmart test   --warehouse W          (exit 1 when a test fails)
     python -m snapmart report --warehouse W [name ...]
     python -m snapmart ingest --raw-root R --out P --checkpoint C
+    python -m snapmart land   --inbox I --out P
 
 ``--master`` picks the Spark master (default: the cluster's, or local[*]
 when there is none).
@@ -51,6 +52,9 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("--raw-root", required=True)
     i.add_argument("--out", required=True)
     i.add_argument("--checkpoint", required=True)
+    la = sub.add_parser("land", help="append the completed games of an inbox that the store lacks")
+    la.add_argument("--inbox", required=True)
+    la.add_argument("--out", required=True)
     args = p.parse_args(argv)
 
     # Under spark-submit the driver starts with a gateway to the cluster's JVM
@@ -87,10 +91,17 @@ def main(argv: list[str] | None = None) -> int:
             _print_rows(reports.run_report(name, models))
         return 0
     if args.command == "ingest":
-        from .streaming.incremental import ingest_new_games
+        from .streaming.incremental import ingest_counts, ingest_new_games
 
         ingest_new_games(spark, args.raw_root, args.out, args.checkpoint)
-        print(f"new documents taken in; store: {args.out}")
+        counts = ingest_counts(spark, args.out)
+        print(f"store {args.out}: {counts['stored']} documents, {counts['failed']} failed")
+        return 0
+    if args.command == "land":
+        from .sources.landing import land_games
+
+        for name, n in land_games(spark, args.inbox, args.out).items():
+            print(f"{name}: {n}")
         return 0
     return 2
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..sources.documents import read_kind
 from ..sources.materialize import read_if_built, read_table, register_view, table_path, write_table
+from ..streaming.incremental import game_documents
 from . import marts, staging
 from .quality import invariants, run_suite
 
@@ -99,7 +100,7 @@ def build(
     if pbp_store is None:
         pbp = read_kind(spark, raw_root, "play_by_play")
     else:
-        pbp = spark.read.parquet(pbp_store)
+        pbp = game_documents(spark, pbp_store)
     write_table(staging.stg_games(pbp), warehouse, "stg_games")
     write_table(staging.stg_plays(pbp), warehouse, "stg_plays")
     write_table(

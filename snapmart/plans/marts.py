@@ -159,7 +159,7 @@ def fct_plays(
     ).select(
         "game_id", "event_id", "event_type", "sort_order",
         "period", "period_type", "time_in_period", "time_remaining", "situation_code",
-        *[F.col("__d")[key].alias(name) for key, name, _ in DETAIL_FIELDS],
+        *[J.typed_field(F.col("__d")[key], t).alias(name) for key, name, t in DETAIL_FIELDS],
     )
     named = role_join(plays, dim_players, "player_id", "full_name", PLAYER_ROLES, by_id_sets)
     named = left_lookup(named, stg_games, "game_id", "game_id", GAME_CONTEXT)

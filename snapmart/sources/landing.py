@@ -236,3 +236,29 @@ def replace_by_key(df: DataFrame, store_path: str, key: str) -> None:
         .partitionBy(key)
         .parquet(store_path)
     )
+
+
+def land_games(spark: SparkSession, inbox_root: str, store_path: str) -> dict[str, int]:
+    """One landing run over an inbox: teams, completed games, what is missing, append, counts.
+
+    R2 + R1: the teams of the newest standings document (an error without
+    one). R3: completed game ids of all schedules. R4: those not in the store.
+    R6 + R9: their documents are appended and counted. A document that does
+    not parse is counted as failed and stays pending for a later run.
+    Returns ``teams, wanted, new, skipped, failed, pending``.
+    """
+    teams = teams_from_standings(newest_documents(spark, inbox_root, "standings")).distinct().count()
+    schedules = read_inbox(spark, inbox_root, "schedules").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        wanted = completed_game_ids(schedules).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            present = read_if_built(spark, store_path)
+            pending = wanted if present is None else pending_ids(wanted, present, "game_id")
+            docs = read_inbox(spark, inbox_root, "play_by_play").withColumn("game_id", path_key(2).cast("bigint"))
+            counts = append_new(docs.join(pending, "game_id", "left_semi"), store_path, ["game_id"])
+            left = pending_ids(wanted, spark.read.parquet(store_path), "game_id").count()
+            return {"teams": teams, "wanted": wanted.count(), **counts, "pending": left}
+        finally:
+            wanted.unpersist()
+    finally:
+        schedules.unpersist()

@@ -7,6 +7,11 @@ batches of ``max_files`` files) and then stops, like a scheduled batch job.
 The sink writes Parquet with the game id from the path, ready for
 ``stg_games`` / ``stg_plays``. No state is held beyond the file list.
 
+A document that does not parse is stored with its text in
+``_corrupt_record`` and all else NULL, so it neither stops the run nor is
+read again; :func:`game_documents` reads the others, :func:`ingest_counts`
+counts both.
+
 Restarts are safe: the checkpoint and the sink's own log make each batch
 exactly-once, so a lost executor or a killed run is simply run again.
 """
@@ -15,7 +20,7 @@ from __future__ import annotations
 
 import posixpath
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,13 +29,29 @@ from ..schemas import LAYOUT, PLAY_BY_PLAY
 from ..sources.documents import SOURCE_PATH
 
 
+CORRUPT = "_corrupt_record"
+
+
+def game_documents(spark: SparkSession, out_path: str) -> DataFrame:
+    """The stored documents that parsed."""
+    return spark.read.parquet(out_path).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def ingest_counts(spark: SparkSession, out_path: str) -> dict[str, int]:
+    """How many stored documents parsed and how many failed."""
+    bad = F.count_if(F.col(CORRUPT).isNotNull())
+    row = spark.read.parquet(out_path).agg(F.count(F.lit(1)).alias("n"), bad.alias("failed")).first()
+    return {"stored": row["n"] - row["failed"], "failed": row["failed"]}
+
+
 def new_game_documents(spark: SparkSession, raw_root: str, max_files: int = 1000):
     """Streaming DataFrame of play-by-play documents not yet processed."""
     glob = posixpath.join(raw_root.rstrip("/"), LAYOUT["play_by_play"])
     docs = (
-        spark.readStream.schema(PLAY_BY_PLAY)
+        spark.readStream.schema(f"{PLAY_BY_PLAY}, {CORRUPT} STRING")
         .option("multiLine", True)
-        .option("mode", "FAILFAST")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("maxFilesPerTrigger", max_files)
         .json(glob)
     )

@@ -171,3 +171,38 @@ def test_newest_documents_ignores_broken_old_ones(spark, tmp_path):
     assert all("2024-01-03" in f for f in docs.inputFiles())
     with pytest.raises(Exception):
         L.newest_documents(spark, str(tmp_path / "none"), "standings")
+
+
+def _inbox(root, games, broken=()):
+    day = root / "standings" / "2024-10-05"
+    day.mkdir(parents=True)
+    (day / "standings.json").write_text(json.dumps({"standings": [{"teamAbbrev": {"default": t}} for t in "AB"]}))
+    (root / "schedules" / "A").mkdir(parents=True)
+    listed = [{"id": g, "gameState": "OFF", "gameDate": "2024-10-04", "gameType": 2} for g in [*games, *broken, 99]]
+    listed.append({"id": 98, "gameState": "FUT", "gameDate": "2024-10-09", "gameType": 2})
+    (root / "schedules" / "A" / "schedule.json").write_text(json.dumps({"games": listed}))
+    for g in [*games, *broken, 98]:
+        (root / "play-by-play" / str(g)).mkdir(parents=True)
+        text = "{broken" if g in broken else json.dumps({"id": g, "plays": []})
+        (root / "play-by-play" / str(g) / "play-by-play.json").write_text(text)
+    return str(root)
+
+
+def test_landing_run_counts_a_broken_document_and_goes_on(spark, tmp_path):
+    inbox, store = _inbox(tmp_path / "in", [1, 2, 3], broken=[4]), str(tmp_path / "store")
+    assert L.land_games(spark, inbox, store) == {"teams": 2, "wanted": 5, "new": 3, "skipped": 0, "failed": 1, "pending": 2}
+    assert L.land_games(spark, inbox, store) == {"teams": 2, "wanted": 5, "new": 0, "skipped": 0, "failed": 1, "pending": 2}
+    assert sorted(r.game_id for r in spark.read.parquet(store).collect()) == [1, 2, 3]
+
+
+def test_stream_goes_on_after_a_broken_document(spark, tmp_path):
+    from snapmart.streaming.incremental import game_documents, ingest_counts
+
+    inbox, out = _inbox(tmp_path / "in", [1, 2], broken=[4]), str(tmp_path / "out")
+    ingest_new_games(spark, inbox, out, str(tmp_path / "cp"))
+    assert ingest_counts(spark, out) == {"stored": 3, "failed": 1}
+    (tmp_path / "in" / "play-by-play" / "5").mkdir()
+    (tmp_path / "in" / "play-by-play" / "5" / "play-by-play.json").write_text(json.dumps({"id": 5, "plays": []}))
+    ingest_new_games(spark, inbox, out, str(tmp_path / "cp"))
+    assert ingest_counts(spark, out) == {"stored": 4, "failed": 1}
+    assert {r.path_game_id for r in game_documents(spark, out).collect()} == {1, 2, 5, 98}
