@@ -41,7 +41,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.llm.common import small_batches, store, utf8_buffers
@@ -58,6 +58,9 @@ LOCAL_FREQUENT = 3
 CHUNK = 2048
 #: Bytes of shingle sets of one chunk in the exact comparison.
 SET_BYTES = 64 << 20
+#: Bits of the filter that tells which documents' sets are wanted again; fixed,
+#: so it can be sent to every task. Other documents it lets through cost time only.
+FILTER_BITS = 1 << 24
 FANOUT = 8
 #: Stands for a null id inside the join: larger than any other.
 NO_ID = (1 << 63) - 1
@@ -68,8 +71,8 @@ MIN_BITS, MAX_BITS = 64, 1 << 16
 
 
 def bitmap_width(n: int) -> int:
-    """Bits of the bitmap of a set of ``n`` shingles: a power of two, about 2 per shingle."""
-    return min(MAX_BITS, max(MIN_BITS, 1 << (2 * n - 1).bit_length()))
+    """Bits of the bitmap of a set of ``n`` shingles: a power of two, one or two per shingle."""
+    return min(MAX_BITS, max(MIN_BITS, 1 << (n - 1).bit_length()))
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
@@ -399,6 +402,7 @@ def links_in_groups(rows: DataFrame, exact: bool) -> DataFrame:
     """``a, b`` links of every ``(grp, one, two)``; ``data`` is a bitmap, or the set if ``exact``."""
 
     def linked(rows: list[tuple]) -> list[tuple[int, int]]:
+        rows = list({r[4]: r for r in rows}.values())  # a repeated row is the same class
         if len(rows) < 2:
             return []
         classes = [r[4] for r in rows]
@@ -447,47 +451,62 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     members = store(groups_of_buckets(entries), "groups")
 
     # One document stands for each class.
-    first = sets.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+    first = sets.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
     active = members.select("cls").distinct()
-    infos = sets.join(first, ["cls", "doc_id"], "left_semi").join(active, "cls", "left_semi").dropDuplicates(["cls"])
+    infos = sets.join(first.drop("n"), ["cls", "doc_id"], "left_semi").join(active, "cls", "left_semi").dropDuplicates(["cls"])
     with_bits = chunk_pairs(members).join(infos.select("cls", "n_shingles", F.col("bits").alias("data")), "cls")
     maybe = store(links_in_groups(with_bits, exact=False).distinct(), "candidates")
     candidates = components(maybe)
 
-    # Shingle sets of the classes that have a candidate.
-    chosen = store(candidates.join(first, F.col("node") == F.col("cls")).select("doc_id", "cls", F.col("label").alias("grp")), "chosen")
-    exact_rows = class_sets(docs.join(chosen, "doc_id"))
-    weights = sets.join(first, ["cls", "doc_id"], "left_semi").dropDuplicates(["cls"]).join(chosen, ["cls", "doc_id"])
-    weights = weights.groupBy("grp").agg(F.sum("n_shingles").alias("held"), F.count(F.lit(1)).alias("n"))
-    chunks = F.greatest(F.ceil(F.col("n") / F.lit(CHUNK)), F.ceil(F.col("held") * 8 / F.lit(SET_BYTES))).cast("int")
-    exact_rows = exact_rows.dropDuplicates(["cls"]).join(weights.select("grp", chunks.alias("chunks")), "grp")
-    exact_rows = exact_rows.withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
+    # Classes that have a candidate, with their chunk in the candidate component.
+    chosen = candidates.join(first, F.col("node") == F.col("cls")).select("doc_id", "cls", "n", F.col("label").alias("grp"))
+    held = chosen.groupBy("grp").agg(F.sum("n").alias("held"), F.count(F.lit(1)).alias("rows"))
+    chunks = F.greatest(F.ceil(F.col("rows") / F.lit(CHUNK)), F.ceil(F.col("held") * 8 / F.lit(SET_BYTES))).cast("int")
+    chosen = chosen.join(held.select("grp", chunks.alias("chunks")), "grp").drop("n")
+    chosen = store(chosen.withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int")), "chosen")
+    exact_rows = class_sets(docs, wanted_filter(chosen)).join(chosen, ["doc_id", "cls"]).drop("doc_id")
     links = store(links_in_groups(chunk_pairs(exact_rows), exact=True).distinct(), "links")
     joined = components(links)
 
     return name_components(sets, first, joined)
 
 
-def class_sets(docs: DataFrame) -> DataFrame:
-    """``cls, grp, n_shingles, data`` with the shingle set of each text (of that class)."""
+def filter_bit(doc_id: Column) -> Column:
+    """The filter bit of a document id."""
+    return F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS).cast("bigint"))
+
+
+def wanted_filter(chosen: DataFrame) -> np.ndarray:
+    """``FILTER_BITS`` bits, set for the chosen documents (at most one row per 64 bits is collected)."""
+    bit = filter_bit(F.col("doc_id"))
+    words = chosen.select(F.floor(bit / 64).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int")).alias("bit"))
+    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[[r.word for r in rows]] = [r.bits for r in rows]
+    return out
+
+
+def class_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """``doc_id, cls, n_shingles, data`` with the shingle set of each document the filter lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = distinct_sorted(*text_shingles(*utf8_buffers(b.column(0))))
-            # A repeated id with another text is another class.
-            keep = [i for i, (s, c) in enumerate(zip(sets, b.column(1).to_pylist(), strict=True)) if s.size and set_class(s) == c]
-            some = pa.array(keep, pa.int64())
+            bit = b.column(2).to_numpy(zero_copy_only=False)
+            b = b.filter(pa.array((wanted[bit >> 6] >> (bit & 63)) & 1 == 1))
+            sets = distinct_sorted(*text_shingles(*utf8_buffers(b.column(1))))
+            keep = [i for i, s in enumerate(sets) if s.size]
             yield pa.RecordBatch.from_arrays(
                 [
-                    b.column(1).take(some),
-                    b.column(2).take(some),
+                    b.column(0).take(pa.array(keep, pa.int64())),
+                    pa.array([set_class(sets[i]) for i in keep], pa.int64()),
                     pa.array([sets[i].size for i in keep], pa.int64()),
                     pa.array([sets[i].tobytes() for i in keep], pa.binary()),
                 ],
-                ["cls", "grp", "n_shingles", "data"],
+                ["doc_id", "cls", "n_shingles", "data"],
             )
 
-    return docs.select("text", "cls", "grp").mapInArrow(run, "cls bigint, grp bigint, n_shingles bigint, data binary")
+    rows = docs.select("doc_id", "text", filter_bit(F.col("doc_id")).alias("bit"))
+    return rows.mapInArrow(run, "doc_id bigint, cls bigint, n_shingles bigint, data binary")
 
 
 def name_components(sets: DataFrame, first: DataFrame, joined: DataFrame) -> DataFrame:
