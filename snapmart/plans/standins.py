@@ -10,6 +10,7 @@ the tables directly.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from ..functions import scalar as X
 from ..operators.joins import role_join
 from ..schemas import DOC_SCHEMAS
 from ..sources import landing
+from ..sources.materialize import read_table, register_view, write_table
 from ..tables import load
 from . import marts, reports, staging
 
@@ -442,6 +444,47 @@ def q_model_fct_plays_past_bound(spark: SparkSession, sf: str) -> DataFrame:
     return _fct_plays(spark, sf, by_id_sets=True)
 
 
+def _scratch(spark: SparkSession, label: str) -> str:
+    """A new folder that all executors see."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/_standins/{label}-{uuid.uuid4().hex}"
+
+
+def _orders_as_inbox(spark: SparkSession, sf: str) -> DataFrame:
+    path = F.concat(F.lit("orders/"), F.lpad(X.text(F.col("o_orderkey")), 12, "0"))
+    return load(spark, sf, "orders").select(F.col("o_custkey").alias("key"), path.alias("source_path"), "o_orderstatus")
+
+
+def q_landing_append(spark: SparkSession, sf: str) -> DataFrame:
+    """R6 + R9: finished orders land first, then all of them; a customer is
+    a key and lands once, from the greatest path of the first batch that
+    holds it. The counts of both runs stand beside the rows."""
+    inbox, store = _orders_as_inbox(spark, sf), _scratch(spark, "append")
+    first = landing.append_new(inbox.where("o_orderstatus = 'F'").drop("o_orderstatus"), store, ["key"])
+    second = landing.append_new(inbox.drop("o_orderstatus"), store, ["key"])
+    counts = {"first_new": first["new"], "second_new": second["new"], "second_skipped": second["skipped"]}
+    return spark.read.parquet(store).select(
+        "key", "source_path", *[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()]
+    )
+
+
+def q_landing_replace(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders by status, then the pending ones again under another path."""
+    orders, store = _orders_as_inbox(spark, sf), _scratch(spark, "replace")
+    landing.replace_by_key(orders, store, "o_orderstatus")
+    again = orders.where("o_orderstatus = 'P'").withColumn("source_path", F.concat("source_path", F.lit("/2")))
+    landing.replace_by_key(again, store, "o_orderstatus")
+    return spark.read.parquet(store).select("key", "source_path", "o_orderstatus")
+
+
+def q_table_and_view(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored table under a given root, read by name, and a view over it."""
+    root = _scratch(spark, "tables")
+    write_table(load(spark, sf, "customer").select("c_custkey", "c_nationkey"), root, "cust", partition_by=["c_nationkey"])
+    register_view(read_table(spark, root, "cust", ["c_custkey", "c_nationkey"]), "q_table_and_view_cust")
+    return spark.sql("select c_nationkey, count(*) as n, min(c_custkey) as least from q_table_and_view_cust group by 1")
+
+
 def q_model_dim_teams(spark: SparkSession, sf: str) -> DataFrame:
     """M1 -> M2 -> M6: the standings history, its current view (latest
     snapshot per team, ties kept) and the team dimension."""
@@ -525,6 +568,9 @@ STANDIN_QUERIES = {
     "q_json_standings": q_json_standings,
     "q_age_today": q_age_today,
     "q_model_fct_plays_past_bound": q_model_fct_plays_past_bound,
+    "q_landing_append": q_landing_append,
+    "q_landing_replace": q_landing_replace,
+    "q_table_and_view": q_table_and_view,
     "q_landing_completed_ids": q_landing_completed_ids,
     "q_landing_past_games": q_landing_past_games,
     "q_landing_newest_teams": q_landing_newest_teams,
@@ -560,3 +606,15 @@ STANDIN_ORACLE_SQL["q_json_rosters"] = STANDIN_ORACLE_SQL["q_model_player_histor
 STANDIN_ORACLE_SQL["q_json_standings"] = STANDIN_ORACLE_SQL["q_model_standings_history"]
 STANDIN_ORACLE_SQL["q_model_fct_plays_past_bound"] = STANDIN_ORACLE_SQL["q_model_fct_plays"]
 STANDIN_ORACLE_SQL["q_age_today"] = "select o_orderkey, date_diff('year', cast(o_orderdate as date), current_date) as age from orders"
+STANDIN_ORACLE_SQL["q_landing_append"] = (
+    "with o as (select o_custkey as key, 'orders/' || lpad(cast(o_orderkey as varchar), 12, '0') as source_path, o_orderstatus from orders),"
+    " a as (select key, max(source_path) as source_path from o where o_orderstatus = 'F' group by key),"
+    " b as (select key, max(source_path) as source_path from o where key not in (select key from a) group by key)"
+    " select key, source_path, (select count(*) from a) as first_new, (select count(*) from b) as second_new,"
+    " (select count(*) from o) - (select count(*) from b) as second_skipped from (select * from a union all select * from b)"
+)
+STANDIN_ORACLE_SQL["q_landing_replace"] = (
+    "select o_custkey as key, 'orders/' || lpad(cast(o_orderkey as varchar), 12, '0') || case when o_orderstatus = 'P' then '/2' else '' end as source_path,"
+    " o_orderstatus from orders"
+)
+STANDIN_ORACLE_SQL["q_table_and_view"] = "select c_nationkey, count(*) as n, min(c_custkey) as least from customer group by 1"

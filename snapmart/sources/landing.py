@@ -159,8 +159,9 @@ def one_per_key(df: DataFrame, keys: list[str], prefer: str = SOURCE_PATH) -> Da
     Rows of one key meet in a window; a batch holds few documents per key.
     """
     order = [F.desc(prefer)] if prefer in df.columns else []
-    plain = [c for c, t in df.dtypes if t != "variant" and c not in keys and "map<" not in t]
-    order.append(F.desc(F.xxhash64(*[c for c in plain if "variant" not in dict(df.dtypes)[c]] or keys)))
+    # Equal paths: the order of a hash over what can be hashed.
+    plain = [c for c, t in df.dtypes if c not in keys and "variant" not in t and "map<" not in t]
+    order.append(F.desc(F.xxhash64(*(plain or keys))))
     ranked = df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where("__n = 1").drop("__n")
 
