@@ -11,6 +11,11 @@ stands alone.
 The votes of all candidates of the corpus are counted per kind and combination
 (at most ``3**4`` each), and expectation-maximisation estimates each labeler's
 reliability and each combination's chance to be personal data, without labels.
+A vote of 0 abstains and says nothing. Candidates without a pattern vote have a
+prior of their own, at least even: how often pattern matches or other loose
+ones are personal data does not speak against them. Standing alone is no evidence by itself, so where no other labeler
+votes the chance stays at one half. Loose matches that overlap a base span are
+no candidates, since the span is found already.
 With these chances as soft targets a logistic span classifier is trained on
 the candidates' signatures (votes, digits, separators, neighbours), weighted
 by their counts; the ``MAX_SIGNATURES`` commonest are used, a documented bound.
@@ -27,7 +32,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -155,7 +162,13 @@ def candidates(text: str) -> list[tuple[str, int, int, bool, str]]:
     found = base_matches(text)
     out = [(k, s, e, ok, signature(text, k, s, e, 1 if ok else -1)) for k, s, e, ok in found]
     taken = {(k, s, e) for k, s, e, _ in found}
-    out += [(k, s, e, False, signature(text, k, s, e, 0)) for k, s, e in loose_matches(text) if (k, s, e) not in taken]
+    base = sorted((s, e) for _, s, e, ok in found if ok)
+    starts = [s for s, _ in base]
+    ends = list(accumulate((e for _, e in base), max))  # the farthest end up to each start
+    for k, s, e in loose_matches(text):
+        before = bisect_left(starts, e)
+        if (k, s, e) not in taken and not (before and ends[before - 1] > s):
+            out.append((k, s, e, False, signature(text, k, s, e, 0)))
     return out
 
 
@@ -182,26 +195,38 @@ def find_candidates(docs: DataFrame) -> DataFrame:
 def reliabilities(votes: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[float, np.ndarray, np.ndarray]:
     """EM over vote combinations: prior, ``tables[class, labeler, vote]`` and each combination's chance.
 
-    Starts from the majority; votes are -1, 0, 1. Half a vote of smoothing
-    keeps every table entry positive.
+    Starts from the majority; votes are -1, 0, 1. A 0 is left out of the
+    likelihood (its table entry is 1 in both classes). Combinations without a
+    vote of the first labeler have a prior of their own, at least even; those
+    with no vote but the last labeler's for it stay at one half and teach
+    nothing, those with votes against and no other for it stay at 0.05 at most.
+    Five votes of
+    smoothing, nine in ten of them right, keep every table entry positive and
+    the classes in place where one of them is hardly seen.
     """
-    chance = np.clip(0.5 + votes.sum(axis=1) / (2.0 * votes.shape[1]), 0.05, 0.95)
+    voted = votes != 0
+    silent = ~voted[:, :-1].any(axis=1) & (votes[:, -1] >= 0)
+    most = np.where(silent, 0.5, np.where((votes[:, :-1] <= 0).all(axis=1), 0.05, 1.0))
+    counts = np.where(silent, 0.0, counts)
+    chance = np.minimum(most, np.clip(0.5 + votes.sum(axis=1) / (2.0 * votes.shape[1]), 0.05, 0.95))
     column = votes + 1
-    tables = np.empty((2, votes.shape[1], 3))
-    prior = 0.5
+    tables = np.ones((2, votes.shape[1], 3))
+    prior = np.empty(len(votes))
     for _ in range(rounds):
         for y, weight in ((1, counts * chance), (0, counts * (1 - chance))):
             for j in range(votes.shape[1]):
-                tables[y, j] = np.bincount(column[:, j], weights=weight, minlength=3) + 0.5
-            tables[y] /= tables[y].sum(axis=1, keepdims=True)
-        prior = float((counts @ chance + 1) / (counts.sum() + 2))
+                held = np.bincount(column[:, j], weights=weight, minlength=3) + (0.5, 0.0, 4.5)[:: 1 if y else -1]
+                tables[y, j, ::2] = held[::2] / held[::2].sum()
+        for g, least in ((voted[:, 0], 0.0), (~voted[:, 0], 0.5)):
+            prior[g] = max(least, (counts[g] @ chance[g] + 1) / (counts[g].sum() + 2))
         logs = [np.log(tables[y])[np.arange(votes.shape[1]), column].sum(axis=1) for y in (0, 1)]
-        new = 1 / (1 + np.exp(np.clip(logs[0] - logs[1] + math.log(1 - prior) - math.log(prior), -50, 50)))
-        if np.abs(new - chance).max() < 1e-9:
-            chance = new
-            break
+        new = 1 / (1 + np.exp(np.clip(logs[0] - logs[1] + np.log(1 - prior) - np.log(prior), -50, 50)))
+        new = np.where(silent, 0.5, np.minimum(new, most))
+        settled = np.abs(new - chance).max() < 1e-9
         chance = new
-    return prior, tables, chance
+        if settled:
+            break
+    return float((counts @ chance + 1) / (counts.sum() + 2)), tables, chance
 
 
 def features(sig: str) -> list[str]:

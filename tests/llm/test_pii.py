@@ -94,3 +94,33 @@ def test_loose_phone_is_added_where_labelers_agree(spark):
     got = {r.doc_id: r.n_added for r in pii.find_spans(docs_of(spark, rows)).collect()}
     assert all(got[i] == 0 for i in range(300, 500))
     assert all(got[i] == 0 for i in range(200))
+
+
+def test_loose_spans_are_added_where_base_spans_are_common(spark):
+    rows = [(i, f"please call +1 (212) 555-{i:04d} today", "s") for i in range(200)]
+    rows += [(200 + i, f"please call 212 555 {i:04d} today", "s") for i in range(40)]
+    rows += [(300 + i, f"host 10.0.0.{i} is up", "s") for i in range(100)]
+    rows += [(400 + i, f"host 2001:db8:0:0:0:0:0:{i:x} is up", "s") for i in range(20)]
+    # Numbers that nothing speaks for, or that a word speaks against.
+    rows += [(500 + i, f"it was 2020-01-{i:02d} or so", "s") for i in range(90)]
+    rows += [(600 + i, f"isbn 978 12 {i:04d} of it", "s") for i in range(90)]
+    got = {r.doc_id: r for r in pii.find_spans(docs_of(spark, rows)).collect()}
+    assert all(got[i].n_added == 1 and got[i].spans == "phone:12:24" for i in range(200, 240))
+    assert all(got[i].n_added == 1 and got[i].spans.startswith("ip:5:") for i in range(400, 420))
+    assert all(got[i].n_added == 0 for i in got if not (200 <= i < 240 or 400 <= i < 420))
+    masked = {r.doc_id: r.text for r in pii.mask(docs_of(spark, rows)).collect()}
+    assert masked[200] == "please call <phone> today" and masked[500] == "it was 2020-01-00 or so"
+
+
+def test_few_loose_combinations_pass_without_votes_of_zero():
+    for base, loose in ((200, 40), (1000, 20), (5000, 1)):
+        votes = np.array([[1, 1, 1, 1], [0, 0, 1, 1], [0, 0, 0, 1], [0, 0, -1, 1]])
+        _, _, chance = pii.reliabilities(votes, np.array([base, loose, 300.0, 30.0]))
+        assert chance[1] >= pii.ADD and chance[2] == 0.5 and chance[3] < 0.5
+
+
+def test_words_against_hold_where_base_spans_have_no_context():
+    for base, loose, against in ((157, 30, 30), (200, 1000, 30), (50, 30, 300)):
+        votes = np.array([[1, 1, 0, 1], [0, 0, 1, 1], [0, 0, -1, 1]])
+        _, _, chance = pii.reliabilities(votes, np.array([base, loose, against], float))
+        assert min(chance[:2]) >= pii.ADD and chance[2] <= 0.05
