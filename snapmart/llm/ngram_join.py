@@ -22,10 +22,15 @@ one class; classes are what is joined.
 4. The components of these candidate edges get their shingle sets (read again
    for one document per class) and are traversed again, now with an exact
    check at the leaves. The components of the exact links are the result.
+5. Where links are counted, the exact traversal skips only what the bounds
+   refute: node pairs of at most ``BLOCK`` leaves are compared all with all by
+   one matrix product, every pair of classes in one task only. A task returns
+   its links as a sum per class and a spanning forest.
 
-A group of near copies costs about one check per member, since pairs inside a
-found component are skipped; no list of all pairs is ever made. Chunks bound
-the memory of a task by ``CHUNK`` bitmaps or ``SET_BYTES`` of shingles.
+Without counts a group of near copies costs about one check per member, since
+pairs inside a found component are skipped; with them it costs its true links,
+but no list of all pairs is ever made. Chunks bound the memory of a task by
+``CHUNK`` bitmaps or ``SET_BYTES`` of shingles.
 
 Edge cases: a null or empty text, or one without words, has an empty set and
 is linked with nothing; its component is itself. Repeated rows and equal texts
@@ -62,6 +67,8 @@ SET_BYTES = 64 << 20
 #: so it can be sent to every task. Other documents it lets through cost time only.
 FILTER_BITS = 1 << 24
 FANOUT = 8
+#: Leaves of a node that is compared as a whole when links are counted.
+BLOCK = 64
 #: Stands for a null id inside the join: larger than any other.
 NO_ID = (1 << 63) - 1
 MIN_BITS, MAX_BITS = 64, 1 << 16
@@ -183,6 +190,93 @@ class DualTraversal:
                 self.between(a, c)
 
 
+class CountingTraversal(DualTraversal):
+    """Counts every link of each member, weighted by the other's ``copies``; ``links`` is a spanning forest."""
+
+    def __init__(self, sets: list[np.ndarray], copies: list[int]) -> None:
+        super().__init__(Forest(len(sets)), lambda i, j: False)
+        self.sets, self.copies = sets, np.array(copies, np.int64)
+        self.counts = np.zeros(len(sets), np.int64)
+        self.below: dict[Node, list[int]] = {}
+
+    def leaves(self, node: Node) -> list[int]:
+        """Leaves below; only short lists are kept."""
+        if node.leaf >= 0:
+            return [node.leaf]
+        if node not in self.below:
+            out = [i for c in node.children for i in self.leaves(c)]
+            self.below[node] = out if len(out) <= BLOCK else []
+        return self.below[node]
+
+    def small(self, node: Node) -> list[int]:
+        """The leaves below if they are one block, else nothing."""
+        if node.leaf < 0 and any(not self.small(c) for c in node.children):
+            return []
+        return self.leaves(node)
+
+    def within(self, node: Node) -> None:
+        if some := self.small(node):
+            self.compare(some, some)
+        else:
+            super().within(node)
+
+    def between(self, a: Node, b: Node) -> None:
+        if not possible(a, b):
+            return
+        ours, theirs = self.small(a), self.small(b)
+        if ours and theirs:
+            self.compare(ours, theirs)
+        elif theirs or (not ours and a.hi - a.lo >= b.hi - b.lo):
+            for c in a.children:
+                self.between(c, b)
+        else:
+            for c in b.children:
+                self.between(a, c)
+
+    def compare(self, ours: list[int], theirs: list[int]) -> None:
+        """All pairs of two blocks, or of one block with itself."""
+        common = shared_counts([self.sets[i] for i in ours], [self.sets[j] for j in theirs])
+        n, m = (np.array([self.sets[i].size for i in x], np.int64) for x in (ours, theirs))
+        linked = DENOM * common >= NUMER * (n[:, None] + m - common)
+        if ours is theirs:
+            linked = np.triu(linked, 1)
+        self.counts[ours] += linked @ self.copies[theirs]
+        self.counts[theirs] += self.copies[ours] @ linked
+        find = self.forest.find
+        x, y = np.nonzero(linked)
+        if x.size:
+            # One link is enough for each pair of components.
+            a, b = np.array([find(i) for i in ours])[x], np.array([find(j) for j in theirs])[y]
+            for k in np.unique(np.where(a == b, -1, a * len(self.sets) + b), return_index=True)[1]:
+                if self.forest.join(ours[x[k]], theirs[y[k]]):
+                    self.links.append((ours[x[k]], theirs[y[k]]))
+
+
+def shared_counts(ours: list[np.ndarray], theirs: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Number of common shingles of every pair of sets, by products of 0/1 matrices of ``width`` shingles."""
+    every = [np.concatenate(x) for x in (ours, theirs)]
+    keys = np.intersect1d(*every)
+    sides = []
+    for held, sets in zip(every, (ours, theirs), strict=True):
+        owner = np.repeat(np.arange(len(sets)), [x.size for x in sets])
+        at = np.searchsorted(keys, held)
+        there = at < keys.size
+        there[there] = keys[at[there]] == held[there]
+        at, owner = at[there], owner[there]
+        order = np.argsort(at, kind="stable")
+        sides.append((at[order], owner[order]))
+    out = np.zeros((len(ours), len(theirs)), np.int64)
+    for low in range(0, keys.size, width):
+        dense = []
+        for (at, owner), sets in zip(sides, (ours, theirs), strict=True):
+            i, j = np.searchsorted(at, (low, low + width))
+            x = np.zeros((len(sets), min(width, keys.size - low)), np.float32)
+            x[owner[i:j], at[i:j] - low] = 1.0
+            dense.append(x)
+        out += (dense[0] @ dense[1].T).astype(np.int64)
+    return out
+
+
 def some_leaf(node: Node) -> int:
     """Any leaf below."""
     while node.leaf < 0:
@@ -191,13 +285,18 @@ def some_leaf(node: Node) -> int:
 
 
 def traverse(sides: list[int], sizes: list[int], bitmaps: list[bytes], check: Callable[[int, int], bool]) -> list[tuple[int, int]]:
-    """Spanning links among the members (``sides`` all 0) or between side 0 and side 1.
+    """Spanning links among the members (``sides`` all 0) or between side 0 and side 1."""
+    walk = DualTraversal(Forest(len(sizes)), check)
+    walk_bands(walk, sides, sizes, bitmaps, any(sides))
+    return walk.links
+
+
+def walk_bands(walk: DualTraversal, sides: list[int], sizes: list[int], bitmaps: list[bytes], two: bool) -> None:
+    """Meets every pair of members once, or of side 0 and side 1 if ``two``.
 
     Members of one bitmap width share a tree; a neighbouring width's tree is
     folded to the smaller one.
     """
-    two = any(sides)
-    walk = DualTraversal(Forest(len(sizes)), check)
     bands: dict[tuple[int, int], list] = {}
     for i, (side, n, raw) in enumerate(zip(sides, sizes, bitmaps, strict=True)):
         bands.setdefault((side, 8 * len(raw)), []).append((i, n, int.from_bytes(raw, "little")))
@@ -217,7 +316,6 @@ def traverse(sides: list[int], sizes: list[int], bitmaps: list[bytes], check: Ca
                     else:
                         folded = build([(i, n, fold(b, wide, width)) for i, n, b in bands[other, wide]], width)
                         walk.between(trees[side, width], folded)
-    return walk.links
 
 
 # ---------------------------------------------------------------- Spark steps
@@ -398,10 +496,14 @@ def chunk_pairs(members: DataFrame) -> DataFrame:
     )
 
 
-def links_in_groups(rows: DataFrame, exact: bool) -> DataFrame:
-    """``a, b`` links of every ``(grp, one, two)``; ``data`` is a bitmap, or the set if ``exact``."""
+def links_in_groups(rows: DataFrame, exact: bool, counted: bool = False) -> DataFrame:
+    """``a, b`` links of every ``(grp, one, two)``; ``data`` is a bitmap, or the set if ``exact``.
+
+    If ``counted``, rows with a null ``b`` hold in ``n`` the documents that
+    link with those of class ``a`` in this task, by the ``copies`` of classes.
+    """
 
-    def linked(rows: list[tuple]) -> list[tuple[int, int]]:
+    def linked(rows: list[tuple]) -> list[tuple]:
         rows = list({r[4]: r for r in rows}.values())  # a repeated row is the same class
         if len(rows) < 2:
             return []
@@ -415,8 +517,13 @@ def links_in_groups(rows: DataFrame, exact: bool) -> DataFrame:
             common = np.intersect1d(sets[i], sets[j], assume_unique=True).size
             return DENOM * common >= NUMER * (sets[i].size + sets[j].size - common)
 
-        found = traverse([r[3] for r in rows], [r[5] for r in rows], maps, check)
-        return [(classes[i], classes[j]) for i, j in found]
+        sides, sizes = [r[3] for r in rows], [r[5] for r in rows]
+        if counted:
+            walk = CountingTraversal(sets, [r[7] for r in rows])
+            walk_bands(walk, sides, sizes, maps, rows[0][1] != rows[0][2])
+            sums = [(classes[i], None, int(walk.counts[i])) for i in np.flatnonzero(walk.counts)]
+            return [(classes[i], classes[j], None) for i, j in walk.links] + sums
+        return [(classes[i], classes[j]) for i, j in traverse(sides, sizes, maps, check)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, held = None, []
@@ -431,15 +538,20 @@ def links_in_groups(rows: DataFrame, exact: bool) -> DataFrame:
         yield edges(linked(held))
 
     def edges(found: list) -> pa.RecordBatch:
-        a, b = zip(*found, strict=True) if found else ([], [])
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        columns = zip(*found, strict=True) if found else [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-    dealt = rows.select("grp", "one", "two", "side", "cls", "n_shingles", "data").repartition("grp", "one", "two")
-    return dealt.sortWithinPartitions("grp", "one", "two").mapInArrow(run, "a bigint, b bigint")
+    names = ["a", "b"] + ["n"] * counted
+    dealt = rows.select("grp", "one", "two", "side", "cls", "n_shingles", "data", *["copies"] * counted).repartition("grp", "one", "two")
+    return dealt.sortWithinPartitions("grp", "one", "two").mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, class_id`` of every document."""
+def jaccard_components(docs: DataFrame, counted: bool = True) -> DataFrame:
+    """``doc_id, n_shingles, component_id, class_id`` of every document; if ``counted``, ``n_links`` too.
+
+    ``n_links`` is the number of other rows a row is linked with, those with
+    an equal set among them.
+    """
     small_batches(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"), "text")
     both = store(document_sets(docs), "sets")
@@ -451,24 +563,31 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     members = store(groups_of_buckets(entries), "groups")
 
     # One document stands for each class.
-    first = sets.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
+    first = sets.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"))
     active = members.select("cls").distinct()
-    infos = sets.join(first.drop("n"), ["cls", "doc_id"], "left_semi").join(active, "cls", "left_semi").dropDuplicates(["cls"])
+    infos = sets.join(first.select("cls", "doc_id"), ["cls", "doc_id"], "left_semi").join(active, "cls", "left_semi").dropDuplicates(["cls"])
     with_bits = chunk_pairs(members).join(infos.select("cls", "n_shingles", F.col("bits").alias("data")), "cls")
     maybe = store(links_in_groups(with_bits, exact=False).distinct(), "candidates")
     candidates = components(maybe)
 
     # Classes that have a candidate, with their chunk in the candidate component.
-    chosen = candidates.join(first, F.col("node") == F.col("cls")).select("doc_id", "cls", "n", F.col("label").alias("grp"))
+    chosen = candidates.join(first, F.col("node") == F.col("cls")).select("doc_id", "cls", "n", "copies", F.col("label").alias("grp"))
     held = chosen.groupBy("grp").agg(F.sum("n").alias("held"), F.count(F.lit(1)).alias("rows"))
     chunks = F.greatest(F.ceil(F.col("rows") / F.lit(CHUNK)), F.ceil(F.col("held") * 8 / F.lit(SET_BYTES))).cast("int")
     chosen = chosen.join(held.select("grp", chunks.alias("chunks")), "grp").drop("n")
     chosen = store(chosen.withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int")), "chosen")
     exact_rows = class_sets(docs, wanted_filter(chosen)).join(chosen, ["doc_id", "cls"]).drop("doc_id")
-    links = store(links_in_groups(chunk_pairs(exact_rows), exact=True).distinct(), "links")
+    links = store(links_in_groups(chunk_pairs(exact_rows), exact=True, counted=counted), "links")
     joined = components(links)
 
-    return name_components(sets, first, joined)
+    out = name_components(sets, first, joined)
+    if not counted:
+        return out
+    sums = links.filter("b is null").groupBy(F.col("a").alias("_class")).agg(F.sum("n").alias("others"))
+    own = first.join(sums, F.col("cls") == F.col("_class"), "left")
+    own = own.select(F.col("cls").alias("_cls"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    out = out.join(own, F.col("class_id") == F.col("_cls"), "left").drop("_cls")
+    return out.withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("bigint")))
 
 
 def filter_bit(doc_id: Column) -> Column:
@@ -526,7 +645,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Repeats of that row stay once. Rows without an id cannot be told apart by
     it; where only such rows are in a component, each different text stays.
     """
-    found = store(jaccard_components(docs), "components")
+    found = store(jaccard_components(docs, counted=False), "components")
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
     out = docs.join(kept.distinct(), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_kept")), "left_semi")
     if kept.groupBy("_kept").count().filter("count > 1").isEmpty():

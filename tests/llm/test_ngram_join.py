@@ -99,3 +99,40 @@ def test_dense_group_needs_few_checks():
     asked = []
     ngram_join.traverse([0] * 600, [200] * 600, [ngram_join.bitmap(s) for s in sets], lambda i, j: bool(asked.append((i, j))) or True)
     assert len(asked) == 599
+
+
+def brute_links(rows: list[tuple]) -> list[tuple]:
+    sets = [shingle_set(t) for _, t, _ in rows]
+    n = [0] * len(rows)
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        common = len(sets[i] & sets[j])
+        if sets[i] and sets[j] and 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+            n[i] += 1
+            n[j] += 1
+    return sorted(((r[0], k) for r, k in zip(rows, n, strict=True)), key=str)
+
+
+@pytest.mark.parametrize("chunk", [2048, 8])
+def test_links_against_all_pairs(spark, chunk, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CHUNK", chunk)
+    rnd = random.Random(9)
+    base = rnd.choices([f"w{i}" for i in range(400)], k=80)
+    # 150 copies, each with a word of its own near one of its ends: more than one block.
+    copies = [[*base[:i], f"x{k}", *base[i + 1 :]] for k in range(150) for i in [rnd.choice((0, 1, 2, 77, 78, 79))]]
+    rows = planted(3)
+    rows += [(1000 + k, " ".join(w), "s") for k, w in enumerate(copies + copies[:5])]
+    got_links = ngram_join.jaccard_components(docs_of(spark, rows).repartition(3)).collect()
+    assert sorted(((r.doc_id, r.n_links) for r in got_links), key=str) == brute_links(rows)
+    assert got(ngram_join.jaccard_components(docs_of(spark, EDGE_ROWS), counted=False)) == brute(EDGE_ROWS)
+
+
+def test_edge_rows_links(spark):
+    rows = ngram_join.jaccard_components(docs_of(spark, EDGE_ROWS)).collect()
+    assert sorted(((r.doc_id, r.n_links) for r in rows), key=str) == brute_links(EDGE_ROWS)
+
+
+def test_shared_counts_in_slices():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 300, 200, dtype=np.uint64)) for _ in range(20)]
+    got = ngram_join.shared_counts(sets[:12], sets[12:], width=7)
+    assert got.tolist() == [[np.intersect1d(a, b).size for b in sets[12:]] for a in sets[:12]]
