@@ -26,8 +26,10 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
+from collections import ChainMap
 from collections.abc import Iterator, Mapping
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +59,8 @@ class WordTokenizer:
     composed already, so the rules that do this are left out); the last id of
     each carries the end-of-word mark. Everything else new is encoded one by
     one by the whole tokenizer. What is known is kept in two generations, so
-    common words stay when memory is full.
+    common words stay when memory is full; a generation changes only after a
+    text, so a text may hold any number of words.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
@@ -75,29 +78,28 @@ class WordTokenizer:
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def _one_by_one(self, words: list[str]) -> None:
+    def _one_by_one(self, words: list[str], into: dict[bytes, bytes]) -> None:
         for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            self.known[w.encode()] = np.array(e.ids, "<u4").tobytes()
+            into[w.encode()] = np.array(e.ids, "<u4").tobytes()
 
-    def _joined(self, words: list[str]) -> None:
+    def _joined(self, words: list[str], into: dict[bytes, bytes]) -> None:
         for at in range(0, len(words), 512):
             some = words[at : at + 512]
             ids = np.array(self.letters.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) != len(some):
-                self._one_by_one(some)
+                self._one_by_one(some, into)
                 continue
             raw, cut = ids.tobytes(), [0, *(4 * ends).tolist()]
-            self.known.update((w.encode(), raw[cut[i] : cut[i + 1]]) for i, w in enumerate(some))
+            into.update((w.encode(), raw[cut[i] : cut[i + 1]]) for i, w in enumerate(some))
 
-    def _learn(self, words: set[bytes]) -> None:
-        """Put all ``words`` into ``known``."""
-        if len(self.known) + len(words) > CACHE_WORDS // 2:
-            self.known, self.older = {}, self.known
+    def _fresh(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of ``words`` that are not in ``known``, and of their new runs."""
+        out: dict[bytes, bytes] = {}
         whole, split, rest = set(), {}, []
         for raw in words:
             if raw in self.older:
-                self.known[raw] = self.older[raw]
+                out[raw] = self.older[raw]
                 continue
             w = raw.decode()
             if not w.isascii() and not unicodedata.is_normalized("NFC", w):
@@ -108,10 +110,12 @@ class WordTokenizer:
                 rest.append(w)
             else:
                 split[raw] = _RUNS.findall(w)
-        parts = {p for runs in split.values() for p in runs if p.encode() not in self.known}
-        self._joined(list(whole.union(p for p in parts if p.isalpha())))
-        self._one_by_one([*rest, *(p for p in parts if not p.isalpha())])
-        self.known.update((raw, b"".join([self.known[p.encode()] for p in runs])) for raw, runs in split.items())
+        parts = {p for runs in split.values() for p in runs if (raw := p.encode()) not in self.known and raw not in out}
+        self._joined(list(whole.union(p for p in parts if p.isalpha())), out)
+        self._one_by_one([*rest, *(p for p in parts if not p.isalpha())], out)
+        ids = ChainMap(out, self.known)
+        out.update([(raw, b"".join([ids[p.encode()] for p in runs])) for raw, runs in split.items()])
+        return out
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids of ``text`` and the end id."""
@@ -121,11 +125,13 @@ class WordTokenizer:
         try:
             return b"".join(map(self.known.__getitem__, words)) + self.end
         except KeyError:
-            distinct = set(words)
-            self._learn(distinct.difference(self.known))
-            if late := distinct.difference(self.known):  # a new generation has begun
-                self._learn(late)
-            return b"".join(map(self.known.__getitem__, words)) + self.end
+            fresh = self._fresh(set(words).difference(self.known))
+            if len(self.known) + len(fresh) <= CACHE_WORDS // 2:
+                self.known.update(fresh)
+                return b"".join(map(self.known.__getitem__, words)) + self.end
+            out = b"".join([fresh[w] if w in fresh else self.known[w] for w in words]) + self.end
+            self.known, self.older = dict(islice(fresh.items(), CACHE_WORDS // 2)), self.known
+            return out
 
 
 @cache

@@ -99,3 +99,13 @@ def test_pieces_with_ids(spark, plain):
     docs = docs_of(spark, [(1, "some words to pack", "a")])
     (row,) = packing.pack(docs, tokenizer_path(), with_ids=True).collect()
     assert np.frombuffer(row.ids, "<u4").tolist() == [*plain.encode("some words to pack", add_special_tokens=False).ids, 1]
+
+
+def test_a_text_may_hold_more_words_than_the_memory(plain, monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 40)
+    words = packing.WordTokenizer(tokenizer_path(), 1)
+    short = " ".join(f"known{chr(97 + i)}" for i in range(15))
+    long = short + " " + " ".join(f"{chr(97 + i)}{chr(97 + j)}word {i}-x{j}" for i in range(10) for j in range(10))
+    for text in (short, long, short, long + " " + short):
+        assert words.encode(text) == np.array([*plain.encode(text, add_special_tokens=False).ids, 1], "<u4").tobytes()
+        assert len(words.known) <= 20
