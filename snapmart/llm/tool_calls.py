@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +37,8 @@ from pyspark.sql import functions as F
 from snapmart.llm.common import store
 
 CALLS = "array<struct<id: string, name: string, arguments: string>>"
-#: Rounds of peeling after which a conversation counts as one with a cycle.
-MAX_DEPTH = 1000
+#: Rounds of peeling after which the settled calls are written as one table.
+MERGE_ROUNDS = 50
 
 
 @dataclass(frozen=True)
@@ -142,12 +143,14 @@ def peel(ids: DataFrame, edges: DataFrame) -> DataFrame:
     rest = store(ids, "peel-rest")
     links = store(edges.select("conv_id", "call_id", "needs"), "peel-links")
     done = None
-    for depth in range(1, MAX_DEPTH + 1):
+    for depth in count(1):  # every round settles a call or ends the loop
         ready = store(rest.join(links.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti"), "peel-ready")
         if ready.isEmpty():
             break
         settled = ready.withColumn("level", F.lit(depth).cast("int"))
         done = settled if done is None else done.unionByName(settled)
+        if depth % MERGE_ROUNDS == 0:
+            done = store(done, "peel-done")
         rest = store(rest.join(ready, ["conv_id", "call_id"], "left_anti"), "peel-rest")
         links = store(links.join(ready.withColumnRenamed("call_id", "needs"), ["conv_id", "needs"], "left_anti"), "peel-links")
     cyclic = rest.withColumn("level", F.lit(None).cast("int"))

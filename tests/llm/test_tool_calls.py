@@ -82,3 +82,11 @@ def test_plan_has_no_python(spark):
     df = T.turns_as_messages(spark.createDataFrame([(1, 0, "user", "hi")], "conv_id bigint, turn bigint, role string, text string"))
     plan = T.link_tool_calls(df, T.TURN_TOOLS)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_long_chain_is_no_cycle(spark, monkeypatch):
+    for name in ("MAX_DEPTH", "MERGE_ROUNDS"):  # the bound on rounds of before, and of one union
+        monkeypatch.setattr(T, name, 3, raising=False)
+    chain = spark.createDataFrame([(1, f"c{i}") for i in range(8)], "conv_id bigint, call_id string")
+    needs = spark.createDataFrame([(1, f"c{i}", f"c{i + 1}") for i in range(7)], "conv_id bigint, call_id string, needs string")
+    assert {r.call_id: r.level for r in T.peel(chain, needs).collect()} == {f"c{i}": 8 - i for i in range(8)}
