@@ -8,18 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from snapmart.llm import fingerprints, mixing, ngram_join, packing, pii, quality, tool_calls, toxicity, url_filter, warc
+from snapmart.llm import byte_bpe, fingerprints, mixing, ngram_join, packing, pii, quality, ranked_search, tool_calls, toxicity, url_filter, warc, whitening
 from snapmart.llm.common import documents
 
-#: File of the packing vocabulary; a parameter, never part of the repository.
+#: Vocabulary files of packing and of byte-level BPE; parameters, never part of the repository.
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.tiktoken"
 
 
-def tokenizer_path() -> str:
-    """Place of the vocabulary file on every machine."""
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Place of a vocabulary file on every machine."""
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +79,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir)).drop("lost")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every usable embedding."""
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    return ranked_search.rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the bytes they decode to."""
+    import public_tokenizers
+
+    return byte_bpe.digests(documents(spark, sf_dir), tokenizer_path(BYTE_TOKENIZER), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tool_calls": op1_tool_calls,
     "op2_toxicity": op2_toxicity,
@@ -89,6 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 #: Only what SQL can state and DuckDB runs on whole tables in little time.
@@ -157,6 +178,35 @@ ORACLE_SQL: dict[str, str] = {
             NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND (size = 0 OR 2 * left_over >= size) AS kept
         FROM v
     """,
+    "op12_ranked_search": r"""
+        WITH i AS (
+            SELECT row_number() OVER () AS k, item_id,
+                unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ), q AS (
+            SELECT k, item_id, term, count(*) AS repeats FROM i GROUP BY ALL
+        ), d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ), tf AS (
+            SELECT r, doc_id, term, count(*) AS tf FROM d GROUP BY ALL
+        ), c AS (
+            SELECT count(DISTINCT r) AS n_docs, CAST(sum(tf) AS BIGINT) AS total FROM tf
+        ), m AS (
+            SELECT r, 75 + (25 * CAST(sum(tf) AS BIGINT) * n_docs) // total AS m FROM tf, c GROUP BY r, n_docs, total
+        ), w AS (
+            SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM tf, c WHERE term IN (SELECT term FROM q) GROUP BY term, n_docs
+        ), s AS (
+            SELECT k, item_id, r, doc_id, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+            FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL
+        ), o AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id ASC NULLS LAST) AS INTEGER) AS rank, doc_id, score
+            FROM s WHERE score > 0
+        )
+        SELECT * FROM o WHERE rank <= 20
+    """,
     "op6_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
