@@ -7,7 +7,8 @@ they first occur, and its texts become sequences of these numbers, so a word's
 positions are stored once and never shuffled by word. (2) The distinct words of all
 blocks are dealt by hash to ``BUCKETS`` buckets and meet there: each word is
 encoded once, and its ids go back to every block that asked. (3) A block's
-sequences and ids meet again and are put together by position.
+sequences, which stay where they were stored, meet the ids and are put together
+by position.
 
 A row of the word shuffle holds all words of one block and bucket, packed and
 compressed, so a word that every block holds is one entry per block. Above
@@ -45,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from snapmart.llm.common import small_batches, store
+from snapmart.llm.common import small_batches, store_by
 
 #: A block ends when its texts have so many code points.
 BLOCK_CHARS = 1 << 25
@@ -265,31 +266,26 @@ class BlockIds:
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` (binary, little-endian unsigned 32 bit) of every whole text."""
-    cut = store(cut_into_words(docs, pattern), "bpe-words")
+    # Kept by block, so that only the ids of the words travel to their block.
+    cut = store_by(cut_into_words(docs, pattern), "bpe-words", "block")
     encoded = encode_words(cut.filter("kind = 0").select("block", "bucket", "body"), path, pattern)
-    nothing = F.lit(None)
-    rows = encoded.select(
-        "block", F.lit(0).alias("seq"), nothing.cast("array<bigint>").alias("doc_ids"), nothing.cast("array<int>").alias("sizes"), "body"
-    ).unionByName(cut.filter("kind = 1").select("block", "seq", "doc_ids", "sizes", "body"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, ids = None, BlockIds()
-        for b in batches:
-            for number, seq, doc_ids, sizes, body in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if number != block:
-                    block, ids = number, BlockIds()
-                if seq == 0:
-                    ids.add(body)
-                    continue
-                flat, ends = ids.assemble(unpack_numbers(body), np.array(sizes, np.int64))
-                at = np.concatenate(([0], ends))
-                raw = flat.tobytes()
-                values = [raw[4 * a : 4 * z] for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                columns = [pa.array(doc_ids, pa.int64()), pa.array(np.diff(at), pa.int64()), pa.array(values, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids"])
-
-    dealt = rows.repartition("block").sortWithinPartitions("block", "seq")
-    return dealt.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary")
+    texts = cut.filter("kind = 1").select("block", "doc_ids", "sizes", "body")
+
+    def assemble(sequences: pa.Table, words: pa.Table) -> pa.Table:
+        ids = BlockIds()
+        for body in words.column("body").to_pylist():
+            ids.add(body)
+        parts = []
+        for doc_ids, sizes, body in zip(*(sequences.column(c) for c in ("doc_ids", "sizes", "body")), strict=True):
+            flat, ends = ids.assemble(unpack_numbers(body.as_py()), sizes.values.to_numpy().astype(np.int64))
+            at = np.concatenate(([0], ends)).astype(np.int64)
+            values = pa.Array.from_buffers(pa.large_binary(), at.size - 1, [None, pa.py_buffer((4 * at).tobytes()), pa.py_buffer(flat.tobytes())])
+            parts.append(pa.table([doc_ids.values, pa.array(np.diff(at)), values.cast(pa.binary())], names=["doc_id", "n_tokens", "ids"]))
+        nothing = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())]).empty_table()
+        return pa.concat_tables([nothing, *parts])
+
+    dealt = texts.groupBy("block").cogroup(encoded.groupBy("block"))
+    return dealt.applyInArrow(assemble, "doc_id bigint, n_tokens bigint, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

@@ -35,6 +35,19 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def store_by(df: DataFrame, label: str, key: str) -> DataFrame:
+    """As :func:`store`, dealt by ``key`` into as many buckets as a shuffle has partitions.
+
+    A grouping or join by ``key`` reads the copy without a further exchange.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("compression", "zstd").bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the rows of an Arrow batch for workers that hold whole texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
