@@ -1,21 +1,28 @@
 """Mixture-controlled packing of token ids by deficit round-robin.
 
 Every text is tokenized once (ids by the given vocabulary, then one end id)
-and stored. Documents are dealt by hash to parts of about ``PART_TOKENS``
-tokens. Inside a part each source is a queue. Each window of ``WINDOW`` tokens
-adds its target share to the deficit of every source; the source with the
-largest deficit is served next, at least ``MIN_PIECE`` tokens or what is left
-of its document or the window. What a source got too much or too little stays
-in its deficit for the next window. An empty queue's turn goes to the others.
-
-The parts run in parallel, and still carry deficits: a part hands out all its
-tokens, so its closing deficits follow from its counts alone. A running sum
-over the parts' counts gives every part its opening deficits. The same sums
-give the sequence ids, so these have no gaps.
-
-Targets default to each source's share of all tokens (every document is
-packed, so in the long run these shares are the only ones that can hold).
-Windows are full but for the last of each part.
+and stored. Each source is a queue whose documents stand in the order of a
+hash, and the queues are served in proportion to their targets: the tokens
+before a document in its queue, over the queue's target share, are its virtual
+time, and documents are handed out by virtual time. A queue that runs out
+leaves its share to the others. Parts of about ``PART_TOKENS`` tokens are cut
+from that order. It is found from counts alone: each queue is divided by hash
+into buckets (of a sixteenth of a part, but at most ``MAX_BUCKETS`` and one per
+source in all), running sums over the buckets give their virtual times and the
+tokens handed out before them, and inside a bucket documents are spread evenly.
+
+Parts run in parallel. In each one, every window of ``WINDOW`` tokens adds its
+target share to the deficit of every queue; the queue with the largest deficit
+is served next, with at least ``MIN_PIECE`` tokens or what is left of its
+document or the window. What a queue got too much or too little stays in its
+deficit for the next window. A part hands out all its tokens, so the deficits
+it closes with follow from its counts; a running sum over the parts gives each
+part the whole deficits it opens with, and it makes up for them evenly over its
+windows. Running sums have two levels, so no task sees one row per part.
+
+Targets default to each source's share of all tokens. With other targets the
+windows keep to them until a queue has run out. Sources without a target come
+last. Windows are full but for the last of each part.
 
 Edge cases: a null or empty text is the end id alone; a null source is a
 source; repeated rows are packed each; an empty table gives an empty result.
@@ -24,134 +31,184 @@ Extra columns are not read.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 import zlib
-from collections import ChainMap
 from collections.abc import Iterator, Mapping
 from functools import cache
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import hash_bucket, small_batches, store
+from snapmart.llm.common import small_batches, store
 
 WINDOW = 2048
 MIN_PIECE = 256
 PART_TOKENS = 1 << 21
-#: Words whose ids a worker remembers at most.
-CACHE_WORDS = 400_000
-_RUNS = regex.compile(r"\p{L}+|\P{L}+")
-_NUMBER = regex.compile(r"\p{N}")
+#: Rows that one task adds up in a running sum, about.
+SPAN = 1024
+#: Buckets that the queues are divided into at most, besides one per source.
+MAX_BUCKETS = 1 << 16
+#: Words whose ids a worker remembers at most; half of them are words met again.
+CACHE_WORDS = 500_000
+#: Code points that are tokenized at once.
+CHUNK_CHARS = 1 << 22
 
 
 class WordTokenizer:
-    """Ids of whole texts, one lookup per word.
-
-    For vocabularies whose own rules split at white space and between letters
-    and signs, and mark the end of a word: the ids of a text are those of its
-    words in order, and the ids of a word without numbers and apostrophes are
-    those of its runs of letters and of signs. New runs of letters are encoded
-    together in one call with white space between them (lower-cased and
-    composed already, so the rules that do this are left out); the last id of
-    each carries the end-of-word mark. Everything else new is encoded one by
-    one by the whole tokenizer. What is known is kept in two generations, so
-    common words stay when memory is full; a generation changes only after a
-    text, so a text may hold any number of words.
+    """Ids of whole texts, one lookup per distinct word of many texts.
+
+    For vocabularies that lower-case and compose texts, cut them by a pattern
+    that never joins what white space parts, and mark the end of each cut: the
+    ids of a text are then those of its words in order, and a word's are those
+    of its cuts. The unknown words of many texts are cut together, and their
+    unknown cuts are encoded in one call with white space between them and
+    parted again after each end mark. Words with signs that other engines may
+    cut differently (not printable or not composed) go one by one through the whole
+    tokenizer.
+
+    Special tokens in a text get their ids, as the tokenizer does it; such a
+    text is encoded as it stands. ``special_as_text`` makes them plain text.
+
+    Memory holds ``CACHE_WORDS`` words: when it is full, the words that were
+    met in more than one call stay (half of the memory at most) and the others go.
     """
 
-    def __init__(self, path: str, end_id: int) -> None:
+    def __init__(self, path: str, end_id: int, special_as_text: bool = False) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.letters = Tokenizer(self.tokenizer.model)
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [] if special_as_text else added
+        rules = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"]
+        self.cuts = regex.compile(rules[0]["pattern"]["Regex"] + "|\n")
+        self.joined = Tokenizer(self.tokenizer.model)
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), level])
+        self.joined.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), level])
         self.end = np.array([end_id], "<u4").tobytes()
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
         self.closes[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
+        self.young: set[str] = set()
+        self.common: set[str] = {""}
 
-    def _one_by_one(self, words: list[str], into: dict[bytes, bytes]) -> None:
+    def _one_by_one(self, words: list[str]) -> None:
         for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            into[w.encode()] = np.array(e.ids, "<u4").tobytes()
+            self.known[w] = np.array(e.ids, "<u4").tobytes()
 
-    def _joined(self, words: list[str], into: dict[bytes, bytes]) -> None:
-        for at in range(0, len(words), 512):
-            some = words[at : at + 512]
-            ids = np.array(self.letters.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+    def _encode_cuts(self, cuts: list[str]) -> None:
+        for at in range(0, len(cuts), 4096):
+            some = cuts[at : at + 4096]
+            ids = np.array(self.joined.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) != len(some):
-                self._one_by_one(some, into)
+                self._one_by_one(some)
                 continue
             raw, cut = ids.tobytes(), [0, *(4 * ends).tolist()]
-            into.update((w.encode(), raw[cut[i] : cut[i + 1]]) for i, w in enumerate(some))
-
-    def _fresh(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of ``words`` that are not in ``known``, and of their new runs."""
-        out: dict[bytes, bytes] = {}
-        whole, split, rest = set(), {}, []
-        for raw in words:
-            if raw in self.older:
-                out[raw] = self.older[raw]
-                continue
-            w = raw.decode()
-            if not w.isascii() and not unicodedata.is_normalized("NFC", w):
-                rest.append(w)
-            elif w.isalpha():
-                whole.add(w)
-            elif "'" in w or _NUMBER.search(w):
-                rest.append(w)
+            self.known.update((w, raw[i:j]) for w, i, j in zip(some, cut, cut[1:], strict=False))
+
+    def _learn(self, words: list[str]) -> None:
+        """Put the ids of unknown ``words`` and of their cuts into memory."""
+        odd = [w for w in words if not w.isprintable()]
+        if odd or not unicodedata.is_normalized("NFC", "\n".join(words)):
+            odd = [w for w in words if not w.isprintable() or not unicodedata.is_normalized("NFC", w)]
+            self._one_by_one(odd)
+            words = [w for w in words if w not in self.known]
+        whole = [w for w in words if w.isalpha()]
+        mixed = [w for w in words if not w.isalpha()]
+        found = self.cuts.findall("\n".join(mixed))
+        known = self.known
+        self._encode_cuts(list({*whole, *(c for c in found if c != "\n" and c not in known)}))
+        cuts: list[bytes] = []
+        at = iter(mixed)
+        for c in found:
+            if c == "\n":
+                known[next(at)] = b"".join(cuts)
+                cuts = []
             else:
-                split[raw] = _RUNS.findall(w)
-        parts = {p for runs in split.values() for p in runs if (raw := p.encode()) not in self.known and raw not in out}
-        self._joined(list(whole.union(p for p in parts if p.isalpha())), out)
-        self._one_by_one([*rest, *(p for p in parts if not p.isalpha())], out)
-        ids = ChainMap(out, self.known)
-        out.update([(raw, b"".join([ids[p.encode()] for p in runs])) for raw, runs in split.items()])
+                cuts.append(known[c])
+        for w in at:
+            known[w] = b"".join(cuts)
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text and the end id."""
+        # The tokenizer lower-cases letter by letter: a final sigma is none to it.
+        # Texts are split at ASCII white space only, which is white space to it too.
+        marked = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        lower = pa.array([t.replace("\u03a3", "\u03c3").lower() for t in texts], pa.large_string())
+        split = pc.ascii_split_whitespace(lower)
+        coded = split.flatten().dictionary_encode()
+        # Words hold no line feed, so one text of all of them is cut quickly.
+        one_list = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        joined = pc.binary_join(one_list, pa.scalar("\n", pa.large_string()))[0].as_py()
+        words = joined.split("\n") if len(coded.dictionary) else []
+        again = self.young.intersection(words)
+        self.young -= again
+        self.common.update(islice(again, max(0, CACHE_WORDS // 2 - len(self.common))))
+        fresh = [w for w in words if w not in self.known]
+        if len(self.known) + len(fresh) > CACHE_WORDS:
+            self.known, self.young = {w: self.known[w] for w in self.common}, set()
+            fresh = [w for w in words if w not in self.known]
+        self._learn(fresh)
+        self.young.update(fresh)
+        ids = [self.known[w] for w in words]
+        length = np.array([len(x) for x in ids], np.int64) // 4
+        start, table = np.cumsum(length) - length, np.frombuffer(b"".join(ids), "<u4")
+        index = coded.indices.to_numpy()
+        n = length[index]
+        ends = np.cumsum(n)
+        # Id k of a word stands k places behind the word's first id.
+        where = np.arange(ends[-1] if ends.size else 0) + np.repeat(start[index] - (ends - n), n)
+        raw = table[where].tobytes()
+        first = np.asarray(split.offsets)
+        at = (4 * np.concatenate(([0], ends))[first - first[0]]).tolist()
+        out = [raw[a:b] + self.end for a, b in zip(at, at[1:], strict=False)]
+        for i in marked:
+            out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes() + self.end
         return out
 
     def encode(self, text: str) -> bytes:
-        """Little-endian 32-bit ids of ``text`` and the end id."""
-        # The tokenizer lower-cases letter by letter: a final sigma is none to it.
-        # Bytes are split at ASCII white space only, which is white space to it too.
-        words = text.replace("\u03a3", "\u03c3").lower().encode().split()
-        try:
-            return b"".join(map(self.known.__getitem__, words)) + self.end
-        except KeyError:
-            fresh = self._fresh(set(words).difference(self.known))
-            if len(self.known) + len(fresh) <= CACHE_WORDS // 2:
-                self.known.update(fresh)
-                return b"".join(map(self.known.__getitem__, words)) + self.end
-            out = b"".join([fresh[w] if w in fresh else self.known[w] for w in words]) + self.end
-            self.known, self.older = dict(islice(fresh.items(), CACHE_WORDS // 2)), self.known
-            return out
+        return self.encode_many([text])[0]
 
 
 @cache
-def word_tokenizer(path: str, end_id: int) -> WordTokenizer:
+def word_tokenizer(path: str, end_id: int, special_as_text: bool) -> WordTokenizer:
     """One tokenizer per worker process, which keeps what it knows between tasks."""
-    return WordTokenizer(path, end_id)
+    return WordTokenizer(path, end_id, special_as_text)
+
+
+def chunks(texts: list[str], chars: int = CHUNK_CHARS) -> Iterator[list[str]]:
+    """Runs of texts of at most ``chars`` code points, or of one text."""
+    begin = total = 0
+    for i, t in enumerate(texts):
+        if i > begin and total + len(t) > chars:
+            yield texts[begin:i]
+            begin, total = i, 0
+        total += len(t)
+    if begin < len(texts):
+        yield texts[begin:]
 
 
-def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
+def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, special_as_text: bool = False) -> DataFrame:
     """``doc_id, source, n_tokens, ids`` (binary, little-endian unsigned 32 bit) of every whole text."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_tokenizer(tokenizer_path, end_id)
+        words = word_tokenizer(tokenizer_path, end_id, special_as_text)
         for b in batches:
-            ids = [words.encode(t or "") for t in b.column(2).to_pylist()]
+            texts = [t or "" for t in b.column(2).to_pylist()]
+            ids = [x for some in chunks(texts) for x in words.encode_many(some)]
             n = pa.array([len(x) // 4 for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), n, pa.array(ids, pa.binary())], ["doc_id", "source", "n_tokens", "ids"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "source", "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id bigint, source string, n_tokens bigint, ids binary"
     )
 
@@ -160,23 +217,23 @@ def fill_windows(queues: dict, opening: dict, share: dict, window: int = WINDOW,
     """Deficit round-robin over one part.
 
     ``queues``: per source its documents as a list of ``(doc_id, ids)``.
-    Yields ``(doc_id, start, piece, doc_tokens, window_number, offset)``. What
-    a part holds of a source differs from the target by chance; a window's
-    quantum is the source's tokens over the part's windows, which spreads that
-    difference, and the deficit carried in weighs one window's share at most.
+    Yields ``(doc_id, start, piece, doc_tokens, window_number, offset)``. Each
+    window adds every open queue's part of the target shares to its deficit; the
+    whole opening deficits are added in equal parts over the windows.
     """
     left = {s: sum(len(ids) for _, ids in q) // 4 for s, q in queues.items()}
     total = sum(left.values())
     windows = max(1, -(-total // window))
-    quantum = {s: n / windows for s, n in left.items()}
-    debt = {s: max(-window * share.get(s, 0.0), min(window * share.get(s, 0.0), opening.get(s, 0.0))) for s in left}
+    debt = dict.fromkeys(left, 0.0)
     at = dict.fromkeys(left, (0, 0))
     number = 0
     while total:
         room = min(window, total)
         offset = 0
+        all_shares = sum(share.get(s, 0.0) for s in left)
         for s in debt:
-            debt[s] += quantum[s]
+            part = share.get(s, 0.0) / all_shares if all_shares > 0 else left[s] / total
+            debt[s] += window * part + opening.get(s, 0.0) / windows
         while room:
             s = max(left, key=debt.__getitem__)
             k, start = at[s]
@@ -195,29 +252,70 @@ def fill_windows(queues: dict, opening: dict, share: dict, window: int = WINDOW,
         number += 1
 
 
-def part_headers(tokens: DataFrame, window: int = WINDOW, targets: Mapping[str, float] | None = None) -> DataFrame:
-    """``part, source, opening, share, first_sequence`` from the counts of all parts."""
-    counts = tokens.groupBy("part", "source").agg(F.sum("n_tokens").alias("held"))
-    counts = store(counts, "pack-counts")
-    totals = counts.groupBy("part").agg(F.sum("held").alias("part_tokens"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+def running_before(rows: DataFrame, value: str, order: str, by: list[str], name: str) -> DataFrame:
+    """``rows`` with ``name``, the sum of ``value`` over the rows of smaller ``order``.
+
+    ``order`` holds whole numbers, once in each group of ``by``. Sums over spans
+    of ``SPAN`` numbers are added up first, then the rows inside a span.
+    """
+    span = rows.withColumn("_span", F.floor(F.col(order) / F.lit(SPAN)))
+    spans = span.groupBy(*by, "_span").agg(F.sum(value).alias("_sum"))
+    ahead = Window.partitionBy(*by).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0)
-    totals = totals.select(
-        F.col("part").alias("_part"),
-        F.coalesce(F.sum("part_tokens").over(before), zero).alias("tokens_before"),
-        F.coalesce(F.sum(F.ceil(F.col("part_tokens") / F.lit(window))).over(before), zero).cast("bigint").alias("first_sequence"),
-    )
+    spans = spans.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("_span").alias("_of"), F.coalesce(F.sum("_sum").over(ahead), zero).alias("_ahead"))
+    inside = Window.partitionBy(*by, "_span").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    out = span.withColumn(name, F.coalesce(F.sum(value).over(inside), zero))
+    same = F.col("_span") == F.col("_of")
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return out.join(spans, same).withColumn(name, F.col(name) + F.col("_ahead")).drop("_span", "_of", "_ahead", *[f"_{c}" for c in by])
+
+
+def source_queues(tokens: DataFrame, part_tokens: int, targets: Mapping[str | None, float] | None) -> DataFrame:
+    """``_source, share, n_buckets, width``: one row per source; ``width`` is the tokens of a bucket, about."""
+    held = tokens.groupBy(F.col("source").alias("_source")).agg(F.sum("n_tokens").alias("held"))
+    every = held.agg(F.sum("held").alias("total")).scalar()
     if targets is None:
-        every = counts.agg(F.sum("held").cast("double")).first()[0] or 1.0
-        shares = counts.groupBy("source").agg((F.sum("held") / F.lit(every)).alias("share"))
+        held = held.withColumn("share", F.col("held") / every)
     else:
-        shares = tokens.sparkSession.createDataFrame(list(targets.items()), "source string, share double")
-    shares = shares.withColumnRenamed("source", "_source")
-    own = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    out = counts.withColumn("source_before", F.coalesce(F.sum("held").over(own), zero))
-    out = out.join(totals, F.col("part") == F.col("_part")).join(shares, F.col("source").eqNullSafe(F.col("_source")), "left")
-    share = F.coalesce(F.col("share"), F.lit(0.0))
-    return out.select("part", "source", (share * F.col("tokens_before") - F.col("source_before")).alias("opening"), share.alias("share"), "first_sequence")
+        wanted = tokens.sparkSession.createDataFrame(list(targets.items()), "_target string, share double")
+        held = held.join(wanted, F.col("_source").eqNullSafe(F.col("_target")), "left").drop("_target")
+        held = held.withColumn("share", F.greatest(F.coalesce("share", F.lit(0.0)), F.lit(0.0)))
+    width = F.greatest(F.lit(max(1, part_tokens // 16)).cast("bigint"), F.floor(every / F.lit(MAX_BUCKETS)))
+    return held.select("_source", "share", F.ceil(F.col("held") / width).alias("n_buckets"))
+
+
+def deal_to_parts(tokens: DataFrame, part_tokens: int, targets: Mapping[str | None, float] | None) -> tuple[DataFrame, DataFrame]:
+    """``tokens`` with ``part``, and the queues (see :func:`source_queues`)."""
+    queues = store(source_queues(tokens, part_tokens, targets), "pack-sources")
+    keyed = tokens.join(queues, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    place = F.xxhash64("doc_id", "n_tokens")
+    keyed = keyed.withColumn("bucket", F.pmod(place, F.col("n_buckets")))
+    held = keyed.groupBy("source", "bucket", "share").agg(F.sum("n_tokens").alias("held"))
+    held = running_before(held, "held", "bucket", ["source"], "ahead")
+    # Queues without a share wait until all others are done. One row per bucket.
+    time = F.when(F.col("share") > 0, F.col("ahead") / F.col("share"))
+    order = Window.orderBy(time.asc_nulls_last(), F.col("source").asc_nulls_last(), "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.coalesce(F.sum("held").over(order), F.lit(0))
+    buckets = store(held.select(F.col("source").alias("_source"), F.col("bucket").alias("_bucket"), begin.alias("begin"), "held"), "pack-buckets")
+    inside = F.pmod(F.xxhash64(place, F.lit(1)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    part = F.floor((F.col("begin") + inside * F.col("held")) / F.lit(part_tokens)).alias("part")
+    dealt = keyed.join(buckets, F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket")))
+    return dealt.select(*tokens.columns, part), queues
+
+
+def part_headers(dealt: DataFrame, queues: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``part, source, opening, share, first_sequence`` from the counts of all parts."""
+    counts = store(dealt.groupBy("part", "source").agg(F.sum("n_tokens").alias("held")), "pack-counts")
+    shares = queues.select("_source", "share")
+    counts = counts.join(shares, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    totals = counts.groupBy("part").agg(F.sum("held").alias("part_tokens"), F.sum("share").alias("part_share"))
+    totals = totals.withColumn("windows", F.ceil(F.col("part_tokens") / F.lit(window)))
+    totals = running_before(totals, "windows", "part", [], "first_sequence").withColumnRenamed("part", "_part")
+    rows = counts.join(totals, F.col("part") == F.col("_part")).drop("_part")
+    due = F.when(F.col("part_share") > 0, F.col("part_tokens") * F.col("share") / F.col("part_share")).otherwise(F.col("held").cast("double"))
+    rows = running_before(rows.withColumn("owed", due - F.col("held")), "owed", "part", ["source"], "opening")
+    return rows.select("part", "source", F.col("opening").cast("double").alias("opening"), "share", F.col("first_sequence").cast("bigint").alias("first_sequence"))
 
 
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -229,18 +327,17 @@ def pack(
     end_id: int = 1,
     window: int = WINDOW,
     part_tokens: int = PART_TOKENS,
-    targets: Mapping[str, float] | None = None,
+    targets: Mapping[str | None, float] | None = None,
     with_ids: bool = False,
+    special_as_text: bool = False,
 ) -> DataFrame:
     """Pieces of every document and their place in the sequences.
 
     ``with_ids`` adds the piece's ids (``ids``, binary) as training input.
     """
-    tokens = store(tokenize(docs, tokenizer_path, end_id), "pack-tokens")
-    total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
-    parts = max(1, -(-total // part_tokens))
-    tokens = tokens.withColumn("part", hash_bucket(parts, "doc_id", "n_tokens"))
-    headers = part_headers(tokens, window, targets)
+    tokens = store(tokenize(docs, tokenizer_path, end_id, special_as_text), "pack-tokens")
+    tokens, queues = deal_to_parts(tokens, part_tokens, targets)
+    headers = part_headers(tokens.drop("ids"), queues, window)
     nothing = F.lit(None)
     rows = headers.select("part", F.lit(0).alias("kind"), "source", "opening", "share", "first_sequence", nothing.cast("bigint").alias("doc_id"), nothing.cast("binary").alias("ids"))
     rows = rows.unionByName(
