@@ -11,11 +11,14 @@ words taken stay near the target.
 The rounding is a reduction tree. Documents of a source are dealt by hash to
 groups of about ``GROUP`` rows, each rounded in one task. A group leaves at
 most one open document; the open documents of ``FAN`` groups meet on the next
-level, until one per source is left, which is drawn. No group grows with the
-data, and a source with a third of all rows is simply many groups. The random
-numbers are hashes of the document and the level, so reruns agree.
-
-Edge cases: a null text has size 0; a null source is a source, the last one;
+level, until one per source is left, which is drawn. A source with a third of
+all rows is simply many groups. Repeats of one row are numbered (in each task,
+then over the tasks that hold the row), so they are dealt to many groups as
+well. Targets take one row per source. The random numbers are hashes of the
+document, its number among equal rows and the level, so reruns agree.
+
+Edge cases: a null text has size 0; a null source is a source, the last one,
+and nulls in any column tell rows apart;
 repeated rows are documents of their own (they meet like any others); a
 source of size 0 has target 0 and its documents are not taken; an empty table
 gives an empty result. Further columns of the input are not read.
@@ -24,11 +27,13 @@ gives an empty result. Further columns of the input are not read.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,20 +50,48 @@ FAN = 64
 
 def row_key() -> Column:
     """Hash of a document row; only repeats of a row share it."""
-    return F.xxhash64("doc_id", "source", "text")
+    names = ("doc_id", "source", "text")
+    return F.xxhash64(*names, *[F.isnull(c) for c in names])
+
 
+def sizes(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """``doc_id, source, key, size, task, nth`` of every whole text, and ``row`` if asked for.
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, key, size``: words of every whole text; ``key`` tells rows apart."""
+    ``size`` is the number of words; ``key`` is the hash of the row, ``nth``
+    numbers equal rows inside the task that read them.
+    """
     small_batches(docs.sparkSession)
+    more = [F.col(row).cast("bigint").alias("row")] if row else []
+    names = ["doc_id", "source", "key", *["row"] * bool(row), "size", "task", "nth"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        seen: Counter[int] = Counter()
         for b in batches:
-            n = word_counts(*utf8_buffers(b.column(3)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(n, pa.int64())], ["doc_id", "source", "key", "size"])
+            nth = []
+            for k in b.column(2).to_pylist():
+                nth.append(seen[k])
+                seen[k] += 1
+            n = word_counts(*utf8_buffers(b.column(b.num_columns - 1)))
+            columns = [*b.columns[:-1], pa.array(n, pa.int64()), pa.array([task] * len(nth), pa.int32()), pa.array(nth, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), "source", row_key().alias("key"), "text")
-    return rows.mapInArrow(count, "doc_id bigint, source string, key bigint, size bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), row_key().alias("key"), *more, F.col("text").cast("string"))
+    return rows.mapInArrow(count, f"doc_id bigint, source string, key bigint, {'row bigint, ' if row else ''}size bigint, task int, nth bigint")
+
+
+def number_repeats(sized: DataFrame) -> DataFrame:
+    """``sized`` with ``uid``, a hash that tells equal rows apart; a row without repeats keeps its key.
+
+    The running sum sees one row for each task that holds a key.
+    """
+    held = sized.groupBy("key", "task").agg((F.max("nth") + 1).alias("n"))
+    ahead = Window.partitionBy("key").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    later = held.select(F.col("key").alias("_key"), F.col("task").alias("_task"), F.sum("n").over(ahead).alias("_ahead")).filter("_ahead > 0")
+    both = (F.col("key") == F.col("_key")) & (F.col("task") == F.col("_task"))
+    nth = F.col("nth") + F.coalesce("_ahead", F.lit(0))
+    uid = F.when(nth == 0, F.col("key")).otherwise(F.xxhash64("key", nth))
+    return sized.join(later, both, "left").withColumn("uid", uid).drop("_key", "_task", "_ahead", "task", "nth")
 
 
 def source_targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: float = MAX_REPEAT) -> DataFrame:
@@ -122,15 +155,15 @@ def pivotal(p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, int]:
     return out, held
 
 
-_STATE = "doc_id bigint, source string, key bigint, size bigint, chance double, grp bigint, extra int"
+_STATE = "doc_id bigint, source string, row bigint, uid bigint, size bigint, chance double, grp bigint, extra int"
 
 
 def _round_level(state: DataFrame, level: int, last: bool) -> DataFrame:
     """One level: round each group; ``extra`` stays null for the open document."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "key"], ascending=[False, True], kind="stable").reset_index(drop=True)
-        u = _uniform(pdf["key"].to_numpy(np.int64).view(np.uint64) + np.arange(len(pdf), dtype=np.uint64), level)
+        pdf = pdf.sort_values(["size", "uid"], ascending=[False, True], kind="stable").reset_index(drop=True)
+        u = _uniform(pdf["uid"].to_numpy(np.int64).view(np.uint64) + np.arange(len(pdf), dtype=np.uint64), level)
         got, held = pivotal(pdf["chance"].to_numpy(np.float64), u)
         if held >= 0 and last:
             got[held] = float(u[held] < got[held])
@@ -144,9 +177,14 @@ def _round_level(state: DataFrame, level: int, last: bool) -> DataFrame:
     return state.groupBy("source", "grp").applyInPandas(run, _STATE)
 
 
-def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: float = MAX_REPEAT) -> DataFrame:
-    """``doc_id, source, key, size, source_size, target, copies, taken`` of every document."""
-    sized = store(sizes(docs), "mix-sizes")
+def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: float = MAX_REPEAT, row: str | None = None) -> DataFrame:
+    """``doc_id, source, row, size, source_size, target, copies, taken`` of every document.
+
+    ``row`` names a column of ``docs`` with a number of each row, to find it again (else null).
+    """
+    sized = store(sizes(docs, row), "mix-sizes")
+    if row is None:
+        sized = sized.withColumn("row", F.lit(None).cast("bigint"))
     targets = store(source_targets(sized, weights, max_repeat), "mix-targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(ratio + 1e-12)
@@ -154,9 +192,9 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat:
     rates = targets.select(
         F.col("source").alias("_source"), "source_size", "target", whole.alias("whole"), F.greatest(ratio - whole, F.lit(0.0)).alias("chance"), groups.alias("groups")
     )
-    joined = sized.join(rates, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    joined = number_repeats(sized).join(rates, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     state = joined.select(
-        "doc_id", "source", "key", "size", "chance", F.pmod("key", F.col("groups")).alias("grp"), F.lit(None).cast("int").alias("extra")
+        "doc_id", "source", "row", "uid", "size", "chance", F.pmod("uid", F.col("groups")).alias("grp"), F.lit(None).cast("int").alias("extra")
     )
     most = targets.agg(F.max(F.ceil(F.col("n_docs") / F.lit(GROUP)))).first()[0] or 1
     levels = 1 + (math.ceil(math.log(most, FAN) - 1e-9) if most > 1 else 0)
@@ -171,21 +209,16 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat:
         out = out.unionByName(more)
     out = out.join(rates.drop("groups", "chance"), F.col("source").eqNullSafe(F.col("_source")))
     copies = (F.col("whole") + F.col("extra")).cast("int")
-    return out.select("doc_id", "source", "key", "size", "source_size", F.col("target").cast("double"), copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    return out.select("doc_id", "source", "row", "size", "source_size", F.col("target").cast("double"), copies.alias("copies"), (F.col("size") * copies).alias("taken"))
 
 
 def take_copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: float = MAX_REPEAT) -> DataFrame:
     """``docs``, each row as many times as the mix takes it, columns unchanged.
 
-    Rows and copy counts meet on the row's hash; repeats of one row take the
-    counts of their hash one by one.
+    The rows are stored with a number each; rows and copy counts meet on it.
     """
-    names = docs.columns
-    counts = mix_sources(docs, weights, max_repeat).groupBy(F.col("key").alias("_key")).agg(F.sort_array(F.collect_list("copies")).alias("_counts"))
-    keyed = docs.withColumn("_row", F.struct(*names)).select(row_key().alias("_key"), "_row").join(counts, "_key")
-    once = F.size("_counts") == 1
-    many = Window.partitionBy("_key").orderBy(F.lit(0))
-    single = keyed.filter(once).select("_row", F.get("_counts", F.lit(0)).alias("_n"))
-    repeats = keyed.filter(~once).select("_row", F.get("_counts", F.row_number().over(many) - 1).alias("_n"))
-    kept = single.unionByName(repeats).filter(F.col("_n") > 0)
-    return kept.select("_row", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_row.*")
+    held = store(docs.select(F.monotonically_increasing_id().alias("_id"), F.struct(*docs.columns).alias("_row")), "mix-rows")
+    mixed = mix_sources(held.select("_id", "_row.doc_id", "_row.source", "_row.text"), weights, max_repeat, row="_id")
+    counts = mixed.filter(F.col("copies") > 0).select("row", "copies")
+    taken = held.join(counts, F.col("_id") == F.col("row"))
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_row.*")

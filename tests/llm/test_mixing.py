@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from snapmart.llm import mixing
 from snapmart.llm.common import documents
@@ -86,8 +87,37 @@ def test_pivotal_keeps_each_expectation():
 
 def test_edge_rows(spark):
     docs = with_clashing_columns(docs_of(spark, EDGE_ROWS))
-    rows = mixing.mix_sources(docs).collect()
+    rows = mixing.mix_sources(docs.withColumn("_id", F.lit("x"))).collect()
     assert sorted((str(r.doc_id), r.size) for r in rows) == sorted((str(i), size(t)) for i, t, _ in EDGE_ROWS)
     copies = mixing.take_copies(docs)
     assert copies.columns == docs.columns and copies.count() == sum(r.copies for r in rows)
     assert mixing.mix_sources(docs.limit(0)).collect() == [] and mixing.take_copies(docs.limit(0)).collect() == []
+
+
+def test_nulls_tell_rows_apart(spark):
+    """Rows that differ only in where their null is get their own copies."""
+    rows = [(1, "a", None), (1, None, "a"), (None, "a", "a"), (None, None, "a"), (2, "w " * 400, "big"), (3, "w " * 30, None)]
+    docs = docs_of(spark, rows)
+    assert docs.select(mixing.row_key().alias("k")).distinct().count() == len(rows)
+    mixed = Counter()
+    for r in mixing.mix_sources(docs).collect():
+        mixed[r.doc_id, r.source, r.size] += r.copies
+    taken = Counter((r.doc_id, r.source, size(r.text)) for r in mixing.take_copies(docs).collect())
+    assert {k: n for k, n in mixed.items() if n} == taken
+
+
+def test_equal_rows_meet_in_many_groups(spark):
+    """100,000 equal rows are dealt to many groups and taken as the target says, whatever the partitions."""
+    docs = spark.range(100_000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("one two").alias("text"), F.lit("a").alias("source"))
+    docs = docs.unionByName(docs_of(spark, [(8, "w " * 150_000, "b")]).select("doc_id", "text", "source"))
+    found = []
+    for n in (3, 8):
+        sized = mixing.number_repeats(mixing.sizes(docs.repartition(n)))
+        groups = sized.filter("doc_id = 7").groupBy(F.pmod("uid", F.lit(98))).count().collect()
+        assert len(groups) == 98 and max(r["count"] for r in groups) < 1300
+        assert sized.select("uid").distinct().count() == 100_001
+        rows = mixing.mix_sources(docs.repartition(n)).filter("doc_id = 7")
+        r = rows.agg(F.sum("taken"), F.max("target"), F.max("copies") - F.min("copies")).first()
+        assert abs(r[0] - r[1]) <= 2 and r[2] == 1
+        found.append(sorted((x["copies"], x["count"]) for x in rows.groupBy("copies").count().collect()))
+    assert found[0] == found[1]
