@@ -2,14 +2,16 @@
 
 Token scores are log-odds of toxic against clean documents with an informative
 Dirichlet prior (the pooled token shares and a flat part): ``log`` of the
-smoothed odds ratio, kept where the token is commoner in toxic documents by
-``MIN_Z`` standard deviations (signed root of the likelihood ratio, which also
-holds for tokens that no clean document has). A token is a lower-case
+smoothed odds ratio, kept where the token is commoner in toxic documents by so
+many standard deviations (signed root of the likelihood ratio, which also
+holds for tokens that no clean document has) that chance would lift about
+``CHANCE_TERMS`` of all judged tokens as high: a small sample judges few tokens
+and asks for less than a large one. A token is a lower-case
 word; words too rare to judge fall back to their first letters, so inflected
 forms of a known stem are found. Every other token costs ``GAP``.
 
 A text's passages are all its maximal scoring segments, found in one linear
-scan. A passage of score S in a text of n tokens has the expected number of
+scan with pointers over segments that cannot matter any more. A passage of score S in a text of n tokens has the expected number of
 chance hits ``E = K n exp(-lambda S)``: lambda solves ``sum p(s) exp(lambda s)
 = 1`` over the clean token distribution, K is fitted to the clean texts of the
 calibration fold. The evidence of a text is ``-log`` of the probability that
@@ -17,9 +19,9 @@ chance alone reaches its passages, and a logistic curve fitted on the same
 fold maps it to the score (0 to 1).
 
 Learning uses at most ``MAX_LABELLED`` labelled documents, chosen by a hash of
-their id (a documented bound; equal texts count once), and the model holds at
-most ``MAX_TERMS`` terms; scoring reads every whole text. Labels, language,
-source and id are no input of a score.
+their id (a documented bound; equal texts count once); scoring reads every
+whole text. Of the calibration fold the driver gets a histogram of token scores
+and one number per text. Labels, language, source and id are no input of a score.
 
 Edge cases: a null text is an empty one; texts without passages, empty ones
 too, get the base score. Rows of ``labels`` with a null id or a null mark are
@@ -35,18 +37,19 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import small_batches
+from snapmart.llm.common import small_batches, store
 
 MAX_LABELLED = 40_000
-MAX_TERMS = 50_000
-MIN_Z = 5.0
-MIN_COUNT = 4
+#: Terms that chance alone may put into the model.
+CHANCE_TERMS = 0.5
+MIN_COUNT = 3
 PRIOR = 500.0
 FLAT = 0.5
 GAP = 0.25
@@ -72,7 +75,7 @@ def maximal_segments(items: list[tuple[int, float]]) -> list[tuple[int, int, flo
     between them cost ``GAP`` each. Returns first position, last position and
     score of each segment, in order.
     """
-    kept: list[tuple[int, int, float, float]] = []  # first, last, sum before, sum after
+    kept: list[tuple[int, int, float, float, int]] = []  # first, last, sum before, sum after, pointer
     total, last = 0.0, -1
     for at, score in items:
         if last >= 0:
@@ -80,17 +83,18 @@ def maximal_segments(items: list[tuple[int, float]]) -> list[tuple[int, int, flo
         first, end, before = at, at, total
         total += score
         after, last = total, at
-        while kept:
-            # The nearest earlier segment that begins lower.
+        while True:
+            # The nearest earlier segment that begins lower; a segment's pointer
+            # is its own one, and what lies between begins no lower than it.
             j = len(kept) - 1
             while j >= 0 and kept[j][2] >= before:
-                j -= 1
+                j = kept[j][4]
             if j < 0 or kept[j][3] >= after:
                 break
             first, before = kept[j][0], kept[j][2]
             del kept[j:]
-        kept.append((first, end, before, after))
-    return [(a, b, after - before) for a, b, before, after in kept]
+        kept.append((first, end, before, after, j))
+    return [(a, b, after - before) for a, b, before, after, _ in kept]
 
 
 @dataclass
@@ -165,11 +169,11 @@ def term_counts(sample: DataFrame) -> DataFrame:
     return partial.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def log_odds(counts: DataFrame) -> DataFrame:
-    """``term, delta, toxic, clean``: significant log-odds under the Dirichlet prior."""
-    totals = counts.agg(F.sum("toxic").alias("all_toxic"), F.sum("clean").alias("all_clean"))
-    both = counts.filter(F.col("toxic") >= MIN_COUNT).crossJoin(F.broadcast(totals))  # one row
-    y_t, y_c, n_t, n_c = (F.col(c).cast("double") for c in ("toxic", "clean", "all_toxic", "all_clean"))
+def log_odds(counts: DataFrame, chance_terms: float = CHANCE_TERMS) -> DataFrame:
+    """``term, delta, z, toxic, clean``: significant log-odds under the Dirichlet prior."""
+    totals = counts.agg(F.sum("toxic").cast("double").alias("toxic"), F.sum("clean").cast("double").alias("clean"))
+    n_t, n_c = totals.select("toxic").scalar(), totals.select("clean").scalar()
+    y_t, y_c = F.col("toxic").cast("double"), F.col("clean").cast("double")
     seen = y_t + y_c
     prior = F.lit(PRIOR) * seen / (n_t + n_c) + F.lit(FLAT)
     t, c = y_t + prior, y_c + prior
@@ -177,7 +181,13 @@ def log_odds(counts: DataFrame) -> DataFrame:
     base = n_t / (n_t + n_c)
     ratio = y_t * F.log(y_t / (seen * base)) + F.when(y_c > 0, y_c * F.log(y_c / (seen * (1 - base)))).otherwise(F.lit(0.0))
     z = F.signum(y_t / seen - base) * F.sqrt(F.greatest(2 * ratio, F.lit(0.0)))
-    return both.select("term", delta.alias("delta"), z.alias("z"), "toxic", "clean").filter((F.col("z") >= MIN_Z) & (F.col("delta") > 0))
+    judged = counts.filter(F.col("toxic") >= MIN_COUNT)
+    return judged.select("term", delta.alias("delta"), z.alias("z"), "toxic", "clean").filter((F.col("z") >= least_z(judged.count(), chance_terms)) & (F.col("delta") > 0))
+
+
+def least_z(judged: int, chance_terms: float = CHANCE_TERMS) -> float:
+    """Standard deviations that ``chance_terms`` of ``judged`` terms without any effect exceed."""
+    return NormalDist().inv_cdf(1.0 - min(0.5, chance_terms / max(judged, 1)))
 
 
 def karlin_rate(scores: list[float], shares: list[float]) -> float:
@@ -195,59 +205,81 @@ def karlin_rate(scores: list[float], shares: list[float]) -> float:
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic slope and offset by Newton steps on smoothed targets."""
+    """Logistic slope (never below 0) and offset on smoothed targets, by Newton steps that lower the loss."""
     hits = y.sum()
     target = np.where(y > 0, (hits + 1) / (hits + 2), 1 / (len(y) - hits + 2))
-    design = np.column_stack((x, np.ones_like(x)))
-    beta = np.array([0.0, math.log((hits + 1) / (len(y) - hits + 1))])
+    width = float(x.std()) or 1.0
+    design = np.column_stack((x / width, np.ones_like(x)))
+
+    def loss(beta: np.ndarray) -> float:
+        m = design @ beta
+        return float((np.logaddexp(0.0, m) - target * m).sum() + 5e-4 * beta[0] ** 2)
+
+    flat = np.array([0.0, math.log((hits + 1) / (len(y) - hits + 1))])
+    beta = flat
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
         grad = design.T @ (p - target) + 1e-3 * beta * [1, 0]
         hess = (design * (p * (1 - p) + 1e-9)[:, None]).T @ design + np.diag([1e-3, 1e-9])
         step = np.linalg.solve(hess, grad)
-        beta = beta - step * min(1.0, 2.0 / (np.abs(step).max() + 1e-9))
-        if np.abs(step).max() < 1e-8:
+        size = 1.0
+        while size > 1e-6 and loss(beta - size * step) > loss(beta):
+            size /= 2
+        beta = beta - size * step
+        if size * np.abs(step).max() < 1e-8:
             break
-    return float(beta[0]), float(beta[1])
+    slope, offset = beta if beta[0] >= 0 else flat
+    return float(slope / width), float(offset)
 
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> ToxicityModel:
     """Fit on a bounded labelled sample; all folds but the held-out one are used."""
     small_batches(docs.sparkSession)
-    sample = labelled_sample(docs, labels, bound)
-    odds = log_odds(term_counts(sample.filter("fold <> 3"))).orderBy(F.desc("z"), "term").limit(MAX_TERMS).collect()
+    sample = store(labelled_sample(docs, labels, bound), "toxicity-sample")
+    # Bounded by the sample.
+    odds = log_odds(store(term_counts(sample.filter("fold <> 3")), "toxicity-terms")).collect()
     model = ToxicityModel(scores={r["term"]: min(MAX_SCORE, r["delta"]) for r in odds})
+    least = min((round(s, 2) for s in model.scores.values()), default=1.0)
 
-    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def background(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Clean texts: number of tokens (kind 0), texts with a passage of the least score (1), tokens of each score (2)."""
         memory: dict[str, float] = {}
+        tally: Counter[tuple[int, float]] = Counter()
         for b in batches:
-            rows = []
-            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for text in b.column(0).to_pylist():
                 words = WORD.findall(text.lower())
                 found = model.passages(words, memory)
-                marks = [s for w in words if (s := memory[w]) > 0.0]
-                rows.append((int(toxic), len(words), [s for _, _, s in found], marks))
-            columns = list(zip(*rows, strict=True)) or [[]] * 4
-            types = [pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["toxic", "n", "found", "marks"])
-
-    # Bounded by the sample: one row of numbers for each of its documents.
-    rows = sample.filter("fold = 3").select("text", "toxic").mapInArrow(segments, "toxic bigint, n bigint, found array<double>, marks array<double>").collect()
-    clean = [r for r in rows if not r.toxic]
-    if not rows or not clean or len(clean) == len(rows):
-        share = sum(r.toxic for r in rows) / len(rows) if rows else 0.0
+                tally[0, 0.0] += len(words)
+                tally[1, 0.0] += max((s for _, _, s in found), default=0.0) >= least
+                tally.update((2, round(s, 2)) for w in words if (s := memory[w]) > 0.0)
+        columns = [pa.array(c, t) for c, t in zip(zip(*[(k, s, n) for (k, s), n in tally.items()], strict=True), (pa.int32(), pa.float64(), pa.int64()), strict=False)]
+        if columns:
+            yield pa.RecordBatch.from_arrays(columns, ["kind", "mark", "n"])
+
+    def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory: dict[str, float] = {}
+        for b in batches:
+            found = [(words := WORD.findall(t.lower()), model.passages(words, memory)) for t in b.column(0).to_pylist()]
+            values = [model.evidence(p, len(w)) for w, p in found]
+            yield pa.RecordBatch.from_arrays([b.column(1).cast(pa.float64()), pa.array(values, pa.float64())], ["toxic", "value"])
+
+    held_back = sample.filter("fold = 3")
+    kinds = {r.toxic: r["count"] for r in held_back.groupBy("toxic").count().collect()}
+    n_toxic, n_rows = sum(n for t, n in kinds.items() if t), sum(kinds.values())
+    if not n_toxic or n_toxic == n_rows:
+        share = n_toxic / n_rows if n_rows else 0.0
         model.offset = math.log((share + 1e-9) / (1 - share + 1e-9))
         return model
-    n_clean = sum(r.n for r in clean) + 1
-    chance = Counter(round(s, 2) for r in clean for s in r.marks)
+    clean = held_back.filter("toxic = 0").select("text").mapInArrow(background, "kind int, mark double, n bigint")
+    tally = {(r.kind, r.mark): r.n for r in clean.groupBy("kind", "mark").agg(F.sum("n").alias("n")).collect()}
+    n_clean = tally.get((0, 0.0), 0) + 1
     floor = {round(s, 2): 0.5 / len(model.scores) for s in model.scores.values()}
-    seen = {s: (chance.get(s, 0) + floor[s]) / n_clean for s in floor}
+    seen = {s: (tally.get((2, s), 0) + floor[s]) / n_clean for s in floor}
     model.rate = karlin_rate(list(seen), list(seen.values()))
-    least = min(floor, default=1.0)
-    beyond = sum(max(r.found, default=0.0) >= least for r in clean)
-    model.scale = (beyond + 0.5) / (n_clean * math.exp(-model.rate * least))
-    x = np.array([model.evidence([(0, 0, s) for s in r.found], r.n) for r in rows])
-    model.slope, model.offset = fit_curve(x, np.array([float(r.toxic) for r in rows]))
+    model.scale = (tally.get((1, 0.0), 0) + 0.5) / (n_clean * math.exp(-model.rate * least))
+    # Two numbers for each text of the calibration fold.
+    rows = held_back.select("text", "toxic").mapInArrow(evidence, "toxic double, value double").collect()
+    model.slope, model.offset = fit_curve(np.array([r.value for r in rows]), np.array([r.toxic for r in rows]))
     return model
 
 
