@@ -143,7 +143,7 @@ def _gazetteer(kind: str, found: str) -> int:
 
 def signature(text: str, kind: str, start: int, end: int, pattern: int) -> str:
     """Votes and surface features of a candidate, as a short text."""
-    found = text[start:end] if end - start <= 200 else text[start : start + 200]
+    found = text[start:end]
     words = [w.strip(".,:;()=\"'") for w in text[max(0, start - 60) : start].lower().split()[-5:]]
     context = 1 if _NEAR[kind].intersection(words) else -1 if _AGAINST.intersection(words) else 0
     before, after = text[start - 1 : start], text[end : end + 1]

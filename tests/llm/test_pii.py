@@ -124,3 +124,9 @@ def test_words_against_hold_where_base_spans_have_no_context():
         votes = np.array([[1, 1, 0, 1], [0, 0, 1, 1], [0, 0, -1, 1]])
         _, _, chance = pii.reliabilities(votes, np.array([base, loose, against], float))
         assert min(chance[:2]) >= pii.ADD and chance[2] <= 0.05
+
+
+def test_a_long_match_is_judged_as_a_whole():
+    short, long = "a@b.com", "a" * 300 + "@b.com"
+    votes = [pii.signature(t, "email", 0, len(t), 1) for t in (short, long)]
+    assert votes[0] == votes[1]
