@@ -54,24 +54,25 @@ def get_typed(variant: Column, spark_type: str, *keys: str) -> Column:
 def get_fields(variant: Column, fields: list[tuple[str, str]]) -> Column:
     """Many ``(j->>'k')::type`` reads in one pass: a struct with one field per ``(key, type)``.
 
-    Integers are read as decimals, so that ``84``, ``84.0`` and ``"84"`` all
-    fit; select the struct under a name first, then take each field through
-    :func:`typed_field`, which rounds half away from zero (at six decimals). An
-    absent key or a JSON null gives a NULL field, a document that is no object
-    a NULL struct; a value that does not fit its type fails the job.
+    An ``int`` is read as a double, which holds every such value and its
+    fraction, and a ``bigint`` as a decimal with six decimals, so that ``84``,
+    ``84.0`` and ``"84"`` all fit; select the struct under a name first, then
+    take each field through :func:`typed_field`, which rounds half away from
+    zero. An absent key or a JSON null gives a NULL field, a document that is no
+    object a NULL struct; a value that does not fit its type fails the job.
     """
     for k, _ in fields:
         _path(k)
-    ddl = "struct<" + ", ".join(f"`{k}`: {_DECIMALS.get(t, t)}" for k, t in fields) + ">"
+    ddl = "struct<" + ", ".join(f"`{k}`: {_NUMBERS.get(t, t)}" for k, t in fields) + ">"
     # A key that no object has: NULL only for a value that is no object.
     is_object = F.try_variant_get(variant, "$", "struct<`_`: string>").isNotNull()
     return F.when(is_object, F.variant_get(variant, "$", ddl))
 
 
-#: Decimals that hold every value of an integer type, with six decimals.
-_DECIMALS = {"int": "decimal(18,6)", "bigint": "decimal(38,6)"}
+#: Types that hold every value of an integer type, and fractions.
+_NUMBERS = {"int": "double", "bigint": "decimal(38,6)"}
 
 
 def typed_field(field: Column, spark_type: str) -> Column:
     """A field of :func:`get_fields` in its type."""
-    return F.round(field, 0).cast(spark_type) if spark_type in _DECIMALS else field
+    return F.round(field, 0).cast(spark_type) if spark_type in _NUMBERS else field

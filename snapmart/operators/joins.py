@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 #: Shares that rows without any role id are spread over.
 NULL_SHARES = 1 << 20
@@ -73,12 +72,6 @@ def role_join(
     return out
 
 
-def compared_type(left: DataFrame, column: str, right: DataFrame, other: str) -> DataType:
-    """The type in which Spark compares two columns (neither is cast down)."""
-    both = left.select(F.col(column).alias("v")).union(right.select(F.col(other)))
-    return both.schema["v"].dataType
-
-
 def role_join_by_id_sets(
     fact: DataFrame,
     dim: DataFrame,
@@ -90,49 +83,34 @@ def role_join_by_id_sets(
     of the fact whatever the number of roles.
 
     The names of a fact row depend only on its tuple of role ids, so the
-    work is done once per distinct tuple:
+    roles are resolved once per distinct tuple:
 
     1. Distinct id tuples of the fact: a partial aggregate over the id
        columns only (a second, narrower read of the fact).
-    2. The non-NULL ids of each tuple, one narrow row per (tuple, role),
-       joined once to the dimension; NULL ids never reach that join. The
-       matches are gathered per tuple and role as structs, so a NULL name
-       counts as the match it is: a group holds one tuple's matches, at most
-       one per copy of a key in the dimension.
-    3. The fact joins the gathered names back on its tuple's text, then one
-       ``explode_outer`` per role: no match gives one row with a NULL name
-       and k copies of a key give k rows, the rows chained left joins give.
-       Rows without any id match nothing; their key is a hash of the row, so
-       they are spread over all join tasks.
-
-    Ids and keys are compared in the type Spark widens them to. No row key is
-    needed: fact rows with the same tuple get the same names.
+    2. :func:`role_join` on these tuples. A key held by several rows of the
+       dimension multiplies the tuple there, once for each role.
+    3. The fact joins the named tuples once, on a struct of its ids, in which
+       NULL equals NULL: k names of a tuple give k rows, the rows chained left
+       joins give. Rows without any id match nothing; a share of their hash
+       in the struct spreads them over all join tasks.
+
+    No id is filtered on before the distinct: such a filter would be pushed
+    below the ids and compute them again. No row key is needed: fact rows
+    with the same tuple get the same names.
     """
-    n = len(roles)
-    ids = [F.col(c).cast(compared_type(fact, c, dim, dim_key)) for c, _ in roles]
-    none = F.coalesce(*[i.cast("string") for i in ids]).isNull()
-    share = F.concat(F.lit("none "), F.pmod(F.xxhash64(*fact.columns), F.lit(NULL_SHARES)).cast("string"))
-    keyed = fact.withColumn("__tuple", F.when(none, share).otherwise(F.to_json(F.array(*[i.cast("string") for i in ids]), {"ignoreNullFields": "false"})))
-    tuples = keyed.where(~none).select("__tuple", *[i.alias(f"__id{k}") for k, i in enumerate(ids)]).distinct()
-    texts = F.array(*[F.struct(F.lit(k).alias("role"), F.col(f"__id{k}").cast("string").alias("id")) for k in range(n)])
-    pairs = tuples.select("__tuple", F.explode(texts).alias("p")).where(F.col("p.id").isNotNull())
-    pairs = pairs.select("__tuple", F.col("p.role").alias("role"), F.col("p.id").alias("id"))
-    # One text per compared type; roles of one type share the dimension side.
-    sides = {}
-    for k, (c, _) in enumerate(roles):
-        sides.setdefault(compared_type(fact, c, dim, dim_key).simpleString(), []).append(k)
-    matched = None
-    for kind, own in sides.items():
-        names = dim.select(F.col(dim_key).cast(kind).cast("string").alias("id"), F.struct(F.col(dim_value).alias("name")).alias("match"))
-        part = pairs.where(F.col("role").isin(own)).join(names, "id")
-        matched = part if matched is None else matched.unionByName(part)
-    gathered = matched.groupBy("__tuple").pivot("role", list(range(n))).agg(F.collect_list("match"))
-    gathered = gathered.select(F.col("__tuple").alias("__gathered"), *[F.col(str(k)).alias(f"__names{k}") for k in range(n)])
-    out = keyed.join(gathered, F.col("__tuple") == F.col("__gathered"), "left")
-    for k, (_, out_name) in enumerate(roles):
-        found = F.explode_outer(F.when(F.size(f"__names{k}") > 0, F.col(f"__names{k}")))
-        out = out.withColumn(out_name, found).withColumn(out_name, F.col(f"{out_name}.name"))
-    return out.drop("__tuple", "__gathered", *[f"__names{k}" for k in range(n)])
+    ids = [f"__id{k}" for k in range(len(roles))]
+    keyed = fact.withColumns({i: F.col(c) for i, (c, _) in zip(ids, roles)})
+    tuples = keyed.select(*ids).distinct()
+    named = role_join(tuples, dim, dim_key, dim_value, [(i, f"__name{k}") for k, i in enumerate(ids)])
+    none = F.coalesce(*[F.col(i).cast("string") for i in ids]).isNull()
+    share = F.when(none, F.pmod(F.xxhash64(*fact.columns), F.lit(NULL_SHARES)))
+    nothing = F.lit(None).cast("bigint")
+    sides = named.select(
+        F.struct(nothing.alias("share"), *ids).alias("__named"),
+        *[F.col(f"__name{k}").alias(name) for k, (_, name) in enumerate(roles)],
+    )
+    keyed = keyed.withColumn("__tuple", F.struct(share.alias("share"), *ids)).drop(*ids)
+    return keyed.join(sides, F.col("__tuple") == F.col("__named"), "left").drop("__tuple", "__named")
 
 
 def missing_parents(
