@@ -51,18 +51,26 @@ def get_typed(variant: Column, spark_type: str, *keys: str) -> Column:
     return F.variant_get(variant, _path(*keys), spark_type)
 
 
-def get_fields(variant: Column, fields: list[tuple[str, str]]) -> Column:
-    """Many ``(j->>'k')::type`` reads in one pass: a struct with one field per ``(key, type)``.
+def get_fields(variant: Column, fields: list[tuple[str, str]], stored: bool = True) -> Column:
+    """Many ``(j->>'k')::type`` reads: a struct with one field per ``(key, type)``.
 
     An ``int`` is read as a double, which holds every such value and its
     fraction, and a ``bigint`` as a decimal with six decimals, so that ``84``,
     ``84.0`` and ``"84"`` all fit; select the struct under a name first, then
     take each field through :func:`typed_field`, which rounds half away from
-    zero. An absent key or a JSON null gives a NULL field, a document that is no
-    object a NULL struct; a value that does not fit its type fails the job.
+    zero. An absent key, a JSON null or a document that is no object gives NULL
+    fields; a value that does not fit its type fails the job.
+
+    From a stored table the keys are read one by one, and each read becomes one
+    of a typed sub-column. ``stored=False`` is for documents that are no
+    scan's column (parsed or built in the same query): all keys in one pass,
+    half the work there. Its check for objects must not be pushed into a scan,
+    which would evaluate the read without it.
     """
     for k, _ in fields:
         _path(k)
+    if stored:
+        return F.struct(*[F.variant_get(variant, _path(k), _NUMBERS.get(t, t)).alias(k) for k, t in fields])
     ddl = "struct<" + ", ".join(f"`{k}`: {_NUMBERS.get(t, t)}" for k, t in fields) + ">"
     # A key that no object has: NULL only for a value that is no object.
     is_object = F.try_variant_get(variant, "$", "struct<`_`: string>").isNotNull()

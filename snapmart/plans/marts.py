@@ -136,14 +136,16 @@ def fct_plays(
     stg_games: DataFrame,
     dim_players: DataFrame,
     by_id_sets: bool = False,
+    stored: bool = True,
 ) -> DataFrame:
     """The wide play fact, 54 columns.
 
     * games: left join on ``game_id`` (INTEGER from the path against the
       document's BIGINT id; Spark widens).
-    * details: the 26 typed values are read from the VARIANT in one pass
-      (:func:`snapmart.functions.json.get_fields`); absent keys and JSON
-      nulls are NULL.
+    * details: the 26 typed values are read from the sub-columns of the
+      stored VARIANT, or in one pass where ``stored`` is false and the plays are
+      no stored table (:func:`snapmart.functions.json.get_fields`); absent keys
+      and JSON nulls are NULL.
     * names: :func:`role_join`, one ``(player_id, full_name)`` build side
       reused by all 12 roles. ``by_id_sets=True``, for a player dimension
       known to be too large to broadcast, resolves the roles once per
@@ -155,7 +157,7 @@ def fct_plays(
     plays = stg_plays.select(
         "game_id", "event_id", "event_type", "sort_order",
         "period", "period_type", "time_in_period", "time_remaining", "situation_code",
-        J.get_fields(F.col("details"), [(key, t) for key, _, t in DETAIL_FIELDS]).alias("__d"),
+        J.get_fields(F.col("details"), [(key, t) for key, _, t in DETAIL_FIELDS], stored).alias("__d"),
     ).select(
         "game_id", "event_id", "event_type", "sort_order",
         "period", "period_type", "time_in_period", "time_remaining", "situation_code",

@@ -190,7 +190,7 @@ def q_model_fct_plays(spark: SparkSession, sf: str) -> DataFrame:
     return _fct_plays(spark, sf)
 
 
-def _fct_plays(spark: SparkSession, sf: str, by_id_sets: bool = False) -> DataFrame:
+def _fct_plays(spark: SparkSession, sf: str, by_id_sets: bool = False, plays: DataFrame | None = None) -> DataFrame:
     games = _games_from_orders(spark, sf).select(
         "game_id", "game_date",
         F.year("game_date").cast("bigint").alias("season"),
@@ -199,7 +199,9 @@ def _fct_plays(spark: SparkSession, sf: str, by_id_sets: bool = False) -> DataFr
     players = load(spark, sf, "supplier").select(
         F.col("s_suppkey").cast("int").alias("player_id"), F.col("s_name").alias("full_name")
     )
-    return marts.fct_plays(_plays_from_lineitem(spark, sf), games, players, by_id_sets)
+    if plays is None:
+        return marts.fct_plays(_plays_from_lineitem(spark, sf), games, players, by_id_sets, stored=False)
+    return marts.fct_plays(plays, games, players, by_id_sets)
 
 
 def _game_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -444,6 +446,14 @@ def q_model_fct_plays_past_bound(spark: SparkSession, sf: str) -> DataFrame:
     return _fct_plays(spark, sf, by_id_sets=True)
 
 
+def q_model_fct_plays_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """M5 -> S6 -> M8: the plays stored as a table, ``details`` shredded into typed
+    sub-columns, and the fact read from them; same oracle."""
+    root = _scratch(spark, "plays")
+    write_table(_plays_from_lineitem(spark, sf), root, "stg_plays")
+    return _fct_plays(spark, sf, plays=read_table(spark, root, "stg_plays"))
+
+
 def _scratch(spark: SparkSession, label: str) -> str:
     """A new folder that all executors see."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
@@ -568,6 +578,7 @@ STANDIN_QUERIES = {
     "q_json_standings": q_json_standings,
     "q_age_today": q_age_today,
     "q_model_fct_plays_past_bound": q_model_fct_plays_past_bound,
+    "q_model_fct_plays_stored": q_model_fct_plays_stored,
     "q_landing_append": q_landing_append,
     "q_landing_replace": q_landing_replace,
     "q_table_and_view": q_table_and_view,
@@ -605,6 +616,7 @@ STANDIN_ORACLE_SQL["q_json_plays"] = STANDIN_ORACLE_SQL["q_model_plays"]
 STANDIN_ORACLE_SQL["q_json_rosters"] = STANDIN_ORACLE_SQL["q_model_player_history"]
 STANDIN_ORACLE_SQL["q_json_standings"] = STANDIN_ORACLE_SQL["q_model_standings_history"]
 STANDIN_ORACLE_SQL["q_model_fct_plays_past_bound"] = STANDIN_ORACLE_SQL["q_model_fct_plays"]
+STANDIN_ORACLE_SQL["q_model_fct_plays_stored"] = STANDIN_ORACLE_SQL["q_model_fct_plays"]
 STANDIN_ORACLE_SQL["q_age_today"] = "select o_orderkey, date_diff('year', cast(o_orderdate as date), current_date) as age from orders"
 STANDIN_ORACLE_SQL["q_landing_append"] = (
     "with o as (select o_custkey as key, 'orders/' || lpad(cast(o_orderkey as varchar), 12, '0') as source_path, o_orderstatus from orders),"

@@ -40,6 +40,12 @@ TUNING_CONF = {
     "spark.sql.files.openCostInBytes": "1m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # VARIANT columns are stored with typed sub-columns for their common keys,
+    # and reads of single keys become reads of those sub-columns.
+    "spark.sql.variant.writeShredding.enabled": "true",
+    "spark.sql.variant.inferShreddingSchema": "true",
+    "spark.sql.variant.allowReadingShredded": "true",
+    "spark.sql.variant.pushVariantIntoScan": "true",
 }
 
 

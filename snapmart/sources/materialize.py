@@ -4,6 +4,11 @@ query) and reading a model by name.
 Tables are Parquet folders under one warehouse root. Writing a table also
 cuts the lineage: the next model reads the stored files, so a lost executor
 recomputes from there, not from the raw documents.
+
+A rebuild writes a folder of its own and then publishes it
+(:mod:`snapmart.sources.versions`): readers see the old table or the new one,
+never a part, and a build killed midway leaves every model readable. A model
+may be rebuilt from itself.
 """
 
 from __future__ import annotations
@@ -13,6 +18,8 @@ import posixpath
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from . import versions
+
 
 def table_path(warehouse: str, name: str) -> str:
     return posixpath.join(warehouse.rstrip("/"), name)
@@ -34,32 +41,46 @@ def write_table(
     ``sort_within`` sorts rows inside each file (no global sort), which
     tightens Parquet min/max statistics for filters on those columns.
     """
-    path = table_path(warehouse, name)
+    root, folder = table_path(warehouse, name), versions.new_folder()
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
-    w = df.write.mode("overwrite")
+    w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
+    w.parquet(posixpath.join(root, folder))
+    while True:
+        base, _ = versions.head(df.sparkSession, root)
+        try:
+            versions.publish(df.sparkSession, root, {"folders": [folder]}, base)
+        except versions.VersionConflict:
+            continue  # another rebuild was published meanwhile; the later one holds
+        return root
 
 
 def read_table(spark: SparkSession, warehouse: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """``ref('name')``: the stored table, columns in ``columns`` order if given
     (a partitioned table puts its partition columns last on read)."""
-    df = spark.read.parquet(table_path(warehouse, name))
+    df = read_stored(spark, table_path(warehouse, name))
     return df.select(*columns) if columns else df
 
 
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of the table at ``path``, or the plain Parquet folder."""
+    _, manifest = versions.head(spark, path)
+    if manifest is None:
+        return spark.read.parquet(path)
+    return spark.read.parquet(*[posixpath.join(path, f) for f in versions.folders_of(manifest)])
+
+
 def read_if_built(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet folder at ``path``, or None when there is none.
+    """The stored table at ``path``, or None when there is none.
 
     Only a missing path counts as absent; a folder that cannot be read fails.
     """
     try:
-        return spark.read.parquet(path)
+        return read_stored(spark, path)
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -212,7 +212,9 @@ def test_history_is_partitioned_by_date(built):
     import os
 
     _, wh, _, _ = built
-    parts = sorted(os.listdir(os.path.join(wh, "stg_players_history")))
+    # The newest version's folder holds the partitions.
+    (version,) = os.listdir(os.path.join(wh, "stg_players_history", "data"))
+    parts = sorted(os.listdir(os.path.join(wh, "stg_players_history", "data", version)))
     assert "snapshot_date=2024-10-02" in parts
 
 
