@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from ..functions import scalar as X
 from ..operators.joins import role_join
 from ..schemas import DOC_SCHEMAS
-from ..sources import landing
+from ..sources import keyed_store, landing
+from ..sources.documents import path_key, read_documents
 from ..sources.materialize import read_table, register_view, write_table
+from ..streaming import incremental
 from ..tables import load
 from . import marts, reports, staging
 
@@ -487,6 +489,79 @@ def q_landing_replace(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(store).select("key", "source_path", "o_orderstatus")
 
 
+def q_keyed_append(spark: SparkSession, sf: str) -> DataFrame:
+    """R4 + R6 + R9 on the store by key: as ``q_landing_append``, in hash buckets; same oracle."""
+    inbox, store = _orders_as_inbox(spark, sf), _scratch(spark, "keyed-append")
+    first = keyed_store.append_unseen(inbox.where("o_orderstatus = 'F'").drop("o_orderstatus"), store, ["key"])
+    second = keyed_store.append_unseen(inbox.drop("o_orderstatus"), store, ["key"])
+    counts = {"first_new": first["new"], "second_new": second["new"], "second_skipped": second["skipped"]}
+    return keyed_store.read_keyed(spark, store).select(
+        "key", "source_path", *[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()]
+    )
+
+
+def q_keyed_replace(spark: SparkSession, sf: str) -> DataFrame:
+    """R7 by customer: all orders, then the pending ones again; a customer with
+    a pending order keeps only these. As many folders as buckets."""
+    orders, store = _orders_as_inbox(spark, sf), _scratch(spark, "keyed-replace")
+    keyed_store.replace_keys(orders, store, ["key"])
+    again = orders.where("o_orderstatus = 'P'").withColumn("source_path", F.concat("source_path", F.lit("/2")))
+    keyed_store.replace_keys(again, store, ["key"])
+    return keyed_store.read_keyed(spark, store)
+
+
+#: Documents of the file queries: one order each.
+_ORDER_DOC = "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE"
+
+
+def _write_order_files(orders: DataFrame, folder: str) -> None:
+    """Orders as JSON files, one document per line, in one folder per month."""
+    fields = F.to_json(F.struct("o_orderkey", "o_custkey", "o_totalprice"))
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    rows = orders.select(fields.alias("value"), month.alias("month")).hint("rebalance", "month")
+    rows.write.partitionBy("month").mode("append").text(folder)
+
+
+def q_scan_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 + S2 + S3: orders written as JSON files by month, read back by a glob;
+    the month comes from each file's path."""
+    root = _scratch(spark, "documents")
+    _write_order_files(load(spark, sf, "orders"), root)
+    docs = read_documents(spark, f"{root}/month=*/*", _ORDER_DOC, multi_line=False)
+    month = X.split_part(path_key(2), "=", 2)
+    return docs.select("o_orderkey", "o_custkey", "o_totalprice", month.alias("month"))
+
+
+def q_stream_keyed(spark: SparkSession, sf: str) -> DataFrame:
+    """R8 + R6 + R9: files of the finished orders, taken in by the stream, then
+    files of all orders, then nothing new. A customer comes in once, from the
+    greatest order of the first run that holds it; counts of the runs beside."""
+    root = _scratch(spark, "stream")
+    orders, sources = load(spark, sf, "orders"), f"{root}/files"
+
+    def shape(docs: DataFrame) -> DataFrame:
+        path = F.concat(F.lit("orders/"), F.lpad(X.text(F.col("o_orderkey")), 12, "0"))
+        return docs.select(F.col("o_custkey").alias("key"), path.alias("source_path"), "_corrupt_record")
+
+    def run() -> dict[str, int]:
+        counts = incremental.ingest_keyed(
+            spark, f"{sources}/wave=*/month=*/*", _ORDER_DOC, f"{root}/store", f"{root}/checkpoint", ["key"],
+            shape=shape, multi_line=False, max_files=1_000_000,
+        )
+        return {k: sum(c[k] for c in counts) for k in ("new", "skipped")}
+
+    _write_order_files(orders.where("o_orderstatus = 'F'"), f"{sources}/wave=1")
+    first = run()
+    _write_order_files(orders, f"{sources}/wave=2")
+    second, third = run(), run()
+    if any(third.values()):
+        raise RuntimeError("files were taken in twice")
+    counts = {"first_new": first["new"], "second_new": second["new"], "second_skipped": second["skipped"]}
+    return keyed_store.read_keyed(spark, f"{root}/store").select(
+        "key", "source_path", *[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()]
+    )
+
+
 def q_table_and_view(spark: SparkSession, sf: str) -> DataFrame:
     """A stored table under a given root, read by name, and a view over it."""
     root = _scratch(spark, "tables")
@@ -581,6 +656,10 @@ STANDIN_QUERIES = {
     "q_model_fct_plays_stored": q_model_fct_plays_stored,
     "q_landing_append": q_landing_append,
     "q_landing_replace": q_landing_replace,
+    "q_keyed_append": q_keyed_append,
+    "q_keyed_replace": q_keyed_replace,
+    "q_scan_documents": q_scan_documents,
+    "q_stream_keyed": q_stream_keyed,
     "q_table_and_view": q_table_and_view,
     "q_landing_completed_ids": q_landing_completed_ids,
     "q_landing_past_games": q_landing_past_games,
@@ -630,3 +709,12 @@ STANDIN_ORACLE_SQL["q_landing_replace"] = (
     " o_orderstatus from orders"
 )
 STANDIN_ORACLE_SQL["q_table_and_view"] = "select c_nationkey, count(*) as n, min(c_custkey) as least from customer group by 1"
+STANDIN_ORACLE_SQL["q_keyed_append"] = STANDIN_ORACLE_SQL["q_landing_append"]
+STANDIN_ORACLE_SQL["q_stream_keyed"] = STANDIN_ORACLE_SQL["q_landing_append"]
+STANDIN_ORACLE_SQL["q_keyed_replace"] = (
+    "select o_custkey as key, 'orders/' || lpad(cast(o_orderkey as varchar), 12, '0') || case when o_orderstatus = 'P' then '/2' else '' end as source_path,"
+    " o_orderstatus from orders where o_orderstatus = 'P' or o_custkey not in (select o_custkey from orders where o_orderstatus = 'P')"
+)
+STANDIN_ORACLE_SQL["q_scan_documents"] = (
+    "select o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y-%m') as month from orders"
+)

@@ -27,11 +27,14 @@ def doc_glob(raw_root: str, kind: str) -> str:
     return posixpath.join(raw_root.rstrip("/"), LAYOUT[kind])
 
 
-def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Documents at ``path`` (a glob) with ``schema``, plus ``source_path``."""
+def read_documents(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+    """Documents at ``path`` (a glob) with ``schema``, plus ``source_path``.
+
+    ``multi_line=False`` is for files with one document per line, which are split.
+    """
     return (
         spark.read.schema(schema)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
         .json(path)
         .withColumn(SOURCE_PATH, F.col("_metadata.file_path"))

@@ -20,7 +20,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -156,14 +156,15 @@ RUN_ID = "_run_id"
 def one_per_key(df: DataFrame, keys: list[str], prefer: str = SOURCE_PATH) -> DataFrame:
     """One row per key: the one with the greatest ``prefer`` (the last path).
 
-    Rows of one key meet in a window; a batch holds few documents per key.
+    A partial aggregate: every task sends one row per key that it holds, so
+    a key that fills an inbox gathers nowhere.
     """
-    order = [F.desc(prefer)] if prefer in df.columns else []
     # Equal paths: the order of a hash over what can be hashed.
     plain = [c for c, t in df.dtypes if c not in keys and "variant" not in t and "map<" not in t]
-    order.append(F.desc(F.xxhash64(*(plain or keys))))
-    ranked = df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.where("__n = 1").drop("__n")
+    tie = F.xxhash64(*(plain or keys))
+    order = F.struct(F.col(prefer), tie) if prefer in df.columns else F.struct(tie)
+    best = df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), order).alias("__row"))
+    return best.select("__row.*")
 
 
 def append_new(

@@ -77,11 +77,6 @@ def new_folder() -> str:
     return f"{DATA}/{uuid.uuid4().hex}"
 
 
-def run_folder(path: str) -> str:
-    """The data folder of one write that ``path`` lies in."""
-    return "/".join(path.split("/")[:2])
-
-
 def publish(spark: SparkSession, root: str, manifest: dict, base: int) -> int:
     """Make ``manifest`` version ``base + 1``; fails if that version exists."""
     fs, path = _open(spark, _manifest_path(root, base + 1))
@@ -107,9 +102,9 @@ def folders_of(manifest: dict) -> list[str]:
 def _collect(spark: SparkSession, root: str) -> None:
     """Delete what only versions older than the last ``KEEP`` name."""
     numbers = _numbers(spark, root)
-    kept = {run_folder(p) for n in numbers[-KEEP:] for p in folders_of(_read_manifest(spark, root, n) or {})}
+    kept = {p for n in numbers[-KEEP:] for p in folders_of(_read_manifest(spark, root, n) or {})}
     for n in numbers[:-KEEP]:
-        for folder in {run_folder(p) for p in folders_of(_read_manifest(spark, root, n) or {})} - kept:
+        for folder in set(folders_of(_read_manifest(spark, root, n) or {})) - kept:
             fs, path = _open(spark, posixpath.join(root, folder))
             fs.delete(path, True)
         fs, path = _open(spark, _manifest_path(root, n))

@@ -12,6 +12,11 @@ A document that does not parse is stored with its text in
 read again; :func:`game_documents` reads the others, :func:`ingest_counts`
 counts both.
 
+:func:`ingest_keyed` takes new files of any schema into a store by key: each
+micro-batch appends only keys that the store does not hold, and the store keeps
+the number of the last batch it has taken, so a batch that is run again after a
+crash between the store's commit and the stream's is applied once.
+
 Restarts are safe: the checkpoint and the sink's own log make each batch
 exactly-once, so a lost executor or a killed run is simply run again.
 """
@@ -19,6 +24,7 @@ exactly-once, so a lost executor or a killed run is simply run again.
 from __future__ import annotations
 
 import posixpath
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +33,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.scalar import path_part
 from ..schemas import LAYOUT, PLAY_BY_PLAY
 from ..sources.documents import SOURCE_PATH
+from ..sources.keyed_store import append_unseen
 
 
 CORRUPT = "_corrupt_record"
@@ -81,3 +88,41 @@ def ingest_new_games(
     if wait:
         q.awaitTermination()
     return q
+
+
+def ingest_keyed(
+    spark: SparkSession,
+    glob: str,
+    schema: str,
+    store_path: str,
+    checkpoint_path: str,
+    keys: list[str],
+    shape: Callable[[DataFrame], DataFrame] | None = None,
+    stream: str = "ingest",
+    multi_line: bool = True,
+    max_files: int = 1000,
+) -> list[dict[str, int]]:
+    """Take the files at ``glob`` not read before into the store by key; counts of each batch.
+
+    ``shape`` turns the documents (``schema``, ``source_path`` and
+    ``_corrupt_record``) into the stored rows; a row that keeps its corrupt
+    record counts as failed.
+    """
+    docs = (
+        spark.readStream.schema(f"{schema}, {CORRUPT} STRING")
+        .option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("maxFilesPerTrigger", max_files)
+        .json(glob)
+        .withColumn(SOURCE_PATH, F.col("_metadata.file_path"))
+    )
+    counts: list[dict[str, int]] = []
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        rows = shape(batch) if shape else batch
+        counts.append(append_unseen(rows, store_path, keys, stream=stream, batch_id=batch_id))
+
+    query = docs.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return counts
