@@ -10,7 +10,6 @@ the tables directly.
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +20,7 @@ from ..schemas import DOC_SCHEMAS
 from ..sources import keyed_store, landing
 from ..sources.documents import path_key, read_documents
 from ..sources.materialize import read_table, register_view, write_table
+from ..sources.scratch import scratch_path
 from ..streaming import incremental
 from ..tables import load
 from . import marts, reports, staging
@@ -458,8 +458,7 @@ def q_model_fct_plays_stored(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scratch(spark: SparkSession, label: str) -> str:
     """A new folder that all executors see."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/_standins/{label}-{uuid.uuid4().hex}"
+    return scratch_path(spark, f"_standins-{label}")
 
 
 def _orders_as_inbox(spark: SparkSession, sf: str) -> DataFrame:
