@@ -1,38 +1,32 @@
 """Shared helpers: the scratch folder all executors see, and text buffers.
 
-``store`` writes a frame as Parquet under ``spark.checkpoint.dir`` and reads
-it back, so that later steps neither recompute it nor depend on the executors
-that made it. Where that setting is absent (tests), a folder inside the
-session's warehouse is used, which a cluster shares as well.
+``store`` writes a frame as Parquet under ``spark.checkpoint.dir`` (see
+:mod:`snapmart.sources.scratch`) and reads it back, so that later steps neither
+recompute it nor depend on the executors that made it.
 """
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapmart.sources.scratch import scratch_path
+
 #: Rows of one Arrow batch: long texts stay small in a Python worker.
 ARROW_ROWS = 1000
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the folder that driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return it read back (cuts lineage)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    return store_at(df, scratch_path(df.sparkSession, label))
+
+
+def store_at(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and return it read back."""
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def store_by(df: DataFrame, label: str, key: str) -> DataFrame:
