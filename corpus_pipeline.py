@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from snapmart.llm import mixing, ngram_join, packing, pii, toxicity
-from snapmart.llm.common import documents, store
+from snapmart.llm.common import documents, store_at
 from snapmart.llm.queries import tokenizer_path
+from snapmart.sources.scratch import remove, scratch_path, scratch_scope
 
 #: SQL cannot express the stages; they are tested against brute force.
 ORACLE_SQL = None
@@ -54,8 +55,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``."""
-    out = documents(spark, sf_dir)
+    """All stages on ``documents``; what a stage made on its way is deleted after it."""
+    out, before = documents(spark, sf_dir), None
     for name, stage in STAGES:
-        out = store(stage(spark, out, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        with scratch_scope(spark) as made:
+            path = scratch_path(spark, f"pipeline-{name.replace(' ', '-')}")
+            out = store_at(stage(spark, out, sf_dir), path)
+            made.remove(path)
+        if before:
+            remove(spark, before)
+        before = path
     return out
