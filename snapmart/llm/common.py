@@ -7,12 +7,14 @@ recompute it nor depend on the executors that made it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.sources.scratch import scratch_path
+from snapmart.sources.scratch import scratch_path, scratch_scope
 
 #: Rows of one Arrow batch: long texts stay small in a Python worker.
 ARROW_ROWS = 1000
@@ -29,6 +31,15 @@ def store_at(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_alone(spark: SparkSession, build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Store what ``build`` returns and delete all that was stored on the way to it."""
+    with scratch_scope(spark) as made:
+        path = scratch_path(spark, label)
+        out = store_at(build(), path)
+        made.remove(path)
+    return out
+
+
 def store_by(df: DataFrame, label: str, key: str) -> DataFrame:
     """As :func:`store`, dealt by ``key`` into as many buckets as a shuffle has partitions.
 

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import small_batches, store, utf8_buffers
+from snapmart.llm.common import small_batches, store, store_alone, utf8_buffers
 from snapmart.llm.shingles import mix, word_counts
 
 #: Weights by the rank of the source, repeating.
@@ -54,15 +54,15 @@ def row_key() -> Column:
     return F.xxhash64(*names, *[F.isnull(c) for c in names])
 
 
-def sizes(docs: DataFrame, row: str | None = None) -> DataFrame:
-    """``doc_id, source, key, size, task, nth`` of every whole text, and ``row`` if asked for.
+def sizes(docs: DataFrame, at: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, source, key, size, task, nth`` of every whole text, and ``at_0 ...`` for the columns of ``at``.
 
     ``size`` is the number of words; ``key`` is the hash of the row, ``nth``
     numbers equal rows inside the task that read them.
     """
     small_batches(docs.sparkSession)
-    more = [F.col(row).cast("bigint").alias("row")] if row else []
-    names = ["doc_id", "source", "key", *["row"] * bool(row), "size", "task", "nth"]
+    places = [f"at_{i}" for i in range(len(at))]
+    names = ["doc_id", "source", "key", *places, "size", "task", "nth"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
@@ -76,8 +76,10 @@ def sizes(docs: DataFrame, row: str | None = None) -> DataFrame:
             columns = [*b.columns[:-1], pa.array(n, pa.int64()), pa.array([task] * len(nth), pa.int32()), pa.array(nth, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), row_key().alias("key"), *more, F.col("text").cast("string"))
-    return rows.mapInArrow(count, f"doc_id bigint, source string, key bigint, {'row bigint, ' if row else ''}size bigint, task int, nth bigint")
+    kept = [F.col(c).cast("bigint").alias(p) for c, p in zip(at, places, strict=True)]
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), row_key().alias("key"), *kept, F.col("text").cast("string"))
+    more = "".join(f"{p} bigint, " for p in places)
+    return rows.mapInArrow(count, f"doc_id bigint, source string, key bigint, {more}size bigint, task int, nth bigint")
 
 
 def number_repeats(sized: DataFrame) -> DataFrame:
@@ -155,11 +157,14 @@ def pivotal(p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, int]:
     return out, held
 
 
-_STATE = "doc_id bigint, source string, row bigint, uid bigint, size bigint, chance double, grp bigint, extra int"
+_STATE = "doc_id bigint, source string, uid bigint, size bigint, chance double, grp bigint, extra int"
 
 
 def _round_level(state: DataFrame, level: int, last: bool) -> DataFrame:
-    """One level: round each group; ``extra`` stays null for the open document."""
+    """One level: round each group; ``extra`` stays null for the open document.
+
+    ``state`` has the columns of ``_STATE`` and those that tell a row's place, in this order.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "uid"], ascending=[False, True], kind="stable").reset_index(drop=True)
@@ -174,17 +179,17 @@ def _round_level(state: DataFrame, level: int, last: bool) -> DataFrame:
         pdf["chance"], pdf["extra"] = got, extra
         return pdf
 
-    return state.groupBy("source", "grp").applyInPandas(run, _STATE)
+    places = [c for c in state.columns if c.startswith("at_")]
+    return state.groupBy("source", "grp").applyInPandas(run, _STATE + "".join(f", {p} bigint" for p in places))
 
 
-def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: float = MAX_REPEAT, row: str | None = None) -> DataFrame:
-    """``doc_id, source, row, size, source_size, target, copies, taken`` of every document.
+def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: float = MAX_REPEAT, at: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies, taken`` of every document.
 
-    ``row`` names a column of ``docs`` with a number of each row, to find it again (else null).
+    ``at`` names columns of ``docs`` (whole numbers) that tell a row's place; they come out as ``at_0 ...``.
     """
-    sized = store(sizes(docs, row), "mix-sizes")
-    if row is None:
-        sized = sized.withColumn("row", F.lit(None).cast("bigint"))
+    places = [f"at_{i}" for i in range(len(at))]
+    sized = store(sizes(docs, at), "mix-sizes")
     targets = store(source_targets(sized, weights, max_repeat), "mix-targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(ratio + 1e-12)
@@ -194,7 +199,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat:
     )
     joined = number_repeats(sized).join(rates, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     state = joined.select(
-        "doc_id", "source", "row", "uid", "size", "chance", F.pmod("uid", F.col("groups")).alias("grp"), F.lit(None).cast("int").alias("extra")
+        "doc_id", "source", "uid", "size", "chance", F.pmod("uid", F.col("groups")).alias("grp"), F.lit(None).cast("int").alias("extra"), *places
     )
     most = targets.agg(F.max(F.ceil(F.col("n_docs") / F.lit(GROUP)))).first()[0] or 1
     levels = 1 + (math.ceil(math.log(most, FAN) - 1e-9) if most > 1 else 0)
@@ -209,16 +214,26 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat:
         out = out.unionByName(more)
     out = out.join(rates.drop("groups", "chance"), F.col("source").eqNullSafe(F.col("_source")))
     copies = (F.col("whole") + F.col("extra")).cast("int")
-    return out.select("doc_id", "source", "row", "size", "source_size", F.col("target").cast("double"), copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    return out.select("doc_id", "source", *places, "size", "source_size", F.col("target").cast("double"), copies.alias("copies"), (F.col("size") * copies).alias("taken"))
 
 
 def take_copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: float = MAX_REPEAT) -> DataFrame:
     """``docs``, each row as many times as the mix takes it, columns unchanged.
 
-    The rows are stored with a number each; rows and copy counts meet on it.
+    Rows and copy counts meet on the row's place: its file (by hash) and number
+    in the file where ``docs`` is a stored table as it stands, else a number that
+    is stored with a copy of the rows.
     """
-    held = store(docs.select(F.monotonically_increasing_id().alias("_id"), F.struct(*docs.columns).alias("_row")), "mix-rows")
-    mixed = mix_sources(held.select("_id", "_row.doc_id", "_row.source", "_row.text"), weights, max_repeat, row="_id")
-    counts = mixed.filter(F.col("copies") > 0).select("row", "copies")
-    taken = held.join(counts, F.col("_id") == F.col("row"))
+    row = F.struct(*docs.columns).alias("_row")
+    if docs.inputFiles():
+        held = docs.select(F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"), row)
+    else:
+        held = store(docs.select(F.lit(0).cast("bigint").alias("_file"), F.monotonically_increasing_id().alias("_index"), row), "mix-rows")
+    flat = held.select("_file", "_index", "_row.doc_id", "_row.source", "_row.text")
+
+    def counted() -> DataFrame:
+        return mix_sources(flat, weights, max_repeat, at=("_file", "_index")).filter(F.col("copies") > 0).select("at_0", "at_1", "copies")
+
+    counts = store_alone(docs.sparkSession, counted, "mix-counts")
+    taken = held.join(counts, (F.col("_file") == F.col("at_0")) & (F.col("_index") == F.col("at_1")))
     return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_row.*")

@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import small_batches, store, utf8_buffers
+from snapmart.llm.common import small_batches, store, store_alone, utf8_buffers
 from snapmart.llm.components import components
 from snapmart.llm.shingles import distinct_sorted, mix, text_shingles
 
@@ -645,9 +645,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Repeats of that row stay once. Rows without an id cannot be told apart by
     it; where only such rows are in a component, each different text stays.
     """
-    found = store(jaccard_components(docs, counted=False), "components")
+    found = store_alone(docs.sparkSession, lambda: jaccard_components(docs, counted=False), "components")
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
-    out = docs.join(kept.distinct(), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_kept")), "left_semi")
+    wanted = kept.distinct()
+    out = docs.join(wanted, docs["doc_id"].cast("bigint").eqNullSafe(wanted["_kept"]), "left_semi")
     if kept.groupBy("_kept").count().filter("count > 1").isEmpty():
         return out
     return out.dropDuplicates(["doc_id", "text"])

@@ -42,6 +42,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -196,16 +197,36 @@ def chunks(texts: list[str], chars: int = CHUNK_CHARS) -> Iterator[list[str]]:
         yield texts[begin:]
 
 
-def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, special_as_text: bool = False) -> DataFrame:
-    """``doc_id, source, n_tokens, ids`` (binary, little-endian unsigned 32 bit) of every whole text."""
+def squeeze(ids: bytes, compressor: zstandard.ZstdCompressor) -> bytes:
+    """Ids as compressed 16- or 32-bit numbers; the first byte says which."""
+    numbers = np.frombuffer(ids, "<u4")
+    if numbers.max(initial=0) < 1 << 16:
+        return b"\x02" + compressor.compress(numbers.astype("<u2").tobytes())
+    return b"\x04" + compressor.compress(ids)
+
+
+def unsqueeze(raw: bytes, decompressor: zstandard.ZstdDecompressor) -> bytes:
+    """The 32-bit ids of :func:`squeeze`."""
+    ids = decompressor.decompress(raw[1:])
+    return ids if raw[0] == 4 else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
+
+
+def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, special_as_text: bool = False, squeezed: bool = False) -> DataFrame:
+    """``doc_id, source, n_tokens, ids`` (binary, little-endian unsigned 32 bit) of every whole text.
+
+    ``squeezed`` ids are those of :func:`squeeze`.
+    """
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokenizer(tokenizer_path, end_id, special_as_text)
+        compressor = zstandard.ZstdCompressor()
         for b in batches:
             texts = [t or "" for t in b.column(2).to_pylist()]
             ids = [x for some in chunks(texts) for x in words.encode_many(some)]
             n = pa.array([len(x) // 4 for x in ids], pa.int64())
+            if squeezed:
+                ids = [squeeze(x, compressor) for x in ids]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), n, pa.array(ids, pa.binary())], ["doc_id", "source", "n_tokens", "ids"])
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), F.col("text").cast("string")).mapInArrow(
@@ -335,7 +356,7 @@ def pack(
 
     ``with_ids`` adds the piece's ids (``ids``, binary) as training input.
     """
-    tokens = store(tokenize(docs, tokenizer_path, end_id, special_as_text), "pack-tokens")
+    tokens = store(tokenize(docs, tokenizer_path, end_id, special_as_text, squeezed=True), "pack-tokens")
     tokens, queues = deal_to_parts(tokens, part_tokens, targets)
     headers = part_headers(tokens.drop("ids"), queues, window)
     nothing = F.lit(None)
@@ -362,6 +383,7 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, first, queues, opening, share = None, 0, {}, {}, {}
+        decompressor = zstandard.ZstdDecompressor()
         for b in batches:
             for p, kind, source, o, sh, f, doc_id, ids in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if p != part:
@@ -370,7 +392,7 @@ def pack(
                 if kind == 0:
                     opening[source], share[source], first = o, sh, f
                 else:
-                    queues.setdefault(source, []).append((doc_id, ids))
+                    queues.setdefault(source, []).append((doc_id, unsqueeze(ids, decompressor)))
         yield from packed(queues, opening, share, first)
 
     # Inside a queue documents stand in the order of their hash.

@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.llm.common import small_batches, store
+from snapmart.sources.scratch import scratch_scope
 
 KINDS = ("email", "ip", "card", "phone")
 ADD = 0.9
@@ -325,7 +326,8 @@ def find_spans(docs: DataFrame) -> DataFrame:
 
 def mask(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by ``<kind>``; ``n_chars`` follows, all else stays."""
-    model = train(store(find_candidates(docs), "pii-candidates"))
+    with scratch_scope(docs.sparkSession):
+        model = train(store(find_candidates(docs), "pii-candidates"))
     at = docs.columns.index("text")
     length_at = docs.columns.index("n_chars")
 

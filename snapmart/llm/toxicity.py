@@ -45,6 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.llm.common import small_batches, store
+from snapmart.sources.scratch import scratch_scope
 
 MAX_LABELLED = 40_000
 #: Terms that chance alone may put into the model.
@@ -234,6 +235,11 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> ToxicityModel:
     """Fit on a bounded labelled sample; all folds but the held-out one are used."""
+    with scratch_scope(docs.sparkSession):
+        return _fit(docs, labels, bound)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, bound: int) -> ToxicityModel:
     small_batches(docs.sparkSession)
     sample = store(labelled_sample(docs, labels, bound), "toxicity-sample")
     # Bounded by the sample.
