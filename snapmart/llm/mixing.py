@@ -235,5 +235,6 @@ def take_copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat:
         return mix_sources(flat, weights, max_repeat, at=("_file", "_index")).filter(F.col("copies") > 0).select("at_0", "at_1", "copies")
 
     counts = store_alone(docs.sparkSession, counted, "mix-counts")
-    taken = held.join(counts, (F.col("_file") == F.col("at_0")) & (F.col("_index") == F.col("at_1")))
+    # The counts grow with the rows, so they are never broadcast, at no size.
+    taken = held.join(counts.hint("merge"), (F.col("_file") == F.col("at_0")) & (F.col("_index") == F.col("at_1")))
     return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_row.*")
