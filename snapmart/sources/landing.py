@@ -79,20 +79,21 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def completed_game_ids(schedule_docs: DataFrame) -> DataFrame:
-    """Ids of games in a completed state, each once, ascending.
+def completed_ids(schedule_docs: DataFrame) -> DataFrame:
+    """Ids of games in a completed state, each once, in no order.
 
     A schedule without ``games`` contributes nothing. The distinct is a
     partial aggregate, so a game listed by both teams is deduplicated
     map-side first.
     """
     games = schedule_docs.select(F.explode("games").alias("g"))
-    ids = (
-        games.where(F.col("g.gameState").isin(*COMPLETED_STATES))
-        .select(number_field(games, "g.id", "bigint").alias("game_id"))
-        .distinct()
-    )
-    return order_by(ids, "game_id")
+    done = games.where(F.col("g.gameState").isin(*COMPLETED_STATES))
+    return done.select(number_field(games, "g.id", "bigint").alias("game_id")).distinct()
+
+
+def completed_game_ids(schedule_docs: DataFrame) -> DataFrame:
+    """:func:`completed_ids`, ascending."""
+    return order_by(completed_ids(schedule_docs), "game_id")
 
 
 def landed_keys(spark: SparkSession, glob: str, from_end: int, name: str, cast: str = "bigint") -> DataFrame:
@@ -252,7 +253,7 @@ def land_games(spark: SparkSession, inbox_root: str, store_path: str) -> dict[st
     teams = teams_from_standings(newest_documents(spark, inbox_root, "standings")).distinct().count()
     schedules = read_inbox(spark, inbox_root, "schedules").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        wanted = completed_game_ids(schedules).persist(StorageLevel.MEMORY_AND_DISK)
+        wanted = completed_ids(schedules).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             present = read_if_built(spark, store_path)
             pending = wanted if present is None else pending_ids(wanted, present, "game_id")
