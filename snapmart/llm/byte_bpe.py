@@ -58,7 +58,7 @@ GROUP = 512
 #: Code points that are cut at once.
 CHUNK_CHARS = 1 << 21
 #: Encoded words that a task remembers at most.
-WORD_MEMORY = 1 << 20
+WORD_MEMORY = 1 << 18
 _PART_BLOCKS = 1 << 24
 _PARTS = "block bigint, kind int, bucket int, seq int, doc_ids array<bigint>, sizes array<int>, body binary"
 
