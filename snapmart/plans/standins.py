@@ -509,6 +509,18 @@ def q_keyed_replace(spark: SparkSession, sf: str) -> DataFrame:
     return keyed_store.read_keyed(spark, store)
 
 
+def q_current_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """M2 kept as state: the event history merged in three snapshots, the last
+    one late and older in part and delivered twice; no merge reads history."""
+    store = _scratch(spark, "current")
+    history = load(spark, sf, "events").select("user_id", X.as_date("ts").alias("snapshot_date"), "event_id", "event_type")
+    late, early = F.col("event_type") == "error", F.dayofmonth("snapshot_date") <= 15
+    waves = [history.where(~late & early), history.where(~late & ~early), history.where(late)]
+    for batch, wave in [*enumerate(waves), (2, waves[2])]:
+        keyed_store.merge_latest(wave, store, ["user_id"], "snapshot_date", stream="events", batch_id=batch)
+    return keyed_store.read_keyed(spark, store)
+
+
 #: Documents of the file queries: one order each.
 _ORDER_DOC = "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE"
 
@@ -657,6 +669,7 @@ STANDIN_QUERIES = {
     "q_landing_replace": q_landing_replace,
     "q_keyed_append": q_keyed_append,
     "q_keyed_replace": q_keyed_replace,
+    "q_current_incremental": q_current_incremental,
     "q_scan_documents": q_scan_documents,
     "q_stream_keyed": q_stream_keyed,
     "q_table_and_view": q_table_and_view,
@@ -714,6 +727,11 @@ STANDIN_ORACLE_SQL["q_keyed_replace"] = (
     "select o_custkey as key, 'orders/' || lpad(cast(o_orderkey as varchar), 12, '0') || case when o_orderstatus = 'P' then '/2' else '' end as source_path,"
     " o_orderstatus from orders where o_orderstatus = 'P' or o_custkey not in (select o_custkey from orders where o_orderstatus = 'P')"
 )
+STANDIN_ORACLE_SQL["q_current_incremental"] = (
+    "with h as (select user_id, cast(ts as date) as snapshot_date, event_id, event_type from events)"
+    " select h.* from h join (select user_id, max(snapshot_date) as latest from h group by user_id) s"
+    " on h.user_id = s.user_id and h.snapshot_date = s.latest"
+)
 STANDIN_ORACLE_SQL["q_scan_documents"] = (
     "select o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y-%m') as month from orders"
 )

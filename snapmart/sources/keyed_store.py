@@ -5,15 +5,18 @@
   the key columns; the rows come in as new files of these buckets.
 * :func:`replace_keys` (R7): the rows of the incoming keys are replaced, the
   other keys stay. Only the buckets of these keys are rewritten.
+* :func:`merge_latest` (M2): the store holds the latest rows per key; a new
+  snapshot is merged into the buckets of its keys, and no history is read.
 
 The number of folders is that of the buckets, however many keys there are.
 Every change is one new version (:mod:`snapmart.sources.versions`): readers see
 all of it or nothing, and a change that was killed can be run again. Appends
-under a ``stream`` name keep the number of their last batch in the same
-manifest, so a batch that is delivered twice is applied once.
+and merges under a ``stream`` name keep the number of their last batch in the
+same manifest, so a batch that is delivered twice is applied once.
 
 A NULL in a key column makes a row unusable for an append (it counts as
-failed); for a replacement NULL is a key like any other.
+failed); for a replacement NULL is a key like any other; a merge drops rows
+with a NULL key or a NULL date, which are in no current view.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from ..operators.latest import latest_per_key
 from . import versions
 from .documents import SOURCE_PATH
 from .landing import one_per_key
@@ -164,6 +168,52 @@ def replace_keys(df: DataFrame, root: str, keys: list[str], n_buckets: int = BUC
             same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
         kept = spark.read.schema(manifest["schema"]).parquet(*paths).join(new_keys, same, "left_anti")
         rows = kept.unionByName(df)
+    _rewrite(rows, root, keys, base, manifest, touched)
+
+
+def merge_latest(
+    snapshot: DataFrame,
+    root: str,
+    keys: list[str],
+    order_col: str,
+    n_buckets: int = BUCKETS,
+    stream: str | None = None,
+    batch_id: int | None = None,
+) -> bool:
+    """Merge ``snapshot`` into a store of the latest rows per key.
+
+    After any number of merges the store equals
+    :func:`~snapmart.operators.latest.latest_per_key` over all that was merged,
+    in whatever order it came: a late, older row loses against the stored ones,
+    a row of the stored date is a tie and stays beside them, and a key that the
+    snapshot does not hold keeps its rows. Only the buckets that hold the
+    snapshot's keys are read and rewritten, so the work follows the snapshot
+    and the state of its buckets, never the history.
+
+    With ``stream`` and ``batch_id`` a batch that was applied before does
+    nothing; returns whether the batch was applied.
+    """
+    spark = snapshot.sparkSession
+    base, manifest = _start(spark, root, snapshot, n_buckets)
+    done = manifest["streams"].get(stream) if stream is not None else None
+    if done is not None and done["batch"] >= batch_id:
+        return False
+    present = F.col(order_col).isNotNull()
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    fresh = snapshot.where(present)
+    touched = _touched(fresh, keys, manifest["n_buckets"])
+    paths = _paths(root, manifest, touched)
+    if paths:
+        fresh = spark.read.schema(manifest["schema"]).parquet(*paths).unionByName(fresh)
+    streams = manifest["streams"] | ({stream: {"batch": batch_id}} if stream is not None else {})
+    _rewrite(latest_per_key(fresh, keys, order_col).select(*snapshot.columns), root, keys, base, manifest | {"streams": streams}, touched)
+    return True
+
+
+def _rewrite(rows: DataFrame, root: str, keys: list[str], base: int, manifest: dict, touched: list[int]) -> None:
+    """Publish a version in which ``rows`` are all rows of the ``touched`` buckets."""
+    spark = rows.sparkSession
     folder = _write(rows, root, keys, manifest["n_buckets"])
     after = {b: p for b, p in manifest["buckets"].items() if int(b) not in touched}
     after |= {str(b): [f"{folder}/{BUCKET}={b}"] for b in _written(spark, root, folder)}
