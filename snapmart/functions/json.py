@@ -37,13 +37,48 @@ def hop(variant: Column, *keys: str) -> Column:
 
 
 def get_text(variant: Column, *keys: str) -> Column:
-    """``j ->> 'k'``: text, NULL when absent or JSON null."""
-    return F.variant_get(variant, _path(*keys), "string")
+    """``j ->> 'k'``: text, NULL when absent or JSON null.
+
+    A number with a fraction or an exponent is written as :func:`double_text`
+    does, an integer of any length by its digits. A whole number of 2^63 and
+    more is taken for an integer, as a VARIANT does not tell ``1e19`` written
+    out with ``.0`` from one without. Numbers inside a nested object or array
+    keep the text VARIANT gives them.
+    """
+    plain = F.variant_get(variant, _path(*keys), "string")
+    kind = F.schema_of_variant(hop(variant, *keys))
+    # Without a fraction and not in 64 bits: an integer, which VARIANT holds as a decimal.
+    long_integer = kind.startswith("DECIMAL") & (F.abs(plain.try_cast("double")) >= 2.0**63) & ~plain.contains(".")
+    is_float = (kind == "DOUBLE") | (kind.startswith("DECIMAL") & ~long_integer)
+    return F.when(is_float, double_text(plain.try_cast("double"))).otherwise(plain)
+
+
+def double_text(c: Column) -> Column:
+    """A DOUBLE as JSON text: the shortest digits that read back as the same
+    number, always with a fraction or an exponent; plain from ``0.000001`` to
+    below ``1e21`` (``2.0``, ``100000.0``), else like ``1e21`` or ``1.5e-7``."""
+    shorter = [F.format_string(f"%.{n}e", c) for n in (14, 15, 16)]
+    written = F.when(shorter[0].try_cast("double") == c, shorter[0]).when(shorter[1].try_cast("double") == c, shorter[1]).otherwise(shorter[2])
+    sign = F.when(written.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    digits = F.regexp_extract(written, r"([0-9.]+?)0*e", 1)
+    digits = F.replace(digits, F.lit("."), F.lit(""))
+    exponent = F.regexp_extract(written, r"e([-+][0-9]+)", 1).try_cast("int")
+    n, point = F.length(digits), exponent + 1
+    zeros = lambda count: F.repeat(F.lit("0"), count)
+    rest = F.substring(digits, F.lit(2), n)
+    body = (
+        F.when((point <= -6) | (point > 21), F.concat(F.left(digits, F.lit(1)), F.when(n > 1, F.concat(F.lit("."), rest)).otherwise(F.lit("")), F.lit("e"), exponent.cast("string")))
+        .when(point <= 0, F.concat(F.lit("0."), zeros(-point), digits))
+        .when(point >= n, F.concat(digits, zeros(point - n), F.lit(".0")))
+        .otherwise(F.concat(F.left(digits, point), F.lit("."), F.substring(digits, point + 1, n)))
+    )
+    special = F.isnan(c) | (F.abs(c) == float("inf"))
+    return F.when(c == 0, F.concat(sign, F.lit("0.0"))).when(special, c.cast("string")).otherwise(F.concat(sign, body))
 
 
 def get_int(variant: Column, *keys: str) -> Column:
     """``(j ->> 'k')::integer``."""
-    return int_from_text(get_text(variant, *keys))
+    return int_from_text(F.variant_get(variant, _path(*keys), "string"))
 
 
 def get_typed(variant: Column, spark_type: str, *keys: str) -> Column:

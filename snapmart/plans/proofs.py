@@ -258,6 +258,14 @@ def q_json_chained(spark: SparkSession, sf: str) -> DataFrame:
     return ev.select("event_id", J.get_int(J.hop(wrapped, "d"), "k").alias("k"))
 
 
+def q_json_number_text(spark: SparkSession, sf: str) -> DataFrame:
+    """``->>`` of numbers with fractions and exponents, of a long integer and of a text that looks like one."""
+    t = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    parts = [F.lit('{"a":'), t, F.lit(',"b":'), t, F.lit('e-9,"c":'), t, F.lit('e16,"d":"'), t, F.lit('e16","e":1'), F.col("o_orderkey").cast("string"), F.lit("00000000000000000000}")]
+    o = load(spark, sf, "orders").select("o_orderkey", J.parse(F.concat(*parts)).alias("j"))
+    return o.select("o_orderkey", *[J.get_text(F.col("j"), k).alias(k) for k in "abcde"])
+
+
 def q_json_fractions(spark: SparkSession, sf: str) -> DataFrame:
     """Integers out of JSON with fractions, quoted numbers, exponents and a document that is no object."""
     c = load(spark, sf, "customer")
@@ -501,6 +509,7 @@ QUERIES: dict[str, Query] = {
     "q_json_extract": q_json_extract,
     "q_json_chained": q_json_chained,
     "q_json_fractions": q_json_fractions,
+    "q_json_number_text": q_json_number_text,
     "q_casts_text": q_casts_text,
     "q_path_parts": q_path_parts,
     "q_casts": q_casts,
@@ -567,6 +576,11 @@ ORACLE_SQL["q_json_fractions"] = (
     " select c_custkey, case when not odd then t::integer end as a, case when not odd then t::integer end::bigint as b,"
     " case when not odd then c_nationkey end as c, null::varchar as d from d"
 )
+ORACLE_SQL["q_json_number_text"] = (
+    "with d as (select o_orderkey, cast(cast(o_totalprice as decimal(18, 2)) as varchar) as t from orders),"
+    " j as (select o_orderkey, '{\"a\":' || t || ',\"b\":' || t || 'e-9,\"c\":' || t || 'e16,\"d\":\"' || t || 'e16\",\"e\":1' || o_orderkey || '00000000000000000000}' as j from d)"
+    " select o_orderkey, j->>'a' as a, j->>'b' as b, j->>'c' as c, j->>'d' as d, j->>'e' as e from j"
+)
 ORACLE_SQL["q_casts_text"] = (
     "with u as (select c_custkey, cast(cast(c_acctbal as decimal(18, 1)) as varchar) as t from customer"
     " union all select -(l_orderkey * 10 + l_linenumber), cast(cast(l_quantity as integer) as varchar) || '.5' from lineitem)"

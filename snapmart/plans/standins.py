@@ -18,6 +18,7 @@ from ..functions import scalar as X
 from ..operators.joins import role_join
 from ..schemas import DOC_SCHEMAS
 from ..sources import keyed_store, landing
+from ..sources.by_name import read_json_by_name, read_parquet_by_name
 from ..sources.documents import path_key, read_documents
 from ..sources.materialize import read_table, register_view, write_table
 from ..sources.scratch import scratch_path
@@ -543,6 +544,39 @@ def q_scan_documents(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("o_orderkey", "o_custkey", "o_totalprice", month.alias("month"))
 
 
+def _vintages(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Customers in four shapes by nation: the balance absent, as INTEGER, as
+    DOUBLE and as text; the nation as INTEGER, BIGINT and DOUBLE; a struct that
+    grows a field."""
+    c = load(spark, sf, "customer")
+    kind, cents = F.pmod("c_nationkey", F.lit(4)), F.round(F.col("c_acctbal") * 100).cast("int")
+    name = F.col("c_name").alias("name")
+    return [
+        c.where(kind == 0).select("c_custkey", F.col("c_nationkey").cast("int").alias("nation"), F.struct(name).alias("who")),
+        c.where(kind == 1).select("c_custkey", F.col("c_nationkey").cast("bigint").alias("nation"), cents.alias("balance")),
+        c.where(kind == 2).select("c_custkey", F.col("c_nationkey").cast("double").alias("nation"), (cents / 100.0).alias("balance"), F.struct(name, F.col("c_mktsegment").alias("segment")).alias("who")),
+        c.where(kind == 3).select("c_custkey", F.col("c_nationkey").cast("int").alias("nation"), F.concat(F.lit("about "), cents.cast("string")).alias("balance")),
+    ]
+
+
+def q_parquet_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """S4 + S1 over Parquet files whose types differ, read as one table by name."""
+    root = _scratch(spark, "vintages")
+    for i, df in enumerate(_vintages(spark, sf)):
+        df.write.parquet(f"{root}/vintage={i}")
+    rows = read_parquet_by_name(spark, root)
+    return rows.select("c_custkey", "nation", "balance", F.col("who.name").alias("name"), F.col("who.segment").alias("segment"))
+
+
+def q_json_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """S4 + S1 over JSON files whose types differ, read as one table by name."""
+    root = _scratch(spark, "vintages-json")
+    for i, df in enumerate(_vintages(spark, sf)):
+        df.write.json(f"{root}/vintage={i}")
+    rows = read_json_by_name(spark, f"{root}/vintage=*/*")
+    return rows.select("c_custkey", "nation", "balance", F.col("who.name").alias("name"), F.col("who.segment").alias("segment"))
+
+
 def q_stream_keyed(spark: SparkSession, sf: str) -> DataFrame:
     """R8 + R6 + R9: files of the finished orders, taken in by the stream, then
     files of all orders, then nothing new. A customer comes in once, from the
@@ -671,6 +705,8 @@ STANDIN_QUERIES = {
     "q_keyed_replace": q_keyed_replace,
     "q_current_incremental": q_current_incremental,
     "q_scan_documents": q_scan_documents,
+    "q_parquet_by_name": q_parquet_by_name,
+    "q_json_by_name": q_json_by_name,
     "q_stream_keyed": q_stream_keyed,
     "q_table_and_view": q_table_and_view,
     "q_landing_completed_ids": q_landing_completed_ids,
@@ -732,6 +768,12 @@ STANDIN_ORACLE_SQL["q_current_incremental"] = (
     " select h.* from h join (select user_id, max(snapshot_date) as latest from h group by user_id) s"
     " on h.user_id = s.user_id and h.snapshot_date = s.latest"
 )
+STANDIN_ORACLE_SQL["q_parquet_by_name"] = STANDIN_ORACLE_SQL["q_json_by_name"] = (
+    "with c as (select *, c_nationkey % 4 as kind, cast(round(c_acctbal * 100) as integer) as cents from customer)"
+    " select c_custkey, cast(c_nationkey as double) as nation,"
+    " case kind when 1 then cast(cents as varchar) when 2 then cast(cents / 100.0 as varchar) when 3 then 'about ' || cents end as balance,"
+    " case when kind in (0, 2) then c_name end as name, case when kind = 2 then c_mktsegment end as segment from c"
+)
 STANDIN_ORACLE_SQL["q_scan_documents"] = (
     "select o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y-%m') as month from orders"
 )

@@ -147,3 +147,41 @@ def test_json_text_and_int_match_duckdb(spark):
     want_i = {r[0]: tuple(r[1:]) for r in con.execute(
         "select i, " + ", ".join(f"cast(s->>'{k}' as bigint)" for k in keys) + " from u").fetchall()}
     assert got_i == want_i
+
+
+def test_json_numbers_as_text_match_duckdb(spark):
+    """``->>`` of floats, exponents and integers of any length, and of texts that look like them."""
+    from snapmart.functions import json as J
+
+    rng = random.Random(21)
+    tokens = ["2.0", "1e20", "1.50", "1E5", "123456789012345678901234567890", "1e-7", "0.000001", "1e21", "-1e21", "1.0e3",
+              "123456789.0", "18446744073709551616", "-9223372036854775809", "9223372036854775808", "1.7976931348623157e308",
+              "0.1234567890123456789", "100000000000000000000.5", '"2.0"', '"1e20"', '"1.0E20"', "5.684341886080802e-14", "2e23", "0.0", "0e0", "1e22"]
+    for _ in range(1500):
+        kind = rng.random()
+        if kind < 0.3:
+            tokens.append(str(rng.randrange(-10 ** rng.randint(1, 37), 10 ** rng.randint(1, 37))))
+        elif kind < 0.6:
+            tokens.append(f"{rng.uniform(-1e6, 1e6):.{rng.randint(1, 12)}f}")
+        elif kind < 0.8:
+            tokens.append(f"{rng.uniform(-10, 10):.{rng.randint(0, 8)}e}")
+        else:
+            tokens.append(repr(rng.uniform(-1, 1) * 10.0 ** rng.randint(-290, 290)))
+    rows = [(i, f'{{"a": {{"k": {t}}}}}') for i, t in enumerate(tokens)]
+    df = spark.createDataFrame(rows, "i int, s string").select("i", J.parse(F.col("s")).alias("j"))
+    got = {r.i: r.k for r in df.select("i", J.get_text(F.col("j"), "a", "k").alias("k")).collect()}
+    con = duckdb.connect()
+    con.execute("create table t (i integer, s varchar)")
+    con.executemany("insert into t values (?, ?)", rows)
+    want = dict(con.execute("select i, s->'a'->>'k' from t").fetchall())
+    assert {i: (tokens[i], got[i], want[i]) for i in got if got[i] != want[i]} == {}
+
+
+def test_text_to_integer_rounds_once(spark):
+    rows = [("0.49999999999999999999999", 0), ("-0.5", -1), ("12.5", 13), ("1e3", 1000), (" 7 ", 7), ("2147483647.4", 2147483647), (None, None), ("-2147483648", -2147483648)]
+    df = spark.createDataFrame(rows, "t string, n int")
+    assert df.where(~X.int_from_text("t").eqNullSafe(F.col("n"))).collect() == []
+    assert df.where(~X.int_from_text("t", "bigint").eqNullSafe(F.col("n").cast("bigint"))).collect() == []
+    for bad in ("2147483647.5", "x", "1e11"):
+        with pytest.raises(Exception):
+            spark.createDataFrame([(bad,)], "t string").select(X.int_from_text("t")).collect()
