@@ -58,22 +58,16 @@ def double_text(c: Column) -> Column:
     number, always with a fraction or an exponent; plain from ``0.000001`` to
     below ``1e21`` (``2.0``, ``100000.0``), else like ``1e21`` or ``1.5e-7``."""
     shorter = [F.format_string(f"%.{n}e", c) for n in (14, 15, 16)]
-    written = F.when(shorter[0].try_cast("double") == c, shorter[0]).when(shorter[1].try_cast("double") == c, shorter[1]).otherwise(shorter[2])
-    sign = F.when(written.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    digits = F.regexp_extract(written, r"([0-9.]+?)0*e", 1)
-    digits = F.replace(digits, F.lit("."), F.lit(""))
-    exponent = F.regexp_extract(written, r"e([-+][0-9]+)", 1).try_cast("int")
-    n, point = F.length(digits), exponent + 1
-    zeros = lambda count: F.repeat(F.lit("0"), count)
-    rest = F.substring(digits, F.lit(2), n)
-    body = (
-        F.when((point <= -6) | (point > 21), F.concat(F.left(digits, F.lit(1)), F.when(n > 1, F.concat(F.lit("."), rest)).otherwise(F.lit("")), F.lit("e"), exponent.cast("string")))
-        .when(point <= 0, F.concat(F.lit("0."), zeros(-point), digits))
-        .when(point >= n, F.concat(digits, zeros(point - n), F.lit(".0")))
-        .otherwise(F.concat(F.left(digits, point), F.lit("."), F.substring(digits, point + 1, n)))
+    digits = F.when(shorter[0].try_cast("double") == c, shorter[0]).when(shorter[1].try_cast("double") == c, shorter[1]).otherwise(shorter[2])
+    size = F.abs(c)
+    # Room for 17 digits on either side of one.
+    plain = F.when(size >= 1, digits.try_cast("decimal(38,16)").cast("string")).otherwise(digits.try_cast("decimal(38,23)").cast("string"))
+    return (
+        F.when(c == 0, F.lit("0.0"))
+        .when(F.isnan(c) | (size == float("inf")), c.cast("string"))
+        .when((size < 1e-6) | (size >= 1e21), F.regexp_replace(digits, r"\.?0*e\+?(-?)0*", "e$1"))
+        .otherwise(F.regexp_replace(plain, r"(\.\d+?)0+$", "$1"))
     )
-    special = F.isnan(c) | (F.abs(c) == float("inf"))
-    return F.when(c == 0, F.concat(sign, F.lit("0.0"))).when(special, c.cast("string")).otherwise(F.concat(sign, body))
 
 
 def get_int(variant: Column, *keys: str) -> Column:
