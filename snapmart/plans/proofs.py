@@ -602,3 +602,4 @@ from .standins import STANDIN_ORACLE_SQL, STANDIN_QUERIES  # noqa: E402
 
 QUERIES.update(STANDIN_QUERIES)
 ORACLE_SQL.update(STANDIN_ORACLE_SQL)
+ORACLE_SQL["q_dq_measured"] = ORACLE_SQL["q_dq_suite"]

@@ -9,6 +9,12 @@ A rebuild writes a folder of its own and then publishes it
 (:mod:`snapmart.sources.versions`): readers see the old table or the new one,
 never a part, and a build killed midway leaves every model readable. A model
 may be rebuilt from itself.
+
+Measures (Q2, Q3, R9) are aggregates that the write itself computes over the rows
+it stores, through ``Dataset.observe``; they are published in the same
+manifest, so they always belong to the rows a reader sees. They are taken in the
+stage that writes, after any shuffle, where Spark counts each partition of a
+finished task once: a task that is run again adds nothing.
 """
 
 from __future__ import annotations
@@ -16,7 +22,7 @@ from __future__ import annotations
 import posixpath
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from . import versions
 
@@ -31,6 +37,7 @@ def write_table(
     name: str,
     partition_by: list[str] | None = None,
     sort_within: list[str] | None = None,
+    measures: dict[str, Column] | None = None,
 ) -> str:
     """``materialized='table'``: overwrite the table with ``df``.
 
@@ -40,20 +47,25 @@ def write_table(
     splits a partition value holding much of the data over several tasks.
     ``sort_within`` sorts rows inside each file (no global sort), which
     tightens Parquet min/max statistics for filters on those columns.
+    ``measures`` are aggregates by name, read back by :func:`measured`.
     """
     root, folder = table_path(warehouse, name), versions.new_folder()
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
+    seen = Observation() if measures else None
+    if seen is not None:
+        df = df.observe(seen, *[c.alias(name) for name, c in measures.items()])
     w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(posixpath.join(root, folder))
+    manifest = {"folders": [folder]} | ({"measured": dict(seen.get)} if seen is not None else {})
     while True:
         base, _ = versions.head(df.sparkSession, root)
         try:
-            versions.publish(df.sparkSession, root, {"folders": [folder]}, base)
+            versions.publish(df.sparkSession, root, manifest, base)
         except versions.VersionConflict:
             continue  # another rebuild was published meanwhile; the later one holds
         return root
@@ -66,6 +78,12 @@ def read_table(spark: SparkSession, warehouse: str, name: str, columns: list[str
     return df.select(*columns) if columns else df
 
 
+def measured(spark: SparkSession, warehouse: str, name: str) -> dict[str, int]:
+    """The measures of the newest version of a stored table; empty without any."""
+    _, manifest = versions.head(spark, table_path(warehouse, name))
+    return (manifest or {}).get("measured", {})
+
+
 def read_stored(spark: SparkSession, path: str) -> DataFrame:
     """The newest version of the table at ``path``, or the plain Parquet folder."""
     _, manifest = versions.head(spark, path)
