@@ -63,8 +63,9 @@ def double_text(c: Column) -> Column:
     # Room for 17 digits on either side of one.
     plain = F.when(size >= 1, digits.try_cast("decimal(38,16)").cast("string")).otherwise(digits.try_cast("decimal(38,23)").cast("string"))
     return (
-        F.when(c == 0, F.lit("0.0"))
-        .when(F.isnan(c) | (size == float("inf")), c.cast("string"))
+        F.when((c == 0) | F.isnan(c) | (size == float("inf")), c.cast("string"))
+        # Up to 15 digits are always the shortest, and Spark writes these plainly.
+        .when((size >= 1e-3) & (size < 1e7) & (F.length(c.cast("string")) <= 16), c.cast("string"))
         .when((size < 1e-6) | (size >= 1e21), F.regexp_replace(digits, r"\.?0*e\+?(-?)0*", "e$1"))
         .otherwise(F.regexp_replace(plain, r"(\.\d+?)0+$", "$1"))
     )

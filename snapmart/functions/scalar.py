@@ -70,12 +70,12 @@ def int_from_text(c: ColumnOrName, spark_type: str = "int") -> Column:
     """``x::integer`` for a text: round half away from zero ('12.5' -> 13).
 
     The text may have a fraction or an exponent; one that is no number, or
-    does not fit, fails under ANSI mode. Plain digits take the short way; a
-    cast to a decimal without a fraction rounds once, from all digits.
+    does not fit, fails under ANSI mode. A cast to a decimal without a fraction
+    rounds once, from all digits. (Trying an integer first costs an exception
+    for each text that has a fraction.)
     """
-    text = _col(c)
     whole = {"int": "decimal(11,0)", "bigint": "decimal(20,0)"}[spark_type]
-    return F.coalesce(text.try_cast(spark_type), text.cast(whole).cast(spark_type))
+    return _col(c).cast(whole).cast(spark_type)
 
 
 def number_field(df: DataFrame, path: str, spark_type: str) -> Column:
