@@ -152,7 +152,10 @@ def fct_plays(
       distinct tuple of role ids, so the fact is shuffled once, not twelve
       times; the rows are the same. A player listed twice on the
       latest date multiplies the play rows, exactly as the reference's
-      joins do; the ``unique`` test on ``stg_players`` reports it.
+      joins do; the ``unique`` test on ``stg_players`` reports it. Games come
+      first, so that a shuffle for them carries no names and parts the reading
+      of the details from the twelve lookups; by id sets they come last, as the
+      distinct tuples are taken from the plays alone.
     """
     plays = stg_plays.select(
         "game_id", "event_id", "event_type", "sort_order",
@@ -161,8 +164,10 @@ def fct_plays(
     ).select(
         "game_id", "event_id", "event_type", "sort_order",
         "period", "period_type", "time_in_period", "time_remaining", "situation_code",
-        *[J.typed_field(F.col("__d")[key], t).alias(name) for key, name, t in DETAIL_FIELDS],
+        *[J.typed_field(F.col("__d")[key], t, stored).alias(name) for key, name, t in DETAIL_FIELDS],
     )
-    named = role_join(plays, dim_players, "player_id", "full_name", PLAYER_ROLES, by_id_sets)
-    named = left_lookup(named, stg_games, "game_id", "game_id", GAME_CONTEXT)
-    return named.select(*FCT_PLAYS_COLUMNS)
+    if by_id_sets:
+        named = role_join(plays, dim_players, "player_id", "full_name", PLAYER_ROLES, by_id_sets)
+        return left_lookup(named, stg_games, "game_id", "game_id", GAME_CONTEXT).select(*FCT_PLAYS_COLUMNS)
+    in_games = left_lookup(plays, stg_games, "game_id", "game_id", GAME_CONTEXT)
+    return role_join(in_games, dim_players, "player_id", "full_name", PLAYER_ROLES).select(*FCT_PLAYS_COLUMNS)

@@ -278,7 +278,7 @@ def q_json_fractions(spark: SparkSession, sf: str) -> DataFrame:
     j = c.select("c_custkey", J.parse(doc).alias("j"))
     kinds = {"a": "int", "b": "bigint", "c": "int", "d": "string"}
     fields = j.select("c_custkey", J.get_fields(F.col("j"), list(kinds.items()), stored=False).alias("t"))
-    return fields.select("c_custkey", *[J.typed_field(F.col("t")[k], kind).alias(k) for k, kind in kinds.items()])
+    return fields.select("c_custkey", *[J.typed_field(F.col("t")[k], kind, stored=False).alias(k) for k, kind in kinds.items()])
 
 
 def q_casts_text(spark: SparkSession, sf: str) -> DataFrame:

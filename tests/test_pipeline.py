@@ -300,3 +300,35 @@ def test_models_answer_sql_by_name(spark, built):
     ).collect()
     assert [r.streak for r in s] == ["W2", "W2", "W2"]
     assert spark.sql("select count(*) as n from fct_plays where event_type = 'goal'").first().n == 2
+
+
+def test_games_are_joined_before_names(built):
+    """A shuffle for the games carries no names: the lookups by role lie above the join with games."""
+    _, _, m, _ = built
+    fact = marts.fct_plays(m["stg_plays"], m["stg_games"], m["dim_players"])
+    joins = [x for x in fact._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in x]
+    assert len(joins) == 1 + len(marts.PLAYER_ROLES)
+    assert "__dk" in joins[-1] and not any("__dk" in x for x in joins[:-1])
+
+
+def test_one_pass_reads_integers_by_one_rounding(spark):
+    """Fractions round half away from zero, from all digits; a text that is no number fails."""
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+
+    from snapmart.functions import json as J
+
+    def read(texts, stored):
+        df = spark.createDataFrame(list(enumerate(texts)), "n int, t string").select("n", J.parse(F.col("t")).alias("v"))
+        d = df.select("n", J.get_fields(F.col("v"), [("a", "int")], stored).alias("d"))
+        return {r.n: r.a for r in d.select("n", J.typed_field(F.col("d.a"), "int", stored).alias("a")).collect()}
+
+    texts = ['{"a": 2.5}', '{"a": "-2.5"}', '{"a": 0.49999999999999994}', '{"a": 2147483647.4}', '{"a": null}', "[1]", "{}", "7", '{"a": "84"}']
+    want = dict(enumerate([3, -3, 0, 2147483647, None, None, None, None, 84]))
+    assert read(texts, False) == want
+    assert read(texts[:5], True) == {n: want[n] for n in range(5)}
+    assert read(['{"a": 2.4999999999999999999}'], False) == {0: 2}
+    for stored in (False, True):
+        for bad in ("NaN", "x", "2147483648"):
+            with pytest.raises(PySparkException):
+                read(['{"a": "%s"}' % bad], stored)
